@@ -125,7 +125,7 @@ class ByteBPE:
     def _remember(self, piece: str) -> str:
         if len(self.cache) >= CACHE_ENTRIES:
             self.older, self.cache = self.cache, {}
-        coded = self.older.get(piece) or " ".join(map(str, self.encode_piece(piece.encode("utf-8"))))
+        coded = self.cache.get(piece) or self.older.get(piece) or " ".join(map(str, self.encode_piece(piece.encode("utf-8"))))
         self.cache[piece] = coded
         return coded
 
