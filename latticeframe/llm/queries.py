@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from latticeframe.llm import byte_bpe, fingerprints, quality_rules
+from latticeframe.llm import byte_bpe, fingerprints, quality_rules, secret_scan
 from latticeframe.llm.common import read_table
 
 
@@ -23,12 +23,16 @@ def op2_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.compare_with_edits(read_table(spark, sf_dir, "documents"))
 
 
+def op7_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_scan.report(read_table(spark, sf_dir, "documents"))
+
+
 def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.report(read_table(spark, sf_dir, "documents"))
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op2_fingerprints, op5_byte_bpe, op8_quality_rules)}
+    return {f.__name__: f for f in (op2_fingerprints, op5_byte_bpe, op7_secret_scan, op8_quality_rules)}
 
 
 def oracle_sql() -> dict[str, str]:
