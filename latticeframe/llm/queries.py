@@ -8,10 +8,14 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from latticeframe.llm import byte_bpe, chat_format, fingerprints, quality_rules, secret_scan
+from latticeframe.llm import byte_bpe, chat_format, fingerprints, near_dedup, quality_rules, secret_scan
 from latticeframe.llm.common import read_table
 
 
+def op3_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.near_duplicates(read_table(spark, sf_dir, "documents"), shingle=3, percent=85)
+
+
 def op5_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return byte_bpe.encode_decode_digest(
         read_table(spark, sf_dir, "documents"),
@@ -44,7 +48,7 @@ def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op2_fingerprints, op5_byte_bpe, op6_chat_format, op7_secret_scan, op8_quality_rules)}
+    return {f.__name__: f for f in (op2_fingerprints, op3_near_dedup, op5_byte_bpe, op6_chat_format, op7_secret_scan, op8_quality_rules)}
 
 
 def oracle_sql() -> dict[str, str]:
