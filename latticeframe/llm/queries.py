@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from latticeframe.llm import byte_bpe, chat_format, fingerprints, near_dedup, quality_rules, secret_scan
+from latticeframe.llm import byte_bpe, chat_format, fingerprints, near_dedup, quality_rules, secret_scan, suffix_dedup
 from latticeframe.llm.common import read_table
 
 
@@ -47,8 +47,12 @@ def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.report(read_table(spark, sf_dir, "documents"))
 
 
+def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.remove_repeats(read_table(spark, sf_dir, "documents"), with_bytes=False)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op2_fingerprints, op3_near_dedup, op5_byte_bpe, op6_chat_format, op7_secret_scan, op8_quality_rules)}
+    return {f.__name__: f for f in (op2_fingerprints, op3_near_dedup, op5_byte_bpe, op6_chat_format, op7_secret_scan, op8_quality_rules, op10_suffix_dedup)}
 
 
 def oracle_sql() -> dict[str, str]:
