@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from latticeframe.llm import byte_bpe, chat_format, fingerprints, near_dedup, quality_rules, secret_scan, suffix_dedup
+from latticeframe.llm import byte_bpe, chat_format, fingerprints, near_dedup, packing, quality_rules, secret_scan, suffix_dedup
 from latticeframe.llm.common import read_table
 
 
@@ -24,6 +24,12 @@ def op5_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op1_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack_documents(
+        read_table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), packing.Capacity(tokens=2048)
+    )
+
+
 def op2_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints.compare_with_edits(read_table(spark, sf_dir, "documents"))
 
@@ -52,7 +58,7 @@ def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op2_fingerprints, op3_near_dedup, op5_byte_bpe, op6_chat_format, op7_secret_scan, op8_quality_rules, op10_suffix_dedup)}
+    return {f.__name__: f for f in (op1_best_fit_packing, op2_fingerprints, op3_near_dedup, op5_byte_bpe, op6_chat_format, op7_secret_scan, op8_quality_rules, op10_suffix_dedup)}
 
 
 def oracle_sql() -> dict[str, str]:
