@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from latticeframe.llm import byte_bpe, chat_format, fingerprints, near_dedup, packing, quality_rules, secret_scan, suffix_dedup
+from latticeframe.llm import byte_bpe, chat_format, fingerprints, html_extract, near_dedup, packing, quality_rules, secret_scan, suffix_dedup
 from latticeframe.llm.common import read_table
 
 
@@ -16,6 +16,10 @@ def op3_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_dedup.near_duplicates(read_table(spark, sf_dir, "documents"), shingle=3, percent=85)
 
 
+def op4_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_extract.extract(read_table(spark, sf_dir, "pages"))
+
+
 def op5_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return byte_bpe.encode_decode_digest(
         read_table(spark, sf_dir, "documents"),
@@ -58,7 +62,7 @@ def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_best_fit_packing, op2_fingerprints, op3_near_dedup, op5_byte_bpe, op6_chat_format, op7_secret_scan, op8_quality_rules, op10_suffix_dedup)}
+    return {f.__name__: f for f in (op1_best_fit_packing, op2_fingerprints, op3_near_dedup, op4_html_extract, op5_byte_bpe, op6_chat_format, op7_secret_scan, op8_quality_rules, op10_suffix_dedup)}
 
 
 def oracle_sql() -> dict[str, str]:
