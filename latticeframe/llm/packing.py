@@ -11,7 +11,6 @@ own. Bins that stay notably unfilled are opened again and packed in a second rou
 
 from __future__ import annotations
 
-import uuid
 import zlib
 from dataclasses import dataclass
 
@@ -20,7 +19,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from latticeframe.llm.common import ensure_checkpoint_dir, map_rows, only
+from latticeframe.llm.common import map_rows, only, stored
 from latticeframe.llm.word_tokens import word_tokens
 
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
@@ -123,13 +122,6 @@ def _packed(pieces: DataFrame, n: int, cap: Capacity, round_no: int) -> DataFram
 
 def pack_pieces(pieces: DataFrame, cap: Capacity) -> DataFrame:
     """`pieces` plus `sequence_id` and `offset`. An empty table stays empty."""
-    spark = pieces.sparkSession
-    folder = f"{ensure_checkpoint_dir(spark).rstrip('/')}/packing-{uuid.uuid4().hex}"
-
-    def stored(df: DataFrame, name: str) -> DataFrame:
-        df.write.parquet(f"{folder}/{name}")
-        return spark.read.schema(df.schema).parquet(f"{folder}/{name}")
-
     pieces = stored(pieces, "pieces")
     names = [f.name for f in pieces.schema]
     whole = pieces.filter(F.col("length") >= cap.tokens)

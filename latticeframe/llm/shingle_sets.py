@@ -42,9 +42,11 @@ def range_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.n
     return mix((sums[ends] - sums[starts]) * down[starts] + length * _MIX[2])
 
 
-def word_hashes(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-    """(hash of every word, A-Z in lower case; number of the text that it is in) of all texts in order."""
-    raw = [t.encode("utf-8", "surrogatepass").lower() for t in texts]
+def word_hashes(texts: list[str], lower: bool = True) -> tuple[np.ndarray, np.ndarray]:
+    """(hash of every word, A-Z in lower case if asked; number of the text that it is in) of all texts in order."""
+    raw = [t.encode("utf-8", "surrogatepass") for t in texts]
+    if lower:
+        raw = [r.lower() for r in raw]
     data = np.frombuffer(b"\n".join(raw) + b"\n", dtype=np.uint8)
     space = _SPACE[data]
     edge = np.flatnonzero(space[1:] != space[:-1]) + 1

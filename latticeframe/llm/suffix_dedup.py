@@ -19,14 +19,13 @@ over tasks by the windows' hashes, so no group has to fit into one task.
 from __future__ import annotations
 
 import hashlib
-import uuid
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from latticeframe.llm.common import ensure_checkpoint_dir, map_rows
+from latticeframe.llm.common import map_rows, stored
 from latticeframe.llm.repeat_windows import GRAM, Corpus, classes
 from latticeframe.llm.shingle_sets import mix
 
@@ -46,14 +45,6 @@ def _width(length: int) -> int:
     return min(length // 2, (1 << _SPAN) - 1)
 
 
-def _stored(df: DataFrame, name: str) -> DataFrame:
-    """Written to the shared folder and read again: compressed, and without lineage."""
-    spark = df.sparkSession
-    path = f"{ensure_checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
 def _classes(docs: DataFrame, length: int) -> DataFrame:
     """`doc_id, ref, core, whole`: the classes of all windows; `ref` packs first start, width and the text's mark."""
     w = _width(length)
@@ -158,10 +149,10 @@ def repeated_windows(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     """`doc_id, mark, first, last`: all starts (byte offsets) of windows of `length` bytes that occur more than once."""
     if length < 2 * GRAM:
         raise ValueError(f"length must be {2 * GRAM} at least")
-    table = _stored(_classes(docs, length), "classes")
+    table = stored(_classes(docs, length), "classes")
     shared = table.groupBy("core").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("core")
-    alive = _stored(table.join(shared, "core"), "alive")
-    kinds = _stored(
+    alive = stored(table.join(shared, "core"), "alive")
+    kinds = stored(
         alive.groupBy("core", "whole").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("doc_id", "ref")).alias("one")),
         "kinds",
     )
@@ -173,7 +164,7 @@ def repeated_windows(docs: DataFrame, length: int = LENGTH) -> DataFrame:
         .filter("m > 1 and rarest = 1")
         .select("core", F.ceil(F.col("m") / GROUP_CLASSES).cast("int").alias("salts"))
     )
-    wanted = _stored(
+    wanted = stored(
         kinds.join(mixed, "core").select(
             "core", "salts", (F.col("n") == 1).alias("open"), F.col("one.doc_id").alias("doc_id"), F.col("one.ref").alias("ref")
         ),
@@ -198,7 +189,7 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, with_bytes: bool = Tru
     null and repeated ids keep rows of their own.
     """
     docs = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-    found = _stored(repeated_windows(docs, length), "intervals")
+    found = stored(repeated_windows(docs, length), "intervals")
     lists = found.groupBy("doc_id").agg(F.collect_list(F.struct("mark", "first", "last")).alias("found"))
     rows = _joined(docs, lists, found.count(), "left").select("doc_id", "text", "found")
 
