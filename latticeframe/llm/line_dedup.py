@@ -28,7 +28,6 @@ from latticeframe.llm.shingle_sets import mix, word_hashes
 MIN_LINES = 3
 #: ... and so does a single line of so many words.
 MIN_WORDS = 12
-BROADCAST_ROWS = 1_000_000
 
 
 def line_ids(docs: DataFrame) -> DataFrame:
@@ -125,8 +124,6 @@ def _edited(docs: DataFrame, min_lines: int, min_words: int, schema: str, finish
     found = stored(repeated_lines(docs, min_lines, min_words), "runs")
     lists = found.groupBy("doc_id").agg(F.collect_list(F.struct("mark", "first", "last")).alias("__runs"))
     lists = lists.withColumnRenamed("doc_id", "__id")
-    # Size known from the table that was just written
-    lists = F.broadcast(lists) if found.count() <= BROADCAST_ROWS else lists
     names = docs.columns
     rows = docs.join(lists, F.col("doc_id").cast("long").eqNullSafe(F.col("__id")), "left").select(*names, "__runs")
     at = names.index("text")
