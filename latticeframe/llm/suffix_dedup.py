@@ -32,7 +32,6 @@ from latticeframe.llm.shingle_sets import mix
 LENGTH = 400
 #: Different classes of one first digit that a task takes
 GROUP_CLASSES = 20_000
-BROADCAST_INTERVALS = 2_000_000
 _SPAN = 10  # bits of a class's width in `ref`; below them 22 bits that tell texts with the same id apart
 
 
@@ -72,19 +71,16 @@ def _classes(docs: DataFrame, length: int) -> DataFrame:
     return docs.mapInArrow(run, "doc_id long, ref long, core long, whole long")
 
 
-def _joined(docs: DataFrame, lists: DataFrame, n: int, how: str) -> DataFrame:
-    """`docs` with the list that belongs to each id (`n` entries in all, broadcast only where these are few)."""
+def _joined(docs: DataFrame, lists: DataFrame, how: str) -> DataFrame:
+    """`docs` with the list that belongs to each id."""
     other = lists.withColumnRenamed("doc_id", "__id")
-    return docs.join(
-        F.broadcast(other) if n <= BROADCAST_INTERVALS else other, F.col("doc_id").eqNullSafe(F.col("__id")), how
-    ).drop("__id")
+    return docs.join(other, F.col("doc_id").eqNullSafe(F.col("__id")), how).drop("__id")
 
 
 def _contexts(docs: DataFrame, wanted: DataFrame, length: int) -> DataFrame:
     """The bytes of wanted classes: `core, salts, open, doc_id, ref, bytes`."""
-    n = wanted.count()
     lists = wanted.groupBy("doc_id").agg(F.collect_list(F.struct("core", "salts", "open", "ref")).alias("wanted"))
-    rows = _joined(docs, lists, n, "inner").select("doc_id", "text", "wanted")
+    rows = _joined(docs, lists, "inner").select("doc_id", "text", "wanted")
 
     def make():
         def rows_of(ids, texts, lists):
@@ -191,7 +187,7 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, with_bytes: bool = Tru
     docs = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
     found = stored(repeated_windows(docs, length), "intervals")
     lists = found.groupBy("doc_id").agg(F.collect_list(F.struct("mark", "first", "last")).alias("found"))
-    rows = _joined(docs, lists, found.count(), "left").select("doc_id", "text", "found")
+    rows = _joined(docs, lists, "left").select("doc_id", "text", "found")
 
     def make():
         def rows_of(ids, texts, lists):
