@@ -46,6 +46,14 @@ def inside_area(df: DataFrame, area: DataFrame) -> DataFrame:
     return df.join(a, CELL, "left").withColumn("inside", F.coalesce("__in", F.lit(False))).drop("__in")
 
 
+def with_static_validity(scenes: DataFrame, static: DataFrame, contracts: list[LayerContract], profile: str = "geometry_id") -> DataFrame:
+    """JN-20: pixels of many scenes with the validity of their geometry's static layers, derived once per geometry."""
+    from latticeframe.functions.contracts import all_valid
+
+    mask = static.select(profile, *CELL, all_valid(contracts).alias("static_valid"))
+    return scenes.join(mask, [profile, *CELL], "left").withColumn("static_valid", F.coalesce("static_valid", F.lit(False)))
+
+
 def area_metrics(df: DataFrame, keys: list[str], flag: str = "flag", inside: Column | None = None) -> DataFrame:
     """AG-01: pixel counts per flag, clear, fill and total without fill, and the clear fraction (NULL if no total)."""
     f = F.col(flag).cast("int")

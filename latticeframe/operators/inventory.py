@@ -85,3 +85,30 @@ def resolve_items(manifest: DataFrame, items: DataFrame) -> DataFrame:
     # An href that leads to another scene's item doesn't count.
     ok = F.when(F.col("__href_id") == F.col("scene_id"), F.col("__by_href"))
     return joined.withColumn("item", F.coalesce(ok, F.col("__by_id"))).drop("__by_href", "__href_id", "__by_id")
+
+
+def requested(known: list[str], asked: list[str] | None) -> list[str]:
+    """SET-05: the asked products in known order; all if none is asked for, an error for unknown names."""
+    if asked is None:
+        return list(known)
+    if unknown := sorted(set(asked) - set(known)):
+        raise ValueError(f"unknown products: {unknown}")
+    return [k for k in known if k in asked]
+
+
+def archive_findings(members: DataFrame, declared: DataFrame) -> DataFrame:
+    """FP-04: `member, problem` of archive members (member, sha256) against the published list."""
+    both = declared.select("member", F.col("sha256").alias("__want")).join(members.select("member", F.col("sha256").alias("__have")), "member", "full_outer")
+    problem = F.when(F.col("__have").isNull(), "missing").when(F.col("__want").isNull(), "extra").when(F.col("__want") != F.col("__have"), "changed")
+    return both.select("member", problem.alias("problem")).filter("problem is not null")
+
+
+def adopt_artifacts(keys: DataFrame, kinds: list[str], artifacts: DataFrame, ledger: DataFrame, on: list[str], run_id: str) -> DataFrame:
+    """LED-07: ledger with done rows for every key whose artifacts are complete and that it doesn't have as done yet."""
+    from latticeframe.operators.ledger import upsert
+
+    lost = completeness(keys, kinds, artifacts, on)
+    full = keys.join(lost.select(*on).distinct(), on, "left_anti").select(*on)
+    new = full.join(ledger.filter("status = 'done'").select(*on), on, "left_anti")
+    rows = new.withColumns({"status": F.lit("done"), "attempts": F.lit(1), "run_id": F.lit(run_id)})
+    return upsert(ledger, rows.select(*ledger.columns) if set(ledger.columns) <= set(rows.columns) else rows, on, "keep")

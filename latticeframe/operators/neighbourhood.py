@@ -94,6 +94,11 @@ def upsample2(targets: DataFrame, coarse: DataFrame, keys: list[str], columns: l
     return bilinear(targets, coarse, keys, columns, (F.col("row") + 0.5) / 2 - 0.5, (F.col("col") + 0.5) / 2 - 0.5)
 
 
+def from_coarse(targets: DataFrame, coarse: DataFrame, keys: list[str], columns: list[str]) -> DataFrame:
+    """NB-05: fields of a coarse regular grid at cells that carry their fractional source index (`src_row`, `src_col`)."""
+    return bilinear(targets, coarse, keys, columns, F.col("src_row"), F.col("src_col"))
+
+
 def nearest(targets: DataFrame, source: DataFrame, keys: list[str], columns: list[str], src_row: Column, src_col: Column) -> DataFrame:
     """NB-04: the source cell that holds the target's centre; src_* are in source indices of outer edges."""
     t = targets.withColumns({"srow": F.floor(src_row).cast("int"), "scol": F.floor(src_col).cast("int")})

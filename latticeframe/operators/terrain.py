@@ -55,7 +55,8 @@ def _per_tile(df: DataFrame, keys: list[str], height: str, tile: int, halo: int,
         r, c = (own["row"] - tr * tile).to_numpy(), (own["col"] - tc * tile).to_numpy()
         out = own[[*keys, "row", "col"]].copy()
         for name, values in made.items():
-            out[name] = values[:, r, c].T.tolist() if values.ndim == 3 else values[r, c]
+            own_values = values[:, r, c].T.tolist() if values.ndim == 3 else values[r, c]
+            out[name] = pd.Series(own_values, index=out.index, dtype=object if values.ndim == 3 else None)
         return out
 
     return halod.groupBy(*keys, "tile_row", "tile_col").applyInPandas(run, schema)

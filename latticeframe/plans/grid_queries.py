@@ -61,12 +61,12 @@ def spectral_indices(spark: SparkSession, d: str) -> DataFrame:
 
 
 @query(f"""WITH {v.PIXELS} SELECT scene_id, row, col, CAST(({_VALID} AND flag = 0) AS SMALLINT) AS feature_valid,
-  CASE WHEN {_VALID} AND flag = 0 THEN round(b04, 5) END AS b04, CASE WHEN {_VALID} AND flag = 0 THEN round(b08, 5) END AS b08 FROM px""")
+  CASE WHEN {_VALID} AND flag = 0 THEN b04 END AS b04, CASE WHEN {_VALID} AND flag = 0 THEN b08 END AS b08 FROM px""")
 def feature_validity(spark: SparkSession, d: str) -> DataFrame:
     """PRJ-07, PRJ-22."""
     doubles = [LayerContract(c.name, c.lo, c.hi, dtype="double") for c in BANDS]
     out = masked_stack(v.pixels(spark, d), doubles, ["scene_id", "row", "col"], F.col("flag") == 0)
-    return out.select("scene_id", "row", "col", "feature_valid", *(F.round(value(c.name), 5).alias(c.name) for c in BANDS))
+    return out.select("scene_id", "row", "col", "feature_valid", *(value(c.name).alias(c.name) for c in BANDS))
 
 
 def _blocks_sql(extra: str = "") -> str:
@@ -207,14 +207,14 @@ def mask_comparison(spark: SparkSession, d: str) -> DataFrame:
     return grids.mask_comparison(published, px.select(*key, bits.class_clear(F.col("scl")).alias("clear")), ["scene_id"])
 
 
-@query(f"""WITH {v.PIXELS} SELECT row, col, round(height + b08, 6) AS building, round(CASE WHEN b04 > 0.3 THEN height + b04 ELSE height END, 6) AS vegetation,
-  round(greatest(height + b08, CASE WHEN b04 > 0.3 THEN height + b04 ELSE height END), 6) AS combined FROM px""")
+@query(f"""WITH {v.PIXELS} SELECT row, col, height + b08 AS building, CASE WHEN b04 > 0.3 THEN height + b04 ELSE height END AS vegetation,
+  greatest(height + b08, CASE WHEN b04 > 0.3 THEN height + b04 ELSE height END) AS combined FROM px""")
 def surface_models(spark: SparkSession, d: str) -> DataFrame:
     """PRJ-18."""
     px = v.pixels(spark, d)
     b = spectral.surface(F.col("height"), F.col("b08"))
     g = spectral.surface(F.col("height"), F.when(F.col("b04") > 0.3, F.col("b04")))
-    return px.select("row", "col", F.round(b, 6).alias("building"), F.round(g, 6).alias("vegetation"), F.round(spectral.highest(b, g), 6).alias("combined"))
+    return px.select("row", "col", b.alias("building"), g.alias("vegetation"), spectral.highest(b, g).alias("combined"))
 
 
 @query(f"""WITH {v.PIXELS}, h AS (SELECT row, col, custkey, (custkey * 10) % 360 + 0.25 AS az, list_transform(range(36), lambda i: CASE WHEN (custkey + i) % 97 = 0 THEN 65535 ELSE (custkey * (i + 3)) % 4500 END) AS hz FROM px),
@@ -316,21 +316,20 @@ def sampled_range(spark: SparkSession, d: str) -> DataFrame:
     return n.join(F.broadcast(told)).select("sampled", *(F.round(c, 6).alias(c) for c in ("min", "max", "sample_min", "sample_max")))
 
 
-@query(f"WITH {v.PIXELS} SELECT CAST(row - 20 AS INT) AS row, CAST(col - 30 AS INT) AS col, round(b04, 6) AS b04 FROM px WHERE row BETWEEN 20 AND 69 AND col BETWEEN 30 AND 99")
+@query(f"WITH {v.PIXELS} SELECT CAST(row - 20 AS INT) AS row, CAST(col - 30 AS INT) AS col, b04 FROM px WHERE row BETWEEN 20 AND 69 AND col BETWEEN 30 AND 99")
 def window_scan(spark: SparkSession, d: str) -> DataFrame:
     """SRC-05, PRJ-14."""
-    px = v.pixels(spark, d).select("row", "col", F.round(value("b04"), 6).alias("b04"))
+    px = v.pixels(spark, d).select("row", "col", value("b04").alias("b04"))
     return grids.window(px, 20, 30, 50, 70)
 
 
 @query(f"""WITH {v.PIXELS}, items AS (SELECT row // 4 AS row, col // 4 AS col, scene_id, row AS item, b04 FROM px)
-SELECT CAST(row AS INT) AS row, CAST(col AS INT) AS col, scene_id, round(arg_max(b04, item) FILTER (b04 IS NOT NULL), 6) AS b04 FROM (SELECT * FROM items QUALIFY row_number() OVER (PARTITION BY row, col, scene_id, item ORDER BY b04) = 1) GROUP BY 1, 2, 3""")
+SELECT CAST(row AS INT) AS row, CAST(col AS INT) AS col, scene_id, arg_max(b04, item) FILTER (b04 IS NOT NULL) AS b04 FROM (SELECT * FROM items QUALIFY row_number() OVER (PARTITION BY row, col, scene_id, item ORDER BY b04) = 1) GROUP BY 1, 2, 3""")
 def same_day_mosaic(spark: SparkSession, d: str) -> DataFrame:
     """SRC-14."""
     px = v.pixels(spark, d)
     items = px.groupBy(lattice.parent(F.col("row"), 4).alias("r"), lattice.parent(F.col("col"), 4).alias("c"), "scene_id", F.col("row").alias("item")).agg(F.min(value("b04")).alias("b04"))
-    out = grids.mosaic(items.withColumnsRenamed({"r": "row", "c": "col"}), ["row", "col", "scene_id"], "item", ["b04"])
-    return out.withColumn("b04", F.round("b04", 6))
+    return grids.mosaic(items.withColumnsRenamed({"r": "row", "c": "col"}), ["row", "col", "scene_id"], "item", ["b04"])
 
 
 @query(f"""WITH {v.PIXELS} SELECT count(*) AS n, round(avg(CASE WHEN b04 IS NULL THEN 0e0 ELSE 1e0 END), 4) AS valid_frac, round(min(b04), 6) AS min, round(max(b04), 6) AS max, round(avg(b04), 6) AS mean FROM px""")
