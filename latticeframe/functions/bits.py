@@ -83,7 +83,8 @@ def class_flag(scl: Column, projected_shadow: Column | None = None) -> Column:
 def reflectance(dn: Column, flag: Column, any_flag: bool) -> Column:
     """PRJ-04: DN / 10000 clipped to [0, 1]; NULL on fill, or on any flag before upsampling."""
     good = flag == 0 if any_flag else ~has(flag, FILL)
-    return F.when(good, F.least(F.greatest(value(dn) / REFLECTANCE_SCALE, F.lit(0.0)), F.lit(1.0)))
+    v = value(dn) / REFLECTANCE_SCALE
+    return F.when(good & v.isNotNull(), F.least(F.greatest(v, F.lit(0.0)), F.lit(1.0)))
 
 
 def granule_flag(cloud: Column, water: Column, qc: Column, lst: Column) -> Column:

@@ -15,7 +15,8 @@ def saturation_pressure(kelvin: Column) -> Column:
 
 
 def vapour_pressure_deficit(t2m: Column, d2m: Column) -> Column:
-    return F.greatest(saturation_pressure(t2m) - saturation_pressure(d2m), F.lit(0.0))
+    vpd = saturation_pressure(t2m) - saturation_pressure(d2m)
+    return F.when(vpd < 0, 0.0).otherwise(vpd)  # greatest would turn a NULL into 0
 
 
 def wind_speed(u: Column, v: Column) -> Column:

@@ -174,7 +174,8 @@ def profile_with_histogram(df: DataFrame, keys: list[str], contracts: list[Layer
 def bin_number(v: Column, lo: float, hi: float, bins: int) -> Column:
     """0-based equal-width bin with values beyond the range in the end bins; NULL for no value."""
     at = F.floor((v - lo) / (hi - lo) * bins)
-    return F.greatest(F.least(at, F.lit(bins - 1)), F.lit(0)).cast("int")
+    # greatest and least would skip a NULL
+    return F.when(v.isNotNull(), F.greatest(F.least(at, F.lit(bins - 1)), F.lit(0)).cast("int"))
 
 
 def downsample(df: DataFrame, keys: list[str], factor: int, column: str, how: str = "avg") -> DataFrame:

@@ -24,7 +24,7 @@ def hourly(df: DataFrame, cell: list[str], column: str, name: str, seconds: floa
     out = df.withColumn("__day", day)
     v = value(column)
     own = F.when(F.hour("ts") == 1, v).otherwise(v - F.lag(v).over(w)) / seconds
-    return out.withColumn(name, F.greatest(own, F.lit(0.0)) if clamp else own).drop("__day")
+    return out.withColumn(name, F.when(own < 0, 0.0).otherwise(own) if clamp else own).drop("__day")
 
 
 def _hours_before(target: Column, ts: Column) -> Column:

@@ -32,6 +32,7 @@ class Bundle:
 def couple_scenes(anchors: DataFrame, candidates: DataFrame, validation: DataFrame, threshold: float, least_clear: float = 0.05, window_days: float = 3) -> Bundle:
     """JOB-01. anchors: scene_id, acq, platform, item_href, clear_frac; candidates the same with joint counts."""
     kept, thin = scans.clear_gate(anchors, least_clear)
+    kept = kept.withColumnRenamed("clear_frac", "aoi_clear_frac")
     cand = candidates.withColumnRenamed("scene_id", "partner_id")
     pairs = couple.interval_join(kept.select("scene_id", "acq"), cand.select("partner_id", "acq", "clear_frac", "landsat_clear_px", "joint_clear_px"), window_days)
     matched = couple.best_match(kept, pairs, "scene_id", "partner_id", threshold)
@@ -53,7 +54,7 @@ def couple_scenes(anchors: DataFrame, candidates: DataFrame, validation: DataFra
         return df.withColumns({"source": F.lit(source), "year": F.year("acq")}).withColumnRenamed("acq", "acquisition_datetime")
 
     shared = ["scene_id", "acquisition_datetime", "source", "year", "platform", "item_href", "aoi_clear_frac"]
-    a = described(scans.with_platform(good.select("scene_id", "acq", "item_href", F.col("max_clear_frac").alias("aoi_clear_frac"))), checks.SOURCES[0]).select(*shared)
+    a = described(scans.with_platform(good.select("scene_id", "acq", "item_href", "aoi_clear_frac")), checks.SOURCES[0]).select(*shared)
     p = described(candidates.select("scene_id", "acq", "item_href", "platform").join(used, "scene_id"), checks.SOURCES[1]).select(*shared)
     manifest = couple.manifest(a, p, validation)
     dropped = matched.filter("status <> 'coupled'").select("scene_id", "reason").unionByName(thin.select("scene_id", F.lit("below_clear_gate").alias("reason")))
