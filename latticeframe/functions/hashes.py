@@ -37,7 +37,7 @@ def lineage(edges: DataFrame, own: DataFrame, depth: int) -> DataFrame:
     exactly the products that stand downstream of it.
     """
     now = own.select("product", F.col("config_hash").alias("h"))
-    for _ in range(depth):
+    for _ in range(depth + 1):  # roots first, then one edge a round
         up = edges.join(now.select(F.col("product").alias("upstream"), F.col("h").alias("up")), "upstream")
         folded = up.groupBy("product").agg(F.concat_ws("", F.array_sort(F.collect_list("up"))).alias("ups"))
         now = own.join(folded, "product", "left").select(

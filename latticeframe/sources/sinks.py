@@ -15,6 +15,18 @@ class NotPublishable(ValueError):
     """A product broke its own rules; nothing was marked."""
 
 
+def work_folder(spark: SparkSession, name: str) -> str:
+    """A new folder under the shared one that the session names (spark.checkpoint.dir), a temporary one if it names none."""
+    import tempfile
+    import uuid
+
+    shared = spark.conf.get("spark.checkpoint.dir", "") or ""
+    if not shared:
+        shared = tempfile.mkdtemp(prefix="lattice-work-")
+        spark.conf.set("spark.checkpoint.dir", shared)
+    return f"{shared.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
 def _first(findings: DataFrame, n: int = 20) -> list[str]:
     """The first few findings, for an error message."""
     return [f"{r['rule']}: {r['key']}" for r in findings.limit(n).collect()]
