@@ -146,7 +146,8 @@ def repeated_windows(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     if length < 2 * GRAM:
         raise ValueError(f"length must be {2 * GRAM} at least")
     table = stored(_classes(docs, length), "classes")
-    shared = table.groupBy("core").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("core")
+    # Written first: a join whose side is still an aggregate on the same key couldn't be split where a digit is common.
+    shared = stored(table.groupBy("core").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("core"), "shared")
     alive = stored(table.join(shared, "core"), "alive")
     kinds = stored(
         alive.groupBy("core", "whole").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("doc_id", "ref")).alias("one")),
