@@ -75,12 +75,12 @@ def _repeating(suffixes: DataFrame) -> DataFrame:
     """Suffixes whose interval has more than one, plus `first`, the first suffix of the interval.
 
     Interval sizes are counted with partial sums, so a line that stands in a third of all documents costs one row per
-    task there; the join that follows is one that Spark splits where it is skewed.
+    task there. The intervals are written before they are joined, as Spark can't split a skewed join one side of which
+    is still being grouped by the same key.
     """
-    intervals = (
-        suffixes.groupBy("name").agg(F.count(F.lit(1)).alias("n"), F.min(_place()).alias("first")).filter("n > 1").drop("n")
-    )
-    return suffixes.join(intervals, "name")
+    suffixes = stored(suffixes, "suffixes")
+    intervals = suffixes.groupBy("name").agg(F.count(F.lit(1)).alias("n"), F.min(_place()).alias("first"))
+    return suffixes.join(stored(intervals.filter("n > 1").drop("n"), "names"), "name")
 
 
 def _place() -> Column:
@@ -102,7 +102,7 @@ def repeated_lines(docs: DataFrame, min_lines: int = MIN_LINES, min_words: int =
     Earlier means a smaller document id (null ids come first, equal ids are ordered by their marks) or an earlier
     line of the same document. Rows that repeat an id and a text are one document here.
     """
-    lines = stored(line_ids(docs).dropDuplicates(["doc_id", "mark", "at"]), "lines")
+    lines = line_ids(docs).dropDuplicates(["doc_id", "mark", "at"])
     alive = stored(_repeating(lines), "intervals")
     later = _place() != F.col("first")
     single = alive.filter(later & (F.col("words") >= min_words)).select(
