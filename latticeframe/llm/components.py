@@ -8,29 +8,35 @@ from pyspark.sql import functions as F
 from latticeframe.llm.common import cut
 
 
+def _stars(now: DataFrame) -> bool:
+    """Whether every id points at one other, which points nowhere."""
+    if now.groupBy("u").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").limit(1).count():
+        return False
+    heads = now.select(F.col("v").alias("u")).distinct()
+    return now.join(heads, "u", "left_semi").limit(1).count() == 0
+
+
 def connected_components(edges: DataFrame) -> DataFrame:
     """`id, root` for every id in `edges` (columns a, b): `root` is the smallest id of its component.
 
-    Alternates large-star and small-star steps, each a grouped minimum and a join, and cuts the lineage in between;
-    the number of rounds grows with the logarithm of the longest path. Loops and repeated edges don't matter. Neither
-    edges nor ids ever come to the driver, only a count and a checksum that show when nothing changes any more.
+    Alternates large-star and small-star steps, each a grouped minimum and a join, until only stars are left; the
+    number of rounds grows with the logarithm of the longest path. Repeated edges don't matter, and an edge from an
+    id to itself makes it known. Grouped minima are cut off before they are joined: Spark can split a skewed join
+    only if neither side is an aggregate on its key. Edges and ids never come to the driver.
     """
-    now = edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).filter("u is not null").distinct()
-    now = cut(now)
-    seen = None
-    while True:
-        both = now.select("u", "v").union(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = both.join(least, "u").filter(F.col("v") > F.col("u")).select(F.col("v").alias("u"), F.col("m").alias("v"))
-        large = large.union(now.filter("u = v")).distinct()
-        # Every id now points at smaller ids only; point all of them, and the id, at the least.
-        low = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = large.join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).union(low.select("u", F.col("m").alias("v")))
-        now = cut(small.filter("u <> v").union(now.filter("u = v")).distinct())
-        mark = now.agg(F.count(F.lit(1)).alias("n"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")).alias("s")).first()
-        if (mark["n"], mark["s"]) == seen:
-            break
-        seen = (mark["n"], mark["s"])
-    roots = now.groupBy("u").agg(F.min("v").alias("root")).select(F.col("u").alias("id"), "root")
-    tops = roots.select(F.col("root").alias("id")).distinct().select("id", F.col("id").alias("root"))
-    return roots.filter("id <> root").union(tops)
+    given = edges.filter("a is not null and b is not null")
+    now = cut(given.filter("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct())
+    while not _stars(now):
+        both = now.union(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
+        least = cut(both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m")))
+        # Every larger neighbour of an id to the least id around it ...
+        large = both.join(least, "u").filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
+        large = cut(large.distinct())
+        # ... and then whatever an id points at, all smaller, to the least of these.
+        low = cut(large.groupBy("u").agg(F.min("v").alias("m")))
+        small = large.join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v"))
+        now = cut(small.union(low.select("u", F.col("m").alias("v"))).filter("u <> v").distinct())
+    tops = now.select(F.col("v").alias("id")).distinct()
+    found = now.select(F.col("u").alias("id"), F.col("v").alias("root")).union(tops.select("id", F.col("id").alias("root")))
+    alone = given.filter("a = b").select(F.col("a").alias("id")).distinct().join(found, "id", "left_anti")
+    return found.union(alone.select("id", F.col("id").alias("root")))
