@@ -69,6 +69,27 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (op1_best_fit_packing, op2_fingerprints, op3_near_dedup, op4_html_extract, op5_byte_bpe, op6_chat_format, op7_secret_scan, op8_quality_rules, op9_line_dedup, op10_suffix_dedup)}
 
 
+OP3_SQL = r"""
+WITH RECURSIVE worded AS (
+  SELECT doc_id, list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM documents
+), shingles AS (
+  SELECT DISTINCT doc_id, CASE WHEN len(w) < 3 THEN array_to_string(w, ' ') ELSE w[i] || ' ' || w[i + 1] || ' ' || w[i + 2] END AS s
+  FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 2, 1) + 1)) AS i FROM worded WHERE len(w) > 0)
+), sizes AS (
+  SELECT doc_id, count(*) AS n FROM shingles GROUP BY 1
+), common AS (
+  SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS n FROM shingles a JOIN shingles b ON a.s = b.s AND a.doc_id <> b.doc_id GROUP BY 1, 2
+), links AS (
+  SELECT a, b FROM common JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b WHERE 100 * common.n >= 85 * (x.n + y.n - common.n)
+), reach AS (
+  SELECT doc_id, doc_id AS other FROM documents UNION SELECT reach.doc_id, links.b FROM reach JOIN links ON reach.other = links.a
+), roots AS (
+  SELECT doc_id, min(other) AS component_id FROM reach GROUP BY 1
+)
+SELECT r.doc_id, coalesce(n, 0) AS n_shingles, component_id, r.doc_id = component_id AS kept FROM roots r LEFT JOIN sizes s ON r.doc_id = s.doc_id
+"""
+
 OP6_SQL = r"""
 WITH turns AS (
   SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
@@ -94,7 +115,8 @@ WITH pieces AS (
 ), lines AS (
   SELECT doc_id, unnest(range(len(parts))) AS k, unnest(parts) AS line FROM pieces
 ), worded AS (
-  SELECT doc_id, k, list_filter(string_split_regex(line, '[ 	-]+'), lambda x: x <> '') AS w FROM lines
+  SELECT doc_id, k, list_filter(string_split_regex(line, '[ 	-
+]+'), lambda x: x <> '') AS w FROM lines
 ), full_lines AS (
   SELECT doc_id, k, len(w) AS words, array_to_string(w, ' ') AS norm,
     row_number() OVER (PARTITION BY doc_id ORDER BY k) - 1 AS seq
@@ -118,4 +140,4 @@ GROUP BY l.doc_id
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op6_chat_format": OP6_SQL, "op9_line_dedup": OP9_SQL}
+    return {"op3_near_dedup": OP3_SQL, "op6_chat_format": OP6_SQL, "op9_line_dedup": OP9_SQL}
