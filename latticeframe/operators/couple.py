@@ -99,21 +99,40 @@ def once_per_time(pairs: DataFrame, time: str, measure) -> DataFrame:
 def nearest_in_time(targets: DataFrame, slices: DataFrame, key: str, on: tuple[str, ...] = (), by_date: bool = False) -> DataFrame:
     """The slice closest to each target's `acq` (by UTC date if asked); the earlier one on a tie.
 
-    `slices` has `ts` and other columns. With equal-join columns `on` this is an equi-join; without, every slice is
-    a candidate, so `slices` must be a short table such as the steps of one file.
+    `slices` has `ts` and other columns. With equal columns `on` both tables are put in order once per group and each
+    target looks at the slice before and the one after it, so nothing grows with targets times slices. Without `on`,
+    or by date, every slice is a candidate, so `slices` must be a short table such as the steps of one file.
     """
-    s = slices.withColumn("__s", F.struct(*(c for c in slices.columns if c not in on)))
-    unit = (lambda c: F.unix_date(c.cast("date"))) if by_date else (lambda c: F.unix_micros(c.cast("timestamp")))
-    joined = targets.join(s.select(*on, "__s"), list(on)) if on else targets.join(F.broadcast(s.select("__s")))
-    order = F.struct(F.abs(unit(F.col("__s.ts")) - unit(F.col("acq"))), F.col("__s.ts"))
-    best = joined.groupBy(key).agg(F.min_by("__s", order).alias("s"))
-    return targets.join(best, key, "left").select(*targets.columns, "s.*")
+    rest = [c for c in slices.columns if c not in on]
+    if not on or by_date:
+        unit = (lambda c: F.unix_date(c.cast("date"))) if by_date else (lambda c: F.unix_micros(c.cast("timestamp")))
+        s = slices.select(*on, F.struct(*rest).alias("__s"))
+        joined = targets.join(s, list(on)) if on else targets.join(F.broadcast(s))
+        order = F.struct(F.abs(unit(F.col("__s.ts")) - unit(F.col("acq"))), F.col("__s.ts"))
+        best = joined.groupBy(key).agg(F.min_by("__s", order).alias("s"))
+        return targets.join(best, key, "left").select(*targets.columns, "s.*")
+
+    micros = lambda c: F.unix_micros(F.col(c).cast("timestamp"))
+    a = targets.select(*on, micros("acq").alias("__t"), F.struct(*targets.columns).alias("__target"))
+    b = slices.select(*on, micros("ts").alias("__t"), F.struct(*rest).alias("__s")).filter("__t is not null")
+    both = a.unionByName(b, allowMissingColumns=True)
+    # Slices stand before targets of the same time in either direction, and the smaller of equal ones next to them.
+    mark = F.col("__target").isNotNull()
+    back = W.partitionBy(*on).orderBy(F.col("__t"), mark, F.col("__s").desc()).rowsBetween(W.unboundedPreceding, W.currentRow)
+    ahead = W.partitionBy(*on).orderBy(F.col("__t").desc(), mark, F.col("__s").desc()).rowsBetween(W.unboundedPreceding, W.currentRow)
+    seen = both.withColumns({"__b": F.last("__s", ignorenulls=True).over(back), "__a": F.last("__s", ignorenulls=True).over(ahead)})
+    seen = seen.filter("__target is not null")
+    away = lambda c: F.abs(F.unix_micros(F.col(f"{c}.ts").cast("timestamp")) - F.col("__t"))
+    best = F.when(F.col("__t").isNull(), F.lit(None)).when(F.col("__b").isNull() | (away("__a") < away("__b")), F.col("__a")).otherwise(F.col("__b"))
+    return seen.select("__target.*", best.alias("s")).select(*targets.columns, "s.*")
 
 
 def first_partner(pairs: DataFrame, partner: str, time: str, anchor: str) -> DataFrame:
-    """WN-06: of the pairs that share a partner, the one with the earliest anchor."""
-    w = W.partitionBy(partner).orderBy(F.col(time).asc_nulls_last(), anchor)
-    return pairs.withColumn("__n", F.row_number().over(w)).filter("__n = 1").drop("__n")
+    """WN-06: of the pairs that share a partner, the one with the earliest anchor (no time comes last)."""
+    rest = [c for c in pairs.columns if c != partner]
+    order = F.struct(F.col(time).isNull(), F.col(time), F.col(anchor))
+    best = pairs.groupBy(partner).agg(F.min_by(F.struct(*rest), order).alias("__b"))
+    return best.select(partner, "__b.*").select(*pairs.columns)
 
 
 def manifest(anchors: DataFrame, predictors: DataFrame, validation: DataFrame) -> DataFrame:

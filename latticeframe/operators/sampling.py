@@ -13,14 +13,23 @@ def stratified_sample(pairs: DataFrame, cells: list[str], key: str, partner: str
     """Round robin over cells in a seeded order: first of each cell, then second ..., one use of each partner.
 
     The greedy loop always takes a partner's first turn, so keeping that turn alone gives the same sample. Only the
-    first `n` turns of a cell can be drawn before `n` are found among unused partners of that cell, yet partners
-    may repeat, so no cell is cut off early.
+    first turns of each cell are ranked, which Spark prunes before it shuffles; the number of turns grows until the
+    sample is full or all rows were looked at, so the result is that of ranking everything.
     """
     order = [F.xxhash64(F.lit(seed), F.col(key)), F.col(key)]
-    turns = pairs.withColumn("__turn", F.row_number().over(W.partitionBy(*cells).orderBy(*order)))
-    first = turns.groupBy(partner).agg(F.min(F.struct("__turn", *cells, key)).alias("__f"))
-    kept = first.select(F.col("__f.__turn").alias("turn"), *(F.col(f"__f.{c}").alias(c) for c in cells), F.col(f"__f.{key}").alias(key), partner)
-    return kept.orderBy("turn", *cells, key).limit(n)
+    turn = F.row_number().over(W.partitionBy(*cells).orderBy(*order))
+    largest = pairs.groupBy(*cells).agg(F.count(F.lit(1)).alias("n")).agg(F.max("n").alias("n")).first()["n"] or 0
+    depth = max(n, 1)
+    while True:
+        turns = pairs.withColumn("__turn", turn).filter(F.col("__turn") <= depth)
+        first = turns.groupBy(partner).agg(F.min(F.struct("__turn", *cells, key)).alias("__f"))
+        kept = first.select(
+            F.col("__f.__turn").alias("turn"), *(F.col(f"__f.{c}").alias(c) for c in cells), F.col(f"__f.{key}").alias(key), partner
+        )
+        sample = kept.orderBy("turn", *cells, key).limit(n)
+        if depth >= largest or sample.count() >= n:
+            return sample
+        depth *= 4
 
 
 def top_risk(rows: DataFrame, score: str, ids: list[str], k: int) -> DataFrame:
@@ -28,11 +37,17 @@ def top_risk(rows: DataFrame, score: str, ids: list[str], k: int) -> DataFrame:
     return rows.orderBy(F.col(score).desc(), *ids).limit(k)
 
 
-def quantile_line(rows: DataFrame, keys: list[str], column: str) -> DataFrame:
-    """AG-21: n, min, p50, p75, max over finite values; with fewer than two only n."""
+def quantile_line(rows: DataFrame, keys: list[str], column: str, exact: bool = True) -> DataFrame:
+    """AG-21: n, min, p50, p75, max over finite values; with fewer than two only n.
+
+    Exact quantiles interpolate and keep a group's distinct values in memory, which suits samples and reports; for
+    whole layers `exact=False` takes a mergeable sketch (an actual value within 1 / 10000 of the rank).
+    """
     v = F.when(F.abs(value(column)) < float("inf"), value(column))
+    at = F.array(F.lit(0.5), F.lit(0.75))
+    quantiles = F.percentile(v, at) if exact else F.percentile_approx(v, at, 10_000)
     told = rows.groupBy(*keys).agg(
-        F.count(v).alias("n"), F.min(v).alias("min"), F.percentile(v, F.array(F.lit(0.5), F.lit(0.75))).alias("q"), F.max(v).alias("max")
+        F.count(v).alias("n"), F.min(v).alias("min"), quantiles.alias("q"), F.max(v).alias("max")
     )
     some = lambda c: F.when(F.col("n") >= 2, c)
     return told.select(

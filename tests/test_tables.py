@@ -52,6 +52,20 @@ def test_nearest_takes_the_earlier_on_a_tie(spark):
     assert couple.nearest_in_time(t, s, "k").first()["v"] == "early"
 
 
+def test_nearest_per_group_against_brute_force(spark):
+    import random
+
+    random.seed(8)
+    t = [(k, random.choice("ab"), T0 + timedelta(minutes=random.randint(0, 200))) for k in range(60)] + [(99, "none", T0), (98, "a", None)]
+    s = [(random.choice("ab"), T0 + timedelta(minutes=random.randint(0, 200)), i) for i in range(40)]
+    got = couple.nearest_in_time(spark.createDataFrame(t, "k long, g string, acq timestamp"), spark.createDataFrame(s, "g string, ts timestamp, v long"), "k", ("g",))
+    seen = {r.k: r.ts for r in got.collect()}
+    assert len(seen) == len(t)
+    for k, g, acq in t:
+        own = [ts for h, ts, _ in s if h == g]
+        assert seen[k] == (min(own, key=lambda ts: (abs(ts - acq), ts)) if own and acq else None)
+
+
 BOOK = "item_id string, status string, attempts int, version int, files boolean"
 
 
