@@ -16,7 +16,7 @@ def stratified_sample(pairs: DataFrame, cells: list[str], key: str, partner: str
     first turns of each cell are ranked, which Spark prunes before it shuffles; the number of turns grows until the
     sample is full or all rows were looked at, so the result is that of ranking everything.
     """
-    order = [F.xxhash64(F.lit(seed), F.col(key)), F.col(key)]
+    order = [F.sha2(F.concat(F.lit(f"{seed}:"), F.col(key).cast("string")), 256), F.col(key)]
     turn = F.row_number().over(W.partitionBy(*cells).orderBy(*order))
     largest = pairs.groupBy(*cells).agg(F.count(F.lit(1)).alias("n")).agg(F.max("n").alias("n")).first()["n"] or 0
     depth = max(n, 1)

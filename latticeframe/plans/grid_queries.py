@@ -228,18 +228,29 @@ def shadow_from_horizon(spark: SparkSession, d: str) -> DataFrame:
     return px.withColumn("hz", bands).select("row", "col", terrain.shadow(F.col("hz"), (k * 10) % 360 + F.lit(0.25), F.lit(20.0)).alias("shadow"))
 
 
-@query()
+def _steps_sql(directions: int, radius: int) -> str:
+    """The cells that each ray visits, as rows."""
+    rows = [f"({k}, {r}, {dr}, {dc})" for k, way in enumerate(terrain._steps(directions, radius, "compass")) for dr, dc, r in way]
+    return f"steps(k, r, dr, dc) AS (VALUES {', '.join(rows)})"
+
+
+_ANGLES = """seen AS (SELECT a.row, a.col, s.k, degrees(atan2(b.height - a.height, s.r * 10e0)) AS angle FROM px a, steps s LEFT JOIN px b ON b.row = a.row + s.dr AND b.col = a.col + s.dc),
+best AS (SELECT row, col, k, greatest(coalesce(max(angle), 0), 0) AS angle FROM seen GROUP BY 1, 2, 3)"""
+
+
+@query(f"WITH {v.PIXELS}, {_steps_sql(36, 6)}, {_ANGLES} SELECT row, col, string_agg(CAST(CAST(round_even(angle * 100, 0) AS INT) AS VARCHAR), ',' ORDER BY k) AS horizon FROM best GROUP BY 1, 2")
 def horizon_scan(spark: SparkSession, d: str) -> DataFrame:
-    """NB-07: the horizon of every cell; the tests hold it against a plain loop."""
+    """NB-07: the horizon of every cell, its bands in one text; the tests hold it against a plain loop too."""
     px = v.pixels(spark, d).select("row", "col", "height")
-    return terrain.horizon(px, [], "height", 10.0, 60.0, tile=64)
+    made = terrain.horizon(px, [], "height", 10.0, 60.0, tile=64)
+    return made.select("row", "col", F.array_join(F.col("horizon").cast("array<string>"), ",").alias("horizon"))
 
 
-@query()
+@query(f"WITH {v.PIXELS}, {_steps_sql(16, 3)}, {_ANGLES} SELECT row, col, round(1 - avg(sin(radians(angle))), 6) AS svf FROM best GROUP BY 1, 2")
 def sky_view(spark: SparkSession, d: str) -> DataFrame:
     """NB-08."""
     px = v.pixels(spark, d).select("row", "col", "height")
-    return terrain.sky_view(px, [], "height", 10.0, tile=64)
+    return terrain.sky_view(px, [], "height", 10.0, tile=64).withColumn("svf", F.round("svf", 6))
 
 
 _CELLS = f"""{v.SHAPES}, cells AS (SELECT shape_id, height, CAST(r AS INT) AS row, CAST(c AS INT) AS col, (side - 0.5e0) * (side - 0.5e0) AS area FROM

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from latticeframe.functions.contracts import LayerContract
 from latticeframe.plans import jobs
 from latticeframe.plans import views as v
-from latticeframe.plans.grid_queries import BANDS, STACK, _stack
+from latticeframe.plans.grid_queries import _LONG, _STACK, BANDS, STACK, _stack
 from latticeframe.plans.registry import query
 
 _VALID = "(b04 IS NOT NULL AND b04 BETWEEN 0 AND 0.5 AND b08 BETWEEN 0.1 AND 1)"
@@ -27,13 +27,17 @@ def stage1_scene_metrics(spark: SparkSession, d: str) -> DataFrame:
     return made["scenes"].drop("histogram")
 
 
-@query()
+@query(f"""WITH {_STACK}, {_LONG}, b AS (SELECT scene_id, channel_name, lpad(CAST(greatest(least(CAST(floor((x + 0.5) / 1e0 * 20) AS INT), 19), 0) AS VARCHAR), 3, '0') AS k FROM long WHERE x BETWEEN -0.5 AND 0.5),
+h AS (SELECT scene_id, channel_name, string_agg(k || '=' || n, ',' ORDER BY k) AS histogram FROM (SELECT scene_id, channel_name, k, count(*) AS n FROM b GROUP BY ALL) GROUP BY ALL),
+p AS (SELECT scene_id, channel_index, channel_name, count(x) AS valid_px, round(avg(x), 6) AS mean FROM long WHERE x BETWEEN -0.5 AND 0.5 GROUP BY ALL)
+SELECT p.scene_id, p.channel_index, p.channel_name, p.valid_px, p.mean, h.histogram FROM p JOIN h ON p.scene_id = h.scene_id AND p.channel_name = h.channel_name""")
 def stage2_profiles(spark: SparkSession, d: str) -> DataFrame:
-    """JOB-09: profiles with histograms as one JSON each; their parts have SQL in channel_profile and channel_histogram."""
+    """JOB-09: profiles with histograms, these as texts."""
     stack = _stack(spark, d).withColumn("feature_valid", F.lit(1))
     scenes = stack.select("scene_id").distinct().withColumn("assessed", F.lit(True))
     profiles = jobs.stage2_qa(stack, STACK, scenes)["profiles"]
-    return profiles.withColumn("histogram", F.to_json("histogram"))
+    bins = F.transform(F.map_entries("histogram"), lambda e: F.concat(e["key"], F.lit("="), e["value"].cast("string")))
+    return profiles.select("scene_id", "channel_index", "channel_name", "valid_px", "mean", F.array_join(bins, ",").alias("histogram"))
 
 
 @query(f"""WITH {v.PIXELS}, core AS (SELECT scene_id, row, col FROM px WHERE qa & 2 <> 0), near AS (SELECT DISTINCT scene_id, row + dr AS row, col + dc AS col FROM core, (SELECT unnest(range(-2, 3)) AS dr) a, (SELECT unnest(range(-2, 3)) AS dc) b),
