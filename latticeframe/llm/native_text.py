@@ -9,22 +9,34 @@ from pyspark.sql import functions as F
 
 from latticeframe.llm.common import ASCII_SPACE
 
-WORD_GAP = r"[\x20\x09-\x0D]+"
-
-
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
     """`body(value)` with `value` computed once per row, also where `body` uses it inside another lambda."""
     return F.get(F.transform(F.array(value), body), F.lit(0))
 
 
+def plain_spaces(text: Column) -> Column:
+    """`text` with every ASCII white space as a space; byte searches, which a regular expression would be slower than."""
+    for c in ASCII_SPACE:
+        if c != " ":
+            text = F.replace(text, F.lit(c), F.lit(" "))
+    return text
+
+
 def words(text: Column) -> Column:
     """The words of a text between ASCII white space; none for an empty or blank text."""
-    core = F.btrim(text, F.lit(ASCII_SPACE))
-    return F.when(core == "", F.array().cast("array<string>")).otherwise(F.split(core, WORD_GAP))
+    return F.array_remove(F.split(plain_spaces(text), " "), "")
+
+
+def count_spaces(text: Column) -> Column:
+    return F.length(text) - F.length(F.replace(plain_spaces(text), F.lit(" "), F.lit("")))
 
 
-def without(text: Column, chars: str) -> Column:
-    return F.translate(text, chars, "")
+def count_any(text: Column, chars: str) -> Column:
+    """How many characters of `text` are among `chars`."""
+    rest = text
+    for c in chars:
+        rest = F.replace(rest, F.lit(c), F.lit(""))
+    return F.length(text) - F.length(rest)
 
 
 def word_windows(w: Column, size: int) -> Column:

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from latticeframe.llm.native_text import WORD_GAP, let, without, word_windows, words, words_in_repeats
+from latticeframe.llm.native_text import count_any, count_spaces, let, word_windows, words, words_in_repeats
 
 SYMBOLS = "#*$%&|<>"
 WINDOW = 5
@@ -37,8 +37,8 @@ def with_metrics(docs: DataFrame, text: str = "text") -> DataFrame:
     df = df.withColumns(
         {
             _prefixed("n_words"): F.size(w).cast("bigint"),
-            _prefixed("word_chars"): F.length(without(t, " \t\n\x0b\x0c\r")).cast("bigint"),
-            _prefixed("n_symbols"): (F.length(t) - F.length(without(t, SYMBOLS))).cast("bigint"),
+            _prefixed("word_chars"): (F.length(t) - count_spaces(t)).cast("bigint"),
+            _prefixed("n_symbols"): count_any(t, SYMBOLS).cast("bigint"),
             _prefixed("n_dup_lines"): (F.size(ln) - F.size(F.array_distinct(ln))).cast("bigint"),
             _prefixed("n_lines"): F.size(ln).cast("bigint"),
             _prefixed("windows"): word_windows(w, WINDOW),
@@ -134,4 +134,4 @@ def report(docs: DataFrame) -> DataFrame:
     return judged.select(F.col("doc_id").cast("long"), *(F.col(_prefixed(n)).alias(n) for n in names))
 
 
-__all__ = ["fences", "judge", "keep_good", "report", "with_metrics", "WORD_GAP"]
+__all__ = ["fences", "judge", "keep_good", "report", "with_metrics"]
