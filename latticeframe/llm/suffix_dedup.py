@@ -32,6 +32,8 @@ from latticeframe.llm.shingle_sets import mix
 LENGTH = 400
 #: Different classes of one first digit that a task takes
 GROUP_CLASSES = 20_000
+#: Tasks over which the classes of one kind are dealt
+SALTS = 16
 _SPAN = 10  # bits of a class's width in `ref`; below them 22 bits that tell texts with the same id apart
 
 
@@ -153,7 +155,10 @@ def repeated_windows(docs: DataFrame, length: int = LENGTH) -> DataFrame:
         alive.groupBy("core", "whole").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("doc_id", "ref")).alias("one")),
         "kinds",
     )
-    full = alive.join(kinds.filter("n > 1").select("core", "whole"), ["core", "whole"]).select("doc_id", "ref")
+    # A passage in a third of all texts is one kind with very many classes; salts deal it over several tasks.
+    salted = alive.withColumn("salt", F.pmod(F.xxhash64("doc_id", "ref"), SALTS))
+    many = kinds.filter("n > 1").select("core", "whole", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long"))).alias("salt"))
+    full = salted.join(many, ["core", "whole", "salt"]).select("doc_id", "ref")
     # Groups with several kinds, one of which at least occurs once only
     mixed = (
         kinds.groupBy("core")
