@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 from latticeframe.functions.nulls import ratio, value
 
 SLACK_DAYS = 1e-6
+#: Slices that may be compared with every target
+MOST_SLICES = 50_000
 
 
 def _days(ts: Column) -> Column:
@@ -106,6 +108,8 @@ def nearest_in_time(targets: DataFrame, slices: DataFrame, key: str, on: tuple[s
     rest = [c for c in slices.columns if c not in on]
     if not on or by_date:
         unit = (lambda c: F.unix_date(c.cast("date"))) if by_date else (lambda c: F.unix_micros(c.cast("timestamp")))
+        if slices.limit(MOST_SLICES + 1).count() > MOST_SLICES:
+            raise ValueError(f"more than {MOST_SLICES} slices: give columns to join on")
         s = slices.select(*on, F.struct(*rest).alias("__s"))
         joined = targets.join(s, list(on)) if on else targets.join(F.broadcast(s))
         order = F.struct(F.abs(unit(F.col("__s.ts")) - unit(F.col("acq"))), F.col("__s.ts"))

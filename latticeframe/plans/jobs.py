@@ -137,8 +137,8 @@ def dynamic_products(scenes: DataFrame, series: DataFrame, cell: list[str], hori
         weather.vapour_pressure_deficit(F.col("t2m"), F.col("d2m")).alias("vpd_scene"),
         weather.wind_speed(F.col("u10"), F.col("v10")).alias("wind_speed_10m_scene"),
     )
-    # One row per scene against the cells of its geometry
-    lit = horizon.join(F.broadcast(sun), "geometry_id").select("scene_id", "row", "col", terrain.shadow(F.col("horizon"), F.col("azimuth"), F.col("elevation")).alias("shadow"))
+    # One row per scene against the cells of its geometry; Spark broadcasts the scenes while they are few
+    lit = horizon.join(sun, "geometry_id").select("scene_id", "row", "col", terrain.shadow(F.col("horizon"), F.col("azimuth"), F.col("elevation")).alias("shadow"))
     return sums.join(now, "scene_id", "left"), lit
 
 

@@ -92,7 +92,7 @@ def published(spark: SparkSession, folder: str) -> DataFrame:
     data = spark.read.option("basePath", f"{folder}/data").parquet(f"{folder}/data")
     marks = spark.read.parquet(f"{folder}/markers").select("product", F.col("key").cast("string").alias("__key")).distinct()
     same = (data["product"] == marks["product"]) & (data["key"].cast("string") == marks["__key"])
-    return data.join(F.broadcast(marks), same, "left_semi")
+    return data.join(marks, same, "left_semi")
 
 
 def publish_once(df: DataFrame, path: str, check) -> DataFrame:
