@@ -6,6 +6,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
+#: Ranges that a lookup table may declare
+MOST_RANGES = 10_000
+
+
 def first_reason(*rules: tuple[Column, str]) -> Column:
     """The name of the first rule that holds; NULL if none does."""
     return F.coalesce(*(F.when(F.coalesce(c, F.lit(False)), F.lit(name)) for c, name in rules))
@@ -32,6 +36,8 @@ def orphans(child: DataFrame, parent: DataFrame, child_key: str, parent_key: str
 
 def in_range(rows: DataFrame, ranges: DataFrame, column: str, lo: str = "lo", hi: str = "hi") -> DataFrame:
     """JN-06: the range that holds each value, both ends included; `ranges` is a declared table of a few rows."""
+    if ranges.limit(MOST_RANGES + 1).count() > MOST_RANGES:
+        raise ValueError(f"more than {MOST_RANGES} ranges")
     c = F.col(column)
     return rows.join(F.broadcast(ranges), (c >= F.col(lo)) & (c <= F.col(hi)), "left")
 
