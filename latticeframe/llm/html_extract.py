@@ -3,22 +3,27 @@
 Method: the DOMs of one host are merged by the style of their nodes (path of tag names and classes). For every merged
 node two things are measured over the pages that have it: presentation importance, the entropy of the child sequences
 found there (a template repeats one; articles vary), and content importance, one minus the mean entropy of the texts
-below it over pages (a notice stands on every page; an article on one). A node whose composite importance is low is
-noise, and its branch is removed from each page of the host. Elements that say what they are (navigation, forms,
-adverts, comments ...) are noise whatever their importance, and inside an element that is marked as the article a
-low importance alone removes nothing: a site may publish one article at many addresses.
+below it over pages (a notice stands on every page; an article on one). A node whose composite importance is low, and
+whose texts repeat, is noise, and its branch is removed from each page of the host. Elements that say what they are
+(navigation, forms, adverts, comments ...) are noise whatever their importance.
+
+An element that is marked as the article is evidence, not a verdict: importance inside it is raised, and what counts
+there is not how many pages a text is on but beside how many different texts it stands. A site may publish one article
+at many addresses, and copies have the same siblings; a notice has different ones in each article. Texts inside an
+article are also judged one by one, as a notice may be a paragraph like the others.
 """
 
 from __future__ import annotations
 
 import hashlib
 import html as html_lib
+import math
 import re
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from latticeframe.llm.common import cut, map_rows
+from latticeframe.llm.common import cut, map_rows, stored
 
 # HTML element names by behaviour, and names that pages give to parts that aren't the article.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -46,6 +51,8 @@ IMPLIED_END = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr"
 DECAY = 0.9
 #: Less composite importance than this is noise
 NOISE = 0.35
+#: Share of the way to full importance by which standing in an article raises a node
+ARTICLE = 0.2
 #: Hosts and nodes seen on fewer pages aren't judged
 LEAST_PAGES = 8
 BROADCAST_NOISE = 200_000
@@ -56,10 +63,11 @@ _name = re.compile(r"[a-z]+")
 
 
 class Node:
-    __slots__ = ("tag", "path", "never", "inside", "children")
+    __slots__ = ("tag", "path", "never", "article", "children")
 
-    def __init__(self, tag: str, path: str, never: bool, inside: bool):
-        self.tag, self.path, self.never, self.inside = tag, path, never, inside
+    def __init__(self, tag: str, path: str, never: bool, article: Node | None):
+        self.tag, self.path, self.never = tag, path, never
+        self.article = article or (self if tag in ("article", "main") and not never else None)
         self.children: list[str] = []
 
 
@@ -87,7 +95,7 @@ def _judge(tag: str, attrs: str, inside: bool) -> tuple[str, bool]:
 
 def parse(page: str) -> tuple[list[Node], list[tuple[Node, str]]]:
     """All elements of a page, and its blocks of text in order with the element that each stands in."""
-    root = Node("", "", False, False)
+    root = Node("", "", False, None)
     nodes, blocks, stack = [], [], [root]
     parts: list[str] = []
     at = 0
@@ -135,7 +143,7 @@ def parse(page: str) -> tuple[list[Node], list[tuple[Node, str]]]:
                 if stack[i].tag in ("ul", "ol", "dl", "table", "tbody", "select", "menu"):
                     break
         up = stack[-1]
-        style, never = _judge(tag, m[3], up.inside)
+        style, never = _judge(tag, m[3], up.article is not None)
         if tag in BLOCK:
             flush(up)
         elif tag == "br" and not up.never:
@@ -143,7 +151,7 @@ def parse(page: str) -> tuple[list[Node], list[tuple[Node, str]]]:
         up.children.append(style)
         if tag in VOID:
             continue
-        node = Node(tag, f"{up.path}/{style}", up.never or never, up.inside or (tag in ("article", "main") and not never))
+        node = Node(tag, f"{up.path}/{style}", up.never or never, up.article)
         nodes.append(node)
         if tag in RAW:
             end = re.compile(rf"</{tag}\b[^>]*>", re.IGNORECASE).search(page, at)
@@ -165,21 +173,40 @@ def host_of(url: Column) -> Column:
     return F.coalesce(F.lower(F.regexp_extract(url, r"//(?:[^/?#\s]*@)?([^/?#\s]*)", 1)), F.lit(""))
 
 
-def _facts(page: str) -> list[tuple[int, int, int, int]]:
-    """(node, kind, feature, children): kind 0 is a child sequence of a node, 1 a text below it."""
+def _facts(page: str) -> list[tuple[int, int, int, int, bool, int | None]]:
+    """(node, kind, feature, children, own, beside): kind 0 is a child sequence of a node, 1 a text below it.
+
+    `own` is a text that stands in the node itself, `beside` what an article holds besides the text: its longest other
+    text, and its two longest ones for a child sequence. It is None outside of articles.
+    """
     nodes, blocks = parse(page)
-    out = {(_key(x.path), 0, _key(*x.children), len(x.children)) for x in nodes if not x.never}
+    texts: dict[Node, set[str]] = {}
+    for owner, text in blocks:
+        if owner.article:
+            texts.setdefault(owner.article, set()).add(text)
+    longest = {a: sorted(t, key=lambda x: (-len(x), x))[:2] for a, t in texts.items()}
+    mark = {a: _key(*t) for a, t in longest.items()}
+    out = {
+        (_key(x.path), 0, _key(*x.children), len(x.children), False, mark.get(x.article, 0) if x.article else None)
+        for x in nodes
+        if not x.never
+    }
     keys: dict[str, int] = {}
     for owner, text in blocks:
-        feature, path = _key(text), owner.path
+        feature, path, beside = _key(text), owner.path, None
+        if owner.article:
+            beside = _key(*[x for x in longest[owner.article] if x != text][:1])
+        least = owner.article.path if owner.article else ""
         while path:
-            out.add((keys.get(path) or keys.setdefault(path, _key(path)), 1, feature, 0))
+            inside = beside if len(path) >= len(least) else None
+            node = keys.get(path) or keys.setdefault(path, _key(path))
+            out.add((node, 1, feature, 0, inside is not None and path == owner.path, inside))
             path = path.rpartition("/")[0]
     return list(out)
 
 
-def style_tree(pages: DataFrame) -> DataFrame:
-    """`host, node, pages, presentation, content, importance` of every merged node."""
+def _seen(pages: DataFrame) -> DataFrame:
+    """`host, node, kind, feature, c, children, own, inside`: on how many pages, or in how many articles, a feature is."""
 
     def make():
         def rows(hosts, htmls):
@@ -189,14 +216,33 @@ def style_tree(pages: DataFrame) -> DataFrame:
 
     facts = map_rows(
         pages.select(host_of(F.col("url").cast("string")), F.col("html").cast("string")),
-        "host string, node long, kind int, feature long, children int",
+        "host string, node long, kind int, feature long, children int, own boolean, beside long",
         make,
         chunk=64,
     )
-    # A feature counts once a page; partial sums make this one small row per feature and task.
-    seen = facts.groupBy("host", "node", "kind", "feature").agg(
-        F.count(F.lit(1)).alias("c"), F.max("children").alias("children")
+    # A feature counts once a page, and once for equal surroundings in articles; partial sums make both small rows.
+    key = ("host", "node", "kind", "feature")
+    once = facts.groupBy(*key, "beside").agg(
+        F.count(F.lit(1)).alias("n"), F.max("children").alias("children"), F.max("own").alias("own")
+    )
+    return once.groupBy(*key).agg(
+        F.sum(F.when(F.col("beside").isNull(), F.col("n")).otherwise(1)).alias("c"),
+        F.max("children").alias("children"),
+        F.max("own").alias("own"),
+        F.max(F.col("beside").isNotNull()).alias("inside"),
     )
+
+
+def _raised(importance: Column) -> Column:
+    return importance + ARTICLE * (1 - importance)
+
+
+def style_tree(pages: DataFrame) -> DataFrame:
+    """`host, node, pages, presentation, content, importance` of every merged node; in articles, `pages` are different ones."""
+    return _tree(_seen(pages)).drop("inside")
+
+
+def _tree(seen: DataFrame) -> DataFrame:
     own, text = F.col("kind") == 0, F.col("kind") == 1
     c = F.col("c")
     told = seen.groupBy("host", "node").agg(
@@ -204,31 +250,50 @@ def style_tree(pages: DataFrame) -> DataFrame:
         F.sum(F.when(own, c * F.log(c))).alias("clogc"),
         F.sum(F.when(own, c * F.col("children"))).alias("children"),
         F.avg(F.when(text, F.log(c))).alias("spread"),
+        F.max("inside").alias("inside"),
     )
     m = F.greatest(F.col("pages"), F.lit(2))
     # -sum p log_m p with p = c / pages, and 1 - mean log_m c
     presentation = F.coalesce((F.log(m) - F.col("clogc") / m) / F.log(m), F.lit(0.0))
     content = F.coalesce(1 - F.col("spread") / F.log(m), F.lit(0.0))
+    raised = lambda x: F.when(F.col("inside"), _raised(x)).otherwise(x)
     keep = F.pow(F.lit(DECAY), F.col("children") / m)
     return told.filter("pages is not null").select(
         "host",
         "node",
         "pages",
         presentation.alias("presentation"),
-        content.alias("content"),
-        ((1 - keep) * presentation + keep * content).alias("importance"),
+        raised(content).alias("content"),
+        raised((1 - keep) * presentation + keep * content).alias("importance"),
+        "inside",
     )
 
 
+def noise_of(pages: DataFrame) -> DataFrame:
+    """`host, node`: noisy nodes of each host, and noisy texts inside articles as the node's key xor the text's."""
+    seen = stored(_seen(pages), "style")
+    told = _tree(seen).filter(F.col("pages") >= LEAST_PAGES)
+    # One fixed sequence of children says nothing against a node whose texts differ.
+    nodes = told.filter((F.col("importance") < NOISE) & (F.col("content") < NOISE)).select("host", "node")
+    # _raised(1 - log_m c) < NOISE, which fewer than LEAST_PAGES ** power articles can't reach
+    power = (1 - NOISE) / (1 - ARTICLE)
+    often = seen.filter((F.col("kind") == 1) & F.col("own") & (F.log("c") > power * math.log(LEAST_PAGES)))
+    texts = often.select("host", "node", "feature", "c").join(told.filter("inside").select("host", "node", "pages"), ["host", "node"])
+    texts = texts.filter(F.log("c") > power * F.log("pages"))
+    return nodes.unionByName(texts.select("host", F.col("node").bitwiseXOR(F.col("feature")).alias("node")))
+
+
 def main_text(page: str, noise: frozenset[int] = frozenset()) -> str:
     """The blocks that stay, one line each."""
     nodes, blocks = parse(page)
-    if any(x.inside and not x.never for x in nodes):
-        return "\n".join(text for owner, text in blocks if owner.inside)
     bad = {x.path for x in nodes if noise and _key(x.path) in noise and x.tag not in ("html", "body")}
-    return "\n".join(
-        text for owner, text in blocks if not any(owner.path == b or owner.path.startswith(b + "/") for b in bad)
-    )
+
+    def noisy(owner: Node, text: str) -> bool:
+        if any(owner.path == b or owner.path.startswith(b + "/") for b in bad):
+            return True
+        return bool(noise) and owner.article is not None and _key(owner.path) ^ _key(text) in noise
+
+    return "\n".join(text for owner, text in blocks if not noisy(owner, text))
 
 
 def extract(pages: DataFrame) -> DataFrame:
@@ -238,8 +303,7 @@ def extract(pages: DataFrame) -> DataFrame:
     rows of their own. Text is cut nowhere.
     """
     pages = pages.select(F.col("page_id").cast("long"), F.col("url").cast("string"), F.col("html").cast("string"))
-    noise = style_tree(pages).filter((F.col("importance") < NOISE) & (F.col("pages") >= LEAST_PAGES))
-    lists = noise.groupBy("host").agg(F.collect_list("node").alias("noise")).withColumnRenamed("host", "__host")
+    lists = noise_of(pages).groupBy("host").agg(F.collect_list("node").alias("noise")).withColumnRenamed("host", "__host")
 
     lists = cut(lists)
     small = lists.select(F.coalesce(F.sum(F.size("noise")), F.lit(0)).alias("n")).first()["n"] <= BROADCAST_NOISE

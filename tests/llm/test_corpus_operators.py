@@ -227,6 +227,27 @@ def test_copies_of_an_article_stay(spark):
     assert {r.text for r in got.collect()} == {"the same article"}
 
 
+def test_style_tree_decides_inside_articles(spark):
+    words = lambda i, k: " ".join(f"w{i}_{k}_{j}" for j in range(12))
+    same = "<p>first part of one article</p><p>second part of one article</p><p>third</p>"
+
+    def page(i):
+        own = [f"<p>{words(i, k)}</p>" for k in range(3)]
+        own.insert(i % 4, "<p>Read our letter every day</p>")
+        return f"<body><article>{''.join(own)}<div class=x>Buy <b>now</b></div></article></body>"
+
+    # The same article at 20 addresses with a counter; a teaser as article beside the main text; fixed rows of children
+    rows = [(i, "http://a/", page(i)) for i in range(30)]
+    rows += [(100 + i, "http://a/", f"<body><article>{same}<p>seen {i}</p></article></body>") for i in range(20)]
+    rows += [(200 + i, "http://b/", f"<article><p>tease {i}</p></article><div class=text>{''.join(f'<p>{words(i, k)}</p>' for k in range(20))}</div>") for i in range(20)]
+    got = {r.page_id: r.text for r in html_extract.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    for i in range(30):
+        assert got[i] == "\n".join(words(i, k) for k in range(3))
+    for i in range(20):
+        assert got[100 + i] == f"first part of one article\nsecond part of one article\nthird\nseen {i}"
+        assert got[200 + i] == "\n".join([f"tease {i}", *(words(i, k) for k in range(20))])
+
+
 @pytest.mark.parametrize("name", sorted(queries.oracle_sql()))
 def test_query_equals_sql(spark, name):
     ours, theirs = both(spark, queries.queries()[name], queries.oracle_sql()[name])
