@@ -12,8 +12,9 @@ are distributed by most significant digits and a group of one is dropped as soon
 * Last digits: what is left are classes at the borders of repeated passages. Their windows are spread out within the
   group of their first digit, and equal groups of windows are exactly the repeated ones.
 
-Equal classes are counted once before anything is gathered, and a first digit with many different classes is split
-over tasks by the windows' hashes, so no group has to fit into one task.
+Equal classes are counted once before anything is gathered. The windows of a first digit with many different classes
+become rows that are counted by hash and dealt by hash, each to one task, so no group has to fit into one task; a window
+that is itself very common is known from its count and isn't gathered at all.
 """
 
 from __future__ import annotations
@@ -30,8 +31,10 @@ from latticeframe.llm.repeat_windows import GRAM, Corpus, classes
 from latticeframe.llm.shingle_sets import mix
 
 LENGTH = 400
-#: Different classes of one first digit that a task takes
+#: Different classes of one first digit, and equal windows, that a task takes
 GROUP_CLASSES = 20_000
+#: Very common windows that may be sent to every task
+BROADCAST_WINDOWS = 1_000_000
 #: Tasks over which the classes of one kind are dealt
 SALTS = 16
 _SPAN = 10  # bits of a class's width in `ref`; below them 22 bits that tell texts with the same id apart
@@ -80,8 +83,8 @@ def _joined(docs: DataFrame, lists: DataFrame, how: str) -> DataFrame:
 
 
 def _contexts(docs: DataFrame, wanted: DataFrame, length: int) -> DataFrame:
-    """The bytes of wanted classes: `core, salts, open, doc_id, ref, bytes`."""
-    lists = wanted.groupBy("doc_id").agg(F.collect_list(F.struct("core", "salts", "open", "ref")).alias("wanted"))
+    """The bytes of wanted classes: `core, open, doc_id, ref, bytes`."""
+    lists = wanted.groupBy("doc_id").agg(F.collect_list(F.struct("core", "open", "ref")).alias("wanted"))
     rows = _joined(docs, lists, "inner").select("doc_id", "text", "wanted")
 
     def make():
@@ -95,34 +98,30 @@ def _contexts(docs: DataFrame, wanted: DataFrame, length: int) -> DataFrame:
                     if ref & 0x3FFFFF == mark:
                         first = ref >> 32
                         last = first + (ref >> 22 & (1 << _SPAN) - 1)
-                        out.append((x["core"], x["salts"], x["open"], i, ref, raw[first : last + length]))
+                        out.append((x["core"], x["open"], i, ref, raw[first : last + length]))
             return out
 
         return rows_of
 
-    return map_rows(
-        rows, "core long, salts int, open boolean, doc_id long, ref long, bytes binary", make, chunk=64
-    )
+    return map_rows(rows, "core long, open boolean, doc_id long, ref long, bytes binary", make, chunk=64)
+
+
+def _hashed(raw: list[bytes], length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """All windows of some byte strings: (which string, offset, hash)."""
+    c = Corpus(raw)
+    counts = np.maximum(c.sizes - length + 1, 0)
+    row = np.repeat(np.arange(len(raw)), counts)
+    off = np.arange(len(row)) - np.repeat(np.cumsum(counts) - counts, counts)
+    p = c.starts[row] + off
+    return row, off, c.hashes(p, p + length)
 
 
 def _border_windows(contexts: DataFrame, length: int) -> DataFrame:
     """Starts of repeated windows in open classes, as `doc_id, mark, first, last`."""
-    dealt = contexts.withColumn("salt", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)))
     schema = "doc_id long, mark int, first long, last long"
 
     def find(key: tuple, table: pa.Table) -> pa.Table:
-        core, salt = (k.as_py() for k in key)
-        raw = table.column("bytes").to_pylist()
-        salts = table.column("salts")[0].as_py()
-        c = Corpus(raw)
-        counts = np.maximum(c.sizes - length + 1, 0)
-        row = np.repeat(np.arange(len(raw)), counts)
-        off = np.arange(len(row)) - np.repeat(np.cumsum(counts) - counts, counts)
-        p = c.starts[row] + off
-        h = c.hashes(p, p + length)
-        if salts > 1:
-            own = h % np.uint64(salts) == np.uint64(salt)
-            row, off, h = row[own], off[own], h[own]
+        row, off, h = _hashed(table.column("bytes").to_pylist(), length)
         _, back, n = np.unique(h, return_inverse=True, return_counts=True)
         is_open = np.array(table.column("open").to_pylist(), dtype=bool)
         hit = (n[back] > 1) & is_open[row]
@@ -140,7 +139,46 @@ def _border_windows(contexts: DataFrame, length: int) -> DataFrame:
             }
         )
 
-    return dealt.groupBy("core", "salt").applyInArrow(find, schema)
+    return contexts.groupBy("core").applyInArrow(find, schema)
+
+
+def _spread_windows(contexts: DataFrame, length: int) -> DataFrame:
+    """As `_border_windows`, for first digits with more classes than a task takes: a row for each window."""
+
+    def run(batches):
+        for batch in batches:
+            for at in range(0, batch.num_rows, 1024):
+                part = batch.slice(at, 1024)
+                row, off, h = _hashed(part.column("bytes").to_pylist(), length)
+                of = pa.array(row)
+                columns = [*(part.column(c).take(of) for c in ("core", "open", "doc_id", "ref")), pa.array(off.astype(np.int32)), pa.array(h.view(np.int64))]
+                yield pa.RecordBatch.from_arrays(columns, names=["core", "open", "doc_id", "ref", "off", "hash"])
+
+    key = ["core", "hash"]
+    rows = stored(contexts.mapInArrow(run, "core long, open boolean, doc_id long, ref long, off int, hash long"), "windows")
+    counts = stored(rows.groupBy(*key).agg(F.count(F.lit(1)).alias("n")).filter("n > 1"), "counts")
+    common = counts.filter(F.col("n") > GROUP_CLASSES).select(*key, F.lit(True).alias("common"))
+    if common.count() <= BROADCAST_WINDOWS:
+        common = F.broadcast(common)
+    # Common windows are hits by their count alone; of the others a task gets a bounded number.
+    known = rows.filter("open").join(common, key, "left")
+    rare = counts.filter(F.col("n") <= GROUP_CLASSES).select(*key)
+    hits = known.filter("common").drop("common").unionByName(known.filter("common is null").drop("common").join(rare, key))
+
+    def make():
+        def rows_of(ids, refs, lists):
+            out = []
+            for i, ref, offs in zip(ids, refs, lists, strict=True):
+                offs = np.sort(np.array(offs, dtype=np.int64))
+                cut = np.flatnonzero(offs[1:] != offs[:-1] + 1) + 1
+                for x in np.split(offs, cut):
+                    out.append((i, ref & 0x3FFFFF, (ref >> 32) + int(x[0]), (ref >> 32) + int(x[-1])))
+            return out
+
+        return rows_of
+
+    lists = hits.groupBy("core", "doc_id", "ref").agg(F.collect_set("off").alias("offs")).select("doc_id", "ref", "offs")
+    return map_rows(lists, "doc_id long, mark int, first long, last long", make)
 
 
 def repeated_windows(docs: DataFrame, length: int = LENGTH) -> DataFrame:
@@ -164,15 +202,17 @@ def repeated_windows(docs: DataFrame, length: int = LENGTH) -> DataFrame:
         kinds.groupBy("core")
         .agg(F.count(F.lit(1)).alias("m"), F.min("n").alias("rarest"))
         .filter("m > 1 and rarest = 1")
-        .select("core", F.ceil(F.col("m") / GROUP_CLASSES).cast("int").alias("salts"))
+        .select("core", (F.col("m") > GROUP_CLASSES).alias("large"))
     )
     wanted = stored(
         kinds.join(mixed, "core").select(
-            "core", "salts", (F.col("n") == 1).alias("open"), F.col("one.doc_id").alias("doc_id"), F.col("one.ref").alias("ref")
+            "core", "large", (F.col("n") == 1).alias("open"), F.col("one.doc_id").alias("doc_id"), F.col("one.ref").alias("ref")
         ),
         "wanted",
     )
-    border = _border_windows(_contexts(docs, wanted, length), length)
+    border = _border_windows(_contexts(docs, wanted.filter("not large"), length), length)
+    if wanted.filter("large").limit(1).count():
+        border = border.unionByName(_spread_windows(_contexts(docs, wanted.filter("large"), length), length))
     first = F.shiftright("ref", 32)
     whole = full.select(
         "doc_id",

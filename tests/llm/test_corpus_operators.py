@@ -147,6 +147,26 @@ def test_repeated_bytes_on_documents(spark):
         suffix_dedup.repeated_windows(docs, 20)
 
 
+@pytest.mark.parametrize("classes", [5, 40])
+def test_large_groups_are_split(spark, monkeypatch, classes):
+    from pyspark.sql.group import GroupedData
+
+    largest, apply = [], GroupedData.applyInArrow
+
+    def spy(self, func, schema):
+        largest.append(max((r["count"] for r in self._df.groupBy("core").count().collect()), default=0))
+        return apply(self, func, schema)
+
+    monkeypatch.setattr(GroupedData, "applyInArrow", spy)
+    monkeypatch.setattr(suffix_dedup, "GROUP_CLASSES", classes)
+    random.seed(classes)
+    passage = "".join(random.choices("abcdefgh ", k=130))
+    rows = [(k, "".join(random.choices("xyz w", k=30 + k % 50)) + passage + "".join(random.choices("xyz w", k=60))) for k in range(90)]
+    got = suffix_dedup.remove_repeats(spark.createDataFrame(rows, "doc_id long, text string"), 100, with_bytes=False).collect()
+    assert sorted(map(tuple, got), key=str) == brute_repeats([(i, t.encode()) for i, t in rows], 100)
+    assert max(largest) <= classes
+
+
 def brute_lines(docs, min_lines, min_words):
     flat = []
     for i, t in docs:
