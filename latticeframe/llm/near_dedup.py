@@ -17,7 +17,7 @@ import math
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from latticeframe.llm.common import cut, map_rows
@@ -56,11 +56,16 @@ def least_matches(hashes: int, threshold: float, miss: float) -> list[tuple[int,
 # --- signatures ----------------------------------------------------------------------------------------------------
 
 
+def _mark() -> Column:
+    """Tells texts with the same id apart."""
+    return F.xxhash64(F.col("text").cast("string"))
+
+
 def sketch(docs: DataFrame, shingle: int, bands: int) -> DataFrame:
-    """`doc_id, n_shingles, digest` (of the whole set; null for an empty one) and the hashes of all `bands`."""
+    """`doc_id, mark` (of the text), `n_shingles, digest` (of the whole set; null for an empty one) and the hashes of all `bands`."""
 
     def make():
-        def rows(ids, texts):
+        def rows(ids, texts, marks):
             value, at = shingle_sets([t or "" for t in texts], shingle)
             sig = signatures(value, at, bands * ROWS).reshape(len(texts), bands, ROWS)
             # One 64-bit name per band; the band's number is part of it.
@@ -72,14 +77,14 @@ def sketch(docs: DataFrame, shingle: int, bands: int) -> DataFrame:
             out = []
             for k, i in enumerate(ids):
                 n = int(at[k + 1] - at[k])
-                out.append((i, n, set_digest(value[at[k] : at[k + 1]]) if n else None, names[k].tolist() if n else []))
+                out.append((i, marks[k], n, set_digest(value[at[k] : at[k + 1]]) if n else None, names[k].tolist() if n else []))
             return out
 
         return rows
 
     return map_rows(
-        docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")),
-        "doc_id long, n_shingles long, digest binary, bands array<long>",
+        docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"), _mark()),
+        "doc_id long, mark long, n_shingles long, digest binary, bands array<long>",
         make,
     )
 
@@ -126,26 +131,26 @@ def find_links(sets: list[np.ndarray], sig: np.ndarray, left: np.ndarray, right:
 
 
 def _family_sets(docs: DataFrame, members: DataFrame, shingle: int) -> DataFrame:
-    """`family, blocks, block, doc_id, values` of the classes in `members`, their sets as sorted 64-bit values."""
+    """`family, blocks, block, name, values` of the classes in `members`, their sets as sorted 64-bit values."""
     n = members.count()
     small = F.broadcast(members) if n <= BROADCAST_IDS else members
     rows = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).join(small, "doc_id")
 
     def make():
-        def rows_of(ids, texts, families, blocks, block, digests):
+        def rows_of(names, texts, families, blocks, block, digests):
             value, at = shingle_sets([t or "" for t in texts], shingle)
             out = []
-            for k in range(len(ids)):
+            for k in range(len(names)):
                 own = value[at[k] : at[k + 1]]
                 if set_digest(own) == digests[k]:  # else another text with the same id
-                    out.append((families[k], blocks[k], block[k], ids[k], own.tobytes()))
+                    out.append((families[k], blocks[k], block[k], names[k], own.tobytes()))
             return out
 
         return rows_of
 
     return map_rows(
-        rows.select("doc_id", "text", "family", "blocks", "block", "digest"),
-        "family long, blocks int, block int, doc_id long, values binary",
+        rows.select("name", "text", "family", "blocks", "block", "digest"),
+        "family long, blocks int, block int, name long, values binary",
         make,
     )
 
@@ -156,7 +161,7 @@ def _verified(sets: DataFrame, percent: int, hashes: int, miss: float) -> DataFr
     pairs = sets.select(
         "family",
         "block",
-        "doc_id",
+        "name",
         "values",
         F.explode(
             F.transform(
@@ -164,11 +169,11 @@ def _verified(sets: DataFrame, percent: int, hashes: int, miss: float) -> DataFr
                 lambda o: F.struct(F.least(F.col("block"), o).alias("i"), F.greatest(F.col("block"), o).alias("j")),
             )
         ).alias("p"),
-    ).select("family", F.col("p.i").alias("i"), F.col("p.j").alias("j"), "block", "doc_id", "values")
+    ).select("family", F.col("p.i").alias("i"), F.col("p.j").alias("j"), "block", "name", "values")
 
     def verify(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.drop_duplicates("doc_id")
-        ids = pdf["doc_id"].to_numpy()
+        pdf = pdf.drop_duplicates("name")
+        ids = pdf["name"].to_numpy()
         own = [np.frombuffer(v, np.uint64) for v in pdf["values"]]
         at = np.concatenate([[0], np.cumsum([len(s) for s in own])])
         sig = signatures(np.concatenate(own), at, hashes)
@@ -183,21 +188,16 @@ def _verified(sets: DataFrame, percent: int, hashes: int, miss: float) -> DataFr
 # --- operator ------------------------------------------------------------------------------------------------------
 
 
-def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80, miss: float = MISS) -> DataFrame:
-    """`doc_id, n_shingles, component_id, kept` for every row of `docs` (columns doc_id and text).
-
-    Two texts are linked if 100 * |intersection| >= percent * |union| of their shingle sets; a component is named by
-    its smallest id, which is the one kept. A null text is empty; a text without words is linked with nothing and
-    kept. Rows with the same id stay rows of their own and share their verdict if their texts do. A null id can't
-    name a component: it is kept only if it has no words.
-    """
+def _judged(docs: DataFrame, shingle: int, percent: int, miss: float) -> DataFrame:
+    """The columns of `near_duplicates` and `mark`. Classes are named by their sets, as an id may have several texts."""
     bands = bands_for(percent / 100, miss)
     base = cut(sketch(docs, shingle, bands))
     full = base.filter("digest is not null")
     classes = full.groupBy("digest").agg(F.min("doc_id").alias("rep"), F.first("bands").alias("bands"))
-    named = classes.select("rep", F.explode("bands").alias("band"))
-    shared = named.groupBy("band").agg(F.min("rep").alias("centre"), F.count(F.lit(1)).alias("n")).filter("n > 1")
-    stars = named.join(shared, "band").filter("rep <> centre").select(F.col("rep").alias("a"), F.col("centre").alias("b"))
+    classes = classes.withColumn("name", F.xxhash64("digest"))
+    named = classes.filter("rep is not null").select("name", F.explode("bands").alias("band"))
+    shared = named.groupBy("band").agg(F.min("name").alias("centre"), F.count(F.lit(1)).alias("n")).filter("n > 1")
+    stars = named.join(shared, "band").filter("name <> centre").select(F.col("name").alias("a"), F.col("centre").alias("b"))
     families = connected_components(stars.distinct())
 
     sizes = families.groupBy("root").agg(F.count(F.lit(1)).alias("m"))
@@ -205,9 +205,10 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80, miss:
     blocks = F.when(few <= 16, few).otherwise(F.greatest(F.lit(16), F.ceil(F.col("m") / BLOCK_MOST))).cast("int")
     members = cut(
         families.join(sizes, "root")
-        .join(classes.select(F.col("rep").alias("id"), "digest"), "id")
+        .join(classes.select(F.col("name").alias("id"), "rep", "digest"), "id")
         .select(
-            F.col("id").alias("doc_id"),
+            F.col("rep").alias("doc_id"),
+            F.col("id").alias("name"),
             F.col("root").alias("family"),
             blocks.alias("blocks"),
             F.pmod(F.xxhash64("id"), blocks).cast("int").alias("block"),
@@ -215,23 +216,41 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80, miss:
         )
     )
     links = _verified(_family_sets(docs, members, shingle), percent, bands * ROWS // BATCH * BATCH, miss)
-    merged = connected_components(links)
+    merged = connected_components(links).withColumnRenamed("id", "name")
+    own = F.struct("rep", "digest")
+    firsts = cut(merged.join(classes, "name").groupBy("root").agg(F.min(own).alias("first")))
     roots = (
-        classes.select("digest", "rep")
-        .join(merged.withColumnRenamed("id", "rep"), "rep", "left")
-        .select("digest", F.coalesce("root", "rep").alias("component_id"))
+        classes.join(merged.join(firsts, "root").select("name", "first"), "name", "left")
+        .withColumn("first", F.coalesce("first", own))
+        .select("digest", F.col("first.rep").alias("component_id"), (F.col("first.digest") == F.col("digest")).alias("leads"))
     )
     return base.join(roots, "digest", "left").select(
         "doc_id",
+        "mark",
         "n_shingles",
         F.when(F.col("digest").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"),
         F.when(F.col("digest").isNull(), True)
-        .otherwise(F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(False)))
+        .otherwise(F.coalesce((F.col("doc_id") == F.col("component_id")) & F.col("leads"), F.lit(False)))
         .alias("kept"),
     )
 
+def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80, miss: float = MISS) -> DataFrame:
+    """`doc_id, n_shingles, component_id, kept` for every row of `docs` (columns doc_id and text).
+
+    Two texts are linked if 100 * |intersection| >= percent * |union| of their shingle sets; a component is named by
+    its smallest id, which is the one kept. A null text is empty; a text without words is linked with nothing and
+    kept. Rows with the same id stay rows of their own and share their verdict if their texts do. A null id can't
+    name a component: it is kept only if it has no words.
+    """
+    return _judged(docs, shingle, percent, miss).drop("mark")
+
 
 def keep_one(docs: DataFrame, shingle: int = 5, percent: int = 80) -> DataFrame:
-    """The rows of `docs` that stay: the smallest id of each component, and everything without words."""
-    gone = near_duplicates(docs, shingle, percent).filter("not kept").select(F.col("doc_id").alias("__gone")).distinct()
-    return docs.join(gone, F.col("doc_id").cast("long").eqNullSafe(F.col("__gone")), "left_anti")
+    """The rows of `docs` that stay: the smallest id of each component, and everything without words.
+
+    A row goes by its id and its text. One without an id goes only if a row with an id has the same set.
+    """
+    lost = _judged(docs, shingle, percent, MISS).filter("not kept and component_id is not null")
+    gone = lost.select(F.col("doc_id").alias("__gone"), F.col("mark").alias("__mark")).distinct()
+    same = F.col("doc_id").cast("long").eqNullSafe(F.col("__gone")) & (_mark() == F.col("__mark"))
+    return docs.join(gone, same, "left_anti")

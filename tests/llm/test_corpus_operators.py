@@ -78,6 +78,16 @@ def test_near_duplicates_odd_rows(spark):
     assert near_dedup.near_duplicates(docs.limit(0)).count() == 0
 
 
+def test_ids_with_several_texts(spark):
+    a, b = " ".join(f"a{k}" for k in range(60)), " ".join(f"b{k}" for k in range(60))
+    rows = [(1, a), (1, b), (5, a + " x"), (6, b + " x"), (3, "c d e f g h"), (6, "only this one has it here"), (None, "no id but words of its own"), (None, ""), (None, b)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {(r.doc_id, r.text) for r in near_dedup.keep_one(docs).collect()}
+    assert got == {rows[k] for k in (0, 1, 4, 5, 6, 7)}
+    made = sorted((r.doc_id, r.component_id, r.kept) for r in near_dedup.near_duplicates(docs).collect() if r.doc_id in (5, 6))
+    assert made == [(5, 1, False), (6, 1, False), (6, 6, True)]
+
+
 def test_posterior_and_bands():
     assert abs(near_dedup.posterior_tail(16, 16, 0.5) - (1 - 0.5**17)) < 1e-12
     assert all(m <= n for n, m in near_dedup.least_matches(96, 0.85, 1e-5))
