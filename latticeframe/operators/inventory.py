@@ -4,10 +4,13 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 #: Ranges that a lookup table may declare
 MOST_RANGES = 10_000
+#: Different versions that may become one array of constants
+MOST_VERSIONS = 1000
 
 
 def first_reason(*rules: tuple[Column, str]) -> Column:
@@ -45,13 +48,13 @@ def in_range(rows: DataFrame, ranges: DataFrame, column: str, lo: str = "lo", hi
 def as_of(rows: DataFrame, versions: DataFrame, column: str, version: str) -> DataFrame:
     """The latest version not after each value; `versions` is a declared table of a few rows.
 
-    Its rows become steps of one CASE, so nothing is joined at all.
+    Its rows become one array of constants, so nothing is joined at all.
     """
-    known = sorted({r[version] for r in versions.select(version).limit(1000).collect() if r[version] is not None})
-    out = F.lit(None).cast(versions.schema[version].dataType)
-    for v in known:
-        out = F.when(F.col(column) >= v, F.lit(v)).otherwise(out)
-    return rows.withColumn(version, out)
+    known = [r[version] for r in versions.select(version).distinct().dropna().limit(MOST_VERSIONS + 1).collect()]
+    if len(known) > MOST_VERSIONS:
+        raise ValueError(f"more than {MOST_VERSIONS} versions")
+    steps = F.array(*(F.lit(v) for v in known)).cast(T.ArrayType(versions.schema[version].dataType))
+    return rows.withColumn(version, F.array_max(F.filter(steps, lambda v: v <= F.col(column))))
 
 
 def completeness(keys: DataFrame, kinds: list[str], artifacts: DataFrame, on: list[str]) -> DataFrame:

@@ -290,3 +290,12 @@ def test_stream_keeps_the_latest(spark, tmp_path):
     put([("a", "done", T0 + timedelta(hours=1)), ("b", "failed", T0 - timedelta(hours=1))])
     step()
     assert {r.item_id: r.status for r in streaming.current(spark, state).collect()} == {"a": "done", "b": "done"}
+
+
+def test_as_of_knows_all_versions(spark):
+    rows = spark.range(3000).select(F.col("id").alias("year"))
+    twice = spark.range(2000).select((F.col("id") % 1000).cast("int").alias("version"))
+    got = inventory.as_of(rows, twice, "year", "version")
+    assert got.filter("version = least(year, 999)").count() == 3000
+    with pytest.raises(ValueError):
+        inventory.as_of(rows, spark.range(1001).select(F.col("id").alias("version")), "year", "version")
