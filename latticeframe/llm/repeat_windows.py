@@ -1,4 +1,4 @@
-"""Anchors and window hashes of byte strings, in numpy."""
+"""Anchors, window hashes and radix passes over byte strings, in numpy."""
 
 from __future__ import annotations
 
@@ -71,3 +71,47 @@ def classes(c: Corpus, length: int, w: int) -> tuple[np.ndarray, ...]:
     begin = np.flatnonzero(first)
     end = np.concatenate([begin[1:], [len(p)]]) - 1
     return text[begin], a[begin], p[begin], p[end]
+
+
+def anchor_places(sizes: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
+    """All windows of byte strings of these sizes: (which string, offset in it)."""
+    counts = np.maximum(sizes - length + 1, 0)
+    row = np.repeat(np.arange(len(sizes)), counts)
+    return row, np.arange(len(row)) - np.repeat(np.cumsum(counts) - counts, counts)
+
+
+def equal_to_depth(core: np.ndarray, anchor: np.ndarray, raw: list[bytes], length: int, w: int) -> tuple[np.ndarray, np.ndarray]:
+    """Windows (which string, offset) that are equal to another one to depth `length`, in order.
+
+    String k holds windows whose anchor is at `anchor[k]`, and from there `length - w + 1` bytes that `core[k]` stands
+    for. Most-significant-digit passes: core and distance to the anchor first, then 8 bytes a pass of what is left of a
+    window around its core; a window that is alone in its group is dropped after each pass.
+    """
+    sizes = np.array([len(r) for r in raw], np.int64)
+    starts = np.cumsum(sizes) - sizes
+    # Some slack behind the last window, as a digit may reach over its end
+    data = np.frombuffer(b"".join([*raw, bytes(16)]), np.uint8)
+    row, off = anchor_places(sizes, length)
+    ahead = (anchor[row] - off).astype(np.int64)  # bytes of a window before its core
+    place = starts[row] + off
+    group, digit = core[row], ahead
+    skip, rest = length - w + 1, w - 1
+    lanes = np.arange(8)
+    for k in range(0, rest + 8, 8):
+        order = np.lexsort((digit, group))
+        g, d = group[order], digit[order]
+        new = np.empty(len(order) + 1, bool)
+        new[0] = new[-1] = True
+        new[1:-1] = (g[1:] != g[:-1]) | (d[1:] != d[:-1])
+        among = ~(new[:-1] & new[1:])
+        order = order[among]
+        row, off, ahead, place = row[order], off[order], ahead[order], place[order]
+        group = np.cumsum(new[:-1])[among]
+        if k >= rest or not len(row):
+            break
+        at = k + lanes
+        byte = data[place[:, None] + at + np.where(at < ahead[:, None], 0, skip)]
+        byte[:, at >= rest] = 0
+        digit = byte.view(">u8").ravel().astype(np.uint64)
+    order = np.lexsort((off, row))
+    return row[order], off[order]

@@ -1,145 +1,197 @@
 """Repeated byte passages by a depth-limited radix sort of suffixes (operator 10).
 
-Method: only the first `length` bytes of a suffix matter, and only which suffixes are equal to that depth, so suffixes
-are distributed by most significant digits and a group of one is dropped as soon as it appears:
+Method: only the first `length` bytes of a suffix matter, so suffixes are ordered by most significant digits to that
+depth, and whatever is alone in its group is dropped as soon as it appears; equal groups at the full depth are the
+repeated windows.
 
 * Suffixes travel in classes: neighbouring suffixes whose windows have the same anchor (the place of the least hash
-  among their first places) share everything that the first digits look at. An anchor is a property of a window's own
-  bytes, so equal windows are in classes that can meet.
-* First digit: the bytes from the anchor that all windows of the class contain. Classes alone in their group hold no
+  among their first places). An anchor is a property of a window's own bytes, so equal windows are in classes that meet.
+* First digit: the bytes from the anchor that all windows of a class contain. Classes alone in their group hold no
   repeated window.
-* Second digit: all bytes that any window of the class contains. Classes equal in it have all windows repeated at once.
-* Last digits: what is left are classes at the borders of repeated passages. Their windows are spread out within the
-  group of their first digit, and equal groups of windows are exactly the repeated ones.
+* Second digit: all bytes that any window of a class contains. Classes equal in it have all windows repeated at once.
+* What is left are classes at the borders of repeated passages. Their suffixes are ordered, many groups of the first
+  digit together, by the distance to the anchor and then by 8-byte digits, pass after pass, until depth `length`.
 
-Equal classes are counted once before anything is gathered. The windows of a first digit with many different classes
-become rows that are counted by hash and dealt by hash, each to one task, so no group has to fit into one task; a window
-that is itself very common is known from its count and isn't gathered at all.
+Equal classes are counted once before anything is gathered. The suffixes of a first digit with very many different
+classes become rows that are counted and dealt by a digit over the whole window, each to one task, so no group has to
+fit into one task; a window that is itself very common is known from its count and isn't gathered at all.
 """
 
 from __future__ import annotations
 
 import hashlib
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from latticeframe.llm.common import map_rows, stored
-from latticeframe.llm.repeat_windows import GRAM, Corpus, classes
+from latticeframe.llm.common import CHUNK_BYTES, discard, map_rows, row_slices, stored
+from latticeframe.llm.repeat_windows import GRAM, Corpus, anchor_places, classes, equal_to_depth
 from latticeframe.llm.shingle_sets import mix
 
 LENGTH = 400
 #: Different classes of one first digit, and equal windows, that a task takes
-GROUP_CLASSES = 20_000
+GROUP_CLASSES = 4096
 #: Very common windows that may be sent to every task
 BROADCAST_WINDOWS = 1_000_000
 #: Tasks over which the classes of one kind are dealt
 SALTS = 16
-_SPAN = 10  # bits of a class's width in `ref`; below them 22 bits that tell texts with the same id apart
+#: Bytes of one piece of a very long text
+PIECE_BYTES = 2 << 20
+_BITS = 10  # of a class's width, and of its first window's distance to the anchor, below the first start in `ref`
+_LOW = (1 << _BITS) - 1
 
+#: What names a text: its id and a 64-bit hash of its content. Rows with both equal have equal texts.
+KEY = ["doc_id", "mark"]
+_KEY = "doc_id long, mark long"
 
-def _tell_apart(raw: bytes) -> int:
-    return int.from_bytes(hashlib.blake2b(raw, digest_size=4).digest(), "little") & 0x3FFFFF
+
+def _keyed(docs: DataFrame) -> DataFrame:
+    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(text).alias("mark"), text.alias("text"))
 
 
 def _width(length: int) -> int:
     """Places among which a window's anchor is sought."""
-    return min(length // 2, (1 << _SPAN) - 1)
+    return min(length // 2, _LOW)
+
+
+def _unpacked(ref: Column) -> dict[str, Column]:
+    """First start and last start of the class behind `ref`."""
+    first = F.shiftright(ref, 2 * _BITS)
+    return {"first": first, "last": first + F.shiftright(ref, _BITS).bitwiseAND(_LOW)}
+
+
+def _raw(text: str | None) -> bytes:
+    return (text or "").encode("utf-8", "surrogatepass")
+
+
+def _pieces(raw: list[bytes], length: int) -> Iterator[tuple[list[int], list[int], list[bytes]]]:
+    """Texts side by side, a few MB at a time: (number of the text, offset in it, bytes).
+
+    Long texts are cut into pieces that overlap by one byte less than a window, so each window is in one piece.
+    """
+    owner, offset, parts, held = [], [], [], 0
+    for k, text in enumerate(raw):
+        for at in range(0, max(len(text) - length + 1, 0), PIECE_BYTES):
+            part = text[at : at + PIECE_BYTES + length - 1]
+            if held and held + len(part) > CHUNK_BYTES:
+                yield owner, offset, parts
+                owner, offset, parts, held = [], [], [], 0
+            owner.append(k)
+            offset.append(at)
+            parts.append(part)
+            held += len(part)
+    if parts:
+        yield owner, offset, parts
 
 
 def _classes(docs: DataFrame, length: int) -> DataFrame:
-    """`doc_id, ref, core, whole`: the classes of all windows; `ref` packs first start, width and the text's mark."""
+    """`doc_id, mark, ref, core, whole`: the classes of all windows; `ref` packs first start, width and anchor."""
     w = _width(length)
 
     def run(batches):
         for batch in batches:
-            for at in range(0, batch.num_rows, 256):
-                part = batch.slice(at, 256)
-                ids, texts = part.column(0), part.column(1).to_pylist()
-                raw = [(t or "").encode("utf-8", "surrogatepass") for t in texts]
-                c = Corpus(raw)
-                text, anchor, first, last = classes(c, length, w)
-                if not len(text):
-                    continue
-                core = c.hashes(anchor, anchor + length - w + 1)
-                place = mix(((anchor - first) << 32 | (last - first)).astype(np.uint64))
-                whole = mix(c.hashes(first, last + length) ^ place)
-                mark = np.array([_tell_apart(r) if len(r) >= length else 0 for r in raw], dtype=np.int64)
-                ref = (first - c.starts[text]) << 32 | (last - first) << 22 | mark[text]
-                yield pa.RecordBatch.from_arrays(
-                    [ids.take(pa.array(text)), pa.array(ref), pa.array(core.view(np.int64)), pa.array(whole.view(np.int64))],
-                    names=["doc_id", "ref", "core", "whole"],
-                )
-
-    return docs.mapInArrow(run, "doc_id long, ref long, core long, whole long")
+            for part in row_slices(batch):
+                for owner, offset, raw in _pieces([_raw(t) for t in part.column(2).to_pylist()], length):
+                    c = Corpus(raw)
+                    piece, anchor, first, last = classes(c, length, w)
+                    core = c.hashes(anchor, anchor + length - w + 1)
+                    place = mix(((anchor - first) << 32 | (last - first)).astype(np.uint64))
+                    whole = mix(c.hashes(first, last + length) ^ place)
+                    start = first - c.starts[piece] + np.array(offset, np.int64)[piece]
+                    ref = start << 2 * _BITS | (last - first) << _BITS | (anchor - first)
+                    of = pa.array(np.array(owner, np.int64)[piece])
+                    yield pa.RecordBatch.from_arrays(
+                        [
+                            part.column(0).take(of),
+                            part.column(1).take(of),
+                            pa.array(ref),
+                            pa.array(core.view(np.int64)),
+                            pa.array(whole.view(np.int64)),
+                        ],
+                        names=[*KEY, "ref", "core", "whole"],
+                    )
+
+    return docs.mapInArrow(run, f"{_KEY}, ref long, core long, whole long")
 
 
 def _joined(docs: DataFrame, lists: DataFrame, how: str) -> DataFrame:
-    """`docs` with the list that belongs to each id."""
-    other = lists.withColumnRenamed("doc_id", "__id")
-    return docs.join(other, F.col("doc_id").eqNullSafe(F.col("__id")), how).drop("__id")
+    """`docs` with the list that belongs to each text."""
+    other = lists.withColumnsRenamed({"doc_id": "__id", "mark": "__mark"})
+    same = F.col("doc_id").eqNullSafe(F.col("__id")) & (F.col("mark") == F.col("__mark"))
+    return docs.join(other, same, how).drop("__id", "__mark")
 
 
 def _contexts(docs: DataFrame, wanted: DataFrame, length: int) -> DataFrame:
-    """The bytes of wanted classes: `core, open, doc_id, ref, bytes`."""
-    lists = wanted.groupBy("doc_id").agg(F.collect_list(F.struct("core", "open", "ref")).alias("wanted"))
-    rows = _joined(docs, lists, "inner").select("doc_id", "text", "wanted")
+    """The bytes of wanted classes: `core, open, doc_id, mark, ref, bytes`."""
+    lists = wanted.groupBy(*KEY).agg(F.collect_list(F.struct("core", "open", "ref")).alias("wanted"))
+    rows = _joined(docs, lists, "inner").select(*KEY, "text", "wanted")
 
     def make():
-        def rows_of(ids, texts, lists):
+        def rows_of(ids, marks, texts, lists):
             out = []
-            for i, t, wants in zip(ids, texts, lists, strict=True):
-                raw = (t or "").encode("utf-8", "surrogatepass")
-                mark = _tell_apart(raw)
+            for i, mark, t, wants in zip(ids, marks, texts, lists, strict=True):
+                raw = _raw(t)
                 for x in wants:
                     ref = x["ref"]
-                    if ref & 0x3FFFFF == mark:
-                        first = ref >> 32
-                        last = first + (ref >> 22 & (1 << _SPAN) - 1)
-                        out.append((x["core"], x["open"], i, ref, raw[first : last + length]))
+                    first = ref >> 2 * _BITS
+                    last = first + (ref >> _BITS & _LOW)
+                    out.append((x["core"], x["open"], i, mark, ref, raw[first : last + length]))
             return out
 
         return rows_of
 
-    return map_rows(rows, "core long, open boolean, doc_id long, ref long, bytes binary", make, chunk=64)
+    return map_rows(rows, f"core long, open boolean, {_KEY}, ref long, bytes binary", make, chunk=64)
 
 
-def _hashed(raw: list[bytes], length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """All windows of some byte strings: (which string, offset, hash)."""
-    c = Corpus(raw)
-    counts = np.maximum(c.sizes - length + 1, 0)
-    row = np.repeat(np.arange(len(raw)), counts)
-    off = np.arange(len(row)) - np.repeat(np.cumsum(counts) - counts, counts)
-    p = c.starts[row] + off
-    return row, off, c.hashes(p, p + length)
+def _runs(row: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Where runs of neighbouring offsets in the same row begin and end."""
+    new = np.flatnonzero((row[1:] != row[:-1]) | (off[1:] != off[:-1] + 1)) + 1
+    if not len(row):
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+    return np.concatenate([[0], new]), np.concatenate([new, [len(row)]]) - 1
 
 
 def _border_windows(contexts: DataFrame, length: int) -> DataFrame:
     """Starts of repeated windows in open classes, as `doc_id, mark, first, last`."""
-    schema = "doc_id long, mark int, first long, last long"
-
-    def find(key: tuple, table: pa.Table) -> pa.Table:
-        row, off, h = _hashed(table.column("bytes").to_pylist(), length)
-        _, back, n = np.unique(h, return_inverse=True, return_counts=True)
-        is_open = np.array(table.column("open").to_pylist(), dtype=bool)
-        hit = (n[back] > 1) & is_open[row]
-        row, off = row[hit], off[hit]
-        cutpoints = np.flatnonzero((row[1:] != row[:-1]) | (off[1:] != off[:-1] + 1)) + 1
-        begin = np.concatenate([[0], cutpoints]).astype(np.int64) if len(row) else np.zeros(0, np.int64)
-        end = np.concatenate([cutpoints, [len(row)]]).astype(np.int64) - 1 if len(row) else begin
-        ref = np.array(table.column("ref").to_pylist(), dtype=np.int64)[row[begin]]
-        return pa.table(
-            {
-                "doc_id": table.column("doc_id").take(pa.array(row[begin])).cast(pa.int64()),
-                "mark": pa.array((ref & 0x3FFFFF).astype(np.int32)),
-                "first": pa.array((ref >> 32) + off[begin]),
-                "last": pa.array((ref >> 32) + off[end]),
-            }
+    w = _width(length)
+
+    def solve(batches: list[pa.RecordBatch]) -> pa.RecordBatch:
+        table = pa.Table.from_batches(batches)
+        core, ref = (table.column(n).to_numpy() for n in ("core", "ref"))
+        row, off = equal_to_depth(core, ref & _LOW, table.column("bytes").to_pylist(), length, w)
+        is_open = table.column("open").to_numpy()[row]
+        row, off = row[is_open], off[is_open]
+        begin, end = _runs(row, off)
+        of = pa.array(row[begin])
+        start = ref[row[begin]] >> 2 * _BITS
+        keys = [table.column(n).take(of).combine_chunks() for n in KEY]
+        return pa.RecordBatch.from_arrays(
+            [*keys, pa.array(start + off[begin]), pa.array(start + off[end])], names=[*KEY, "first", "last"]
         )
 
-    return contexts.groupBy("core").applyInArrow(find, schema)
+    def run(batches):
+        held: list[pa.RecordBatch] = []
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            core = batch.column(0).to_numpy()
+            # Whole groups of the first digit are solved together; the last one may go on in the next batch.
+            begin = int(np.searchsorted(core, core[-1]))
+            if held and (begin or held[-1].column(0)[-1] != batch.column(0)[0]):
+                yield solve([*held, batch.slice(0, begin)])
+                held = []
+            elif begin:
+                yield solve([batch.slice(0, begin)])
+            held.append(batch.slice(begin))
+        if held:
+            yield solve(held)
+
+    dealt = contexts.repartition("core").sortWithinPartitions("core")
+    return dealt.mapInArrow(run, f"{_KEY}, first long, last long")
 
 
 def _spread_windows(contexts: DataFrame, length: int) -> DataFrame:
@@ -147,15 +199,18 @@ def _spread_windows(contexts: DataFrame, length: int) -> DataFrame:
 
     def run(batches):
         for batch in batches:
-            for at in range(0, batch.num_rows, 1024):
-                part = batch.slice(at, 1024)
-                row, off, h = _hashed(part.column("bytes").to_pylist(), length)
+            for part in row_slices(batch, 1024):
+                raw = part.column("bytes").to_pylist()
+                c = Corpus(raw)
+                row, off = anchor_places(c.sizes, length)
+                p = c.starts[row] + off
                 of = pa.array(row)
-                columns = [*(part.column(c).take(of) for c in ("core", "open", "doc_id", "ref")), pa.array(off.astype(np.int32)), pa.array(h.view(np.int64))]
-                yield pa.RecordBatch.from_arrays(columns, names=["core", "open", "doc_id", "ref", "off", "hash"])
+                columns = [part.column(n).take(of) for n in ("core", "open", *KEY, "ref")]
+                columns += [pa.array(off.astype(np.int32)), pa.array(c.hashes(p, p + length).view(np.int64))]
+                yield pa.RecordBatch.from_arrays(columns, names=["core", "open", *KEY, "ref", "off", "hash"])
 
     key = ["core", "hash"]
-    rows = stored(contexts.mapInArrow(run, "core long, open boolean, doc_id long, ref long, off int, hash long"), "windows")
+    rows = stored(contexts.mapInArrow(run, f"core long, open boolean, {_KEY}, ref long, off int, hash long"), "windows")
     counts = stored(rows.groupBy(*key).agg(F.count(F.lit(1)).alias("n")).filter("n > 1"), "counts")
     common = counts.filter(F.col("n") > GROUP_CLASSES).select(*key, F.lit(True).alias("common"))
     if common.count() <= BROADCAST_WINDOWS:
@@ -166,37 +221,45 @@ def _spread_windows(contexts: DataFrame, length: int) -> DataFrame:
     hits = known.filter("common").drop("common").unionByName(known.filter("common is null").drop("common").join(rare, key))
 
     def make():
-        def rows_of(ids, refs, lists):
+        def rows_of(ids, marks, refs, lists):
             out = []
-            for i, ref, offs in zip(ids, refs, lists, strict=True):
+            for i, mark, ref, offs in zip(ids, marks, refs, lists, strict=True):
                 offs = np.sort(np.array(offs, dtype=np.int64))
-                cut = np.flatnonzero(offs[1:] != offs[:-1] + 1) + 1
-                for x in np.split(offs, cut):
-                    out.append((i, ref & 0x3FFFFF, (ref >> 32) + int(x[0]), (ref >> 32) + int(x[-1])))
+                for a, b in zip(*_runs(np.zeros(len(offs), np.int64), offs), strict=True):
+                    out.append((i, mark, (ref >> 2 * _BITS) + int(offs[a]), (ref >> 2 * _BITS) + int(offs[b])))
             return out
 
         return rows_of
 
-    lists = hits.groupBy("core", "doc_id", "ref").agg(F.collect_set("off").alias("offs")).select("doc_id", "ref", "offs")
-    return map_rows(lists, "doc_id long, mark int, first long, last long", make)
+    lists = hits.groupBy("core", *KEY, "ref").agg(F.collect_set("off").alias("offs")).select(*KEY, "ref", "offs")
+    return map_rows(lists, f"{_KEY}, first long, last long", make)
 
 
 def repeated_windows(docs: DataFrame, length: int = LENGTH) -> DataFrame:
-    """`doc_id, mark, first, last`: all starts (byte offsets) of windows of `length` bytes that occur more than once."""
+    """`doc_id, mark, first, last`: all starts (byte offsets) of windows of `length` bytes that occur more than once.
+
+    `mark` tells texts with the same id apart. A null text is empty; a text shorter than `length` has no window; an
+    empty table gives an empty one. Extra columns are ignored.
+    """
+    return _repeated(_keyed(docs), length)
+
+
+def _repeated(docs: DataFrame, length: int) -> DataFrame:
     if length < 2 * GRAM:
         raise ValueError(f"length must be {2 * GRAM} at least")
     table = stored(_classes(docs, length), "classes")
     # Written first: a join whose side is still an aggregate on the same key couldn't be split where a digit is common.
     shared = stored(table.groupBy("core").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("core"), "shared")
     alive = stored(table.join(shared, "core"), "alive")
+    discard(table, shared)
     kinds = stored(
-        alive.groupBy("core", "whole").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("doc_id", "ref")).alias("one")),
+        alive.groupBy("core", "whole").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct(*KEY, "ref")).alias("one")),
         "kinds",
     )
     # A passage in a third of all texts is one kind with very many classes; salts deal it over several tasks.
-    salted = alive.withColumn("salt", F.pmod(F.xxhash64("doc_id", "ref"), SALTS))
+    salted = alive.withColumn("salt", F.pmod(F.xxhash64("mark", "ref"), SALTS))
     many = kinds.filter("n > 1").select("core", "whole", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long"))).alias("salt"))
-    full = salted.join(many, ["core", "whole", "salt"]).select("doc_id", "ref")
+    full = salted.join(many, ["core", "whole", "salt"]).select(*KEY, "ref")
     # Groups with several kinds, one of which at least occurs once only
     mixed = (
         kinds.groupBy("core")
@@ -205,43 +268,37 @@ def repeated_windows(docs: DataFrame, length: int = LENGTH) -> DataFrame:
         .select("core", (F.col("m") > GROUP_CLASSES).alias("large"))
     )
     wanted = stored(
-        kinds.join(mixed, "core").select(
-            "core", "large", (F.col("n") == 1).alias("open"), F.col("one.doc_id").alias("doc_id"), F.col("one.ref").alias("ref")
-        ),
+        kinds.join(mixed, "core").select("core", "large", (F.col("n") == 1).alias("open"), "one.doc_id", "one.mark", "one.ref"),
         "wanted",
     )
     border = _border_windows(_contexts(docs, wanted.filter("not large"), length), length)
     if wanted.filter("large").limit(1).count():
         border = border.unionByName(_spread_windows(_contexts(docs, wanted.filter("large"), length), length))
-    first = F.shiftright("ref", 32)
-    whole = full.select(
-        "doc_id",
-        F.col("ref").bitwiseAND(0x3FFFFF).cast("int").alias("mark"),
-        first.alias("first"),
-        (first + F.shiftright("ref", 22).bitwiseAND((1 << _SPAN) - 1)).alias("last"),
-    )
-    return whole.unionByName(border)
+    found = stored(full.select(*KEY, *(c.alias(n) for n, c in _unpacked(F.col("ref")).items())).unionByName(border), "intervals")
+    discard(alive, kinds, wanted)
+    return found
 
 
-def remove_repeats(docs: DataFrame, length: int = LENGTH, with_bytes: bool = True) -> DataFrame:
-    """Per row of `docs`: `doc_id, n_bytes, n_removed, n_spans, kept_sha256` and, on demand, `kept` (the bytes that stay).
+def remove_repeats(docs: DataFrame, length: int = LENGTH) -> DataFrame:
+    """Per row of `docs`: `doc_id, n_bytes, n_removed, n_spans, kept_sha256, kept` (the bytes that stay).
 
     Removed is every byte that a window of `length` bytes covers which also starts anywhere else, be it in the same
     text, overlapping, or in a row that repeats this one. Null text is empty; texts shorter than `length` stay whole;
-    null and repeated ids keep rows of their own.
+    null and repeated ids keep rows of their own; an empty table gives an empty one. Texts of any length are worked
+    through in pieces. Extra columns are ignored, whatever they are called.
     """
-    docs = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-    found = stored(repeated_windows(docs, length), "intervals")
-    lists = found.groupBy("doc_id").agg(F.collect_list(F.struct("mark", "first", "last")).alias("found"))
+    docs = _keyed(docs)
+    found = _repeated(docs, length)
+    lists = found.groupBy(*KEY).agg(F.collect_list(F.struct("first", "last")).alias("found"))
     rows = _joined(docs, lists, "left").select("doc_id", "text", "found")
 
     def make():
         def rows_of(ids, texts, lists):
             out = []
             for i, t, found in zip(ids, texts, lists, strict=True):
-                raw = (t or "").encode("utf-8", "surrogatepass")
-                spans, mark = [], _tell_apart(raw) if found else 0
-                for a, b in sorted((x["first"], x["last"] + length) for x in found or () if x["mark"] == mark):
+                raw = _raw(t)
+                spans = []
+                for a, b in sorted((x["first"], x["last"] + length) for x in found or ()):
                     if spans and a <= spans[-1][1]:
                         spans[-1][1] = max(spans[-1][1], b)
                     else:
@@ -251,15 +308,15 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, with_bytes: bool = Tru
                     kept.append(raw[at:a])
                     at = b
                 rest = b"".join([*kept, raw[at:]])
-                row = (i, len(raw), len(raw) - len(rest), len(spans), hashlib.sha256(rest).hexdigest())
-                out.append((*row, rest) if with_bytes else row)
+                out.append((i, len(raw), len(raw) - len(rest), len(spans), hashlib.sha256(rest).hexdigest(), rest))
             return out
 
         return rows_of
 
-    return map_rows(
-        rows,
-        "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string" + ", kept binary" * with_bytes,
-        make,
-        chunk=128,
-    )
+    return map_rows(rows, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary", make, chunk=128)
+
+
+def kept_texts(docs: DataFrame, length: int = LENGTH) -> DataFrame:
+    """`remove_repeats` with the bytes that stay as `text`; a character cut in two leaves a replacement mark."""
+    out = remove_repeats(docs, length)
+    return out.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", F.make_valid_utf8(F.col("kept").cast("string")).alias("text"))

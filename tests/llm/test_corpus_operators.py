@@ -12,6 +12,7 @@ import numpy as np
 import pytest
 from oracle import both
 
+from latticeframe.llm.repeat_windows import equal_to_depth
 from latticeframe.llm import components, html_extract, line_dedup, near_dedup, queries, suffix_dedup
 from latticeframe.llm.shingle_sets import overlap, shingle_sets
 
@@ -151,7 +152,9 @@ def test_repeated_bytes(spark, monkeypatch, length, classes):
 def test_repeated_bytes_on_documents(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet").limit(80).cache()
     want = brute_repeats([(r.doc_id, (r.text or "").encode()) for r in docs.collect()], 400)
-    assert sorted([tuple(r) for r in suffix_dedup.remove_repeats(docs, with_bytes=False).collect()], key=str) == want
+    made = suffix_dedup.kept_texts(docs).collect()
+    assert sorted([tuple(r)[:5] for r in made], key=str) == want
+    assert all(r.n_bytes - r.n_removed == len(r.text.encode()) for r in made if "\ufffd" not in r.text)
     assert suffix_dedup.remove_repeats(docs.limit(0)).count() == 0
     with pytest.raises(ValueError):
         suffix_dedup.repeated_windows(docs, 20)
@@ -159,24 +162,52 @@ def test_repeated_bytes_on_documents(spark):
 
 @pytest.mark.parametrize("classes", [5, 40])
 def test_large_groups_are_split(spark, monkeypatch, classes):
-    from pyspark.sql.group import GroupedData
+    largest, border = [], suffix_dedup._border_windows
 
-    largest, apply = [], GroupedData.applyInArrow
+    def spy(contexts, length):
+        largest.append(max((r["count"] for r in contexts.groupBy("core").count().collect()), default=0))
+        return border(contexts, length)
 
-    def spy(self, func, schema):
-        largest.append(max((r["count"] for r in self._df.groupBy("core").count().collect()), default=0))
-        return apply(self, func, schema)
-
-    monkeypatch.setattr(GroupedData, "applyInArrow", spy)
+    monkeypatch.setattr(suffix_dedup, "_border_windows", spy)
     monkeypatch.setattr(suffix_dedup, "GROUP_CLASSES", classes)
     random.seed(classes)
     passage = "".join(random.choices("abcdefgh ", k=130))
     rows = [(k, "".join(random.choices("xyz w", k=30 + k % 50)) + passage + "".join(random.choices("xyz w", k=60))) for k in range(90)]
-    got = suffix_dedup.remove_repeats(spark.createDataFrame(rows, "doc_id long, text string"), 100, with_bytes=False).collect()
-    assert sorted(map(tuple, got), key=str) == brute_repeats([(i, t.encode()) for i, t in rows], 100)
+    got = suffix_dedup.remove_repeats(spark.createDataFrame(rows, "doc_id long, text string"), 100).collect()
+    assert sorted((tuple(r)[:5] for r in got), key=str) == brute_repeats([(i, t.encode()) for i, t in rows], 100)
     assert max(largest) <= classes
 
 
+def test_radix_passes():
+    random.seed(3)
+    length, w = 60, 30
+    raw, core, anchor, want = [], [], [], collections.Counter()
+    for k in range(60):
+        middle = bytes([65 + k % 3]) * (length - w + 1)
+        before, after = random.choice([b"", b"p" * 9, b"q" * 29, b"pq" * 7]), random.choice([b"x" * 29, b"y" * 8 + b"x" * 21, b"xy" * 20])
+        raw.append(before + middle + after)
+        core.append(k % 3)
+        anchor.append(len(before))
+    keys = {}
+    for k, r in enumerate(raw):
+        for p in range(len(r) - length + 1):
+            keys[k, p] = (core[k], anchor[k] - p, r[p : p + length])
+            want[keys[k, p]] += 1
+    good = {x for x, key in keys.items() if want[key] > 1 and 0 <= key[1] < w}
+    row, off = equal_to_depth(np.array(core), np.array(anchor), raw, length, w)
+    assert {(k, p) for k, p in zip(row.tolist(), off.tolist()) if 0 <= anchor[k] - p < w} == good
+
+
+def test_very_long_texts_are_worked_in_pieces(spark):
+    random.seed(4)
+    text = "".join(random.choices("abcdefghijklm", k=suffix_dedup.PIECE_BYTES + 5000))
+    at = suffix_dedup.PIECE_BYTES - 250
+    rows = [(1, text), ((1 << 60) + 1, "start " + text[at : at + 600] + " end"), (None, "short"), (4, text[:399])]
+    got = {r.doc_id: r for r in suffix_dedup.remove_repeats(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert (got[1].n_removed, got[1].n_spans) == (600, 1) and bytes(got[1].kept) == (text[:at] + text[at + 600 :]).encode()
+    assert bytes(got[(1 << 60) + 1].kept) == b"start  end" and got[4].n_removed == got[None].n_removed == 0
+
+
 def brute_lines(docs, min_lines, min_words):
     flat = []
     for i, t in docs:
