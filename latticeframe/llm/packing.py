@@ -5,7 +5,7 @@ piece lengths). An item goes to the bin, among those with room in every capacity
 weighted residual norm (`rule="norm"`), or whose residual has the largest weighted dot product with the item
 (`rule="dot"`); if no bin has room it opens a new one.
 
-Pieces are dealt into groups of bounded size by a hash, so each group has the length mix of the whole and packs on its
+Pieces are dealt into groups of bounded size by their row numbers, so each group has the length mix of the whole and packs on its
 own. Bins that stay notably unfilled are opened again and packed in a second round over all groups.
 """
 
@@ -15,7 +15,7 @@ import zlib
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -27,7 +27,7 @@ PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long"
 
 @dataclass(frozen=True)
 class Capacity:
-    """Limits of one sequence; None is no limit."""
+    """Limits of one sequence; None is no limit, and then the weight counts for nothing."""
 
     tokens: int = 2048
     documents: int | None = None
@@ -36,6 +36,17 @@ class Capacity:
     rule: str = "norm"
 
 
+
+
+def all_capacities(tokens: int) -> Capacity:
+    """Token, place and attention capacities of a sequence of `tokens` tokens.
+
+    A piece has a token at least, and squares of lengths add up to no more than the square of their sum, so the second
+    and third never cost a sequence; they weigh on which of the bins with room for a piece is the best one.
+    """
+    return Capacity(tokens=tokens, documents=tokens, attention=tokens**2)
+
+
 #: Pieces of a group that one task packs
 GROUP = 8192
 #: Bins filled less than this are packed again
@@ -105,43 +116,54 @@ def pack(lengths: np.ndarray, cap: Capacity) -> np.ndarray:
 
 
 def _packed(pieces: DataFrame, n: int, cap: Capacity, round_no: int) -> DataFrame:
-    """Pieces with `grp, bin, offset, fill`."""
+    """Pieces with `grp, bin, offset, fill`, dealt by the row numbers that were written with them."""
     groups = max(1, -(-n // GROUP))
-    dealt = pieces.withColumn("grp", F.pmod(F.xxhash64("doc_id", "piece", F.lit(round_no)), groups))
+    dealt = pieces.withColumn("grp", F.pmod(F.xxhash64("row", F.lit(round_no)), groups))
 
-    def pack_group(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf["bin"] = pack(pdf["length"].to_numpy(), cap)
-        pdf = pdf.sort_values(["bin", "doc_id", "piece"], kind="stable")
-        total = pdf.groupby("bin")["length"]
-        pdf["offset"] = total.cumsum() - pdf["length"]
-        pdf["fill"] = total.transform("sum")
-        return pdf
+    def pack_group(table: pa.Table) -> pa.Table:
+        lengths = table.column("length").to_numpy()
+        bins = pack(lengths, cap)
+        order = np.lexsort((table.column("row").to_numpy(), bins))
+        bins, lengths = bins[order], lengths[order]
+        before = np.cumsum(lengths) - lengths
+        first = np.searchsorted(bins, bins)
+        fill = np.bincount(bins, weights=lengths).astype(np.int64)[bins]
+        out = table.take(pa.array(order))
+        for name, value in (("bin", bins), ("offset", before - before[first]), ("fill", fill)):
+            out = out.append_column(name, pa.array(value))
+        return out
 
-    return dealt.groupBy("grp").applyInPandas(pack_group, f"{PIECES}, grp long, bin long, offset long, fill long")
+    return dealt.groupBy("grp").applyInArrow(pack_group, f"{PIECES}, row long, grp long, bin long, offset long, fill long")
 
 
 def pack_pieces(pieces: DataFrame, cap: Capacity) -> DataFrame:
-    """`pieces` plus `sequence_id` and `offset`. An empty table stays empty."""
-    pieces = stored(pieces, "pieces")
-    names = [f.name for f in pieces.schema]
+    """`pieces` plus `sequence_id` and `offset`.
+
+    Pieces are packed by their row in the written table, so null ids, repeated ids and repeated rows are spread like
+    any others. An empty table stays empty.
+    """
+    names = pieces.columns
+    pieces = stored(pieces.withColumn("row", F.monotonically_increasing_id()), "pieces")
     whole = pieces.filter(F.col("length") >= cap.tokens)
     rest = pieces.filter(F.col("length") < cap.tokens)
     first = stored(_packed(rest, rest.count(), cap, 1), "first")
     good = first.filter(F.col("fill") >= WELL_FILLED * cap.tokens)
     again = first.filter(F.col("fill") < WELL_FILLED * cap.tokens)
-    second = _packed(again.select(names), again.count(), cap, 2)
+    second = _packed(again.select(*names, "row"), again.count(), cap, 2)
 
     def numbered(df: DataFrame, kind: int) -> DataFrame:
-        # kind, group and bin side by side: no two rounds or groups share a number
-        number = (F.col("grp") * GROUP * 4 + F.col("bin")) * 3 + kind
+        # group, bin and kind side by side: a group has fewer bins than rows, and rows of a task fit into 32 bits
+        number = F.shiftleft("grp", 34) + F.shiftleft("bin", 2) + kind
         return df.select(*names, number.alias("sequence_id"), "offset")
 
-    alone = whole.select(
-        *names, (F.monotonically_increasing_id() * 3 + 2).alias("sequence_id"), F.lit(0).cast("long").alias("offset")
-    )
+    alone = whole.select(*names, (F.shiftleft("row", 2) + 2).alias("sequence_id"), F.lit(0).cast("long").alias("offset"))
     return alone.unionByName(numbered(good, 0)).unionByName(numbered(second, 1))
 
 
 def pack_documents(docs: DataFrame, path: str, cap: Capacity = Capacity()) -> DataFrame:
-    """Where every piece of every document goes: `doc_id, piece, start, length, ids_crc32, sequence_id, offset`."""
+    """Where every piece of every document goes: `doc_id, piece, start, length, ids_crc32, sequence_id, offset`.
+
+    Null text is empty and makes one piece of the separator; a very long text makes many pieces; null ids, repeated
+    ids and repeated rows are documents of their own; extra columns are ignored; an empty table gives an empty one.
+    """
     return pack_pieces(tokenised_pieces(docs, path, cap.tokens), cap)

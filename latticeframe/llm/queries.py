@@ -30,7 +30,7 @@ def op5_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op1_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(
-        read_table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), packing.Capacity(tokens=2048)
+        read_table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), packing.all_capacities(2048)
     )
 
 

@@ -244,3 +244,20 @@ def test_packed_documents(spark):
             at += length
         assert at <= 2048
     assert packing.pack_documents(table(spark).limit(0), path).count() == 0
+
+
+def test_packing_keeps_odd_ids_apart(spark):
+    """Null ids, ids beyond 2**53, repeated rows and columns with clashing names: every row is a document of its own."""
+    big = (1 << 60) + 1
+    rows = [(None, "one two"), (None, "one two"), (big, "three"), (big, "four five"), (-big, None)] * 40
+    docs = spark.createDataFrame([(i, t, 1, "x") for i, t in rows], "doc_id long, text string, length int, `a.b` string")
+    path = public_tokenizers.path("word_bpe_49k.json")
+    got = packing.pack_documents(docs, path, packing.all_capacities(16)).collect()
+    assert collections.Counter(r.doc_id for r in got) == collections.Counter(i for i, _ in rows)
+    by = collections.defaultdict(list)
+    for r in got:
+        by[r.sequence_id].append((r.offset, r.length))
+    for places in by.values():
+        ends = [a + n for a, n in sorted(places)]
+        assert [a for a, _ in sorted(places)] == [0, *ends[:-1]] and ends[-1] <= 16
+    assert len(by) == -(-sum(r.length for r in got) // 16)
