@@ -31,7 +31,7 @@ def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The place of every piece of every document in sequences of 2048 tokens."""
-    return packing.pack_documents(docs, public_tokenizers.path("word_bpe_49k.json"), packing.Capacity(tokens=2048))
+    return packing.pack_documents(docs, public_tokenizers.path("word_bpe_49k.json"), packing.all_capacities(2048))
 
 
 STAGES = [
