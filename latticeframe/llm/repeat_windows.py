@@ -96,7 +96,6 @@ def equal_to_depth(core: np.ndarray, anchor: np.ndarray, raw: list[bytes], lengt
     place = starts[row] + off
     group, digit = core[row], ahead
     skip, rest = length - w + 1, w - 1
-    lanes = np.arange(8)
     for k in range(0, rest + 8, 8):
         order = np.lexsort((digit, group))
         g, d = group[order], digit[order]
@@ -109,9 +108,10 @@ def equal_to_depth(core: np.ndarray, anchor: np.ndarray, raw: list[bytes], lengt
         group = np.cumsum(new[:-1])[among]
         if k >= rest or not len(row):
             break
-        at = k + lanes
-        byte = data[place[:, None] + at + np.where(at < ahead[:, None], 0, skip)]
-        byte[:, at >= rest] = 0
-        digit = byte.view(">u8").ravel().astype(np.uint64)
+        digit = np.zeros(len(place), np.uint64)
+        for at in range(k, k + 8):
+            digit <<= np.uint64(8)
+            if at < rest:
+                digit |= data[place + np.where(at < ahead, at, at + skip)]
     order = np.lexsort((off, row))
     return row[order], off[order]

@@ -32,8 +32,8 @@ from latticeframe.llm.repeat_windows import GRAM, Corpus, anchor_places, classes
 from latticeframe.llm.shingle_sets import mix
 
 LENGTH = 400
-#: Different classes of one first digit, and equal windows, that a task takes
-GROUP_CLASSES = 4096
+#: Different classes of one first digit, and equal windows, that a task takes at once
+GROUP_CLASSES = 2048
 #: Very common windows that may be sent to every task
 BROADCAST_WINDOWS = 1_000_000
 #: Tasks over which the classes of one kind are dealt
@@ -174,19 +174,20 @@ def _border_windows(contexts: DataFrame, length: int) -> DataFrame:
         )
 
     def run(batches):
-        held: list[pa.RecordBatch] = []
+        # Whole groups of the first digit are solved together, some thousand rows at a time; the last may go on.
+        held, rows = [], 0
         for batch in batches:
-            if not batch.num_rows:
-                continue
             core = batch.column(0).to_numpy()
-            # Whole groups of the first digit are solved together; the last one may go on in the next batch.
-            begin = int(np.searchsorted(core, core[-1]))
-            if held and (begin or held[-1].column(0)[-1] != batch.column(0)[0]):
-                yield solve([*held, batch.slice(0, begin)])
-                held = []
-            elif begin:
-                yield solve([batch.slice(0, begin)])
-            held.append(batch.slice(begin))
+            at = 0
+            while at < len(core):
+                if held and core[at] != held[-1].column(0)[-1].as_py() and rows >= GROUP_CLASSES:
+                    yield solve(held)
+                    held, rows = [], 0
+                # To the end of the group that the last row taken is in
+                end = int(np.searchsorted(core, core[min(at + GROUP_CLASSES, len(core)) - 1], side="right"))
+                held.append(batch.slice(at, end - at))
+                rows += end - at
+                at = end
         if held:
             yield solve(held)
 
