@@ -72,7 +72,10 @@ def parse(formatted: str) -> list[tuple[str, int, int]]:
 
 
 def events_of_turns(turns: DataFrame) -> DataFrame:
-    """The log behind finished turns: a start and two streamed deltas for each row.
+    """A log behind finished turns: a start, a streamed draft that is given up, and the text that replaces it.
+
+    A model's draft is regenerated and streamed anew in two deltas, any other one is edited and then added to.
+
 
     Null texts and roles are empty. Rows with the same conversation and turn stay messages of their own, ordered by
     role and text; null turns come first; a null conversation is one of its own.
@@ -85,18 +88,23 @@ def events_of_turns(turns: DataFrame) -> DataFrame:
     order = W.partitionBy("conv_id").orderBy(F.col("turn").asc_nulls_first(), "role", "text")
     rows = rows.withColumn("n", F.row_number().over(order).cast("long"))
     half = F.floor(F.length("text") / 2).cast("int")
+    left, right = F.left("text", half), F.substring(F.col("text"), half + 1, F.length("text"))
+    model = F.col("role").isin(*LOSS_ROLES)
+
+    def event(step: int, kind: str | Column, said: Column) -> Column:
+        kind = F.lit(kind) if isinstance(kind, str) else kind
+        return F.struct(F.lit(step).alias("step"), kind.alias("kind"), said.alias("text"))
+
     steps = F.array(
-        F.struct(F.lit(0).alias("step"), F.lit("start").alias("kind"), F.lit("").alias("text")),
-        F.struct(F.lit(1).alias("step"), F.lit("delta").alias("kind"), F.left("text", half).alias("text")),
-        F.struct(
-            F.lit(2).alias("step"),
-            F.lit("delta").alias("kind"),
-            F.substring(F.col("text"), half + 1, F.length("text")).alias("text"),
-        ),
+        event(0, "start", F.lit("")),
+        event(1, "delta", right),
+        event(2, F.when(model, "regenerate").otherwise("edit"), F.when(~model, left)),
+        event(3, "delta", F.when(model, left).otherwise(F.lit(""))),
+        event(4, "delta", right),
     )
     return rows.select("conv_id", "role", "n", F.explode(steps).alias("e")).select(
         "conv_id",
-        (F.col("n") * 3 + F.col("e.step")).alias("seq"),
+        (F.col("n") * 5 + F.col("e.step")).alias("seq"),
         F.col("n").cast("string").alias("message_id"),
         "e.kind",
         F.when(F.col("e.step") == 0, F.col("role")).alias("role"),
@@ -108,7 +116,8 @@ def fold(events: DataFrame) -> DataFrame:
     """Final messages `conv_id, first_seq, message_id, role, text` of a log.
 
     The last start, edit or regeneration of a message decides where its text begins; later deltas are appended in
-    order of `seq` (ties: by kind and text). A message without a start has an empty role unless another event names
+    order of `seq` (ties: by kind and text). An empty log gives no messages; extra columns are ignored; a text may have
+    any length. A message without a start has an empty role unless another event names
     one (the latest does). Deleted messages are gone; unknown kinds and null texts add nothing. Equal events count
     as often as they are there.
     """

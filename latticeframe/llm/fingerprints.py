@@ -19,9 +19,12 @@ SHINGLE = 5
 FRACTION = 0.25
 #: Hashes are unsigned and 48 bits wide.
 HASH_BITS = 48
-#: Rows of one bucket when documents are put in order
-BUCKET_ROWS = 512
-MAX_BUCKETS = 1_000_000
+#: Documents are put in order in ranges of ids: quantiles that cut these first, rows meant for one range, most ranges,
+#: and bits of the hash that cuts ids which are too frequent for one range
+CELLS = 256
+RANGE_ROWS = 512
+MAX_RANGES = 1 << 18
+MARK_BITS = 10
 
 
 def sketch(text: Column, size: int = SHINGLE, fraction: float = FRACTION) -> Column:
@@ -66,46 +69,66 @@ def containment(a: Column, b: Column) -> Column:
     return F.when(F.size(a) == 0, F.lit(1.0)).otherwise(F.size(F.array_intersect(a, b)) / F.size(a))
 
 
-def with_next(docs: DataFrame, key: str, tie: str, more: dict[str, Column]) -> DataFrame:
-    """`docs` with the columns `more`, and `next_<column>` of the row that follows by descending `key`.
+def _ranges(docs: DataFrame) -> Column:
+    """The range of a row of `docs` (columns doc_id, mark), ascending in the order of `_place`.
 
-    After the last row comes the first. Rows are dealt into id ranges in one shuffle; each range also gets a copy of
-    the first row of the range that follows, so no window spans more than one range. Ids may have gaps; repeated
-    ids are put in order by `tie`; null ids come last. Very uneven ids make uneven ranges, which costs time, not
-    rows.
+    Ids are cut at quantiles, and between two of these evenly, so far-off ids don't empty the other ranges. Ids that
+    reach over several quantiles, and null ones, are cut by `mark` too.
     """
-    k = F.col(key)
-    span = docs.agg(F.min(k).alias("lo"), F.max(k).alias("hi"), F.count(F.lit(1)).alias("n")).first()
-    lo, hi, n = span["lo"] or 0, span["hi"] or 0, max(span["n"], 1)
-    ranges = min(max(1, n // BUCKET_ROWS), MAX_BUCKETS)
-    step = max(1, -(-(hi - lo + 1) // ranges))
-    # The range of null ids follows the range of the least ids.
-    bucket = F.coalesce(F.floor((k - F.lit(lo)) / F.lit(step)).cast("bigint"), F.lit(-1).cast("bigint"))
-    marked = docs.withColumn("__bucket", bucket)
-    # The first id of each range and the range that stands before it: MAX_BUCKETS rows at most.
-    firsts = marked.groupBy("__bucket").agg(F.max(k).alias("__first"))
-    around = W.orderBy(F.col("__bucket").desc())
-    before = F.coalesce(F.lag("__bucket").over(around), F.min("__bucket").over(W.partitionBy()))
-    firsts = firsts.select("__bucket", "__first", before.alias("__before"))
-    heads = (
-        marked.join(F.broadcast(firsts), "__bucket")
-        .filter(k.eqNullSafe(F.col("__first")))
-        .select(*docs.columns, F.col("__before").alias("__bucket"), F.lit(True).alias("__copy"))
-    )
-    rows = marked.withColumn("__copy", F.lit(False)).unionByName(heads).withColumns(more)
-    follow = W.partitionBy("__bucket").orderBy("__copy", k.desc_nulls_last(), F.col(tie).asc_nulls_first())
+    k = F.col("doc_id")
+    told = docs.agg(F.percentile_approx(k, [i / CELLS for i in range(CELLS + 1)]).alias("q"), F.count(F.lit(1)).alias("n")).first()
+    cuts = told["q"] or [0]
+    parts = max(1, min(told["n"] // RANGE_ROWS, MAX_RANGES) // CELLS)
+    often = sorted({x for x, y in zip(cuts, cuts[1:], strict=False) if x == y}) or [cuts[0]]
+    longs = lambda x: F.array(*(F.lit(v).cast("long") for v in x))
+    cell = F.size(F.filter(longs(cuts[1:-1]), lambda c: c <= k)) if len(cuts) > 2 else F.lit(0)
+    low = F.get(longs(cuts[:-1] or cuts), cell).cast("double")
+    high = F.get(longs(cuts[1:] or cuts), cell).cast("double")
+    # In doubles, as differences of ids can be wider than a long; rounding keeps the order.
+    part = F.floor((k.cast("double") - low) / F.greatest(high - low, F.lit(1.0)) * parts)
+    part = F.coalesce(F.least(F.greatest(part, F.lit(0)), F.lit(parts - 1)), F.lit(0))
+    by_mark = F.when(k.isNull() | k.isin(often), F.shiftright("mark", 64 - MARK_BITS)).otherwise(F.lit(0))
+    return F.struct(k.isNull().alias("none"), (-cell).alias("cell"), (-part).alias("part"), by_mark.alias("by_mark"))
+
+
+def _place() -> Column:
+    """Ascending where `doc_id` descends; null ids come last, repeated ids in the order of their marks."""
+    return F.struct(F.col("doc_id").isNull().alias("none"), F.bitwise_not("doc_id").alias("down"), F.col("mark").alias("mark"))
+
+
+def with_next(docs: DataFrame, more: dict[str, Column]) -> DataFrame:
+    """`docs` (doc_id long, text string) with the columns `more`, and `next_text` and `next_<column>` for each of these.
+
+    The next row is the one that follows by descending id; after the last comes the first. Rows are dealt into ranges
+    of ids in one shuffle; each range also gets a copy of the first row of the range that follows, so no window spans
+    more than one range. Ids may have gaps and any width. Repeated ids stand in the order of a hash of their texts,
+    null ones after all others.
+    """
+    docs = docs.select("doc_id", "text", F.xxhash64("text").alias("mark"))
+    marked = docs.withColumn("range", _ranges(docs)).withColumn("place", _place())
+    # The first row of each range and the range before it: a table of (MAX_RANGES + marks of frequent ids) rows at most.
+    firsts = marked.groupBy("range").agg(F.min("place").alias("first"))
+    around = W.orderBy("range")
+    before = F.coalesce(F.lag("range").over(around), F.max("range").over(W.partitionBy()))
+    firsts = firsts.select(F.col("range").alias("of"), "first", before.alias("before"))
+    heads = marked.join(F.broadcast(firsts), (F.col("range") == F.col("of")) & (F.col("place") == F.col("first")))
+    heads = heads.select("doc_id", "text", "place", F.col("before").alias("range"), F.lit(True).alias("copy"))
+    rows = marked.select("doc_id", "text", "place", "range", F.lit(False).alias("copy")).unionByName(heads).withColumns(more)
+    follow = W.partitionBy("range").orderBy("copy", "place")
     # One lead per column: a lead over a struct of them would make a second copy of every text in the shuffle.
-    lead = {f"next_{c}": F.lead(c).over(follow) for c in [*docs.columns, *more] if c != key}
-    return rows.withColumns(lead).filter(~F.col("__copy")).drop("__copy", "__bucket")
+    lead = {f"next_{c}": F.lead(c).over(follow) for c in ("text", *more)}
+    return rows.withColumns(lead).filter(~F.col("copy")).drop("copy", "range", "place")
 
 
 def compare_with_edits(docs: DataFrame) -> DataFrame:
     """Fingerprints of every text and of its edit, whose second half is the first half of the next document.
 
     Null text is empty; equal texts have equal fingerprints, whatever their ids; a lone document is its own next.
+    Texts are taken whole, however long; null and repeated ids and repeated rows keep rows of their own (their order is
+    that of `with_next`); extra columns are ignored; an empty table gives an empty one.
     """
     texts = docs.select(F.col("doc_id").cast("long"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
-    rows = with_next(texts, "doc_id", "text", {"sketch": sketch(F.col("text"))})
+    rows = with_next(texts, {"sketch": sketch(F.col("text"))})
     n = F.length("text")
     half = F.floor(n / 2).cast("int")
     edited = F.concat(F.left("text", n - half), F.left("next_text", half))

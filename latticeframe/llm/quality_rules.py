@@ -1,7 +1,8 @@
 """Quality rules with adaptive thresholds (operator 8, built-in functions only).
 
 Method: every document gets a few ratios; per (lang, source) group their quantiles come from mergeable KLL sketches,
-and a document fails where a ratio lies outside a fence around the quartiles of its own group. The fences replace
+and a document fails where a ratio lies outside a fence around the quartiles of its own group, shrunk towards those
+of all documents by the group's size. The fences replace
 fixed cut-offs: a group that writes longer words or more symbols as a whole gets wider limits by itself.
 """
 
@@ -10,6 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from latticeframe.llm.common import stored
 from latticeframe.llm.native_text import count_any, count_spaces, let, word_windows, words, words_in_repeats
 
 SYMBOLS = "#*$%&|<>"
@@ -18,8 +20,8 @@ WINDOW = 5
 RATIOS = {"symbol_ratio": 0.01, "dup_line_ratio": 0.15, "mean_word_chars": 1.0}
 #: fences stand this many spreads beyond the quartiles
 REACH = 3.0
-#: groups with fewer documents are judged by the fences of all documents
-MIN_GROUP = 30
+#: the quartiles of all documents count as so many documents of a group
+PRIOR = 30
 #: most groups whose fences are broadcast; beyond it the join shuffles
 BROADCAST_GROUPS = 50_000
 
@@ -63,75 +65,75 @@ def with_metrics(docs: DataFrame, text: str = "text") -> DataFrame:
 def fences(measured: DataFrame) -> DataFrame:
     """Per (lang, source): the limits of each ratio, from KLL sketches of all its documents.
 
-    Sketches are built per (lang, source) and merged up to the one over everything, which serves small groups.
-    A null language or source is a group of its own.
+    Sketches are built per (lang, source), written once, and merged to the one over everything. The quartiles of a
+    group of n documents count n times against `PRIOR` times those of all documents, so a small group leans on the
+    others and no group size switches anything. A null language or source is a group of its own.
     """
-    keys = [F.col("lang").cast("string").alias("__q_lang"), F.col("source").cast("string").alias("__q_source")]
-    parts = measured.groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("n"), *(F.kll_sketch_agg_double(_prefixed(r)).alias(r) for r in RATIOS)
+    keys = [F.col("lang").cast("string").alias("lang"), F.col("source").cast("string").alias("source")]
+    parts = stored(
+        measured.groupBy(*keys).agg(
+            F.count(F.lit(1)).alias("n"), *(F.kll_sketch_agg_double(_prefixed(r)).alias(r) for r in RATIOS)
+        ),
+        "sketches",
     )
     whole = parts.agg(*(F.kll_merge_agg_double(r).alias(f"all_{r}") for r in RATIOS))
 
-    def limits(sketch: Column, least: float) -> Column:
-        q = F.kll_sketch_get_quantile_double(sketch, F.array(F.lit(0.25), F.lit(0.75)))
+    def limits(own: Column, every: Column, least: float) -> Column:
+        quartiles = F.array(F.lit(0.25), F.lit(0.75))
+        q = F.struct(F.kll_sketch_get_quantile_double(own, quartiles).alias("a"), F.kll_sketch_get_quantile_double(every, quartiles).alias("b"))
+        mean = lambda v, k: (F.get(v["a"], k) * F.col("n") + F.get(v["b"], k) * PRIOR) / (F.col("n") + PRIOR)
         return let(
             q,
             lambda v: let(
-                F.greatest(F.get(v, 1) - F.get(v, 0), F.lit(least)) * REACH,
-                lambda s: F.struct((F.get(v, 0) - s).alias("lo"), (F.get(v, 1) + s).alias("hi")),
+                F.greatest(mean(v, 1) - mean(v, 0), F.lit(least)) * REACH,
+                lambda s: F.struct((mean(v, 0) - s).alias("lo"), (mean(v, 1) + s).alias("hi")),
             ),
         )
 
     # `whole` is a single row, so this join is bounded whatever the number of groups.
     return parts.join(F.broadcast(whole)).select(
-        "__q_lang",
-        "__q_source",
-        *(
-            limits(F.when(F.col("n") >= MIN_GROUP, F.col(r)).otherwise(F.col(f"all_{r}")), least).alias(f"__f_{r}")
-            for r, least in RATIOS.items()
-        ),
+        "lang", "source", *(limits(F.col(r), F.col(f"all_{r}"), least).alias(r) for r, least in RATIOS.items())
     )
 
 
 def judge(docs: DataFrame, text: str = "text") -> DataFrame:
-    """`docs` plus its metrics and `__q_kept`.
+    """`row` (a struct of the columns of `docs`), its metrics as `__q_*` columns, and `__q_kept`.
 
     Rejected are documents that fail the base rule (under 10 words, or over a fifth of the words in repeated
-    five-word windows) or leave a fence of their group. Repeated rows are judged alike, each for itself. An empty
-    table stays empty. Metrics are computed from the scan twice (the cheap ratios first, for the fences), which
-    moves no text between executors.
+    five-word windows) or leave a fence of their group. Null text has no words; repeated rows are judged alike, each
+    for itself; texts are judged whole, however long; an empty table stays empty; columns of `docs` may have any
+    names, as they travel in one struct. Metrics are computed from the scan twice (the cheap ratios first, for the
+    fences), which moves no text between executors.
     """
-    measured = with_metrics(docs, text)
-    table = fences(measured).withColumnsRenamed({"__q_lang": "__f_lang", "__q_source": "__f_source"})
-    # Number of groups is only known from the data: a size check decides about broadcasting.
-    n_groups = docs.select("lang", "source").distinct().limit(BROADCAST_GROUPS + 1).count()
-    if n_groups <= BROADCAST_GROUPS:
+    names = {"text": text, "lang": "lang", "source": "source"}
+    rows = docs.select(F.struct("*").alias("row"), *(F.col(c).alias(n) for n, c in names.items()))
+    measured = with_metrics(rows).drop("text")
+    table = stored(fences(measured), "fences").withColumnsRenamed({"lang": "of_lang", "source": "of_source"})
+    # The number of groups is only known from the data: its count decides about broadcasting.
+    if table.count() <= BROADCAST_GROUPS:
         table = F.broadcast(table)
     joined = measured.join(
         table,
-        F.col("lang").cast("string").eqNullSafe(F.col("__f_lang"))
-        & F.col("source").cast("string").eqNullSafe(F.col("__f_source")),
+        F.col("lang").cast("string").eqNullSafe(F.col("of_lang")) & F.col("source").cast("string").eqNullSafe(F.col("of_source")),
         "left",
     )
     inside = F.lit(True)
     for r in RATIOS:
-        v = F.col(_prefixed(r))
-        inside = inside & F.coalesce(v.between(F.col(f"__f_{r}.lo"), F.col(f"__f_{r}.hi")), F.lit(True))
-    return joined.withColumn("__q_kept", ~F.col("__q_base_failed") & inside).drop(
-        "__f_lang", "__f_source", *(f"__f_{r}" for r in RATIOS)
-    )
+        inside = inside & F.coalesce(F.col(_prefixed(r)).between(F.col(f"{r}.lo"), F.col(f"{r}.hi")), F.lit(True))
+    verdict = (~F.col(_prefixed("base_failed")) & inside).alias("__q_kept")
+    return joined.select("row", *(c for c in measured.columns if c.startswith("__q_")), verdict)
 
 
 def keep_good(docs: DataFrame) -> DataFrame:
     """The rows of `docs` that pass, with its columns."""
-    return judge(docs).filter("__q_kept").select(*(F.col(f"`{c}`") for c in docs.columns))
+    return judge(docs).filter("__q_kept").select("row.*")
 
 
 def report(docs: DataFrame) -> DataFrame:
     """Counts and verdicts per document."""
     judged = judge(docs.select("doc_id", "text", "lang", "source"))
     names = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
-    return judged.select(F.col("doc_id").cast("long"), *(F.col(_prefixed(n)).alias(n) for n in names))
+    return judged.select(F.col("row.doc_id").cast("long").alias("doc_id"), *(F.col(_prefixed(n)).alias(n) for n in names))
 
 
 __all__ = ["fences", "judge", "keep_good", "report", "with_metrics"]
