@@ -19,6 +19,7 @@ import hashlib
 import html as html_lib
 import math
 import re
+from collections import Counter
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -41,9 +42,14 @@ NEVER = frozenset(
 NAMES = frozenset(
     "ad ads adbox adsense advert adverts advertisement advertising banner breadcrumb breadcrumbs comment comments consent "
     "cookie cookies disqus footer gdpr login masthead menu modal nav navbar navigation newsletter notice pagination pager "
-    "popup promo promotion related search share sharing sidebar signup skip social sponsor sponsored subscribe toolbar "
+    "popup promo promotion search share sharing sidebar signup skip social sponsor sponsored subscribe toolbar "
     "widget".split()
 )
+#: Words that may stand beside one of the names in a class or id without changing what it says
+LAYOUT = frozenset(
+    "area bar block body bottom box button buttons container content footer form global header holder icon icons inner "
+    "item items left link links list main outer page panel primary right secondary section site slot top unit wrap wrapper".split()
+)
 ROLES = frozenset("alert alertdialog banner complementary contentinfo dialog form menu menubar navigation search toolbar".split())
 IMPLIED_END = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
 
@@ -57,20 +63,33 @@ ARTICLE = 0.2
 LEAST_PAGES = 8
 BROADCAST_NOISE = 200_000
 
-_tag = re.compile(r"""<(?:!--.*?(?:-->|\Z)|[!?][^>]*(?:>|\Z)|(/?)([a-zA-Z][^\s/>]*)((?:[^>"']|"[^"]*"|'[^']*')*)(?:>|\Z))""", re.DOTALL)
+_tag = re.compile(r"""<(?:!--.*?(?:-->|\Z)|[!?][^>]*(?:>|\Z)|(/?)([a-zA-Z][^\s/>]*)((?:[^>"']|"[^"]*"|'[^']*'|"(?![^"]*")|'(?![^']*'))*)(?:>|\Z))""", re.DOTALL)
 _attr = re.compile(r"""\b(class|id|role|hidden|aria-hidden)\b(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+)))?""", re.IGNORECASE)
 _name = re.compile(r"[a-z]+")
 
 
 class Node:
-    __slots__ = ("tag", "path", "never", "article", "children")
+    """An element. `key` is a hash of its style and its parent's key, and so of its path, whatever the depth."""
+
+    __slots__ = ("tag", "key", "up", "never", "article", "children")
 
-    def __init__(self, tag: str, path: str, never: bool, article: Node | None):
-        self.tag, self.path, self.never = tag, path, never
-        self.article = article or (self if tag in ("article", "main") and not never else None)
+    def __init__(self, tag: str, style: str, up: Node | None, never: bool):
+        self.tag, self.up = tag, up
+        self.key = _key(str(up.key), style) if up else 0
+        self.never = never or bool(up and up.never)
+        self.article = (up and up.article) or (self if tag in ("article", "main") and not self.never else None)
         self.children: list[str] = []
 
 
+def _says(value: str) -> bool:
+    """Whether a class or an id names a part that isn't the article: a name, alone or with words of layout."""
+    for token in value.split():
+        words = set(_name.findall(token))
+        if words and not words.isdisjoint(NAMES) and words <= NAMES | LAYOUT:
+            return True
+    return False
+
+
 def _judge(tag: str, attrs: str, inside: bool) -> tuple[str, bool]:
     """(style of an element, whether it is never part of an article)."""
     if tag in NEVER or (tag == "header" and not inside):
@@ -82,7 +101,7 @@ def _judge(tag: str, attrs: str, inside: bool) -> tuple[str, bool]:
         name, value = m[1].lower(), (m[2] or m[3] or m[4] or "").lower()
         if name in ("class", "id"):
             style += ("." if name == "class" else "#") + value
-            never |= tag not in ("html", "body", "article", "main") and not NAMES.isdisjoint(_name.findall(value))
+            never |= tag not in ("html", "body", "article", "main") and _says(value)
             never |= tag == "article" and "comment" in value
         elif name == "role":
             never |= value in ROLES
@@ -95,8 +114,9 @@ def _judge(tag: str, attrs: str, inside: bool) -> tuple[str, bool]:
 
 def parse(page: str) -> tuple[list[Node], list[tuple[Node, str]]]:
     """All elements of a page, and its blocks of text in order with the element that each stands in."""
-    root = Node("", "", False, None)
+    root = Node("", "", None, False)
     nodes, blocks, stack = [], [], [root]
+    open_tags: Counter[str] = Counter()  # so that a search of the stack only begins where it succeeds
     parts: list[str] = []
     at = 0
 
@@ -111,8 +131,12 @@ def parse(page: str) -> tuple[list[Node], list[tuple[Node, str]]]:
         """Close stack[k] and all that is open inside."""
         if any(x.tag in BLOCK for x in stack[k:]):
             flush(stack[-1])
+        open_tags.subtract(x.tag for x in stack[k:])
         del stack[k:]
 
+    def innermost(tag: str) -> int:
+        return next(i for i in range(len(stack) - 1, 0, -1) if stack[i].tag == tag) if open_tags[tag] else 0
+
     n = len(page)
     while at < n:
         m = _tag.search(page, at)
@@ -127,15 +151,13 @@ def parse(page: str) -> tuple[list[Node], list[tuple[Node, str]]]:
             continue
         tag = m[2].lower()
         if m[1]:
-            k = next((i for i in range(len(stack) - 1, 0, -1) if stack[i].tag == tag), 0)
-            if k:
+            if k := innermost(tag):
                 close(k)
             continue
         if tag in CLOSES_P:
-            k = next((i for i in range(len(stack) - 1, 0, -1) if stack[i].tag == "p"), 0)
-            if k:
+            if k := innermost("p"):
                 close(k)
-        if tag in IMPLIED_END:
+        if tag in IMPLIED_END and any(open_tags[x] for x in IMPLIED_END[tag]):
             for i in range(len(stack) - 1, 0, -1):
                 if stack[i].tag in IMPLIED_END[tag]:
                     close(i)
@@ -151,7 +173,7 @@ def parse(page: str) -> tuple[list[Node], list[tuple[Node, str]]]:
         up.children.append(style)
         if tag in VOID:
             continue
-        node = Node(tag, f"{up.path}/{style}", up.never or never, up.article)
+        node = Node(tag, style, up, never)
         nodes.append(node)
         if tag in RAW:
             end = re.compile(rf"</{tag}\b[^>]*>", re.IGNORECASE).search(page, at)
@@ -160,6 +182,7 @@ def parse(page: str) -> tuple[list[Node], list[tuple[Node, str]]]:
         if m[3].endswith("/"):
             continue
         stack.append(node)
+        open_tags[tag] += 1
     flush(stack[-1])
     return nodes, blocks
 
@@ -187,21 +210,19 @@ def _facts(page: str) -> list[tuple[int, int, int, int, bool, int | None]]:
     longest = {a: sorted(t, key=lambda x: (-len(x), x))[:2] for a, t in texts.items()}
     mark = {a: _key(*t) for a, t in longest.items()}
     out = {
-        (_key(x.path), 0, _key(*x.children), len(x.children), False, mark.get(x.article, 0) if x.article else None)
+        (x.key, 0, _key(*x.children), len(x.children), False, mark.get(x.article, 0) if x.article else None)
         for x in nodes
         if not x.never
     }
-    keys: dict[str, int] = {}
     for owner, text in blocks:
-        feature, path, beside = _key(text), owner.path, None
+        feature, beside, node = _key(text), None, owner
         if owner.article:
             beside = _key(*[x for x in longest[owner.article] if x != text][:1])
-        least = owner.article.path if owner.article else ""
-        while path:
-            inside = beside if len(path) >= len(least) else None
-            node = keys.get(path) or keys.setdefault(path, _key(path))
-            out.add((node, 1, feature, 0, inside is not None and path == owner.path, inside))
-            path = path.rpartition("/")[0]
+        while node.up:
+            out.add((node.key, 1, feature, 0, beside is not None and node is owner, beside))
+            if node is owner.article:
+                beside = None  # what stands around the article isn't inside it
+            node = node.up
     return list(out)
 
 
@@ -286,12 +307,13 @@ def noise_of(pages: DataFrame) -> DataFrame:
 def main_text(page: str, noise: frozenset[int] = frozenset()) -> str:
     """The blocks that stay, one line each."""
     nodes, blocks = parse(page)
-    bad = {x.path for x in nodes if noise and _key(x.path) in noise and x.tag not in ("html", "body")}
+    bad: set[Node] = set()
+    for x in nodes if noise else ():  # parents come before their children
+        if x.up in bad or (x.key in noise and x.tag not in ("html", "body")):
+            bad.add(x)
 
     def noisy(owner: Node, text: str) -> bool:
-        if any(owner.path == b or owner.path.startswith(b + "/") for b in bad):
-            return True
-        return bool(noise) and owner.article is not None and _key(owner.path) ^ _key(text) in noise
+        return owner in bad or (bool(noise) and owner.article is not None and owner.key ^ _key(text) in noise)
 
     return "\n".join(text for owner, text in blocks if not noisy(owner, text))
 
@@ -299,8 +321,10 @@ def main_text(page: str, noise: frozenset[int] = frozenset()) -> str:
 def extract(pages: DataFrame) -> DataFrame:
     """`page_id, url, text, n_chars` of every row of `pages`.
 
-    Null html is empty and gives an empty text; a page without a url belongs to a nameless host; repeated rows stay
-    rows of their own. Text is cut nowhere.
+    Null html is empty and gives an empty text; a page without a url belongs to a nameless host; repeated rows and null
+    or repeated ids stay rows of their own; extra columns are ignored; an empty table gives an empty one. Text is cut
+    nowhere, and pages of any length and depth are parsed in one pass. A tag with a quote that is never closed ends at
+    its first `>`, so no text is lost to it.
     """
     pages = pages.select(F.col("page_id").cast("long"), F.col("url").cast("string"), F.col("html").cast("string"))
     lists = noise_of(pages).groupBy("host").agg(F.collect_list("node").alias("noise")).withColumnRenamed("host", "__host")

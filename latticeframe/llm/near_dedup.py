@@ -3,17 +3,19 @@
 Method: texts become sets of word shingles with MinHash signatures. Texts with the same set are one class from the
 start. Classes that share a band of their signatures are candidates; the number of bands follows from the chosen
 probability of missing a pair at the threshold. Candidates are gathered in families (components of the band graph).
-Within a family, signatures are compared batch by batch, and a pair is dropped as soon as the posterior probability
-that its similarity reaches the threshold falls under the chosen miss probability; all survivors are verified on their
-full sets. Pairs that are linked already through others are not compared again, which loses no component.
+Within a family, the signatures of pairs that share a band are compared batch by batch, and a pair is dropped as soon as
+the posterior probability that its similarity reaches the threshold falls under the chosen miss probability; all
+survivors are verified on their full sets. Pairs that are linked already through others are not compared again, which loses no component.
 
-Large families are cut into blocks, and every pair of blocks is a task of its own, so neither a task nor a group grows
-with the size of a family beyond a bound. No task emits more links than it has members.
+Large families are cut into blocks, by members and by the sizes of their sets, and every pair of blocks is a task of
+its own, so neither a task nor a group grows with the size of a family beyond a bound. No task emits more links than it has members.
 """
 
 from __future__ import annotations
 
+import itertools
 import math
+from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
@@ -27,8 +29,8 @@ from latticeframe.llm.shingle_sets import overlap, set_digest, shingle_sets, sig
 ROWS = 5  # hashes in a band
 BATCH = 16  # hashes compared between two looks at the posterior
 MISS = 1e-5
-BLOCK = 512  # members of a block, more where a family would have more than 16 blocks
-BLOCK_MOST = 8192
+BLOCK = (512, 1 << 20)  # members of a block and shingles in their sets, more where a family would have over 16 blocks
+BLOCK_MOST = (8192, 1 << 22)
 BROADCAST_IDS = 1_000_000
 
 
@@ -39,17 +41,22 @@ def bands_for(threshold: float, miss: float = MISS, rows: int = ROWS) -> int:
 
 def posterior_tail(matches: int, n: int, threshold: float) -> float:
     """P(similarity >= threshold) after `matches` of `n` equal hashes, from a uniform prior: a Beta tail."""
-    a, b = matches + 1, n - matches + 1
-    return sum(
-        math.comb(a + b - 1, j) * threshold**j * (1 - threshold) ** (a + b - 1 - j) for j in range(a)
-    )
+    return math.fsum(_terms(n + 1, threshold, matches + 1))
+
+
+def _terms(m: int, p: float, count: int) -> Iterator[float]:
+    """The first terms of a binomial distribution, by logarithms, as the coefficients don't fit into a float."""
+    for j in range(count):
+        log_of = math.lgamma(m + 1) - math.lgamma(j + 1) - math.lgamma(m - j + 1)
+        yield math.exp(log_of + j * math.log(p) + (m - j) * math.log1p(-p))
 
 
 def least_matches(hashes: int, threshold: float, miss: float) -> list[tuple[int, int]]:
     """(hashes looked at so far, matches that a pair needs to stay) after each batch."""
     out = []
-    for n in range(BATCH, hashes + 1, BATCH):
-        out.append((n, next(m for m in range(n + 1) if posterior_tail(m, n, threshold) >= miss)))
+    for n in [*range(BATCH, hashes, BATCH), hashes]:
+        tails = itertools.accumulate(_terms(n + 1, threshold, n + 1))
+        out.append((n, next(m for m, tail in enumerate(tails) if tail >= miss)))
     return out
 
 
@@ -61,19 +68,24 @@ def _mark() -> Column:
     return F.xxhash64(F.col("text").cast("string"))
 
 
+def band_names(sig: np.ndarray) -> np.ndarray:
+    """One 64-bit name per band of each signature; the band's number is part of it."""
+    parts = sig.reshape(len(sig), -1, ROWS)
+    names = np.zeros(parts.shape[:2], np.uint64)
+    for k in range(ROWS):
+        names = (names ^ parts[:, :, k]) * np.uint64(0x9E3779B97F4A7C15)
+        names ^= names >> np.uint64(29)
+    return ((names ^ np.arange(names.shape[1], dtype=np.uint64)) * np.uint64(0xBF58476D1CE4E5B9)).view(np.int64)
+
+
 def sketch(docs: DataFrame, shingle: int, bands: int) -> DataFrame:
     """`doc_id, mark` (of the text), `n_shingles, digest` (of the whole set; null for an empty one) and the hashes of all `bands`."""
 
     def make():
         def rows(ids, texts, marks):
             value, at = shingle_sets([t or "" for t in texts], shingle)
-            sig = signatures(value, at, bands * ROWS).reshape(len(texts), bands, ROWS)
-            # One 64-bit name per band; the band's number is part of it.
-            names = np.zeros((len(texts), bands), np.uint64)
-            for k in range(ROWS):
-                names = (names ^ sig[:, :, k]) * np.uint64(0x9E3779B97F4A7C15)
-                names ^= names >> np.uint64(29)
-            names = ((names ^ np.arange(bands, dtype=np.uint64)) * np.uint64(0xBF58476D1CE4E5B9)).view(np.int64)
+            sig = signatures(value, at, bands * ROWS)
+            names = band_names(sig)
             out = []
             for k, i in enumerate(ids):
                 n = int(at[k + 1] - at[k])
@@ -105,7 +117,11 @@ class Forest:
 
 
 def find_links(sets: list[np.ndarray], sig: np.ndarray, left: np.ndarray, right: np.ndarray, percent: int, looks) -> list:
-    """Links (positions) that connect whatever is similar enough among `left` x `right`, without needless ones."""
+    """Links (positions) that connect whatever is similar enough among `left` x `right`, without needless ones.
+
+    Candidates are the pairs that share a band of their signatures.
+    """
+    names = band_names(sig)
     sizes = np.array([len(s) for s in sets])
     forest, found = Forest(len(sets)), []
     for x in left:
@@ -113,6 +129,7 @@ def find_links(sets: list[np.ndarray], sig: np.ndarray, left: np.ndarray, right:
         # A pair can only reach the threshold if its sizes are close enough.
         small, large = np.minimum(sizes[cand], sizes[x]), np.maximum(sizes[cand], sizes[x])
         cand = cand[(100 * small >= percent * large) & (cand != x)]
+        cand = cand[(names[cand] == names[x]).any(axis=1)]
         matches, done = np.zeros(len(cand), np.int64), 0
         for n, need in looks:
             if not len(cand):
@@ -193,19 +210,20 @@ def _judged(docs: DataFrame, shingle: int, percent: int, miss: float) -> DataFra
     bands = bands_for(percent / 100, miss)
     base = cut(sketch(docs, shingle, bands))
     full = base.filter("digest is not null")
-    classes = full.groupBy("digest").agg(F.min("doc_id").alias("rep"), F.first("bands").alias("bands"))
+    classes = full.groupBy("digest").agg(F.min("doc_id").alias("rep"), F.first("bands").alias("bands"), F.first("n_shingles").alias("size"))
     classes = classes.withColumn("name", F.xxhash64("digest"))
     named = classes.filter("rep is not null").select("name", F.explode("bands").alias("band"))
-    shared = named.groupBy("band").agg(F.min("name").alias("centre"), F.count(F.lit(1)).alias("n")).filter("n > 1")
+    # Grouped minima and counts are written before they are joined, so that Spark can split a skewed join.
+    shared = cut(named.groupBy("band").agg(F.min("name").alias("centre"), F.count(F.lit(1)).alias("n")).filter("n > 1"))
     stars = named.join(shared, "band").filter("name <> centre").select(F.col("name").alias("a"), F.col("centre").alias("b"))
     families = connected_components(stars.distinct())
 
-    sizes = families.groupBy("root").agg(F.count(F.lit(1)).alias("m"))
-    few = F.ceil(F.col("m") / BLOCK)
-    blocks = F.when(few <= 16, few).otherwise(F.greatest(F.lit(16), F.ceil(F.col("m") / BLOCK_MOST))).cast("int")
+    known = cut(families.join(classes.select(F.col("name").alias("id"), "rep", "digest", "size"), "id"))
+    sizes = cut(known.groupBy("root").agg(F.count(F.lit(1)).alias("m"), F.sum("size").alias("s")))
+    few, most = (F.greatest(F.ceil(F.col("m") / b[0]), F.ceil(F.col("s") / b[1])) for b in (BLOCK, BLOCK_MOST))
+    blocks = F.when(few <= 16, few).otherwise(F.greatest(F.lit(16), most)).cast("int")
     members = cut(
-        families.join(sizes, "root")
-        .join(classes.select(F.col("name").alias("id"), "rep", "digest"), "id")
+        known.join(sizes, "root")
         .select(
             F.col("rep").alias("doc_id"),
             F.col("id").alias("name"),
@@ -215,7 +233,7 @@ def _judged(docs: DataFrame, shingle: int, percent: int, miss: float) -> DataFra
             "digest",
         )
     )
-    links = _verified(_family_sets(docs, members, shingle), percent, bands * ROWS // BATCH * BATCH, miss)
+    links = _verified(_family_sets(docs, members, shingle), percent, bands * ROWS, miss)
     merged = connected_components(links).withColumnRenamed("id", "name")
     own = F.struct("rep", "digest")
     firsts = cut(merged.join(classes, "name").groupBy("root").agg(F.min(own).alias("first")))
@@ -240,7 +258,8 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80, miss:
     Two texts are linked if 100 * |intersection| >= percent * |union| of their shingle sets; a component is named by
     its smallest id, which is the one kept. A null text is empty; a text without words is linked with nothing and
     kept. Rows with the same id stay rows of their own and share their verdict if their texts do. A null id can't
-    name a component: it is kept only if it has no words.
+    name a component: it is kept only if it has no words. Texts are taken whole, however long; extra columns are
+    ignored, whatever they are called; an empty table gives an empty one.
     """
     return _judged(docs, shingle, percent, miss).drop("mark")
 
@@ -248,9 +267,14 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80, miss:
 def keep_one(docs: DataFrame, shingle: int = 5, percent: int = 80) -> DataFrame:
     """The rows of `docs` that stay: the smallest id of each component, and everything without words.
 
-    A row goes by its id and its text. One without an id goes only if a row with an id has the same set.
+    A row goes by its id and its text; rows that repeat both stay or go together. One without an id goes only if a row
+    with an id has the same set. Other columns are kept, whatever they are called; an empty table stays empty.
     """
+    names = docs.columns
     lost = _judged(docs, shingle, percent, MISS).filter("not kept and component_id is not null")
-    gone = lost.select(F.col("doc_id").alias("__gone"), F.col("mark").alias("__mark")).distinct()
-    same = F.col("doc_id").cast("long").eqNullSafe(F.col("__gone")) & (_mark() == F.col("__mark"))
-    return docs.join(gone, same, "left_anti")
+    gone = lost.select(F.col("doc_id").alias("gone_id"), F.col("mark").alias("gone_mark")).distinct()
+    # Positions as names, so that helper columns can't clash with columns of the input
+    rows = docs.toDF(*(f"c{k}" for k in range(len(names))))
+    own_id, own_text = (F.col(f"c{names.index(n)}") for n in ("doc_id", "text"))
+    same = own_id.cast("long").eqNullSafe(F.col("gone_id")) & F.xxhash64(own_text.cast("string")).eqNullSafe(F.col("gone_mark"))
+    return rows.join(gone, same, "left_anti").toDF(*names)

@@ -212,7 +212,12 @@ def scan(docs: DataFrame, rules: tuple[Rule, ...] = BASE_RULES + MORE_RULES) ->
 
 
 def report(docs: DataFrame, more: tuple[Rule, ...] = MORE_RULES) -> DataFrame:
-    """Per document: counts of the base rules, a digest of their spans, and all spans in text form."""
+    """Per document: counts of the base rules, a digest of their spans, and all spans in text form.
+
+    Null and empty texts have none; texts are scanned whole, however long; null and repeated ids and repeated rows keep
+    rows of their own; ties are listed in the order of the rules; extra columns are ignored, whatever they are called;
+    an empty table gives an empty one.
+    """
     rules = BASE_RULES + more
 
     def make():
@@ -239,7 +244,9 @@ def report(docs: DataFrame, more: tuple[Rule, ...] = MORE_RULES) -> DataFrame:
 def redact(docs: DataFrame, rules: tuple[Rule, ...] = BASE_RULES + MORE_RULES, mark: str = "[secret]") -> DataFrame:
     """The rows of `docs` with every secret in `text` replaced by `mark`; an `n_chars` column follows the new text.
 
-    Overlapping secrets are replaced by one mark. A text without secrets, null included, stays as it is.
+    Overlapping secrets are replaced by one mark. A text without secrets, null included, stays as it is. Every row is
+    worked on by itself, repeated ones alike; other columns are kept, whatever they are called; an empty table stays
+    empty.
     """
     names = docs.columns
     at, n_at = names.index("text"), names.index("n_chars") if "n_chars" in names else None
@@ -267,4 +274,4 @@ def redact(docs: DataFrame, rules: tuple[Rule, ...] = BASE_RULES + MORE_RULES, m
 
         return rows
 
-    return map_rows(docs, docs.schema, make)
+    return map_rows(docs.toDF(*(f"c{k}" for k in range(len(names)))), docs.schema, make)
