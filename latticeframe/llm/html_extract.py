@@ -45,7 +45,7 @@ NAMES = frozenset(
     "popup promo promotion search share sharing sidebar signup skip social sponsor sponsored subscribe toolbar "
     "widget".split()
 )
-#: Words that may stand beside one of the names in a class or id without changing what it says
+#: Words that may stand behind one of the names in a class or id without changing what it says
 LAYOUT = frozenset(
     "area bar block body bottom box button buttons container content footer form global header holder icon icons inner "
     "item items left link links list main outer page panel primary right secondary section site slot top unit wrap wrapper".split()
@@ -82,10 +82,12 @@ class Node:
 
 
 def _says(value: str) -> bool:
-    """Whether a class or an id names a part that isn't the article: a name, alone or with words of layout."""
+    """Whether a class or an id names a part that isn't the article: its last word but for words of layout is a name."""
     for token in value.split():
-        words = set(_name.findall(token))
-        if words and not words.isdisjoint(NAMES) and words <= NAMES | LAYOUT:
+        words = _name.findall(token)
+        while len(words) > 1 and words[-1] in LAYOUT:
+            words.pop()
+        if words and words[-1] in NAMES:
             return True
     return False
 

@@ -61,7 +61,7 @@ def near_copies(n, seed):
 
 @pytest.mark.parametrize("size,percent,block", [(3, 85, 512), (5, 80, 7)])
 def test_near_duplicates(spark, monkeypatch, size, percent, block):
-    monkeypatch.setattr(near_dedup, "BLOCK", block)
+    monkeypatch.setattr(near_dedup, "BLOCK", (block, 1 << 20))
     texts = near_copies(180, size)
     sets, want = component_ids(texts, size, percent)
     docs = spark.createDataFrame([(i, t, "x") for i, t in texts], "doc_id long, text string, kept string")
