@@ -58,10 +58,21 @@ def tile_pool(tiles: DataFrame, content: DataFrame) -> DataFrame:
     return near.join(inner, ["near_row", "near_col"])
 
 
-def tiles_in_box(names: DataFrame, column: str, pattern: str, x0: float, y0: float, x1: float, y1: float, size: float = 1000.0) -> DataFrame:
-    """NB-11, SRC-11: tiles whose name gives their corner in km, that touch a box (edges count); by northing, easting."""
+def _placed(names: DataFrame, column: str, pattern: str) -> DataFrame:
+    """Names with `easting, northing` in metres from the kilometres in them; names without these are left out."""
     e = F.regexp_extract(column, pattern, 1).try_cast("double") * 1000
     n = F.regexp_extract(column, pattern, 2).try_cast("double") * 1000
-    t = names.withColumns({"easting": e, "northing": n}).filter("easting is not null and northing is not null")
+    return names.withColumns({"easting": e, "northing": n}).filter("easting is not null and northing is not null")
+
+
+def feed_tiles(names: DataFrame, column: str, pattern: str, x0: float, y0: float, x1: float, y1: float, size: float = 2000.0) -> DataFrame:
+    """SRC-11: tiles of a feed whose name gives their north-west corner in km, that share area with a box; touching isn't enough."""
+    inside = (F.col("easting") < x1) & (F.col("easting") + size > x0) & (F.col("northing") > y0) & (F.col("northing") - size < y1)
+    return _placed(names, column, pattern).filter(inside).orderBy("northing", "easting")
+
+
+def tiles_in_box(names: DataFrame, column: str, pattern: str, x0: float, y0: float, x1: float, y1: float, size: float = 1000.0) -> DataFrame:
+    """NB-11: tiles whose name gives their south-west corner in km, that touch a box (edges count); by northing, easting."""
+    t = _placed(names, column, pattern)
     touch = (F.col("easting") <= x1) & (F.col("easting") + size >= x0) & (F.col("northing") <= y1) & (F.col("northing") + size >= y0)
     return t.filter(touch).orderBy("northing", "easting")

@@ -42,7 +42,7 @@ def _manifest(spark: SparkSession, d: str) -> DataFrame:
 _GRANULES = ", ".join(f"('{g}')" for g in checks.GRANULES)
 
 
-@query(f"""WITH {_MANIFEST}, f AS (
+_MANIFEST_FINDINGS = f"""WITH {_MANIFEST}, f AS (
   SELECT 'source_unknown' AS rule, source || '/' || scene_id AS key, '' AS detail FROM manifest WHERE source = 'other'
   UNION SELECT 'role_unknown', source || '/' || scene_id, '' FROM manifest WHERE role = 'spare'
   UNION SELECT 'platform_unknown', source || '/' || scene_id, '' FROM manifest WHERE source = 'landsat-c2-l2' AND platform NOT IN ('landsat-8', 'landsat-9')
@@ -50,7 +50,10 @@ _GRANULES = ", ".join(f"('{g}')" for g in checks.GRANULES)
   UNION SELECT 'clear_fraction_low', source || '/' || scene_id, '' FROM manifest WHERE role IN ('anchor', 'predictor') AND aoi_clear_frac < 0.05
   UNION SELECT 'href_missing', source || '/' || scene_id, '' FROM manifest WHERE source <> 'other' AND item_href IS NULL
   UNION SELECT 'duplicate_key', source || '/' || scene_id, CAST(count(*) AS VARCHAR) FROM manifest GROUP BY source, scene_id HAVING count(*) > 1
-  UNION SELECT 'granule_missing', g, '' FROM (VALUES {_GRANULES}) t(g)) SELECT * FROM f""")
+  UNION SELECT 'granule_missing', g, '' FROM (VALUES {_GRANULES}) t(g)) SELECT * FROM f"""
+
+
+@query(_MANIFEST_FINDINGS)
 def manifest_findings(spark: SparkSession, d: str) -> DataFrame:
     """VAL-01, ST-04."""
     return checks.manifest_findings(_manifest(spark, d))
@@ -71,14 +74,17 @@ def _pairings(spark: SparkSession, d: str) -> DataFrame:
     )
 
 
-@query(f"""WITH {_MANIFEST}, {_PAIRS}, f AS (
+_PAIRING_FINDINGS = f"""WITH {_MANIFEST}, {_PAIRS}, f AS (
   SELECT 'clear_count' AS rule, landsat_scene_id AS key, '' AS detail FROM pairings WHERE landsat_clear_px <= 0
   UNION SELECT 'joint_count', landsat_scene_id, '' FROM pairings WHERE landsat_clear_px > 0 AND joint_clear_px > landsat_clear_px
   UNION SELECT 'fraction_mismatch', landsat_scene_id, '' FROM pairings WHERE landsat_clear_px > 0 AND joint_clear_px <= landsat_clear_px
     AND abs(CAST(CAST(joint_clear_px / CAST(landsat_clear_px AS DOUBLE) AS FLOAT) AS DOUBLE) - CAST(joint_clear_frac AS DOUBLE)) > 1e-7
   UNION SELECT 'anchor_unknown', landsat_scene_id, '' FROM pairings WHERE landsat_scene_id NOT IN (SELECT scene_id FROM manifest WHERE role = 'anchor')
   UNION SELECT 'predictor_unknown', sentinel2_scene_id, '' FROM pairings WHERE sentinel2_scene_id NOT IN (SELECT scene_id FROM manifest WHERE source = 'sentinel-2-l2a')
-  UNION SELECT 'warning_anchor_unpaired', scene_id, '' FROM manifest WHERE role = 'anchor' AND scene_id NOT IN (SELECT landsat_scene_id FROM pairings)) SELECT * FROM f""")
+  UNION SELECT 'warning_anchor_unpaired', scene_id, '' FROM manifest WHERE role = 'anchor' AND scene_id NOT IN (SELECT landsat_scene_id FROM pairings)) SELECT * FROM f"""
+
+
+@query(_PAIRING_FINDINGS)
 def pairing_findings(spark: SparkSession, d: str) -> DataFrame:
     """VAL-02, JN-03, JN-04."""
     return checks.pairing_findings(_pairings(spark, d), _manifest(spark, d))
@@ -192,12 +198,14 @@ def co_registered(spark: SparkSession, d: str) -> DataFrame:
     return out.select("row", "col", "b08", "height", "inside", "static_valid")
 
 
-@query(f"""WITH {v.PIXELS}, size AS (SELECT max(row) + 1 AS h FROM px), t AS (SELECT r.i AS row, c.i AS col FROM range(60) r(i), range(50) c(i))
+@query(f"""WITH {v.PIXELS}, t AS (SELECT px.row * 3 + r.i AS row, px.col * 3 + c.i AS col FROM px, range(3) r(i), range(3) c(i))
 SELECT CAST(t.row AS INT) AS row, CAST(t.col AS INT) AS col, px.scl FROM t LEFT JOIN px ON px.row = floor((t.row + 0.5e0) / 3) AND px.col = floor((t.col + 0.5e0) / 3)""")
 def nearest_resample(spark: SparkSession, d: str) -> DataFrame:
-    """NB-04."""
-    t = spark.range(60).select(F.col("id").cast("int").alias("row"), F.explode(F.sequence(F.lit(0), F.lit(49))).alias("col"))
-    return neighbourhood.nearest(t, v.pixels(spark, d), [], ["scl"], (F.col("row") + 0.5) / 3, (F.col("col") + 0.5) / 3)
+    """NB-04: a grid three times finer, over the whole extent of the table."""
+    px, step = v.pixels(spark, d), F.explode(F.sequence(F.lit(0), F.lit(2)))
+    t = px.select("row", "col", step.alias("i")).select("row", "col", "i", step.alias("j"))
+    t = t.select((F.col("row") * 3 + F.col("i")).alias("row"), (F.col("col") * 3 + F.col("j")).alias("col"))
+    return neighbourhood.nearest(t, px, [], ["scl"], (F.col("row") + 0.5) / 3, (F.col("col") + 0.5) / 3)
 
 
 @query(f"""WITH {v.PIXELS}, coarse AS (SELECT row // 10 AS crow, col // 10 AS ccol, min(height) * pi() AS t FROM px GROUP BY 1, 2), u AS (SELECT row, col, (row + 0.5e0) / 10 - 0.5e0 AS sr, (col + 0.5e0) / 10 - 0.5e0 AS sc FROM px),
@@ -214,11 +222,11 @@ def coarse_field(spark: SparkSession, d: str) -> DataFrame:
     return neighbourhood.from_coarse(t, coarse, [], ["t"]).withColumn("t", F.round("t", 6))
 
 
-@query(f"""WITH {v.PIXELS}, t AS (SELECT DISTINCT row, col FROM px WHERE row < 8 AND col < 40) SELECT t.row, t.col, s.scl AS scl FROM t LEFT JOIN px s ON s.row = floor((t.row + 0.5e0) / 2) AND s.col = floor((t.col + 0.5e0) / 2)""")
+@query(f"""WITH {v.PIXELS}, t AS (SELECT row, col FROM px) SELECT t.row, t.col, s.scl AS scl FROM t LEFT JOIN px s ON s.row = floor((t.row + 0.5e0) / 2) AND s.col = floor((t.col + 0.5e0) / 2)""")
 def scene_layers(spark: SparkSession, d: str) -> DataFrame:
     """NB-06: class layer by nearest cell beside a value layer by bilinear weights."""
     px = v.pixels(spark, d)
-    t = px.filter("row < 8 and col < 40").select("row", "col")
+    t = px.select("row", "col")
     return neighbourhood.scene_layers(t, px.select("row", "col", "b04", "scl"), [], ["b04"], ["scl"], 2).select("row", "col", "scl")
 
 
@@ -234,13 +242,23 @@ def halo_tiles(spark: SparkSession, d: str) -> DataFrame:
 @query(f"""WITH {v.SHAPES}, n AS (SELECT shape_id, 'lod_' || (380 + CAST(x0 AS INT)) || '_' || (5800 + CAST(y0 AS INT)) AS name, (380 + CAST(x0 AS INT)) * 1000e0 AS e, (5800 + CAST(y0 AS INT)) * 1000e0 AS nn FROM shapes)
 SELECT shape_id, name FROM n WHERE e <= 420000 AND e + 1000 >= 390000 AND nn <= 5850000 AND nn + 1000 >= 5810000""")
 def tiles_in_box(spark: SparkSession, d: str) -> DataFrame:
-    """NB-11, SRC-11."""
+    """NB-11."""
     s = v.shapes(spark, d)
     whole = lambda c: F.floor(c).cast("int")
     name = F.concat(F.lit("lod_"), (380 + whole("x0")).cast("string"), F.lit("_"), (5800 + whole("y0")).cast("string"))
     return shapes.tiles_in_box(s.select("shape_id", name.alias("name")), "name", r"_(\d+)_(\d+)$", 390000, 5810000, 420000, 5850000).select("shape_id", "name")
 
 
+@query(f"""WITH {v.SHAPES}, n AS (SELECT shape_id, 'dgm_' || (380 + CAST(x0 AS INT)) || '_' || (5800 + CAST(y0 AS INT)) || '.zip' AS name, (380 + CAST(x0 AS INT)) * 1000e0 AS e, (5800 + CAST(y0 AS INT)) * 1000e0 AS nn FROM shapes)
+SELECT shape_id, name FROM n WHERE NOT (e >= 420000 OR e + 2000 <= 390000 OR nn <= 5810000 OR nn - 2000 >= 5850000)""")
+def feed_tiles(spark: SparkSession, d: str) -> DataFrame:
+    """SRC-11."""
+    s = v.shapes(spark, d)
+    whole = lambda c: F.floor(c).cast("int").cast("string")
+    name = F.concat(F.lit("dgm_"), whole(380 + F.col("x0")), F.lit("_"), whole(5800 + F.col("y0")), F.lit(".zip"))
+    return shapes.feed_tiles(s.select("shape_id", name.alias("name")), "name", r"_(\d+)_(\d+)\.zip$", 390000, 5810000, 420000, 5850000).select("shape_id", "name")
+
+
 @query(f"""WITH {v.SHAPES}, t AS (SELECT shape_id, CAST(floor(y0 / 20) AS INT) AS tile_row, CAST(floor(x0 / 20) AS INT) AS tile_col FROM shapes), k AS (SELECT DISTINCT tile_row, tile_col FROM t)
 SELECT k.tile_row, k.tile_col, count(*) AS n FROM k JOIN t ON abs(k.tile_row - t.tile_row) <= 1 AND abs(k.tile_col - t.tile_col) <= 1 GROUP BY 1, 2""")
 def tile_pool(spark: SparkSession, d: str) -> DataFrame:
@@ -249,10 +267,10 @@ def tile_pool(spark: SparkSession, d: str) -> DataFrame:
     return shapes.tile_pool(t, t).groupBy("tile_row", "tile_col").agg(F.count(F.lit(1)).alias("n"))
 
 
-@query(f"""WITH {v.PIXELS}, s AS (SELECT scene_id, count(b04) / CAST(count(*) AS DOUBLE) AS share FROM px WHERE row < 6 GROUP BY 1) SELECT 'valid_share' AS rule, CAST(scene_id AS VARCHAR) AS key FROM s WHERE share < 0.9995""")
+@query(f"""WITH {v.PIXELS}, s AS (SELECT scene_id, count(b04) / CAST(count(*) AS DOUBLE) AS share FROM px GROUP BY 1) SELECT 'valid_share' AS rule, CAST(scene_id AS VARCHAR) AS key FROM s WHERE share < 0.9995""")
 def valid_share_findings(spark: SparkSession, d: str) -> DataFrame:
     """VAL-05."""
-    return checks.valid_share_findings(v.pixels(spark, d).filter("row < 6"), ["scene_id"], "b04", 0.9995).select("rule", "key")
+    return checks.valid_share_findings(v.pixels(spark, d), ["scene_id"], "b04", 0.9995).select("rule", "key")
 
 
 @query(f"""WITH {v.PIXELS}, m AS (SELECT scene_id, max(row) + 1 AS rows, max(col) + 1 AS cols FROM px GROUP BY 1) SELECT 'shape' AS rule, CAST(scene_id AS VARCHAR) AS key FROM m WHERE cols <> 125 OR rows <> 5
@@ -499,12 +517,50 @@ def pixel_product(spark: SparkSession, d: str) -> DataFrame:
     return spark.read.parquet(path).filter(F.col("row").between(2, 9)).select(F.col("scene_id").cast("int"), "row", "col", "b08")
 
 
-@query()
+_BANDS = ",".join(f'{{"name":"{c.name}","dtype":"{c.dtype}","unit":"{c.unit}","nodata":"nan"}}' for c in BANDS)
+
+
+@query(f"""WITH {v.PIXELS}, m AS (SELECT scene_id, max(row) + 1 AS r, max(col) + 1 AS c FROM px GROUP BY 1)
+SELECT scene_id, '{{"crs":"EPSG:25833","rows":' || r || ',"cols":' || c || ',"bbox":[369190.0,' || CAST(5838410e0 - r * 10 AS VARCHAR) || ',' || CAST(369190e0 + c * 10 AS VARCHAR)
+  || ',5838410.0],"transform":[10.0,0.0,369190.0,0.0,-10.0,5838410.0],"bands":[{_BANDS}]}}' AS item FROM m""")
 def product_items(spark: SparkSession, d: str) -> DataFrame:
     """SNK-07: metadata rows as JSON."""
     return sinks.product_item(v.pixels(spark, d), BANDS, 10.0, (369190.0, 5838410.0))
 
 
+@query(f"""WITH {_MANIFEST} SELECT 'row' AS kind, source AS key, count(*) AS n FROM manifest WHERE role = 'anchor' GROUP BY source
+UNION ALL SELECT 'pairing', '', count(*) FROM orders WHERE o_orderkey % 3 = 0 AND o_orderkey % 2 = 0
+UNION ALL SELECT 'reported_anchors', '', count(*) FROM manifest WHERE role = 'anchor'
+UNION ALL SELECT 'finding', rule, count(*) FROM (SELECT * FROM ({_MANIFEST_FINDINGS}) UNION SELECT * FROM ({_PAIRING_FINDINGS})) GROUP BY rule""")
+def bundle_scan(spark: SparkSession, d: str) -> DataFrame:
+    """SRC-02: a bundle, faults and all, found by the place of its manifest, restricted to a role and checked together."""
+    folder = sinks.work_folder(spark, "bundle")
+    manifest, pairings = _manifest(spark, d), _pairings(spark, d)
+    manifest.write.parquet(f"{folder}/manifest.parquet")
+    pairings.write.parquet(f"{folder}/pairings.parquet")
+    sinks.bundle_report(manifest, pairings, {"policy_hash": "p1"}).write.json(f"{folder}/manifest_report.json")
+    rows, pairs, report, findings = scans.bundle(spark, f"{folder}/manifest.parquet", ["anchor"])
+    count = F.count(F.lit(1)).alias("n")
+    none = F.lit("").alias("key")
+    return (
+        rows.groupBy(F.lit("row").alias("kind"), F.col("source").alias("key")).agg(count)
+        .unionByName(pairs.agg(count).select(F.lit("pairing").alias("kind"), none, "n"))
+        .unionByName(report.select(F.lit("reported_anchors").alias("kind"), none, F.col("counts.anchor_rows").alias("n")))
+        .unionByName(findings.groupBy(F.lit("finding").alias("kind"), F.col("rule").alias("key")).agg(count))
+    )
+
+
+@query("""SELECT 'forbidden_object' AS rule, CAST(year(o_orderdate) AS VARCHAR) AS year, count(DISTINCT 1) AS n FROM orders GROUP BY 2""")
+def object_listing(spark: SparkSession, d: str) -> DataFrame:
+    """SRC-15: objects below a prefix by kind: text files among tables aren't allowed."""
+    folder = sinks.work_folder(spark, "objects")
+    orders = v.table(spark, d, "orders").withColumn("year", F.year("o_orderdate"))
+    orders.repartition("year").write.partitionBy("year").parquet(f"{folder}/tables")
+    orders.select("year", "o_orderkey").repartition("year").write.partitionBy("year").csv(f"{folder}/texts")
+    found = scans.forbidden(scans.listing(spark, folder), [".csv"])
+    return found.select("rule", F.regexp_extract("key", r"year=(\d+)", 1).alias("year")).groupBy("rule", "year").agg(F.count(F.lit(1)).alias("n"))
+
+
 @query("SELECT '{\"c_mktsegment\":\"' || c_mktsegment || '\",\"n\":' || count(*) || '}' AS summary FROM customer GROUP BY c_mktsegment")
 def run_summary(spark: SparkSession, d: str) -> DataFrame:
     """SNK-03."""
@@ -535,9 +591,9 @@ def series_findings(spark: SparkSession, d: str) -> DataFrame:
     return weather_series.series_findings(v.hourly_series(spark, d), ["cell"]).select("rule", "detail")
 
 
-@query("SELECT o_orderkey, round(coalesce(o_totalprice / 600000, 0) + coalesce((o_custkey % 7) / 7e0, 0), 6) AS risk FROM orders WHERE o_orderkey % 2 = 0 ORDER BY o_totalprice / 600000 + (o_custkey % 7) / 7e0 DESC, o_orderkey LIMIT 40")
+@query("SELECT o_orderkey, round(coalesce(o_totalprice / 600000, 0) + coalesce((o_custkey % 7) / 7e0, 0), 6) AS risk FROM orders ORDER BY o_totalprice / 600000 + (o_custkey % 7) / 7e0 DESC, o_orderkey LIMIT 40")
 def evidence_by_risk(spark: SparkSession, d: str) -> DataFrame:
     """PRJ-24, ST-03."""
-    o = v.table(spark, d, "orders").filter("o_orderkey % 2 = 0")
+    o = v.table(spark, d, "orders")
     o = o.withColumn("risk", spectral.risk(F.col("o_totalprice") / 600000, (F.col("o_custkey") % 7) / F.lit(7.0)))
     return sampling.top_risk(o, "risk", ["o_orderkey"], 40).select("o_orderkey", F.round("risk", 6).alias("risk"))

@@ -5,11 +5,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from latticeframe.functions import lattice
 from latticeframe.functions.contracts import LayerContract
 from latticeframe.plans import jobs
 from latticeframe.plans import views as v
 from latticeframe.plans.grid_queries import _LONG, _STACK, BANDS, STACK, _stack
 from latticeframe.plans.registry import query
+from latticeframe.plans.scene_queries import _latest, _work
 
 _VALID = "(b04 IS NOT NULL AND b04 BETWEEN 0 AND 0.5 AND b08 BETWEEN 0.1 AND 1)"
 
@@ -61,3 +63,151 @@ def feature_stack_coverage(spark: SparkSession, d: str) -> DataFrame:
     area = px.select("row", "col", (F.col("row") % 9 != 0).cast("int").alias("inside"))
     wanted = (LayerContract("B04", 0, 0.5), LayerContract("B08", 0.1, 1), LayerContract("ndvi", -1, 1), LayerContract("height", 0, 1000), LayerContract("t2m_scene", 200, 350))
     return jobs.feature_stacks(optical, static, dynamic, area, wanted)[1]
+
+
+@query(f"""WITH {v.CANDIDATES}, anchors AS (SELECT 'LC08_' || o_orderkey AS scene_id, o_orderdate AS acq, (o_custkey % 40) / 40e0 AS clear_frac FROM orders),
+pairs AS (SELECT a.scene_id, c.cand_id, a.acq, c.acq AS cand_acq, c.clear_frac, c.n_items, abs(epoch_us(c.acq) - epoch_us(a.acq)) / 86400e6 AS dt FROM anchors a JOIN cand c ON abs(epoch_us(c.acq) - epoch_us(a.acq)) / 86400e6 <= 3 + 1e-6 WHERE a.clear_frac >= 0.05),
+top AS (SELECT *, clear_frac - 0.1 * dt / 3 AS score, max(clear_frac) OVER (PARTITION BY scene_id) AS most, row_number() OVER (PARTITION BY scene_id ORDER BY clear_frac - 0.1 * dt / 3 DESC, dt, cand_id) AS rn FROM pairs)
+SELECT a.scene_id, CASE WHEN t.most >= 0.5 THEN cand_id END AS partner_id, CASE WHEN t.most >= 0.5 THEN abs(epoch_us(cand_acq) - epoch_us(t.acq)) // 1000000 END AS dt_seconds,
+  CASE WHEN a.clear_frac < 0.05 THEN 'below_clear_gate' WHEN t.most IS NULL THEN 'no_candidate_in_window' WHEN t.most < 0.5 THEN 'none_above_threshold' END AS reason FROM anchors a LEFT JOIN top t ON a.scene_id = t.scene_id AND t.rn = 1""")
+def couple_job(spark: SparkSession, d: str) -> DataFrame:
+    """JOB-01: pairings of all anchors, and why the others have none."""
+    o = v.table(spark, d, "orders")
+    anchors = o.select(
+        F.concat(F.lit("LC08_"), F.col("o_orderkey").cast("string")).alias("scene_id"), F.col("o_orderdate").alias("acq"), F.lit("href").alias("item_href"),
+        ((F.col("o_custkey") % 40) / F.lit(40.0)).alias("clear_frac"),
+    )
+    cand = v.candidates(spark, d).select(
+        F.col("cand_id").alias("scene_id"), "acq", F.lit("href").alias("item_href"), F.lit("s2").alias("platform"), "clear_frac", F.col("n_items").alias("landsat_clear_px"), F.col("n_items").alias("joint_clear_px")
+    )
+    validation = anchors.limit(0).select("scene_id", F.col("acq").alias("acquisition_datetime"), F.lit("ecostress").alias("source"), F.year("acq").alias("year"), F.lit("iss").alias("platform"), "item_href", F.col("clear_frac").alias("aoi_clear_frac"))
+    made = jobs.couple_scenes(anchors, cand, validation, 0.5)
+    good = made.pairings.select(F.col("landsat_scene_id").alias("scene_id"), F.col("sentinel2_scene_id").alias("partner_id"), "dt_seconds", F.lit(None).cast("string").alias("reason"))
+    return good.unionByName(made.dropped.select("scene_id", F.lit(None).cast("string").alias("partner_id"), F.lit(None).cast("long").alias("dt_seconds"), "reason"))
+
+
+def _sun(px: DataFrame) -> DataFrame:
+    s = F.col("scene_id")
+    return px.select("scene_id").distinct().select("scene_id", (180.0 - 90 * s).alias("azimuth"), F.when(s < 3, 45.0).otherwise(0.0).alias("elevation"))
+
+
+@query(f"""WITH {v.PIXELS}, size AS (SELECT max(row) + 1 AS h FROM px), sun(scene_id, dr, dc) AS (VALUES (0, -3, 0), (1, 0, -3), (2, 3, 0)),
+dark AS (SELECT DISTINCT px.scene_id, row + dr AS row, col + dc AS col FROM px JOIN sun ON px.scene_id = sun.scene_id, size WHERE scl IN (8, 9) AND row + dr BETWEEN 0 AND h - 1 AND col + dc BETWEEN 0 AND {v.COLS - 1}),
+f AS (SELECT px.scene_id, px.row, px.col, custkey % 20000 AS dn, (CASE WHEN scl = 0 THEN 1 ELSE 0 END) | (CASE WHEN scl IN (8, 9) THEN 2 ELSE 0 END) | (CASE WHEN scl = 3 OR dark.row IS NOT NULL THEN 4 ELSE 0 END)
+  | (CASE WHEN scl = 10 THEN 8 ELSE 0 END) | (CASE WHEN scl = 1 THEN 16 ELSE 0 END) | (CASE WHEN scl = 11 THEN 32 ELSE 0 END) AS flag FROM px LEFT JOIN dark ON px.scene_id = dark.scene_id AND px.row = dark.row AND px.col = dark.col)
+SELECT scene_id, row, col, flag, CASE WHEN flag & 1 = 0 THEN round(least(dn / 10000e0, 1), 6) END AS b04, CASE WHEN flag = 0 THEN round(least(dn / 10000e0, 1), 6) END AS b11 FROM f""")
+def masked_optical(spark: SparkSession, d: str) -> DataFrame:
+    """JOB-02 for the optical sensor: flags with the shadows that clouds throw, reflectances of a fine and a coarse band."""
+    px, dn = v.pixels(spark, d), (F.col("custkey") % 20000).cast("double")
+    raw = px.select("scene_id", "row", "col", "scl", dn.alias("B04"), dn.alias("B11"))
+    out = jobs.mask_optical(raw, _sun(px), v.rows_of(spark, d), v.COLS, height=30.0)
+    return out.select("scene_id", "row", "col", "flag", F.round("B04", 6).alias("b04"), F.round("B11", 6).alias("b11"))
+
+
+#: Buildings of two cells each
+_STOCK = """stock AS (SELECT p_partkey AS building_id, CAST(p_partkey * 7 % 120 + i AS INT) AS row, CAST(p_partkey * 13 % 125 AS INT) AS col, CAST(p_retailprice AS DOUBLE) / 50 AS area, CAST(p_size AS DOUBLE) AS height FROM part, range(2) t(i))"""
+
+
+def _stock(spark: SparkSession, d: str) -> DataFrame:
+    k = F.col("p_partkey")
+    rows = v.table(spark, d, "part").withColumn("i", F.explode(F.array(F.lit(0), F.lit(1))))
+    return rows.select(
+        k.alias("building_id"), (k * 7 % 120 + F.col("i")).cast("int").alias("row"), (k * 13 % 125).cast("int").alias("col"),
+        (F.col("p_retailprice").cast("double") / 50).alias("area"), F.col("p_size").cast("double").alias("height"),
+    )
+
+
+@query(f"""WITH {v.PIXELS}, {_STOCK} SELECT 'terrain' AS layer, CAST(floor(l_orderkey / {v.COLS}e0) AS INT) AS row, CAST(l_orderkey % {v.COLS} AS INT) AS col, round(avg(CAST(l_quantity AS DOUBLE)), 6) AS x FROM lineitem GROUP BY 2, 3
+UNION ALL SELECT 'imperviousness', row, col, CASE WHEN custkey % 256 = 255 THEN NULL WHEN custkey % 256 = 0 OR (custkey % 256 BETWEEN 5 AND 95 AND custkey % 256 % 10 = 5) THEN custkey % 256 ELSE 100 END FROM px
+UNION ALL SELECT 'vegetation', row, col, round(custkey % 300 * 0.1e0, 6) FROM px
+UNION ALL SELECT 'morphology', row, col, round(avg(height) + least(sum(area / 2) / 100, 1), 6) FROM stock GROUP BY 2, 3""")
+def static_sources_job(spark: SparkSession, d: str) -> DataFrame:
+    """JOB-03: terrain from points, imperviousness, vegetation, and building morphology (mean height plus coverage)."""
+    k, g, px = F.col("l_orderkey"), lattice.GridSpec(), v.pixels(spark, d)
+    points = v.table(spark, d, "lineitem").select(
+        g.centre_x(k % v.COLS).alias("x"), g.centre_y(F.floor(k / v.COLS)).alias("y"), F.col("l_quantity").cast("double").alias("z")
+    )
+    codes = px.select("row", "col", (F.col("custkey") % 256).alias("code"))
+    heights = px.select("row", "col", (F.col("custkey") % 300).cast("double").alias("dm"))
+    made = jobs.static_sources(points, [], codes, heights, _stock(spark, d))
+    values = {"terrain": F.col("terrain_height"), "imperviousness": F.col("imperviousness"), "vegetation": F.col("vegetation_height"), "morphology": F.col("height_mean") + F.col("coverage")}
+    parts = [made[n].select(F.lit(n).alias("layer"), "row", "col", F.round(x, 6).alias("x")) for n, x in values.items()]
+    return parts[0].unionByName(parts[1]).unionByName(parts[2]).unionByName(parts[3])
+
+
+@query(f"""WITH {_STOCK}, new AS (SELECT *, row // 20 AS tr, col // 20 AS tc FROM stock), old AS (SELECT building_id, row + 1 AS row, col, (row + 1) // 20 AS tr, col // 20 AS tc FROM stock WHERE height <= 25),
+tiles AS (SELECT DISTINCT tr, tc FROM new), pool AS (SELECT DISTINCT old.row, old.col, building_id FROM old JOIN tiles t ON abs(old.tr - t.tr) <= 1 AND abs(old.tc - t.tc) <= 1), hits AS (SELECT row, col, count(*) AS hits FROM pool GROUP BY 1, 2),
+judged AS (SELECT building_id, coalesce(sum(hits), 0) / count(*) AS overlap FROM new LEFT JOIN hits ON new.row = hits.row AND new.col = hits.col GROUP BY 1)
+SELECT row, col, round(avg(height), 6) AS height_mean, round(coalesce(stddev_samp(height), 0), 6) AS height_std, round(least(sum(area / 2) / 100, 1), 6) AS coverage, max(height) AS height_max, count(*) AS n_shapes
+FROM new JOIN judged USING (building_id) WHERE overlap >= 0.5 GROUP BY 1, 2""")
+def vintage_job(spark: SparkSession, d: str) -> DataFrame:
+    """JOB-05: buildings that an older stock confirms, as cell statistics."""
+    tile = lambda c: F.floor(F.col(c) / 20).cast("int")
+    stock = _stock(spark, d)
+    new = stock.select("building_id", tile("row").alias("tile_row"), tile("col").alias("tile_col"), "row", "col")
+    old = stock.filter("height <= 25").withColumn("row", F.col("row") + 1)
+    old = old.select("building_id", tile("row").alias("tile_row"), tile("col").alias("tile_col"), "row", "col")
+    heights = stock.select("building_id", "height", "area").distinct()
+    _, stats = jobs.vintage_morphology(new, old, heights)
+    return stats.select("row", "col", *(F.round(c, 6).alias(c) for c in ("height_mean", "height_std", "coverage")), "height_max", "n_shapes")
+
+
+@query(f"""WITH {v.HOURLY}, h AS (SELECT cell, ts, v, 280 + v % 15 AS t2m, 275 + v % 10 AS d2m, (CASE WHEN hour(ts) = 1 THEN ssrd ELSE ssrd - lag(ssrd) OVER w END) AS own FROM series WINDOW w AS (PARTITION BY cell, CAST(ts - INTERVAL 1 HOUR AS DATE) ORDER BY ts)),
+t AS (SELECT o_orderkey AS scene_id, CAST(o_custkey % 150 AS BIGINT) AS cell, CAST(TIMESTAMP '2024-01-04' + INTERVAL 1 MINUTE * (o_orderkey * 37 % 36000) AS TIMESTAMP) AS acq FROM orders),
+j AS (SELECT t.scene_id, h.own, (epoch_us(t.acq) - epoch_us(h.ts)) / 3600e6 AS age FROM t JOIN h ON t.cell = h.cell AND h.ts <= t.acq AND h.ts > t.acq - INTERVAL 72 HOUR),
+s AS (SELECT scene_id, avg(own / 3600) AS flux, coalesce(sum(greatest(own, 0)) FILTER (age < 24), 0) * 1000 AS rain, count(*) AS n FROM j GROUP BY 1),
+near AS (SELECT t.scene_id, h.*, row_number() OVER (PARTITION BY t.scene_id ORDER BY abs(epoch_us(h.ts) - epoch_us(date_trunc('hour', t.acq + INTERVAL 30 MINUTE))), h.ts) AS rn FROM t JOIN h ON t.cell = h.cell),
+p AS (SELECT scene_id, own / 3600 AS ssrd_scene, t2m, 0.6108 * exp(17.27 * (t2m - 273.15) / (t2m - 273.15 + 237.3)) - 0.6108 * exp(17.27 * (d2m - 273.15) / (d2m - 273.15 + 237.3)) AS vpd FROM near WHERE rn = 1)
+SELECT t.scene_id, round(flux, 6) AS flux, round(coalesce(rain, 0), 4) AS rain, coalesce(n, 0) AS n_hours, round(t2m, 6) AS t2m, round(ssrd_scene, 6) AS ssrd_scene, round(CASE WHEN vpd < 0 THEN 0 ELSE vpd END, 5) AS vpd
+FROM t LEFT JOIN s ON t.scene_id = s.scene_id LEFT JOIN p ON t.scene_id = p.scene_id""")
+def dynamic_job(spark: SparkSession, d: str) -> DataFrame:
+    """JOB-06: antecedent sums and the weather of the hour for every scene."""
+    h = v.hourly_series(spark, d)
+    series = h.select("cell", "ts", "ssrd", F.col("ssrd").alias("tp"), (280 + F.col("v") % 15).alias("t2m"), (275 + F.col("v") % 10).alias("d2m"), F.lit(1.0).alias("u10"), F.lit(2.0).alias("v10"))
+    start = F.unix_seconds(F.to_timestamp(F.lit("2024-01-04")))
+    scenes = v.table(spark, d, "orders").select(
+        F.col("o_orderkey").alias("scene_id"), (F.col("o_custkey") % 150).alias("cell"), F.timestamp_seconds(start + F.col("o_orderkey") * 37 % 36000 * 60).alias("acq")
+    )
+    horizon = spark.createDataFrame([], "geometry_id string, row int, col int, horizon array<float>")
+    sun = spark.createDataFrame([], "geometry_id string, scene_id long, azimuth double, elevation double")
+    out, _ = jobs.dynamic_products(scenes, series, ["cell"], horizon, sun)
+    return out.select(
+        "scene_id", F.round("ssrd_h_antecedent_mean", 6).alias("flux"), F.round("tp_h_0_24h", 4).alias("rain"), "n_hours", F.round("t2m_scene", 6).alias("t2m"),
+        F.round("ssrd_scene", 6).alias("ssrd_scene"), F.round("vpd_scene", 5).alias("vpd"),
+    )
+
+
+@query("""WITH p AS (SELECT o_orderkey AS anchor_id, o_custkey AS partner_id, CASE WHEN month(o_orderdate) <= 6 THEN 'early' WHEN month(o_orderdate) = 7 THEN 'peak' ELSE 'late' END AS season,
+  CASE WHEN o_custkey % 100 < 10 THEN 'low' WHEN o_custkey % 100 < 30 THEN 'mid' ELSE 'high' END AS cloud, CAST(o_totalprice AS DOUBLE) / 600000 AS missed, CASE WHEN o_custkey % 3 <> 0 THEN (o_custkey % 7) / 7e0 END AS extra FROM orders),
+t AS (SELECT *, row_number() OVER (PARTITION BY season, cloud ORDER BY sha256('7:' || anchor_id), anchor_id) AS turn FROM p),
+f AS (SELECT *, row_number() OVER (PARTITION BY partner_id ORDER BY turn, season, cloud, anchor_id) AS rn FROM t),
+sample AS (SELECT * FROM f WHERE rn = 1 ORDER BY turn, season, cloud, anchor_id LIMIT 90), told AS (SELECT anchor_id, partner_id, missed, extra, missed + coalesce(extra, 0) AS risk FROM sample)
+SELECT 'evidence' AS kind, anchor_id, partner_id, round(risk, 6) AS x FROM (SELECT * FROM told ORDER BY risk DESC, anchor_id, partner_id LIMIT 20)
+UNION ALL SELECT 'missed_p75', NULL, count(missed), round(quantile_cont(missed, 0.75), 6) FROM told UNION ALL SELECT 'extra_p75', NULL, count(extra), round(quantile_cont(extra, 0.75), 6) FROM told""")
+def mask_audit_job(spark: SparkSession, d: str) -> DataFrame:
+    """JOB-10: a stratified sample of all pairs, its worst cases, and quantile lines of its diagnostics."""
+    o, c = v.table(spark, d, "orders"), F.col("o_custkey")
+    key = [F.col("o_orderkey").alias("anchor_id"), c.alias("partner_id")]
+    pairs = o.select(*key, F.col("o_orderdate").alias("acq"), (c % 100).alias("cloud_cover"))
+    diagnostics = o.select(
+        *key, (F.col("o_totalprice").cast("double") / 600000).alias("missed_frac"), F.when(c % 3 != 0, (c % 7) / F.lit(7.0)).alias("extra_frac"), F.lit(None).cast("double").alias("hint_frac")
+    )
+    made = jobs.mask_audit(pairs, diagnostics, 7, 90, 20)
+    worst = made["evidence"].select(F.lit("evidence").alias("kind"), "anchor_id", "partner_id", F.round("risk", 6).alias("x"))
+    lines = made["quantiles"].filter("measure <> 'hint_frac'").select(
+        F.concat(F.split_part("measure", F.lit("_"), F.lit(1)), F.lit("_p75")).alias("kind"), F.lit(None).cast("long").alias("anchor_id"), F.col("n").alias("partner_id"), F.round("p75", 6).alias("x")
+    )
+    return worst.unionByName(lines)
+
+
+@query(f"""WITH {v.LEDGER_LOG}, {v.LATEST}, work AS (SELECT c_custkey AS item_id FROM customer), want(source, n) AS (VALUES ('src0', 50), ('src1', 49), ('src9', 3)), have AS (SELECT source, count(*) AS n FROM latest GROUP BY 1)
+SELECT 'only_left' AS rule, CAST(item_id AS VARCHAR) AS key, '' AS detail FROM work WHERE item_id NOT IN (SELECT item_id FROM latest)
+UNION SELECT 'only_right', CAST(item_id AS VARCHAR), '' FROM latest WHERE item_id NOT IN (SELECT item_id FROM work)
+UNION SELECT 'row_count', coalesce(w.source, h.source), CAST(h.n AS VARCHAR) FROM want w FULL JOIN have h ON w.source = h.source WHERE w.n IS DISTINCT FROM h.n
+UNION SELECT 'not_done', source || '/' || item_id, '' FROM latest WHERE status <> 'done'
+UNION SELECT 'artifact_missing', item_id || '/' || kind, '' FROM work, (VALUES ('data'), ('flag'), ('marker')) k(kind) WHERE NOT EXISTS (SELECT 1 FROM orders o WHERE o.o_custkey = item_id AND kind = CASE o_orderkey % 3 WHEN 0 THEN 'data' WHEN 1 THEN 'flag' ELSE 'marker' END)""")
+def validation_job(spark: SparkSession, d: str) -> DataFrame:
+    """JOB-11: keys, states, counts and artifacts of a product family in one set of findings."""
+    k = F.col("o_orderkey") % 3
+    artifacts = v.table(spark, d, "orders").select(F.col("o_custkey").alias("item_id"), F.when(k == 0, "data").when(k == 1, "flag").otherwise("marker").alias("kind"))
+    return jobs.validate_products(_work(spark, d), _latest(spark, d), artifacts, ["data", "flag", "marker"], {"src0": 50, "src1": 49, "src9": 3})

@@ -15,23 +15,21 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def anchors(spark: SparkSession, d: str) -> DataFrame:
-    return table(spark, d, "orders").filter("o_orderkey % 10 = 0").select(
-        F.col("o_orderkey").alias("anchor_id"), F.col("o_orderdate").alias("acq")
-    )
+    return table(spark, d, "orders").select(F.col("o_orderkey").alias("anchor_id"), F.col("o_orderdate").alias("acq"))
 
 
-ANCHORS = "anchors AS (SELECT o_orderkey AS anchor_id, o_orderdate AS acq FROM orders WHERE o_orderkey % 10 = 0)"
+ANCHORS = "anchors AS (SELECT o_orderkey AS anchor_id, o_orderdate AS acq FROM orders)"
 
 
 def candidates(spark: SparkSession, d: str) -> DataFrame:
-    li = table(spark, d, "lineitem").filter("l_suppkey = 0")
-    return li.groupBy(F.col("l_suppkey").alias("cand_src"), F.col("l_shipdate").alias("acq")).agg(
-        F.round(F.avg(F.col("l_discount").cast("double")) * 10, 9).alias("clear_frac")
-    )
+    """One scene for each l_returnflag and day, from all line items."""
+    return table(spark, d, "lineitem").groupBy("l_returnflag", F.col("l_shipdate").alias("acq")).agg(
+        F.round(F.avg(F.col("l_discount").cast("double")) * 10, 9).alias("clear_frac"), F.count(F.lit(1)).alias("n_items")
+    ).select(F.concat("l_returnflag", F.lit("_"), F.date_format("acq", "yyyyMMdd")).alias("cand_id"), "acq", "clear_frac", "n_items")
 
 
-CANDIDATES = """cand AS (SELECT l_suppkey AS cand_src, l_shipdate AS acq, round(avg(CAST(l_discount AS DOUBLE)) * 10, 9) AS clear_frac
-  FROM lineitem WHERE l_suppkey = 0 GROUP BY 1, 2)"""
+CANDIDATES = """cand AS (SELECT l_returnflag || '_' || strftime(l_shipdate, '%Y%m%d') AS cand_id, l_shipdate AS acq,
+  round(avg(CAST(l_discount AS DOUBLE)) * 10, 9) AS clear_frac, count(*) AS n_items FROM lineitem GROUP BY l_returnflag, l_shipdate)"""
 
 
 def pixels(spark: SparkSession, d: str) -> DataFrame:

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import tempfile
+import uuid
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -16,12 +19,11 @@ class NotPublishable(ValueError):
 
 
 def work_folder(spark: SparkSession, name: str) -> str:
-    """A new folder under the shared one that the session names (spark.checkpoint.dir), a temporary one if it names none."""
-    import tempfile
-    import uuid
-
+    """A new folder under the shared one that the session names (spark.checkpoint.dir); in local mode it may name none."""
     shared = spark.conf.get("spark.checkpoint.dir", "") or ""
     if not shared:
+        if spark.sparkContext.master.split("[")[0] != "local":
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
         shared = tempfile.mkdtemp(prefix="lattice-work-")
         spark.conf.set("spark.checkpoint.dir", shared)
     return f"{shared.rstrip('/')}/{name}-{uuid.uuid4().hex}"
@@ -75,23 +77,27 @@ def run_summary(rows: DataFrame) -> DataFrame:
 
 
 def publish(df: DataFrame, folder: str, product: str, key: str, run_id: str, findings: DataFrame) -> None:
-    """SNK-04: data first, then the checks, and the marker last; readers trust marked products only."""
-    path = f"{folder}/data/product={product}/key={key}"
-    df.write.mode("overwrite").parquet(path)
+    """SNK-04: data first, then the checks, and the marker last; readers trust marked products only.
+
+    Each call writes a folder of its own, which the marker names, so a refused run never touches what was published.
+    """
+    run = f"{run_id}-{uuid.uuid4().hex}"
+    df.write.parquet(f"{folder}/data/product={product}/key={key}/run={run}")
     if said := _first(findings):
         raise NotPublishable("; ".join(said))
     spark = df.sparkSession
     marker = spark.range(1).select(
-        F.lit(product).alias("product"), F.lit(key).alias("key"), F.lit(run_id).alias("run_id"), F.current_timestamp().alias("completed_at")
+        F.lit(product).alias("product"), F.lit(key).alias("key"), F.lit(run).alias("run"), F.current_timestamp().alias("completed_at")
     )
     marker.write.mode("append").parquet(f"{folder}/markers")
 
 
 def published(spark: SparkSession, folder: str) -> DataFrame:
-    """SNK-04: rows of marked products."""
+    """SNK-04: rows of marked products, of the run that was marked last."""
     data = spark.read.option("basePath", f"{folder}/data").parquet(f"{folder}/data")
-    marks = spark.read.parquet(f"{folder}/markers").select("product", F.col("key").cast("string").alias("__key")).distinct()
-    same = (data["product"] == marks["product"]) & (data["key"].cast("string") == marks["__key"])
+    marks = spark.read.parquet(f"{folder}/markers").groupBy("product", F.col("key").alias("__key"))
+    marks = marks.agg(F.max_by("run", "completed_at").alias("__run"))
+    same = (data["product"] == marks["product"]) & (data["key"].cast("string") == marks["__key"]) & (data["run"] == marks["__run"])
     return data.join(marks, same, "left_semi")
 
 

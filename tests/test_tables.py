@@ -226,6 +226,12 @@ def test_readers_trust_marked_products_only(spark, tmp_path):
     assert {r.key for r in sinks.published(spark, folder).collect()} == {"one"}
     sinks.publish(df, folder, "svf", "two", "run", checks.none(df))
     assert {r.key for r in sinks.published(spark, folder).collect()} == {"one", "two"}
+    worse = df.limit(1)
+    with pytest.raises(sinks.NotPublishable):
+        sinks.publish(worse, folder, "svf", "two", "run", checks.when(worse, "bad", F.lit(True), F.lit("k")))
+    assert sinks.published(spark, folder).filter("key = 'two'").count() == df.count()
+    sinks.publish(worse, folder, "svf", "two", "run", checks.none(df))
+    assert sinks.published(spark, folder).filter("key = 'two'").count() == 1
 
 
 def test_twin_points_listing_granules(spark, tmp_path):
