@@ -19,9 +19,21 @@ def row_fingerprint(*columns: str, length: int = 16) -> Column:
     return F.substring(F.sha2(F.to_json(F.struct(*sorted(columns))), 256), 1, length)
 
 
-def combined_checksum(member: Column) -> Column:
-    """AG-24: hash of the sorted member hashes of a group."""
-    return F.sha2(F.concat_ws("", F.array_sort(F.collect_list(F.sha2(member, 256)))), 256)
+#: Members of a group whose hashes may be put into one row
+MOST_MEMBERS = 10_000_000
+
+
+def combined_checksum(df: DataFrame, keys: list[str], member: str) -> DataFrame:
+    """AG-24: `keys, n_members, checksum`: hash of the sorted member hashes of each group; NULL members don't count.
+
+    The hash is over one text, so a group's hashes have to meet in one row. Groups are counted first, and one with
+    more than `MOST_MEMBERS` is an error; `table_fingerprint` has no such bound.
+    """
+    counts = df.groupBy(*keys).agg(F.count(member).alias("n"))
+    if (most := counts.agg(F.max("n").alias("n")).first()["n"] or 0) > MOST_MEMBERS:
+        raise ValueError(f"a group of {most} members; use table_fingerprint")
+    one = F.sha2(F.concat_ws("", F.array_sort(F.collect_list(F.sha2(F.col(member), 256)))), 256)
+    return df.groupBy(*keys).agg(F.count(member).alias("n_members"), one.alias("checksum"))
 
 
 def table_fingerprint(df: DataFrame) -> DataFrame:

@@ -467,11 +467,9 @@ def requested_products(spark: SparkSession, d: str) -> DataFrame:
 
 @query("SELECT r_regionkey, r_name FROM region")
 def strict_scan(spark: SparkSession, d: str) -> DataFrame:
-    """SRC-01."""
-    path = f"{d}/region.parquet"
-    kinds = {f.name: f.dataType for f in spark.read.parquet(path).schema}
-    schema = T.StructType([T.StructField(n, k) for n, k in kinds.items()])
-    return scans.strict_table(spark, path, schema).select("r_regionkey", "r_name")
+    """SRC-01: a declared schema; another one makes the scan fail, which the tests try."""
+    schema = T._parse_datatype_string("r_regionkey int, r_name string")
+    return scans.strict_table(spark, f"{d}/region.parquet", schema).select("r_regionkey", "r_name")
 
 
 @query("SELECT n_nationkey, n_name FROM nation")

@@ -9,7 +9,7 @@ from latticeframe.functions import lattice
 from latticeframe.functions.contracts import LayerContract
 from latticeframe.plans import jobs
 from latticeframe.plans import views as v
-from latticeframe.plans.grid_queries import _LONG, _STACK, BANDS, STACK, _stack
+from latticeframe.plans.grid_queries import _LONG, _STACK, BANDS, STACK, _stack, _steps_sql
 from latticeframe.plans.registry import query
 from latticeframe.plans.scene_queries import _latest, _work
 
@@ -211,3 +211,25 @@ def validation_job(spark: SparkSession, d: str) -> DataFrame:
     k = F.col("o_orderkey") % 3
     artifacts = v.table(spark, d, "orders").select(F.col("o_custkey").alias("item_id"), F.when(k == 0, "data").when(k == 1, "flag").otherwise("marker").alias("kind"))
     return jobs.validate_products(_work(spark, d), _latest(spark, d), artifacts, ["data", "flag", "marker"], {"src0": 50, "src1": 49, "src9": 3})
+
+
+@query(f"""WITH {v.PIXELS}, {_steps_sql(36, 6)}, {_steps_sql(16, 3).replace("steps(", "around(", 1)},
+d AS (SELECT row, col, height + CASE WHEN custkey % 3 = 0 THEN custkey % 20 ELSE 0 END AS b, height + custkey % 7 AS g FROM px),
+dsm AS (SELECT row, col, b, greatest(b, g) AS c FROM d),
+bands AS (SELECT a.row, a.col, s.k, greatest(coalesce(max(degrees(atan2(o.b - a.b, s.r * 10e0))), 0), 0) AS angle FROM dsm a, steps s LEFT JOIN dsm o ON o.row = a.row + s.dr AND o.col = a.col + s.dc GROUP BY 1, 2, 3),
+rings AS (SELECT a.row, a.col, s.k, greatest(coalesce(max(degrees(atan2(o.c - a.c, s.r * 10e0))), 0), 0) AS angle FROM dsm a, around s LEFT JOIN dsm o ON o.row = a.row + s.dr AND o.col = a.col + s.dc GROUP BY 1, 2, 3),
+h AS (SELECT row, col, string_agg(CAST(CAST(round_even(angle * 100, 0) AS INT) AS VARCHAR), ',' ORDER BY k) AS horizon FROM bands GROUP BY 1, 2),
+w AS (SELECT row, col, round(1 - avg(sin(radians(angle))), 6) AS svf FROM rings GROUP BY 1, 2)
+SELECT dsm.row, dsm.col, round(b, 6) AS building_dsm, round(c, 6) AS combined_dsm, horizon, svf FROM dsm JOIN h ON dsm.row = h.row AND dsm.col = h.col JOIN w ON dsm.row = w.row AND dsm.col = w.col""")
+def static_derived_job(spark: SparkSession, d: str) -> DataFrame:
+    """JOB-04: surface models of buildings and of everything, the horizon of the first and the sky view of the second."""
+    px, k = v.pixels(spark, d), F.col("custkey")
+    made = jobs.static_derived(
+        px.select("row", "col", F.col("height").alias("terrain_height")),
+        px.filter(k % 3 == 0).select("row", "col", (k % 20).cast("double").alias("height_mean")),
+        px.select("row", "col", (k % 7).cast("double").alias("vegetation_height")),
+        radius_m=60.0,
+    )
+    horizon = made["horizon_building"].select("row", "col", F.array_join(F.col("horizon").cast("array<string>"), ",").alias("horizon"))
+    out = made["dsm"].join(horizon, ["row", "col"]).join(made["svf"], ["row", "col"])
+    return out.select("row", "col", F.round("building_dsm", 6).alias("building_dsm"), F.round("combined_dsm", 6).alias("combined_dsm"), "horizon", F.round("svf", 6).alias("svf"))

@@ -297,8 +297,7 @@ def quantile_lines(spark: SparkSession, d: str) -> DataFrame:
 @query("SELECT source, count(*) AS n_members, sha256(string_agg(h, '' ORDER BY h)) AS checksum FROM (SELECT source, sha256(text) AS h FROM documents) GROUP BY 1")
 def combined_checksum(spark: SparkSession, d: str) -> DataFrame:
     """AG-24, FP-02."""
-    docs = v.table(spark, d, "documents")
-    return docs.groupBy("source").agg(F.count("text").alias("n_members"), hashes.combined_checksum(F.col("text")).alias("checksum"))
+    return hashes.combined_checksum(v.table(spark, d, "documents"), ["source"], "text")
 
 
 @query("SELECT c_custkey, substr(sha256('{\"c_mktsegment\":\"' || c_mktsegment || '\",\"c_nationkey\":' || c_nationkey || '}'), 1, 16) AS fingerprint FROM customer")
