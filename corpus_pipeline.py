@@ -1,4 +1,9 @@
-"""The corpus pipeline: five operators of the training-data part in a row, from documents to packed sequences."""
+"""The corpus pipeline: five operators of the training-data part in a row, from documents to packed sequences.
+
+All stages take a table with `doc_id, text` (and `lang, source` for the first); null and repeated ids and repeated rows
+stay rows of their own unless a stage says otherwise, texts are taken whole however long, other columns are kept under
+any name, and an empty table gives an empty one.
+"""
 
 from __future__ import annotations
 
@@ -10,27 +15,42 @@ from latticeframe.llm.common import read_table, stored
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that pass the base rule and the adaptive fences of their language and source."""
+    """Documents that pass the base rule and the adaptive fences of their language and source.
+
+    Null and empty texts have no words and go; a null language or source is a group of its own; equal rows get equal
+    verdicts; a value at a fence passes.
+    """
     return quality_rules.keep_good(docs)
 
 
 def repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Later copies of repeated line runs are deleted; a document of nothing else goes."""
+    """Later copies of repeated line runs are deleted; a document of nothing else goes.
+
+    Null and empty texts stay; of equal ids the text with the smaller hash counts as earlier; rows with equal ids and
+    texts are edited alike.
+    """
     return line_dedup.delete_repeats(docs)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each near-duplicate group stays (five-word shingles, similarity 0.8)."""
+    """One document of each near-duplicate group stays (five-word shingles, similarity 0.8): the one of the smallest id.
+
+    Null and empty texts are linked with nothing and stay; rows with equal ids and texts stay or go together; a row
+    with a null id stays only if no row with an id has a similar text.
+    """
     return near_dedup.keep_one(docs, shingle=5, percent=80)
 
 
 def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Secrets are replaced by a mark."""
+    """Secrets are replaced by a mark; overlapping ones by one. Texts without any, null included, stay as they are."""
     return secret_scan.redact(docs)
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The place of every piece of every document in sequences of 2048 tokens."""
+    """The place of every piece of every document in sequences of 2048 tokens.
+
+    A null or empty text is a piece of the separator alone; longer documents than a sequence are several pieces.
+    """
     return packing.pack_documents(docs, public_tokenizers.path("word_bpe_49k.json"), packing.all_capacities(2048))
 
 
