@@ -68,8 +68,8 @@ def feature_stack_coverage(spark: SparkSession, d: str) -> DataFrame:
 @query(f"""WITH {v.CANDIDATES}, anchors AS (SELECT 'LC08_' || o_orderkey AS scene_id, o_orderdate AS acq, (o_custkey % 40) / 40e0 AS clear_frac FROM orders),
 pairs AS (SELECT a.scene_id, c.cand_id, a.acq, c.acq AS cand_acq, c.clear_frac, c.n_items, abs(epoch_us(c.acq) - epoch_us(a.acq)) / 86400e6 AS dt FROM anchors a JOIN cand c ON abs(epoch_us(c.acq) - epoch_us(a.acq)) / 86400e6 <= 3 + 1e-6 WHERE a.clear_frac >= 0.05),
 top AS (SELECT *, clear_frac - 0.1 * dt / 3 AS score, max(clear_frac) OVER (PARTITION BY scene_id) AS most, row_number() OVER (PARTITION BY scene_id ORDER BY clear_frac - 0.1 * dt / 3 DESC, dt, cand_id) AS rn FROM pairs)
-SELECT a.scene_id, CASE WHEN t.most >= 0.5 THEN cand_id END AS partner_id, CASE WHEN t.most >= 0.5 THEN abs(epoch_us(cand_acq) - epoch_us(t.acq)) // 1000000 END AS dt_seconds,
-  CASE WHEN a.clear_frac < 0.05 THEN 'below_clear_gate' WHEN t.most IS NULL THEN 'no_candidate_in_window' WHEN t.most < 0.5 THEN 'none_above_threshold' END AS reason FROM anchors a LEFT JOIN top t ON a.scene_id = t.scene_id AND t.rn = 1""")
+SELECT a.scene_id, CASE WHEN t.most >= 0.95 THEN cand_id END AS partner_id, CASE WHEN t.most >= 0.95 THEN abs(epoch_us(cand_acq) - epoch_us(t.acq)) // 1000000 END AS dt_seconds,
+  CASE WHEN a.clear_frac < 0.05 THEN 'below_clear_gate' WHEN t.most IS NULL THEN 'no_candidate_in_window' WHEN t.most < 0.95 THEN 'none_above_threshold' END AS reason FROM anchors a LEFT JOIN top t ON a.scene_id = t.scene_id AND t.rn = 1""")
 def couple_job(spark: SparkSession, d: str) -> DataFrame:
     """JOB-01: pairings of all anchors, and why the others have none."""
     o = v.table(spark, d, "orders")
@@ -81,7 +81,7 @@ def couple_job(spark: SparkSession, d: str) -> DataFrame:
         F.col("cand_id").alias("scene_id"), "acq", F.lit("href").alias("item_href"), F.lit("s2").alias("platform"), "clear_frac", F.col("n_items").alias("landsat_clear_px"), F.col("n_items").alias("joint_clear_px")
     )
     validation = anchors.limit(0).select("scene_id", F.col("acq").alias("acquisition_datetime"), F.lit("ecostress").alias("source"), F.year("acq").alias("year"), F.lit("iss").alias("platform"), "item_href", F.col("clear_frac").alias("aoi_clear_frac"))
-    made = jobs.couple_scenes(anchors, cand, validation, 0.5)
+    made = jobs.couple_scenes(anchors, cand, validation, 0.95)
     good = made.pairings.select(F.col("landsat_scene_id").alias("scene_id"), F.col("sentinel2_scene_id").alias("partner_id"), "dt_seconds", F.lit(None).cast("string").alias("reason"))
     return good.unionByName(made.dropped.select("scene_id", F.lit(None).cast("string").alias("partner_id"), F.lit(None).cast("long").alias("dt_seconds"), "reason"))
 

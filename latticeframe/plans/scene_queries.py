@@ -11,7 +11,7 @@ from latticeframe.plans import views as v
 from latticeframe.plans.registry import query
 from latticeframe.sources import scans
 
-THRESHOLD = 0.5
+THRESHOLD = 0.95
 
 _MATCHED = f"""WITH {v.ANCHORS}, {v.CANDIDATES}, pairs AS (
   SELECT a.anchor_id, c.cand_id, c.acq AS cand_acq, c.clear_frac, abs(epoch_us(c.acq) - epoch_us(a.acq)) / 86400e6 AS dt_days
