@@ -158,7 +158,7 @@ j AS (SELECT t.scene_id, h.own, (epoch_us(t.acq) - epoch_us(h.ts)) / 3600e6 AS a
 s AS (SELECT scene_id, avg(own / 3600) AS flux, coalesce(sum(greatest(own, 0)) FILTER (age < 24), 0) * 1000 AS rain, count(*) AS n FROM j GROUP BY 1),
 near AS (SELECT t.scene_id, h.*, row_number() OVER (PARTITION BY t.scene_id ORDER BY abs(epoch_us(h.ts) - epoch_us(date_trunc('hour', t.acq + INTERVAL 30 MINUTE))), h.ts) AS rn FROM t JOIN h ON t.cell = h.cell),
 p AS (SELECT scene_id, own / 3600 AS ssrd_scene, t2m, 0.6108 * exp(17.27 * (t2m - 273.15) / (t2m - 273.15 + 237.3)) - 0.6108 * exp(17.27 * (d2m - 273.15) / (d2m - 273.15 + 237.3)) AS vpd FROM near WHERE rn = 1)
-SELECT t.scene_id, round(flux, 6) AS flux, round(coalesce(rain, 0), 4) AS rain, coalesce(n, 0) AS n_hours, round(t2m, 6) AS t2m, round(ssrd_scene, 6) AS ssrd_scene, round(CASE WHEN vpd < 0 THEN 0 ELSE vpd END, 5) AS vpd
+SELECT t.scene_id, round(flux * 3600, 9) AS per_hour, round(coalesce(rain, 0), 4) AS rain, coalesce(n, 0) AS n_hours, round(t2m, 6) AS t2m, round(ssrd_scene, 6) AS ssrd_scene, round(CASE WHEN vpd < 0 THEN 0 ELSE vpd END, 5) AS vpd
 FROM t LEFT JOIN s ON t.scene_id = s.scene_id LEFT JOIN p ON t.scene_id = p.scene_id""")
 def dynamic_job(spark: SparkSession, d: str) -> DataFrame:
     """JOB-06: antecedent sums and the weather of the hour for every scene."""
@@ -172,7 +172,7 @@ def dynamic_job(spark: SparkSession, d: str) -> DataFrame:
     sun = spark.createDataFrame([], "geometry_id string, scene_id long, azimuth double, elevation double")
     out, _ = jobs.dynamic_products(scenes, series, ["cell"], horizon, sun)
     return out.select(
-        "scene_id", F.round("ssrd_h_antecedent_mean", 6).alias("flux"), F.round("tp_h_0_24h", 4).alias("rain"), "n_hours", F.round("t2m_scene", 6).alias("t2m"),
+        "scene_id", F.round(F.col("ssrd_h_antecedent_mean") * 3600, 9).alias("per_hour"), F.round("tp_h_0_24h", 4).alias("rain"), "n_hours", F.round("t2m_scene", 6).alias("t2m"),
         F.round("ssrd_scene", 6).alias("ssrd_scene"), F.round("vpd_scene", 5).alias("vpd"),
     )
 
