@@ -52,41 +52,38 @@ def shifted(df: DataFrame, keys: list[str], mask: Column, dr: Column, dc: Column
     return moved.filter(F.col("row").between(0, rows - 1) & F.col("col").between(0, cols - 1))
 
 
-def _corners(src: Column) -> tuple[Column, Column]:
-    """The lower neighbour of a fractional index, and the share of the upper one."""
-    low = F.floor(src)
-    return low.cast("int"), src - low
+def _squares(source: DataFrame, keys: list[str], columns: list[str]) -> DataFrame:
+    """The values of every two by two square of cells, by the lower corner `srow, scol`: `__{column}_{corner}`.
+
+    A grouped maximum of four copies of a cell, combined on the map side; a square may reach over the edge.
+    """
+    corners = F.array(*(F.struct((F.col("row") - i).alias("srow"), (F.col("col") - j).alias("scol"), F.lit(2 * i + j).alias("k")) for i in (0, 1) for j in (0, 1)))
+    cells = source.select(*keys, F.explode(corners).alias("__at"), *(value(n).alias(f"__{m}") for m, n in enumerate(columns)))
+    at = [*keys, F.col("__at.srow").alias("srow"), F.col("__at.scol").alias("scol")]
+    return cells.groupBy(*at).agg(*(F.max(F.when(F.col("__at.k") == k, F.col(f"__{m}"))).alias(f"__{m}_{k}") for m in range(len(columns)) for k in range(4)))
 
 
 def bilinear(targets: DataFrame, source: DataFrame, keys: list[str], columns: list[str], src_row: Column, src_col: Column) -> DataFrame:
     """Weighted mean of the up to four source cells around a fractional index; cells without a value are left out.
 
-    `src_row`, `src_col` are expressions over the targets, in source indices of cell centres.
+    `src_row`, `src_col` are expressions over the targets, in source indices of cell centres. The source, the smaller
+    table as a rule, is put into squares, so that a target is one row that meets one square.
     """
-    (r, fr), (c, fc) = _corners(src_row), _corners(src_col)
-    t = targets.withColumns({"__r": r, "__fr": fr, "__c": c, "__fc": fc})
-    near = F.array(
-        *(
-            F.struct(
-                (F.col("__r") + i).alias("srow"),
-                (F.col("__c") + j).alias("scol"),
-                ((F.col("__fr") if i else 1 - F.col("__fr")) * (F.col("__fc") if j else 1 - F.col("__fc"))).alias("w"),
-            )
-            for i in (0, 1)
-            for j in (0, 1)
-        )
-    )
-    t = t.select(*keys, *CELL, F.explode(near).alias("n")).select(*keys, *CELL, "n.*").filter("w > 0")
-    s = source.select(*keys, F.col("row").alias("srow"), F.col("col").alias("scol"), *columns)
-    joined = t.join(s, [*keys, "srow", "scol"])
-
-    def mean(name: str) -> Column:
-        v = value(name)
-        w = F.when(v.isNotNull(), F.col("w"))
-        return F.try_divide(F.sum(v * F.col("w")), F.sum(w)).alias(name)
-
-    made = joined.groupBy(*keys, *CELL).agg(*(mean(n) for n in columns))
-    return targets.select(*keys, *CELL).join(made, [*keys, *CELL], "left")
+    t = targets.select(*keys, *CELL, src_row.cast("double").alias("__r"), src_col.cast("double").alias("__c"))
+    t = t.withColumns({"srow": F.floor("__r").cast("int"), "scol": F.floor("__c").cast("int")})
+    joined = t.join(_squares(source, keys, columns), [*keys, "srow", "scol"], "left")
+    down, right = F.col("__r") - F.col("srow"), F.col("__c") - F.col("scol")
+    weights = [(down if i else 1 - down) * (right if j else 1 - right) for i in (0, 1) for j in (0, 1)]
+
+    def mean(m: int) -> Column:
+        total, weight = F.lit(0.0), F.lit(0.0)
+        for k, w in enumerate(weights):
+            v = F.col(f"__{m}_{k}")
+            used = v.isNotNull() & (w > 0)
+            total, weight = total + F.when(used, v * w).otherwise(0.0), weight + F.when(used, w).otherwise(0.0)
+        return F.try_divide(total, weight).alias(columns[m])
+
+    return joined.select(*keys, *CELL, *(mean(m) for m in range(len(columns))))
 
 
 def upsample2(targets: DataFrame, coarse: DataFrame, keys: list[str], columns: list[str]) -> DataFrame:
