@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import uuid
+
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -13,33 +16,56 @@ def status_windows(events: DataFrame, lateness: str = "10 minutes", window: str
     return counts.select(F.col("window.start").alias("start"), "source", "status", "n")
 
 
-def merge_into(path: str, keys: list[str], order: list[str]):
+def merge_into(path: str, keys: list[str], order: list[str], buckets: int = 64):
     """A `foreachBatch` function that keeps the latest ledger row per key under `path`.
 
-    Each batch writes a new version and then moves a pointer row, so a batch that is run again after a failure gives
-    the same state and readers never see half of one.
+    Rows lie in `buckets` by a hash of their key, and a batch only rewrites the buckets that it touches: into a folder
+    of its own, which the pointer table names last. So readers never see half of a batch, a batch that is run again
+    gives the same state, and a stream that starts anew goes on with the ledger as it is. `buckets` stays what it was
+    for the first batch; another number raises.
     """
     from latticeframe.operators.ledger import latest
 
     def run(batch: DataFrame, batch_id: int) -> None:
-        now = current(batch.sparkSession, path)
-        rows = latest(batch, keys, order)
-        merged = rows if now is None else latest(now.unionByName(rows), keys, order)
-        merged.write.mode("overwrite").parquet(f"{path}/version={batch_id}")
-        pointer = batch.sparkSession.range(1).select(F.lit(batch_id).alias("version"), F.current_timestamp().alias("at"))
-        pointer.write.mode("append").parquet(f"{path}-pointer")
+        spark = batch.sparkSession
+        bucket = F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int")
+        rows = latest(batch, keys, order).persist()
+        try:
+            touched = [r["b"] for r in rows.select(bucket.alias("b")).distinct().collect()]  # `buckets` rows at most
+            if not touched:
+                return
+            folders = _folders(spark, path)
+            if any(n != buckets for n, _, _ in folders.values()):
+                raise ValueError(f"{path} doesn't have {buckets} buckets")
+            old = [f"{folder}/__bucket={b}" for b, (_, _, folder) in folders.items() if b in touched]
+            merged = latest(spark.read.parquet(*old).unionByName(rows), keys, order) if old else rows
+            folder = f"{path}/run={uuid.uuid4().hex}"
+            merged.withColumn("__bucket", bucket).hint("rebalance", "__bucket").write.partitionBy("__bucket").parquet(folder)
+            seq = 1 + max((n for _, n, _ in folders.values()), default=0)
+            pointer = spark.createDataFrame([(b, buckets, seq, folder) for b in touched], POINTER)
+            pointer.coalesce(1).write.mode("append").parquet(f"{path}-pointer")
+        finally:
+            rows.unpersist()
 
     return run
 
 
-def current(spark, path: str) -> DataFrame | None:
-    """The ledger as the last finished batch left it; None before the first."""
-    from pyspark.errors import AnalysisException
+POINTER = "bucket int, buckets int, seq long, folder string"
+
 
+def _folders(spark: SparkSession, path: str) -> dict[int, tuple[int, int, str]]:
+    """The number of buckets, and the number and folder of the last finished run, for each bucket."""
     try:
-        last = spark.read.schema("version long, at timestamp").parquet(f"{path}-pointer").agg(F.max("version").alias("v")).first()["v"]
+        pointer = spark.read.schema(POINTER).parquet(f"{path}-pointer")
+        last = pointer.groupBy("bucket").agg(F.max(F.struct("seq", "folder", "buckets")).alias("l")).collect()
     except AnalysisException as e:
         if e.getCondition() != "PATH_NOT_FOUND":
             raise
-        return None
-    return None if last is None else spark.read.parquet(f"{path}/version={last}")
+        return {}
+    return {r["bucket"]: (r["l"]["buckets"], r["l"]["seq"], r["l"]["folder"]) for r in last}
+
+
+def current(spark: SparkSession, path: str) -> DataFrame | None:
+    """The ledger as the last finished batch left it; None before the first."""
+    folders = _folders(spark, path)
+    return spark.read.parquet(*(f"{folder}/__bucket={b}" for b, (_, _, folder) in folders.items())) if folders else None

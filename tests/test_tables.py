@@ -298,6 +298,25 @@ def test_stream_keeps_the_latest(spark, tmp_path):
     assert {r.item_id: r.status for r in streaming.current(spark, state).collect()} == {"a": "done", "b": "done"}
 
 
+def test_stream_buckets_repeat_and_restart(spark, tmp_path):
+    state = str(tmp_path / "state")
+    run = streaming.merge_into(state, ["item_id"], ["updated_at"], buckets=4)
+    rows = lambda status, hours, ids: spark.createDataFrame(
+        [(f"k{i}", status, T0 + timedelta(hours=hours)) for i in ids], "item_id string, status string, updated_at timestamp"
+    )
+    run(rows("pending", 0, range(40)), 0)
+    before = streaming._folders(spark, state)
+    for batch_id in (1, 1, 0):  # run again after a failure, then from a stream that starts anew
+        run(rows("done", 1, [7]), batch_id)
+    run(rows("done", 1, []), 2)
+    got = {r.item_id: r.status for r in streaming.current(spark, state).collect()}
+    assert got == {f"k{i}": "done" if i == 7 else "pending" for i in range(40)}
+    after = streaming._folders(spark, state)
+    assert sum(before[b] != after[b] for b in before) == 1
+    with pytest.raises(ValueError):
+        streaming.merge_into(state, ["item_id"], ["updated_at"], buckets=8)(rows("done", 2, [1]), 3)
+
+
 def test_as_of_knows_all_versions(spark):
     rows = spark.range(3000).select(F.col("id").alias("year"))
     twice = spark.range(2000).select((F.col("id") % 1000).cast("int").alias("version"))
