@@ -20,7 +20,7 @@ WINDOW = 5
 RATIOS = {"symbol_ratio": 0.01, "dup_line_ratio": 0.15, "mean_word_chars": 1.0}
 #: fences stand this many spreads beyond the quartiles
 REACH = 3.0
-#: the quartiles of all documents count as so many documents of a group
+#: at this size a group's own quartiles and those of all documents weigh the same
 PRIOR = 30
 #: most groups whose fences are broadcast; beyond it the join shuffles
 BROADCAST_GROUPS = 50_000
@@ -66,8 +66,9 @@ def fences(measured: DataFrame) -> DataFrame:
     """Per (lang, source): the limits of each ratio, from KLL sketches of all its documents.
 
     Sketches are built per (lang, source), written once, and merged to the one over everything. The quartiles of a
-    group of n documents count n times against `PRIOR` times those of all documents, so a small group leans on the
-    others and no group size switches anything. A null language or source is a group of its own.
+    group of n documents weigh n squared against `PRIOR` squared for those of all documents, so a small group leans on
+    the others, a larger one soon stands alone, and no group size switches anything. A null language or source is a
+    group of its own.
     """
     keys = [F.col("lang").cast("string").alias("lang"), F.col("source").cast("string").alias("source")]
     parts = stored(
@@ -78,10 +79,13 @@ def fences(measured: DataFrame) -> DataFrame:
     )
     whole = parts.agg(*(F.kll_merge_agg_double(r).alias(f"all_{r}") for r in RATIOS))
 
+    n = F.col("n").cast("double")
+    share = n * n / (n * n + PRIOR**2)
+
     def limits(own: Column, every: Column, least: float) -> Column:
         quartiles = F.array(F.lit(0.25), F.lit(0.75))
         q = F.struct(F.kll_sketch_get_quantile_double(own, quartiles).alias("a"), F.kll_sketch_get_quantile_double(every, quartiles).alias("b"))
-        mean = lambda v, k: (F.get(v["a"], k) * F.col("n") + F.get(v["b"], k) * PRIOR) / (F.col("n") + PRIOR)
+        mean = lambda v, k: F.get(v["b"], k) + (F.get(v["a"], k) - F.get(v["b"], k)) * share
         return let(
             q,
             lambda v: let(

@@ -175,7 +175,7 @@ def test_fences_against_plain_quartiles(spark):
             kept = not told[i]["__q_base_failed"]
             for ratio, least in quality_rules.RATIOS.items():
                 v = lambda j: told[j][f"__q_{ratio}"]
-                n, prior = len(own), quality_rules.PRIOR
+                n, prior = len(own) ** 2, quality_rules.PRIOR**2
                 lo, hi = ((quart([v(j) for j in own], p) * n + quart([v(j) for j in told], p) * prior) / (n + prior) for p in (0.25, 0.75))
                 reach = max(hi - lo, least) * quality_rules.REACH
                 kept = kept and lo - reach <= v(i) <= hi + reach
