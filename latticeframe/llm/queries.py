@@ -8,7 +8,10 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from latticeframe.llm import byte_bpe, chat_format, fingerprints, html_extract, line_dedup, near_dedup, packing, quality_rules, secret_scan, suffix_dedup
+from latticeframe.llm import (
+    byte_bpe, chat_format, fingerprints, html_extract, language_id, line_dedup, near_dedup, packing, prefix_trie, quality_rules, resampling, secret_scan,
+    suffix_dedup,
+)
 from latticeframe.llm.common import read_table
 
 
@@ -65,8 +68,26 @@ def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.kept_texts(read_table(spark, sf_dir, "documents"))
 
 
+def op11_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_id.identify(read_table(spark, sf_dir, "documents"))
+
+
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.rebuilt_trie(read_table(spark, sf_dir, "conversations"))
+
+
+def op13_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return resampling.resample(read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
+
+
+QUERIES = (
+    op1_best_fit_packing, op2_fingerprints, op3_near_dedup, op4_html_extract, op5_byte_bpe, op6_chat_format, op7_secret_scan, op8_quality_rules,
+    op9_line_dedup, op10_suffix_dedup, op11_language_id, op12_prefix_trie, op13_importance_resampling,
+)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_best_fit_packing, op2_fingerprints, op3_near_dedup, op4_html_extract, op5_byte_bpe, op6_chat_format, op7_secret_scan, op8_quality_rules, op9_line_dedup, op10_suffix_dedup)}
+    return {f.__name__: f for f in QUERIES}
 
 
 OP3_SQL = r"""
@@ -139,5 +160,85 @@ GROUP BY l.doc_id
 """
 
 
+def crc32_sql(text: str) -> str:
+    """The unsigned crc32 of an expression's UTF-8 bytes: a byte's table entry is the xor of those of its bits."""
+    entries = (1996959894, 3993919788, 124634137, 249268274, 498536548, 997073096, 1994146192, 3988292384)
+    table = "0"
+    for k, entry in enumerate(entries):
+        table = f"xor({table}, ((xor(r, b) >> {k}) & 1) * {entry})"
+    digits = " + ".join(f"{16 if k == 1 else 1} * (strpos('123456789ABCDEF', substr(hex({text}), 2 * i + {k}, 1)))" for k in (1, 2))
+    in_bytes = f"list_transform(range(0, strlen({text})), lambda i: {digits})"
+    return f"xor(list_reduce(list_prepend(4294967295, {in_bytes}), lambda r, b: xor(r >> 8, {table})), 4294967295)"
+
+
+OP12_SQL = f"""
+WITH own AS (
+  SELECT conv_id, list({{'role': role, 'text': text}} ORDER BY turn NULLS FIRST, role, text) AS t
+  FROM (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations) GROUP BY 1
+), named AS (
+  SELECT conv_id, t, CAST({crc32_sql("coalesce(CAST(conv_id AS VARCHAR), '')")} % 6 AS BIGINT) AS h FROM own
+), rebuilt AS (
+  SELECT a.conv_id, list_concat(coalesce(list_slice(b.t, 1, a.h), []), list_slice(a.t, a.h + 1, len(a.t))) AS t
+  FROM named a LEFT JOIN own b ON b.conv_id = a.conv_id - a.conv_id % 100
+), prefixes AS (
+  SELECT conv_id, len(t) AS n, list_slice(t, 1, d) AS path, d FROM (SELECT conv_id, t, unnest(range(0, len(t) + 1)) AS d FROM rebuilt)
+), members AS (
+  SELECT path, d AS depth, min(conv_id) AS conv_id, count(*) AS n_convs,
+    sha256(coalesce(string_agg(coalesce(CAST(conv_id AS VARCHAR), ''), ',' ORDER BY conv_id NULLS LAST) FILTER (n = d), '')) AS ends_sha256
+  FROM prefixes GROUP BY 1, 2
+), born AS (
+  SELECT list_slice(path, 1, depth - 1) AS path, count(*) AS n_children FROM members WHERE depth > 0 GROUP BY 1
+), nodes AS (
+  SELECT m.*, coalesce(n_children, 0) AS n_children, (n_convs - 1) * coalesce(length(m.path[-1].text), 0) AS saved
+  FROM members m LEFT JOIN born b ON m.path = b.path
+), sums AS (
+  SELECT top, sum(saved) AS saved_tokens, count(*) FILTER (n_children = 0) AS n_leaves
+  FROM (SELECT *, list_slice(path, 1, k) AS top FROM (SELECT *, unnest(range(0, depth + 1)) AS k FROM nodes)) GROUP BY 1
+)
+SELECT n.conv_id, n.depth, p.conv_id AS parent_conv_id, n.n_convs, n.n_children, n_leaves, CAST(saved_tokens AS BIGINT) AS saved_tokens, n.ends_sha256
+FROM nodes n JOIN sums ON n.path = sums.top LEFT JOIN nodes p ON n.depth > 0 AND p.path = list_slice(n.path, 1, n.depth - 1)
+"""
+
+OP13_SQL = rf"""
+WITH texts AS (
+  SELECT true AS raw, doc_id, row_number() OVER () AS row, text FROM documents UNION ALL SELECT false, NULL, row_number() OVER (), text FROM benchmark
+), worded AS (
+  SELECT raw, doc_id, row, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM texts
+), placed AS (
+  SELECT raw, row, w, unnest(range(1, len(w) + 1)) AS i FROM worded
+), features AS (
+  SELECT raw, row, w[i] AS f FROM placed
+  UNION ALL SELECT raw, row, w[i] || ' ' || w[i + 1] FROM placed WHERE i < len(w)
+  UNION ALL SELECT raw, row, w[i] || ' ' || w[i + 1] || ' ' || w[i + 2] FROM placed WHERE i + 1 < len(w)
+), counted AS (
+  SELECT raw, row, f, count(*) AS n FROM features GROUP BY 1, 2, 3
+), hashed AS (
+  SELECT f, {crc32_sql("f")} % 10000 AS bucket FROM (SELECT DISTINCT f FROM counted)
+), sums AS (
+  SELECT bucket, coalesce(sum(n) FILTER (raw), 0) AS s, coalesce(sum(n) FILTER (NOT raw), 0) AS t FROM counted JOIN hashed USING (f) GROUP BY 1
+), totals AS (
+  SELECT CAST(sum(s) AS DOUBLE) AS s_all, CAST(sum(t) AS DOUBLE) AS t_all FROM sums
+), gains AS (
+  SELECT bucket, CAST(floor(1000 * ln((t + 1e0) * (s_all + 10000) / ((s + 1e0) * (t_all + 10000)))) AS BIGINT) AS gain FROM sums, totals
+), weights AS (
+  SELECT row, CAST(sum(n * gain) AS BIGINT) AS weight FROM counted JOIN hashed USING (f) JOIN gains USING (bucket) WHERE raw GROUP BY 1
+), scored AS (
+  SELECT doc_id, row, len(w) AS n, coalesce(weight, 0) AS weight, CAST('0x' || left(sha256('42:' || coalesce(CAST(doc_id AS VARCHAR), '')), 8) AS BIGINT) AS h
+  FROM worded LEFT JOIN weights USING (row) WHERE raw
+), placed_rows AS (
+  SELECT *, weight + CAST(floor(-1000 * ln(-ln((h + 0.5e0) / 4294967296e0))) AS BIGINT) AS score FROM scored
+), ranked AS (
+  SELECT *, row_number() OVER (PARTITION BY n >= 20 ORDER BY score DESC, doc_id NULLS LAST, row) AS place, count(*) FILTER (n >= 20) OVER () AS drawable
+  FROM placed_rows
+)
+SELECT doc_id, n + greatest(n - 1, 0) + greatest(n - 2, 0) AS n_features, weight, score,
+  CASE WHEN n >= 20 AND place <= 5 * drawable // 100 THEN place END AS rank FROM ranked
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op3_near_dedup": OP3_SQL, "op6_chat_format": OP6_SQL, "op9_line_dedup": OP9_SQL}
+    return {
+        "op3_near_dedup": OP3_SQL, "op6_chat_format": OP6_SQL, "op9_line_dedup": OP9_SQL, "op12_prefix_trie": OP12_SQL,
+        "op13_importance_resampling": OP13_SQL,
+    }
