@@ -14,23 +14,28 @@ from __future__ import annotations
 
 import math
 import re
-from collections import Counter
+from collections import Counter, defaultdict
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
+from itertools import islice, repeat
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from latticeframe.llm.common import discard, map_rows, only, stored
+from latticeframe.llm.common import discard, map_rows, only, row_slices, stored
 
-#: Letters, and some digits that aren't decimal, which `is_word` leaves out
+#: Letters, and some digits that aren't decimal, which `words_of` leaves out
 _WORDS = re.compile(r"[^\W\d_]+")
 GRAMS = (5, 4, 3, 2, 1)
-#: Least share of all words (at most 65,536 words are known) and of all n-grams of one length (16,384 each)
-WORD_SHARE, GRAM_SHARE = 1 / 65_536, 1 / 16_384
+#: Least share of all words (at most 262,144 words are known) and of all n-grams of one length (32,768 each)
+WORD_SHARE, GRAM_SHARE = 1 / 262_144, 1 / 32_768
 SMOOTHING = 0.5
-#: Unseen words that a task remembers, if they have no more letters than this
-MEMO, MEMO_LETTERS = 200_000, 40
+#: Letters of unseen words whose scores a task remembers, letters of a word that are looked at at once
+MEMO_LETTERS, PIECE = 2_000_000, 1 << 16
+#: Text bytes, and letters of different words, whose counts are held before they are handed on
+COUNT_BYTES, COUNT_LETTERS = 32 << 20, 400_000
 UNKNOWN = "und"
 
 
@@ -42,10 +47,25 @@ def words_of(text: str | None) -> list[str]:
     return [x for w in found for x in "".join(c if c.isalpha() else " " for c in w).split()]
 
 
-def grams_of(word: str, n: int) -> list[str]:
+def grams_of(word: str, n: int) -> Iterator[str]:
     """The n-grams of a word with a blank at either end; for n = 1 its letters."""
     padded = word if n == 1 else f" {word} "
-    return [padded[k : k + n] for k in range(len(padded) - n + 1)]
+    return (padded[k : k + n] for k in range(len(padded) - n + 1))
+
+
+class _Numbered(dict):
+    """Words by row of a table; a word that isn't there gets the next row and is listed in `new`."""
+
+    def __init__(self, known: dict[str, int], rows: int):
+        super().__init__(known)
+        self.new: list[str] = []
+        self.rows = rows
+
+    def __missing__(self, word: str) -> int:
+        self.new.append(word)
+        self[word] = row = self.rows
+        self.rows += 1
+        return row
 
 
 @dataclass(frozen=True)
@@ -57,73 +77,113 @@ class Model:
     known: dict[int, dict[str, int]]
     table: np.ndarray
 
-    def row_of(self, word: str) -> np.ndarray | None:
-        """Scores of a word that isn't known: the mean over its longest n-grams that are."""
+    def backoff(self, words: list[str]) -> np.ndarray:
+        """Scores of words that aren't known: the mean over the longest n-grams of a word that are."""
+        out, left = np.zeros((len(words), len(self.langs))), range(len(words))
         for n in GRAMS:
-            rows = [r for g in grams_of(word, n) if (r := self.known[n].get(g)) is not None]
-            if rows:
-                return self.table[rows].mean(axis=0)
-        return None
-
-    def predict(self, text: str | None, memo: dict[str, np.ndarray | None]) -> tuple[str, float]:
-        """(language, its posterior probability); (`und`, 0) without a letter or a learned language."""
-        counts = Counter(words_of(text))
-        if not counts or not self.langs:
-            return UNKNOWN, 0.0
-        known, total = self.known[0], self.prior.astype(float)
-        rows, times = [], []
-        for word, n in counts.items():
-            at = known.get(word)
-            if at is not None:
-                rows.append(at)
-                times.append(n)
-                continue
-            if word in memo:
-                own = memo[word]
-            else:
-                own = self.row_of(word)
-                if len(memo) < MEMO and len(word) <= MEMO_LETTERS:
-                    memo[word] = own
-            if own is not None:
-                total = total + n * own
-        if rows:
-            total = total + np.array(times, float) @ self.table[rows]
-        best = int(np.argmax(total))
-        return self.langs[best], float(1 / np.exp(total - total[best]).sum())
+            get, rest, rows, sizes, owner = self.known[n].get, [], [], [], []
+            for k in left:
+                found = 0
+                grams = grams_of(words[k], n)
+                while own := [get(g, -1) for g in islice(grams, PIECE)]:
+                    own = [r for r in own if r >= 0]
+                    if len(words[k]) > PIECE:  # a very long word is summed piece by piece
+                        out[k] += self.table[own].sum(axis=0)
+                    else:
+                        rows += own
+                    found += len(own)
+                if not found:
+                    rest.append(k)
+                elif len(words[k]) > PIECE:
+                    out[k] /= found
+                else:
+                    owner.append(k)
+                    sizes.append(found)
+            if owner:
+                at = np.cumsum([0, *sizes[:-1]])
+                out[owner] = np.add.reduceat(self.table[rows], at) / np.array(sizes)[:, None]
+            left = rest
+        return out
+
+    def predictor(self) -> Callable[[list[str | None]], list[tuple[str, float]]]:
+        """A function from texts to (language, its posterior probability); (`und`, 0) without a letter or a language.
+
+        It remembers the scores of unseen words.
+        """
+        ids = _Numbered(self.known[0], len(self.table))
+        table, letters = self.table, 0
+
+        def predict(texts: list[str | None]) -> list[tuple[str, float]]:
+            nonlocal ids, table, letters
+            if letters > MEMO_LETTERS:
+                ids, table, letters = _Numbered(self.known[0], len(self.table)), self.table, 0
+            rows = [np.fromiter(map(ids.__getitem__, words_of(t) if self.langs else ()), np.int64) for t in texts]
+            if ids.new:
+                table = np.concatenate([table, self.backoff(ids.new)])
+                letters += sum(map(len, ids.new))
+                ids.new = []
+            out = []
+            for own in rows:
+                if not len(own):
+                    out.append((UNKNOWN, 0.0))
+                    continue
+                total = self.prior + table[own].sum(axis=0)
+                best = int(np.argmax(total))
+                out.append((self.langs[best], float(1 / np.exp(total - total[best]).sum())))
+            return out
+
+        return predict
+
+
+def _rows(counts: dict[tuple, Counter], schema: pa.Schema) -> Iterator[pa.RecordBatch]:
+    """Counts as rows of (*key, entry, n); a batch for each key."""
+    for key, own in counts.items():
+        same = [pa.array([x] * len(own), t) for x, t in zip(key, schema.types, strict=False)]
+        yield pa.RecordBatch.from_arrays([*same, pa.array(own.keys(), pa.string()), pa.array(own.values(), pa.int64())], schema=schema)
 
 
 def _counted(texts: DataFrame) -> DataFrame:
-    """`lang, word, n` of `lang, text`."""
-
-    def make():
-        def rows(langs, texts):
-            counts: dict[str, Counter] = {}
-            for lang, text in zip(langs, texts, strict=True):
-                counts.setdefault(lang, Counter()).update(words_of(text))
-            return [(lang, w, n) for lang, own in counts.items() for w, n in own.items()]
+    """`lang, entry, n` of `lang, text`: words."""
+    schema = pa.schema([("lang", pa.string()), ("entry", pa.string()), ("n", pa.int64())])
 
-        return rows
+    def run(batches):
+        counts, held = defaultdict(Counter), 0
+        for batch in batches:
+            for part in row_slices(batch):
+                for lang, text in zip(part.column(0).to_pylist(), part.column(1).to_pylist(), strict=True):
+                    counts[(lang,)].update(words_of(text))
+                held += part.nbytes
+                if held > COUNT_BYTES:
+                    yield from _rows(counts, schema)
+                    counts, held = defaultdict(Counter), 0
+        yield from _rows(counts, schema)
 
-    return map_rows(texts.select("lang", "text"), "lang string, entry string, n long", make, chunk=2048).groupBy("lang", "entry").agg(F.sum("n").alias("n"))
+    parts = texts.select("lang", "text").mapInArrow(run, "lang string, entry string, n long")
+    return parts.groupBy("lang", "entry").agg(F.sum("n").alias("n"))
 
 
 def _gram_counts(words: DataFrame) -> DataFrame:
     """`size, lang, entry, n` of the n-grams of counted words."""
+    schema = pa.schema([("size", pa.int32()), ("lang", pa.string()), ("entry", pa.string()), ("n", pa.int64())])
 
-    def make():
-        def rows(langs, words, times):
-            counts: Counter = Counter()
-            for lang, word, n in zip(langs, words, times, strict=True):
+    def run(batches):
+        counts, held = defaultdict(Counter), 0
+        for batch in batches:
+            for lang, word, times in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 for size in GRAMS:
-                    for g in grams_of(word, size):
-                        counts[size, lang, g] += n
-            return [(*key, n) for key, n in counts.items()]
-
-        return rows
+                    own, grams = counts[size, lang], grams_of(word, size)
+                    while piece := list(islice(grams, PIECE)):
+                        for g, n in Counter(piece).items() if len(piece) > 64 else zip(piece, repeat(1)):
+                            own[g] += n * times
+                        held += len(piece)
+                        if held > len(GRAMS) * COUNT_LETTERS:
+                            yield from _rows(counts, schema)
+                            counts, held = defaultdict(Counter), 0
+                            own = counts[size, lang]
+        yield from _rows(counts, schema)
 
-    return map_rows(words.select("lang", "entry", "n"), "size int, lang string, entry string, n long", make, chunk=8192).groupBy(
-        "size", "lang", "entry"
-    ).agg(F.sum("n").alias("n"))
+    parts = words.select("lang", "entry", "n").mapInArrow(run, "size int, lang string, entry string, n long")
+    return parts.groupBy("size", "lang", "entry").agg(F.sum("n").alias("n"))
 
 
 def _frequent(counts: DataFrame, totals: DataFrame, share: dict[int, float]) -> DataFrame:
@@ -172,12 +232,8 @@ def predict(docs: DataFrame, model: Model) -> DataFrame:
     shared = docs.sparkSession.sparkContext.broadcast(model)
 
     def make():
-        memo: dict[str, np.ndarray | None] = {}
-
-        def rows(ids, held, texts):
-            return [(i, h, *shared.value.predict(t, memo)) for i, h, t in zip(ids, held, texts, strict=True)]
-
-        return rows
+        guess = shared.value.predictor()
+        return lambda ids, held, texts: [(i, h, *p) for i, h, p in zip(ids, held, guess(texts), strict=True)]
 
     return map_rows(docs.select("doc_id", "held_out", "text"), "doc_id long, held_out boolean, lang_pred string, score double", make)
 
