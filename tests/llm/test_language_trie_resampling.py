@@ -40,7 +40,7 @@ def plain_model(labelled, texts, word_share, gram_share):
     """(language, score) of each text, by dictionaries."""
 
     def words(t):
-        return re.findall(r"[^\W\d_]+", (t or "").lower())
+        return "".join(c if c.isalpha() else " " for c in (t or "").lower()).split()
 
     def grams(w, n):
         p = w if n == 1 else f" {w} "
