@@ -3,14 +3,12 @@
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from latticeframe.functions.nulls import ratio, value
+from latticeframe.operators import asof
 
 SLACK_DAYS = 1e-6
-#: Slices that may be compared with every target
-MOST_SLICES = 50_000
 
 
 def _days(ts: Column) -> Column:
@@ -23,16 +21,16 @@ def interval_join(
     """Candidates within +-`window_days` of each anchor, ends included, with `dt_days`.
 
     Both sides have a time column `acq`; the candidates' one is returned as `cand_acq`. Candidates after `cutoff` are
-    left out. Candidates are put on days and anchors on the few days around theirs, so the range becomes an
-    equi-join with an exact check; `on` names further columns that must be equal.
+    left out. Anchors are put on their day and candidates on the few days around theirs, so the range becomes an
+    equi-join with an exact check, and anchors, the larger side as a rule, stay one row each; `on` names further
+    columns that must be equal.
     """
     if cutoff is not None:
         candidates = candidates.filter(F.col("acq").cast("timestamp") <= F.lit(cutoff).cast("timestamp"))
     reach = int(-(-window_days // 1))
     a = anchors.filter("acq is not null").withColumn("__day", F.floor(_days(F.col("acq"))))
-    a = a.withColumn("__day", F.explode(F.sequence(F.col("__day") - reach - 1, F.col("__day") + reach + 1)))
     c = candidates.filter("acq is not null").withColumn("__day", F.floor(_days(F.col("acq"))))
-    c = c.withColumnRenamed("acq", "cand_acq")
+    c = c.withColumn("__day", F.explode(F.sequence(F.col("__day") - reach - 1, F.col("__day") + reach + 1))).withColumnRenamed("acq", "cand_acq")
     joined = a.join(c, ["__day", *on]).drop("__day")
     joined = joined.withColumn("dt_days", F.abs(_days(F.col("cand_acq")) - _days(F.col("acq"))))
     return joined.filter(F.col("dt_days") <= window_days + SLACK_DAYS)
@@ -101,34 +99,18 @@ def once_per_time(pairs: DataFrame, time: str, measure) -> DataFrame:
 def nearest_in_time(targets: DataFrame, slices: DataFrame, key: str, on: tuple[str, ...] = (), by_date: bool = False) -> DataFrame:
     """The slice closest to each target's `acq` (by UTC date if asked); the earlier one on a tie.
 
-    `slices` has `ts` and other columns. With equal columns `on` both tables are put in order once per group and each
-    target looks at the slice before and the one after it, so nothing grows with targets times slices. Without `on`,
-    or by date, every slice is a candidate, so `slices` must be a short table such as the steps of one file.
+    `slices` has `ts` and other columns. Targets keep their rows, whatever their `key`; a NULL time finds nothing.
+    Both tables may be of any size, with or without equal columns `on`.
     """
-    rest = [c for c in slices.columns if c not in on]
-    if not on or by_date:
-        unit = (lambda c: F.unix_date(c.cast("date"))) if by_date else (lambda c: F.unix_micros(c.cast("timestamp")))
-        if slices.limit(MOST_SLICES + 1).count() > MOST_SLICES:
-            raise ValueError(f"more than {MOST_SLICES} slices: give columns to join on")
-        s = slices.select(*on, F.struct(*rest).alias("__s"))
-        joined = targets.join(s, list(on)) if on else targets.join(F.broadcast(s))
-        order = F.struct(F.abs(unit(F.col("__s.ts")) - unit(F.col("acq"))), F.col("__s.ts"))
-        best = joined.groupBy(key).agg(F.min_by("__s", order).alias("s"))
-        return targets.join(best, key, "left").select(*targets.columns, "s.*")
-
-    micros = lambda c: F.unix_micros(F.col(c).cast("timestamp"))
-    a = targets.select(*on, micros("acq").alias("__t"), F.struct(*targets.columns).alias("__target"))
-    b = slices.select(*on, micros("ts").alias("__t"), F.struct(*rest).alias("__s")).filter("__t is not null")
-    both = a.unionByName(b, allowMissingColumns=True)
-    # Slices stand before targets of the same time in either direction, and the smaller of equal ones next to them.
-    mark = F.col("__target").isNotNull()
-    back = W.partitionBy(*on).orderBy(F.col("__t"), mark, F.col("__s").desc()).rowsBetween(W.unboundedPreceding, W.currentRow)
-    ahead = W.partitionBy(*on).orderBy(F.col("__t").desc(), mark, F.col("__s").desc()).rowsBetween(W.unboundedPreceding, W.currentRow)
-    seen = both.withColumns({"__b": F.last("__s", ignorenulls=True).over(back), "__a": F.last("__s", ignorenulls=True).over(ahead)})
-    seen = seen.filter("__target is not null")
-    away = lambda c: F.abs(F.unix_micros(F.col(f"{c}.ts").cast("timestamp")) - F.col("__t"))
-    best = F.when(F.col("__t").isNull(), F.lit(None)).when(F.col("__b").isNull() | (away("__a") < away("__b")), F.col("__a")).otherwise(F.col("__b"))
-    return seen.select("__target.*", best.alias("s")).select(*targets.columns, "s.*")
+    rest = [c for c in slices.columns if c not in on and c != "ts"]
+    if not by_date:
+        found = asof.as_of_join(targets, slices.select(*on, "ts", *rest), "acq", "ts", on, "nearest", payload="__s")
+    else:
+        # Of a day's slices the earliest counts, as `ts` is the struct's first column.
+        days = slices.select(*on, F.col("ts").alias("ts"), *rest, F.to_date("ts").alias("__day"))
+        asked = targets.withColumn("__on_day", F.to_date("acq"))
+        found = asof.as_of_join(asked, days, "__on_day", "__day", on, "nearest", payload="__s")
+    return found.select(*targets.columns, "__s.ts", *(f"__s.{c}" for c in rest))
 
 
 def first_partner(pairs: DataFrame, partner: str, time: str, anchor: str) -> DataFrame:

@@ -6,10 +6,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from latticeframe.operators import asof
 
-#: Ranges that a lookup table may declare
+
+#: Ranges that are broadcast
 MOST_RANGES = 10_000
-#: Different versions that may become one array of constants
+#: Different versions that become one array of constants
 MOST_VERSIONS = 1000
 
 
@@ -38,21 +40,26 @@ def orphans(child: DataFrame, parent: DataFrame, child_key: str, parent_key: str
 
 
 def in_range(rows: DataFrame, ranges: DataFrame, column: str, lo: str = "lo", hi: str = "hi") -> DataFrame:
-    """JN-06: the range that holds each value, both ends included; `ranges` is a declared table of a few rows."""
+    """JN-06: the range that holds each value, both ends included; rows without one stay, with NULLs.
+
+    A table of a few ranges is broadcast once it is counted; more are joined on cells of their own size.
+    """
     if ranges.limit(MOST_RANGES + 1).count() > MOST_RANGES:
-        raise ValueError(f"more than {MOST_RANGES} ranges")
+        return asof.range_join(rows, ranges, column, lo, hi)
     c = F.col(column)
     return rows.join(F.broadcast(ranges), (c >= F.col(lo)) & (c <= F.col(hi)), "left")
 
 
 def as_of(rows: DataFrame, versions: DataFrame, column: str, version: str) -> DataFrame:
-    """The latest version not after each value; `versions` is a declared table of a few rows.
+    """The latest version not after each value, for any number of versions.
 
-    Its rows become one array of constants, so nothing is joined at all.
+    A few become one array of constants, so nothing is joined at all; more are joined bucket by bucket.
     """
-    known = [r[version] for r in versions.select(version).distinct().dropna().limit(MOST_VERSIONS + 1).collect()]
+    distinct = versions.select(version).distinct().dropna()
+    known = [r[version] for r in distinct.limit(MOST_VERSIONS + 1).collect()]
     if len(known) > MOST_VERSIONS:
-        raise ValueError(f"more than {MOST_VERSIONS} versions")
+        found = asof.as_of_join(rows, distinct.select(F.col(version).alias("__v")), column, "__v", payload="__found")
+        return found.withColumn(version, F.col("__found.__v")).drop("__found")
     steps = F.array(*(F.lit(v) for v in known)).cast(T.ArrayType(versions.schema[version].dataType))
     return rows.withColumn(version, F.array_max(F.filter(steps, lambda v: v <= F.col(column))))
 

@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from latticeframe.functions.nulls import value
+from latticeframe.functions.nulls import finite, value
+from latticeframe.operators import asof
 
 VARIABLES = ("t2m", "d2m", "u10", "v10", "ssrd", "tp")
 
@@ -27,28 +28,38 @@ def hourly(df: DataFrame, cell: list[str], column: str, name: str, seconds: floa
     return out.withColumn(name, F.when(own < 0, 0.0).otherwise(own) if clamp else own).drop("__day")
 
 
-def _hours_before(target: Column, ts: Column) -> Column:
-    return (F.unix_micros(target.cast("timestamp")) - F.unix_micros(ts.cast("timestamp"))) / 3_600_000_000
+#: Running sums are exact to 18 digits, so they don't depend on the order of rows; for sums below 1e20.
+_EXACT = "decimal(38,18)"
 
 
 def at_targets(targets: DataFrame, series: DataFrame, key: str, cell: list[str], irradiance: str, rain: str, hours: int = 72) -> DataFrame:
     """WN-03, WN-04: per target time `acq`: mean of `irradiance` over (t-72h, t], and rain (m to mm) of three days.
 
-    The three sums cover [0, 24), [24, 48) and [48, 72) hours before; an empty one is 0. Targets and hours meet on
-    the cell and the day, each target on the few days that its window touches.
+    The three sums cover [0, 24), [24, 48) and [48, 72) hours before; an empty one is 0. NaN and infinite readings don't
+    count. A window is the difference of two running sums of its cell, so a target looks up one sum for each day's
+    end, whatever the number of readings in between.
     """
-    back = hours // 24 + 1
-    t = targets.withColumn("__d", F.explode(F.sequence(F.unix_date(F.to_date("acq")) - back, F.unix_date(F.to_date("acq")))))
-    s = series.withColumn("__d", F.unix_date(F.to_date("ts")))
-    age = _hours_before(F.col("acq"), F.col("ts"))
-    j = t.join(s, [*cell, "__d"]).withColumn("__age", age).filter((F.col("__age") >= 0) & (F.col("__age") < hours))
-    sums = [
-        (F.coalesce(F.sum(F.when((F.col("__age") >= a) & (F.col("__age") < a + 24), value(rain))), F.lit(0.0)) * 1000).alias(f"{rain}_{a}_{a + 24}h")
-        for a in range(0, hours, 24)
-    ]
-    made = j.groupBy(key, *cell).agg(F.avg(value(irradiance)).alias(f"{irradiance}_antecedent_mean"), *sums, F.count(F.lit(1)).alias("n_hours"))
+    steps = list(range(0, hours + 1, 24))
+    day = 24 * 3_600_000_000
+    t = targets.select(key, *cell, F.unix_micros(F.col("acq").cast("timestamp")).alias("__at")).distinct()
+    asked = t.withColumn("__k", F.explode(F.sequence(F.lit(0), F.lit(len(steps) - 1)))).withColumn("__t", F.col("__at") - F.col("__k") * day)
+    asked = asked.filter(F.col("__t").isNotNull())
+    for c in cell:
+        asked = asked.filter(F.col(c).isNotNull())
+    i, p = (F.when(finite(c), value(c)) for c in (irradiance, rain))
+    measures = {
+        "__i": i.try_cast(_EXACT), "__n": F.when(i.isNotNull(), 1).otherwise(0).cast("long"), "__p": p.try_cast(_EXACT), "__rows": F.lit(1).cast("long"),
+    }
+    timed = series.withColumn("__t", F.unix_micros(F.col("ts").cast("timestamp")))
+    sums = asof.running_at(asked.select(*cell, "__t").distinct(), timed, tuple(cell), measures)
+    at = lambda c, k: F.max(F.when(F.col("__k") == k, F.col(c)))
+    span = lambda c, a, b: at(c, a) - at(c, b)
+    last = len(steps) - 1
+    rains = [(span("__p", k, k + 1).cast("double") * 1000).alias(f"{rain}_{24 * k}_{24 * k + 24}h") for k in range(last)]
+    mean = F.try_divide(span("__i", 0, last).cast("double"), span("__n", 0, last)).alias(f"{irradiance}_antecedent_mean")
+    made = asked.join(sums, [*cell, "__t"]).groupBy(key, *cell).agg(mean, *rains, span("__rows", 0, last).alias("n_hours"))
     out = targets.join(made, [key, *cell], "left")
-    fill = {f"{rain}_{a}_{a + 24}h": 0.0 for a in range(0, hours, 24)} | {"n_hours": 0}
+    fill = {f"{rain}_{a}_{a + 24}h": 0.0 for a in steps[:-1]} | {"n_hours": 0}
     return out.fillna(fill)
 
 

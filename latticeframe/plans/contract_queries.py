@@ -409,7 +409,30 @@ def lineage_hashes(spark: SparkSession, d: str) -> DataFrame:
     h = lambda p, c: F.sha2(F.concat(F.lit(p), F.col(c).cast("string")), 256)
     own = n.select(F.col("n_nationkey").cast("long").alias("product"), h("n", "n_nationkey").alias("config_hash")).union(r.select((F.col("r_regionkey") + 1000).cast("long"), h("r", "r_regionkey")))
     edges = n.select(F.col("n_nationkey").cast("long").alias("product"), (F.col("n_regionkey") + 1000).cast("long").alias("upstream"))
-    return hashes.lineage(edges, own, 1)
+    return hashes.lineage(edges, own).drop("level")
+
+
+@query("""WITH RECURSIVE c AS (SELECT c_custkey AS k, sha256('c' || c_custkey) AS own FROM customer),
+made AS (SELECT k, sha256(own) AS lineage_hash, 0 AS level FROM c WHERE k // 6 NOT IN (SELECT k FROM c) OR k // 6 = k
+  UNION ALL SELECT c.k, sha256(c.own || made.lineage_hash), made.level + 1 FROM c JOIN made ON made.k = c.k // 6 AND c.k // 6 <> c.k)
+SELECT k AS product, lineage_hash, level FROM made""")
+def lineage_levels(spark: SparkSession, d: str) -> DataFrame:
+    """FP-03: chains of customers, each derived from the one of a sixth of its key; as many levels as there are."""
+    c = v.table(spark, d, "customer").select(F.col("c_custkey").cast("long").alias("product"), F.sha2(F.concat(F.lit("c"), F.col("c_custkey").cast("string")), 256).alias("config_hash"))
+    edges = c.select("product", F.floor(F.col("product") / 6).alias("upstream")).filter("product <> upstream")
+    return hashes.lineage(edges, c)
+
+
+@query("""WITH h AS (SELECT source, sha256(text) AS h FROM documents WHERE text IS NOT NULL), n AS (SELECT source, h, row_number() OVER (PARTITION BY source ORDER BY h) - 1 AS i FROM h),
+a AS (SELECT source, i // 16 AS i, sha256(string_agg(h, '' ORDER BY i)) AS h FROM (SELECT source, h, i, i // 16 AS g FROM n) GROUP BY source, i // 16),
+b AS (SELECT source, i // 16 AS i, sha256(string_agg(h, '' ORDER BY i)) AS h FROM a GROUP BY source, i // 16),
+c AS (SELECT source, i // 16 AS i, sha256(string_agg(h, '' ORDER BY i)) AS h FROM b GROUP BY source, i // 16),
+sizes AS (SELECT source, count(*) AS m FROM h GROUP BY source)
+SELECT source, m AS n_members, CASE WHEN m <= 16 THEN a.h WHEN m <= 256 THEN b.h ELSE c.h END AS checksum
+FROM sizes JOIN a USING (source) JOIN b USING (source) JOIN c USING (source) WHERE a.i = 0 AND b.i = 0 AND c.i = 0""")
+def tree_checksums(spark: SparkSession, d: str) -> DataFrame:
+    """AG-24: checksums of groups of any size, by a hash tree of sixteen branches (4,096 members of a source at most in its SQL)."""
+    return hashes.tree_checksum(v.table(spark, d, "documents"), ["source"], "text", 16)
 
 
 @query("""WITH w AS (SELECT doc_id AS member, sha256(text) AS h FROM documents WHERE doc_id % 5 <> 0), x AS (SELECT doc_id AS member, CASE WHEN doc_id % 7 = 0 THEN 'x' ELSE sha256(text) END AS h FROM documents WHERE doc_id % 3 <> 0)

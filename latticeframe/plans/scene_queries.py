@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from latticeframe.functions import hashes, labels
-from latticeframe.operators import checks, couple, inventory, ledger, sampling
+from latticeframe.operators import asof, checks, couple, inventory, ledger, sampling
 from latticeframe.plans import views as v
 from latticeframe.plans.registry import query
 from latticeframe.sources import scans
@@ -263,6 +263,50 @@ def nearest_in_time(spark: SparkSession, d: str) -> DataFrame:
     return couple.nearest_in_time(t, s, "anchor_id", ("user_id",)).select("anchor_id", "event_id")
 
 
+@query("""WITH t AS (SELECT o_orderkey AS anchor_id, CAST(o_custkey % 150 AS BIGINT) AS user_id, CAST(TIMESTAMP '2024-01-01' + INTERVAL 1 SECOND * (o_orderkey * 7 % 2592000) AS TIMESTAMP) AS acq FROM orders)
+SELECT t.anchor_id, e.event_id, e.ts AS event_ts FROM t ASOF LEFT JOIN (SELECT user_id, ts, min(event_id) AS event_id FROM events GROUP BY ALL) e ON t.user_id = e.user_id AND t.acq >= e.ts""")
+def asof_user_event(spark: SparkSession, d: str) -> DataFrame:
+    """JN-06: each order's last event of its user."""
+    t = _timed_orders(spark, d)
+    e = v.table(spark, d, "events").select("user_id", "event_id", "ts")
+    out = asof.as_of_join(t, e, "acq", "ts", ("user_id",))
+    return out.select("anchor_id", "found.event_id", F.col("found.ts").alias("event_ts"))
+
+
+@query("""WITH t AS (SELECT o_orderkey AS anchor_id, CAST(TIMESTAMP '2024-01-01' + INTERVAL 1 SECOND * (o_orderkey * 7 % 2592000) AS TIMESTAMP) AS acq FROM orders),
+e AS (SELECT ts, min(event_id) AS event_id FROM events GROUP BY ts)
+SELECT b.anchor_id, b.event_id AS before_id, a.event_id AS after_id FROM (SELECT t.*, e.event_id FROM t ASOF LEFT JOIN e ON t.acq >= e.ts) b
+JOIN (SELECT t.*, e.event_id FROM t ASOF LEFT JOIN e ON t.acq <= e.ts) a ON a.anchor_id = b.anchor_id""")
+def asof_any_event(spark: SparkSession, d: str) -> DataFrame:
+    """JN-06: the events before and after each order, all events being one group of many buckets."""
+    t, e = _timed_orders(spark, d), v.table(spark, d, "events").select("event_id", "ts")
+    width = 3_600_000_000.0  # an hour
+    out = asof.as_of_join(t, e, "acq", "ts", width=width, payload="before")
+    out = asof.as_of_join(out, e, "acq", "ts", direction="forward", width=width, payload="after")
+    return out.select("anchor_id", F.col("before.event_id").alias("before_id"), F.col("after.event_id").alias("after_id"))
+
+
+_BANDS = "bands AS (SELECT s_suppkey, CAST(s_acctbal AS DOUBLE) - s_suppkey % 40 AS lo, CAST(s_acctbal AS DOUBLE) + power(3, s_suppkey % 8) AS hi FROM supplier)"
+
+
+@query(f"WITH {_BANDS} SELECT c_custkey, s_suppkey FROM customer LEFT JOIN bands ON c_acctbal >= lo AND c_acctbal <= hi")
+def range_lookup(spark: SparkSession, d: str) -> DataFrame:
+    """JN-06: balances in overlapping ranges of very different lengths."""
+    balance = F.col("s_acctbal").cast("double")
+    bands = v.table(spark, d, "supplier").select(
+        "s_suppkey", (balance - F.col("s_suppkey") % 40).alias("lo"), (balance + F.pow(F.lit(3.0), F.col("s_suppkey") % 8)).alias("hi")
+    )
+    c = v.table(spark, d, "customer").select("c_custkey", F.col("c_acctbal").cast("double").alias("c_acctbal"))
+    return asof.range_join(c, bands, "c_acctbal").select("c_custkey", "s_suppkey")
+
+
+def _timed_orders(spark: SparkSession, d: str) -> DataFrame:
+    start = F.unix_seconds(F.to_timestamp(F.lit("2024-01-01")))
+    return v.table(spark, d, "orders").select(
+        F.col("o_orderkey").alias("anchor_id"), (F.col("o_custkey") % 150).alias("user_id"), F.timestamp_seconds(start + F.col("o_orderkey") * 7 % 2592000).alias("acq")
+    )
+
+
 @query("SELECT o_orderkey AS id, CASE WHEN m <= 6 THEN 'early' WHEN m = 7 THEN 'peak' ELSE 'late' END AS season, CASE WHEN c < 10 THEN 'low' WHEN c < 30 THEN 'mid' ELSE 'high' END AS cloud FROM (SELECT o_orderkey, month(o_orderdate) AS m, o_custkey % 100 AS c FROM orders)")
 def sampling_bins(spark: SparkSession, d: str) -> DataFrame:
     """PRJ-23."""

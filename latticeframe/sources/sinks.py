@@ -2,33 +2,24 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
+from urllib.parse import quote
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from latticeframe.functions.contracts import LayerContract, enforce
-from latticeframe.functions.hashes import table_fingerprint
+from latticeframe.functions.hashes import fingerprint_columns, table_fingerprint
 from latticeframe.operators import checks
 from latticeframe.operators.inventory import completeness, in_range
+from latticeframe.sources.work import work_folder  # noqa: F401
 
 
 class NotPublishable(ValueError):
     """A product broke its own rules; nothing was marked."""
 
 
-def work_folder(spark: SparkSession, name: str) -> str:
-    """A new folder under the shared one that the session names (spark.checkpoint.dir); in local mode it may name none."""
-    shared = spark.conf.get("spark.checkpoint.dir", "") or ""
-    if not shared:
-        if spark.sparkContext.master.split("[")[0] != "local":
-            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
-        shared = tempfile.mkdtemp(prefix="lattice-work-")
-        spark.conf.set("spark.checkpoint.dir", shared)
-    return f"{shared.rstrip('/')}/{name}-{uuid.uuid4().hex}"
-
-
 def _first(findings: DataFrame, n: int = 20) -> list[str]:
     """The first few findings, for an error message."""
     return [f"{r['rule']}: {r['key']}" for r in findings.limit(n).collect()]
@@ -76,38 +67,75 @@ def run_summary(rows: DataFrame) -> DataFrame:
     return rows.select(F.to_json(F.struct("*")).alias("summary"))
 
 
-def publish(df: DataFrame, folder: str, product: str, key: str, run_id: str, findings: DataFrame) -> None:
+def write_observed(df: DataFrame, path: str, rules: dict[str, Column] | None = None) -> dict[str, int | str]:
+    """Write `df` to a new folder, and what the writing pass saw: `n_rows`, `row_hash_sum` and rows breaking each rule.
+
+    Rules are conditions that rows must meet (NULL doesn't). The source is computed once, so it may be one that gives
+    other rows each time.
+    """
+    seen = Observation(f"written-{uuid.uuid4().hex}")
+    counts = [F.count_if(~F.coalesce(rule, F.lit(False))).alias(f"broken_{name}") for name, rule in (rules or {}).items()]
+    df.observe(seen, *fingerprint_columns(df), *counts).write.mode("errorifexists").parquet(path)
+    return dict(seen.get)
+
+
+def _broken(seen: dict) -> list[str]:
+    return [f"{name.removeprefix('broken_')}: {n} rows" for name, n in seen.items() if name.startswith("broken_") and n]
+
+
+def publish(df: DataFrame, folder: str, product: str, key: str, run_id: str, findings: DataFrame | None = None, rules: dict[str, Column] | None = None) -> None:
     """SNK-04: data first, then the checks, and the marker last; readers trust marked products only.
 
     Each call writes a folder of its own, which the marker names, so a refused run never touches what was published.
+    `rules` are counted in the pass that writes; `findings` are tables of their own, and cost passes of their own.
     """
+    if not product or not key:
+        raise ValueError("a product and a key need names")
     run = f"{run_id}-{uuid.uuid4().hex}"
-    df.write.parquet(f"{folder}/data/product={product}/key={key}/run={run}")
-    if said := _first(findings):
+    where = "/".join(f"{name}={quote(x, safe='')}" for name, x in (("product", product), ("key", key), ("run", run)))
+    said = _broken(write_observed(df, f"{folder}/data/{where}", rules))
+    if said := said + (_first(findings) if findings is not None else []):
         raise NotPublishable("; ".join(said))
     spark = df.sparkSession
+    earlier = 0
+    if _exists(spark, f"{folder}/markers"):
+        earlier = spark.read.schema(_MARKER).parquet(f"{folder}/markers").filter((F.col("product") == product) & (F.col("key") == key)).count()
     marker = spark.range(1).select(
-        F.lit(product).alias("product"), F.lit(key).alias("key"), F.lit(run).alias("run"), F.current_timestamp().alias("completed_at")
+        F.lit(product).alias("product"), F.lit(key).alias("key"), F.lit(run).alias("run"), F.lit(earlier).cast("long").alias("sequence"), F.current_timestamp().alias("completed_at")
     )
     marker.write.mode("append").parquet(f"{folder}/markers")
 
 
-def published(spark: SparkSession, folder: str) -> DataFrame:
-    """SNK-04: rows of marked products, of the run that was marked last."""
-    data = spark.read.option("basePath", f"{folder}/data").parquet(f"{folder}/data")
-    marks = spark.read.parquet(f"{folder}/markers").groupBy("product", F.col("key").alias("__key"))
-    marks = marks.agg(F.max_by("run", "completed_at").alias("__run"))
-    same = (data["product"] == marks["product"]) & (data["key"].cast("string") == marks["__key"]) & (data["run"] == marks["__run"])
-    return data.join(marks, same, "left_semi")
+_MARKER = "product string, key string, run string, sequence long, completed_at timestamp"
+
+
+def _exists(spark: SparkSession, path: str) -> bool:
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return at.getFileSystem(spark._jsc.hadoopConfiguration()).exists(at)
 
 
-def publish_once(df: DataFrame, path: str, check) -> DataFrame:
-    """SNK-05: fails if the target is there; reads back what was written, compares and checks it again."""
-    df.write.mode("errorifexists").parquet(path)
+def published(spark: SparkSession, folder: str) -> DataFrame:
+    """SNK-04: rows of marked products, of the run that was marked last (of equal times, the one of more markers before it).
+
+    Names of products, keys and runs stay as they were given: `007`, `1e3` and `2024-01-01` are texts.
+    """
+    names = ("product", "key", "run")
+    reader = spark.read.option("basePath", f"{folder}/data")
+    found = reader.parquet(f"{folder}/data").schema
+    told = T.StructType([T.StructField(f.name, T.StringType() if f.name in names else f.dataType, True) for f in found])
+    data = reader.schema(told).parquet(f"{folder}/data")
+    marks = spark.read.schema(_MARKER).parquet(f"{folder}/markers").groupBy("product", "key")
+    last = F.max_by("run", F.struct("completed_at", F.coalesce("sequence", F.lit(-1)), "run"))
+    return data.join(marks.agg(last.alias("run")), list(names), "left_semi").select(*data.columns)
+
+
+def publish_once(df: DataFrame, path: str, check, rules: dict[str, Column] | None = None) -> DataFrame:
+    """SNK-05: fails if the target is there; what is read back must be what the writing pass saw, and pass the check."""
+    seen = write_observed(df, path, rules)
     again = df.sparkSession.read.parquet(path)
-    if table_fingerprint(df).first() != table_fingerprint(again).first():
+    if (seen["n_rows"], seen["row_hash_sum"]) != tuple(table_fingerprint(again).first()):
         raise NotPublishable(f"{path} isn't what was written")
-    if said := _first(check(again)):
+    if said := _broken(seen) + _first(check(again)):
         raise NotPublishable("; ".join(said))
     return again
 

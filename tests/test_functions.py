@@ -106,9 +106,9 @@ def test_fingerprints(spark):
     assert hashes.table_fingerprint(a).first() != hashes.table_fingerprint(spark.range(101)).first()
     own = spark.createDataFrame([("a", "1"), ("b", "2"), ("c", "3"), ("z", "9")], "product string, config_hash string")
     edges = spark.createDataFrame([("b", "a"), ("c", "b")], "product string, upstream string")
-    before = {r.product: r.lineage_hash for r in hashes.lineage(edges, own, 3).collect()}
+    before = {r.product: r.lineage_hash for r in hashes.lineage(edges, own).collect()}
     changed = own.replace("1", "x", "config_hash")
-    after = {r.product: r.lineage_hash for r in hashes.lineage(edges, changed, 3).collect()}
+    after = {r.product: r.lineage_hash for r in hashes.lineage(edges, changed).collect()}
     assert {p for p in before if before[p] != after[p]} == {"a", "b", "c"}
 
 
