@@ -78,7 +78,8 @@ def exact_quantiles(rows: DataFrame, keys: list[str], column: str, probabilities
         at = [k / splits for k in range(1, splits)]
         cuts = kept(inside.groupBy("__g", "a", "b").agg(F.array_distinct(F.percentile_approx("__v", at, 50 * splits)).alias("cuts")), "cuts")
         pieces = data.join(cuts, "__g").filter("__v >= a and __v <= b")
-        piece = F.size(F.filter("cuts", lambda c: c < F.col("__v"))).alias("piece")  # values of (cut before, cut]
+        # A cut's own value is a piece of its own, so every round takes at least one value out of a bracket.
+        piece = (2 * F.size(F.filter("cuts", lambda c: c < F.col("__v"))) + F.array_contains("cuts", F.col("__v")).cast("int")).alias("piece")
         counts = pieces.groupBy("__g", "a", "b", piece).agg(F.count(F.lit(1)).alias("m"), F.min("__v").alias("lo"), F.max("__v").alias("hi"))
         before = F.sum("m").over(W.partitionBy("__g", "a", "b").orderBy("piece")) - F.col("m")
         told = counts.withColumn("before", before)
