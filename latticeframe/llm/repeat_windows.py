@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import numpy as np
 
-from latticeframe.llm.shingle_sets import _BYTE, mix, powers
+from latticeframe.llm.shingle_sets import _BYTE, Ranges, mix, powers
 
 GRAM = 24  # bytes whose hash chooses an anchor
 
@@ -17,13 +17,15 @@ class Corpus:
         self.starts = np.concatenate([[0], np.cumsum(self.sizes)]).astype(np.int64)
         self.data = np.frombuffer(b"".join(raw), dtype=np.uint8)
         n = len(self.data)
+        # Places of anchors: any function of the bytes would do, so sums modulo 2**64 are good enough.
         self.up, self.down = powers(n + 1)
         self.sums = np.zeros(n + 1, dtype=np.uint64)
         np.cumsum(_BYTE[self.data] * self.up[:n], out=self.sums[1:], dtype=np.uint64)
+        self.ranges = Ranges(self.data)
 
     def hashes(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
         """Of the ranges [a, b): equal for equal bytes."""
-        return mix((self.sums[b] - self.sums[a]) * self.down[a] + (b - a).astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+        return self.ranges.hashes(a, b)
 
 
 def sliding_argmin(values: np.ndarray, w: int) -> np.ndarray:

@@ -33,13 +33,66 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(32))
 
 
+#: Ranges are known by polynomials modulo this prime with a random base: two different ranges of n bytes are equal with a
+#: chance of n / 2**61. (Modulo a power of two, structured texts would be equal whatever the base.)
+PRIME = np.uint64((1 << 61) - 1)
+_PRIME_BASE = int(_rng.integers(1 << 59, (1 << 61) - 1))
+_LOW = [np.uint64((1 << k) - 1) for k in range(64)]
+
+
+def _folded(x: np.ndarray) -> np.ndarray:
+    x = (x & PRIME) + (x >> np.uint64(61))
+    return np.where(x >= PRIME, x - PRIME, x)
+
+
+def _shifted(x: np.ndarray, k: int) -> np.ndarray:
+    """x * 2**k modulo the prime, for any x."""
+    x = _folded(x)
+    return _folded(((x & _LOW[61 - k]) << np.uint64(k)) | (x >> np.uint64(61 - k)))
+
+
+def times(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """x * y modulo the prime, for x and y below it."""
+    x1, x0, y1, y0 = x >> np.uint64(31), x & _LOW[31], y >> np.uint64(31), y & _LOW[31]
+    mid = x1 * y0 + x0 * y1
+    return _folded(((x1 * y1) << np.uint64(1)) + (mid >> np.uint64(30)) + ((mid & _LOW[30]) << np.uint64(31)) + x0 * y0)
+
+
+def prime_powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """B**i and B**-i modulo the prime for i < n."""
+    if len(_powers.get("prime_up", ())) < n:
+        size = 1 << max(20, int(n - 1).bit_length())
+        for name, base in (("prime_up", _PRIME_BASE), ("prime_down", pow(_PRIME_BASE, -1, int(PRIME)))):
+            out = np.ones(size, np.uint64)
+            k = 1
+            while k < size:
+                out[k : 2 * k] = times(out[:k], np.full(k, pow(base, k, int(PRIME)), np.uint64))
+                k *= 2
+            _powers[name] = out
+    return _powers["prime_up"], _powers["prime_down"]
+
+
+class Ranges:
+    """Bytes, of which any range is hashed at once: equal hashes for equal bytes wherever they stand."""
+
+    def __init__(self, data: np.ndarray):
+        n = len(data)
+        self.down = prime_powers(n + 1)[1]
+        up, value = prime_powers(n + 1)[0][:n], data.astype(np.uint64) + np.uint64(1)
+        # Sums of three limbs of 21 bits don't overflow below 2**34 bytes, and are only reduced where they are looked up.
+        self.sums = np.zeros((3, n + 1), np.uint64)
+        for k in range(3):
+            np.cumsum(((up >> np.uint64(21 * k)) & _LOW[21]) * value, out=self.sums[k, 1:], dtype=np.uint64)
+
+    def hashes(self, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        low, mid, high = (s[ends] - s[starts] for s in self.sums)
+        total = _folded(_folded(low) + _shifted(mid, 21) + _shifted(high, 42))
+        return mix(times(total, self.down[starts]) + (ends - starts).astype(np.uint64) * _MIX[2])
+
+
 def range_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
     """64-bit hashes of data[start:end] (uint8), equal for equal bytes wherever they stand."""
-    up, down = powers(len(data) + 1)
-    sums = np.zeros(len(data) + 1, dtype=np.uint64)
-    np.cumsum(_BYTE[data] * up[: len(data)], out=sums[1:], dtype=np.uint64)
-    length = (ends - starts).astype(np.uint64)
-    return mix((sums[ends] - sums[starts]) * down[starts] + length * _MIX[2])
+    return Ranges(data).hashes(starts, ends)
 
 
 def word_hashes(texts: list[str], lower: bool = True) -> tuple[np.ndarray, np.ndarray]:
