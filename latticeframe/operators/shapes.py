@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from latticeframe.sources.work import kept
+
 
 def box_cells(shapes: DataFrame, x0: Column, y0: Column, x1: Column, y1: Column) -> DataFrame:
     """NB-10: `row, col` of every cell whose centre lies in a box (upper edges excluded); coordinates in cells."""
@@ -15,9 +17,42 @@ def box_cells(shapes: DataFrame, x0: Column, y0: Column, x1: Column, y1: Column)
     return rows.withColumn("col", F.explode(F.sequence(first(x0), last(x1))))
 
 
+def ring_cells(rings: DataFrame, keys: list[str], ring: str = "ring") -> DataFrame:
+    """NB-10: `keys, row, col` of every cell whose centre lies in a shape of any outline; coordinates in cells.
+
+    `rings` has one row for each ring: an array of (x, y) in order, closed or not. A shape may have several rings; a
+    centre that an odd number of them surrounds is inside, so holes, islands in holes and parts need no marks. A
+    centre on an edge to its left (or below) is inside, on one to its right (or above) it isn't, so shapes that share
+    an edge share no cell. Points with NULL or NaN coordinates are left out, rings of fewer than three points are empty.
+
+    Scan-line fill: edges become one row for each row of cells that they cross, crossings are sorted along the row, and
+    every second gap between them is filled. Nothing is compared with all edges of a shape, and a large shape is as
+    many groups as it has rows.
+    """
+    real = F.filter(ring, lambda p: ~F.isnan(p["x"]) & ~F.isnan(p["y"]) & p["x"].isNotNull() & p["y"].isNotNull())
+    points = rings.select(*keys, real.alias("__p")).filter(F.size("__p") >= 3)
+    after = lambda k: F.get("__p", (k + 1) % F.size("__p"))
+    edges = points.select(*keys, F.explode(F.transform("__p", lambda p, k: F.struct(p.alias("a"), after(k).alias("b")))).alias("e"))
+    edges = edges.select(*keys, *(F.col(f"e.{p}.{c}").cast("double").alias(f"__{c}{p}") for p in "ab" for c in "xy"))
+    low, high = F.least("__ya", "__yb"), F.greatest("__ya", "__yb")
+    # Rows whose centre lies in [low, high): level edges cross none, and a corner counts for one of its two edges.
+    first, last = F.ceil(low - 0.5).cast("int"), F.ceil(high - 0.5).cast("int") - 1
+    crossed = edges.filter(last >= first).withColumn("row", F.explode(F.sequence(first, last)))
+    x = F.col("__xa") + (F.col("row") + 0.5 - F.col("__ya")) / (F.col("__yb") - F.col("__ya")) * (F.col("__xb") - F.col("__xa"))
+    lines = crossed.groupBy(*keys, "row").agg(F.array_sort(F.collect_list(x)).alias("__x"))
+    gaps = F.transform(F.sequence(F.lit(0), F.size("__x") - 2, F.lit(2)), lambda k: F.struct(F.get("__x", k).alias("from"), F.get("__x", k + 1).alias("to")))
+    spans = lines.filter(F.size("__x") >= 2).select(*keys, "row", F.explode(gaps).alias("g"))
+    first, last = F.ceil(F.col("g.from") - 0.5).cast("int"), F.ceil(F.col("g.to") - 0.5).cast("int") - 1
+    return spans.filter(last >= first).select(*keys, "row", F.explode(F.sequence(first, last)).alias("col"))
+
+
 def spread_area(cells: DataFrame, key: str, area: str) -> DataFrame:
-    """Each shape's area spread evenly over its cells, as `cell_area`."""
-    n = cells.groupBy(key).agg(F.count(F.lit(1)).alias("n_cells"))
+    """Each shape's area spread evenly over its cells, as `cell_area`.
+
+    The counts are written before they are joined, as Spark can split a skewed join, such as one shape of very many
+    cells, only if neither side is still being grouped by its key.
+    """
+    n = kept(cells.groupBy(key).agg(F.count(F.lit(1)).alias("n_cells")), "cells")
     return cells.join(n, key).withColumn("cell_area", F.col(area) / F.col("n_cells"))
 
 

@@ -263,6 +263,32 @@ def _cells(spark: SparkSession, d: str) -> DataFrame:
     return shapes.box_cells(s.withColumn("area", far * far), F.col("x0"), F.col("y0"), F.col("x0") + far, F.col("y0") + far)
 
 
+# An L with a slanted side, and a hole in it; (x, y) from its corner, in units of its side
+_OUTLINE = [(0.0, 0.0), (3.0, 0.3), (3.0, 1.1), (1.3, 1.2), (1.1, 3.0), (0.2, 2.6)]
+_HOLE = [(0.4, 0.4), (0.9, 0.5), (0.7, 1.9)]
+
+
+def _footprints(spark: SparkSession, d: str) -> DataFrame:
+    s = v.shapes(spark, d)
+    ring = lambda points: F.array(*(F.struct((F.col("x0") + a * F.col("side")).alias("x"), (F.col("y0") + b * F.col("side")).alias("y")) for a, b in points))
+    return s.select("shape_id", F.explode(F.array(ring(_OUTLINE), ring(_HOLE))).alias("ring"))
+
+
+_EDGES = ", ".join(f"({a}e0, {b}e0, {c}e0, {e}e0)" for ring in (_OUTLINE, _HOLE) for (a, b), (c, e) in zip(ring, ring[1:] + ring[:1], strict=True))
+
+
+@query(f"""WITH {v.SHAPES}, edges(xa, ya, xb, yb) AS (VALUES {_EDGES}),
+own AS (SELECT shape_id, x0 + xa * side AS xa, y0 + ya * side AS ya, x0 + xb * side AS xb, y0 + yb * side AS yb FROM shapes, edges),
+boxes AS (SELECT shape_id, CAST(floor(min(xa)) AS INT) AS c0, CAST(ceil(max(xa)) AS INT) AS c1, CAST(floor(min(ya)) AS INT) AS r0, CAST(ceil(max(ya)) AS INT) AS r1 FROM own GROUP BY 1),
+near AS (SELECT shape_id, CAST(r AS INT) AS row, CAST(c AS INT) AS col FROM (SELECT *, unnest(range(r0, r1 + 1)) AS r FROM boxes) b, LATERAL (SELECT unnest(range(c0, c1 + 1)) AS c) q)
+SELECT shape_id, row, col FROM near JOIN own USING (shape_id)
+WHERE row + 0.5e0 >= least(ya, yb) AND row + 0.5e0 < greatest(ya, yb) AND xa + (row + 0.5e0 - ya) / (yb - ya) * (xb - xa) > col + 0.5e0
+GROUP BY ALL HAVING count(*) % 2 = 1""")
+def footprint_cells(spark: SparkSession, d: str) -> DataFrame:
+    """NB-10: cells of concave footprints with holes."""
+    return shapes.ring_cells(_footprints(spark, d), ["shape_id"])
+
+
 @query(f"""WITH {_CELLS}, l AS (SELECT * FROM cells WHERE shape_id % 2 = 0), h AS (SELECT row, col, count(*) AS hits FROM cells WHERE shape_id % 2 = 1 GROUP BY 1, 2)
 SELECT shape_id, count(*) AS own_cells, round(coalesce(sum(hits), 0) / CAST(count(*) AS DOUBLE), 6) AS overlap_frac, coalesce(sum(hits), 0) / CAST(count(*) AS DOUBLE) >= 0.5 AS kept
 FROM l LEFT JOIN h USING (row, col) GROUP BY 1""")

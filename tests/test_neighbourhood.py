@@ -154,3 +154,27 @@ def test_histogram_edges(spark):
     assert got == {"000": 3, "009": 3}
     empty = grids.profile_with_histogram(df.filter("a is null").withColumn("k", F.lit(1)), ["k"], [LayerContract("a", 0, 1)]).first()
     assert empty.valid_px == 0 and empty["mean"] is None and empty.histogram == {}
+
+
+def test_rings_of_any_outline(spark):
+    random = np.random.default_rng(11)
+    rings = {k: [[tuple(p) for p in random.uniform(-3, 17, (random.integers(3, 9), 2))] for _ in range(random.integers(1, 4))] for k in range(12)}
+    square = lambda a, b: [(a, a), (b, a), (b, b), (a, b)]
+    rings |= {50: [square(0.0, 9.0), square(2.0, 7.0)[::-1], square(4.0, 5.0)], 51: [square(0.5, 2.5) + [(0.5, 0.5)]], 52: [[(0.0, 0.0), (5.0, 5.0)]], 53: [[(1.0, 2.0), (8.0, 2.0), (3.0, 2.0)]]}
+    rows = [(k, [(float(x), float(y)) for x, y in ring]) for k, own in rings.items() for ring in own]
+    rows += [(54, [(0.0, 0.0), (float("nan"), 1.0), (4.0, 0.0), None, (4.0, 4.0)]), (55, None), (56, [])]
+    df = spark.createDataFrame(rows, "k long, ring array<struct<x: double, y: double>>")
+    got = {(r.k, r.row, r.col) for r in shapes.ring_cells(df, ["k"]).collect()}
+    rings[54] = [[(0.0, 0.0), (4.0, 0.0), (4.0, 4.0)]]
+
+    def inside(own, x, y):
+        odd = False
+        for ring in own:
+            for (xa, ya), (xb, yb) in zip(ring, ring[1:] + ring[:1], strict=True):
+                if min(ya, yb) <= y < max(ya, yb) and xa + (y - ya) / (yb - ya) * (xb - xa) > x:
+                    odd = not odd
+        return odd
+
+    want = {(k, r, c) for k, own in rings.items() for r in range(-4, 18) for c in range(-4, 18) if inside(own, c + 0.5, r + 0.5)}
+    assert got == want
+    assert shapes.ring_cells(df.limit(0), ["k"]).count() == 0
