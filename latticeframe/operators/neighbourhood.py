@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import math
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -16,19 +18,60 @@ def offsets(rows: range, cols: range) -> Column:
     return F.array(*(F.struct(F.lit(r).alias("dr"), F.lit(c).alias("dc")) for r in rows for c in cols))
 
 
-def dilate(df: DataFrame, keys: list[str], core: Column, radius: int) -> DataFrame:
+#: Cells of a row that travel as the bits of one number
+WORD = 32
+
+
+def _windows(a: np.ndarray, radius: int, axis: int) -> np.ndarray:
+    """OR over 2 * radius + 1 neighbours along an axis, by doubling; the result is shorter by 2 * radius."""
+    a, n, size = np.moveaxis(a, axis, 0), 2 * radius + 1, 1
+    while 2 * size <= n:
+        a, size = a[:-size] | a[size:], 2 * size
+    if n > size:
+        a = a[: size - n] | a[n - size :]
+    return np.moveaxis(a, 0, axis)
+
+
+def dilate(df: DataFrame, keys: list[str], core: Column, radius: int, tile: int = 1024) -> DataFrame:
     """NB-01: `df` plus `buffer`: cells within a square of `radius` around a core cell that aren't core themselves.
 
-    Rows first, then columns: a square is the sum of two lines, so each core cell makes 2 (2r + 1) rows rather than
-    (2r + 1) squared.
+    Core cells are packed to numbers of 32 cells; only these travel, to their tile and to those whose halo they stand
+    in. A tile ORs rows and then columns with themselves in doubling shifts, so the work doesn't depend on the radius
+    but for the halo, and the result goes back as bits, joined once for 32 cells.
     """
-    on = df.filter(F.coalesce(core, F.lit(False))).select(*keys, *CELL)
-    span = F.sequence(F.lit(-radius), F.lit(radius))
-    lines = on.withColumn("__d", F.explode(span)).select(*keys, (F.col("row") + F.col("__d")).alias("row"), "col").distinct()
-    square = lines.withColumn("__d", F.explode(span)).select(*keys, "row", (F.col("col") + F.col("__d")).alias("col")).distinct()
-    near = df.join(square.withColumn("__near", F.lit(True)), [*keys, *CELL], "left")
-    buffer = F.coalesce("__near", F.lit(False)) & ~F.coalesce(core, F.lit(False))
-    return near.withColumn("buffer", buffer).drop("__near")
+    tile = -(-tile // WORD) * WORD
+    halo = -(-radius // WORD) * WORD  # whole words to either side
+    bit = F.expr(f"shiftleft(1L, cast(pmod(col, {WORD}) as int))")
+    word = F.floor(F.col("col") / WORD)
+    packed = df.filter(F.coalesce(core, F.lit(False))).groupBy(*keys, F.col("row").cast("long").alias("row"), word.alias("__word")).agg(F.bit_or(bit).alias("__bits"))
+    touched = lambda lo, hi: F.explode(F.sequence(F.floor((lo - radius) / tile), F.floor((hi + radius) / tile)))
+    left = F.col("__word") * WORD
+    dealt = packed.withColumn("__tr", touched(F.col("row"), F.col("row"))).withColumn("__tc", touched(left, left + (WORD - 1)))
+    kinds = ", ".join(f"`{k}` {df.schema[k].dataType.simpleString()}" for k in keys)
+    schema = f"{kinds + ', ' if kinds else ''}row long, __word long, __bits long"
+
+    def spread(table: pa.Table) -> pa.Table:
+        top, first = table["__tr"][0].as_py() * tile, table["__tc"][0].as_py() * tile
+        rows = table["row"].to_numpy() - (top - radius)
+        cols = table["__word"].to_numpy() * WORD - (first - halo)
+        bits = np.unpackbits(table["__bits"].to_numpy().astype("<u4").view(np.uint8).reshape(-1, 4), axis=1, bitorder="little").astype(bool)
+        cells = np.zeros((tile + 2 * radius, tile + 2 * halo), bool)
+        cells[rows[:, None], cols[:, None] + np.arange(WORD)] = bits
+        near = _windows(_windows(cells, radius, 0), radius, 1)[:, halo - radius : halo - radius + tile]
+        words = np.packbits(near.reshape(tile, -1, WORD), axis=2, bitorder="little").view("<u4")[:, :, 0]
+        r, w = np.nonzero(words)
+        same = table.select(keys).slice(0, 1).take(pa.array(np.zeros(len(r), np.int64))) if keys else None
+        made = {"row": r + top, "__word": w + first // WORD, "__bits": words[r, w].astype(np.int64)}
+        columns = [same[k].combine_chunks() for k in keys] + [pa.array(c) for c in made.values()]
+        return pa.Table.from_arrays(columns, names=[*keys, *made])
+
+    square = dealt.groupBy(*keys, "__tr", "__tc").applyInArrow(spread, schema).withColumnRenamed("row", "__row")
+    same = (F.col("row") == F.col("__row")) & (word == F.col("__word"))
+    for k in keys:
+        same = same & F.col(f"__of_{k}").eqNullSafe(F.col(k))
+    near = df.join(square.withColumnsRenamed({k: f"__of_{k}" for k in keys}), same, "left")
+    hit = F.coalesce(F.expr(f"shiftright(__bits, cast(pmod(col, {WORD}) as int)) & 1 = 1"), F.lit(False))
+    return near.withColumn("buffer", hit & ~F.coalesce(core, F.lit(False))).select(*df.columns, "buffer")
 
 
 def shadow_shift(azimuth: float, elevation: float, height: float, resolution: float) -> tuple[int, int] | None:

@@ -156,6 +156,15 @@ def dilate_mask(spark: SparkSession, d: str) -> DataFrame:
     return neighbourhood.dilate(px, [], bits.has(F.col("flag"), bits.CLOUDY), 2).select("row", "col", "buffer")
 
 
+@query(f"""WITH {v.PIXELS}, core AS (SELECT scene_id, row, col FROM px WHERE flag & 4 <> 0), wide AS (SELECT DISTINCT scene_id, row, c AS col FROM (SELECT *, unnest(range(col - 50, col + 51)) AS c FROM core)),
+near AS (SELECT DISTINCT scene_id, r AS row, col FROM (SELECT *, unnest(range(row - 50, row + 51)) AS r FROM wide))
+SELECT scene_id, row, col, near.row IS NOT NULL AND flag & 4 = 0 AS buffer FROM px LEFT JOIN near USING (scene_id, row, col)""")
+def dilate_wide(spark: SparkSession, d: str) -> DataFrame:
+    """NB-01 with a radius of 50 cells, by scene."""
+    px = v.pixels(spark, d).select("scene_id", "row", "col", "flag")
+    return neighbourhood.dilate(px, ["scene_id"], F.col("flag").bitwiseAND(4) != 0, 50).drop("flag")
+
+
 @query(f"""WITH {v.PIXELS}, size AS (SELECT max(row) + 1 AS h FROM px), s AS (SELECT DISTINCT row + 3 AS row, col - 6 AS col FROM px WHERE flag & 2 <> 0)
 SELECT CAST(row AS INT) AS row, CAST(col AS INT) AS col FROM s, size WHERE row BETWEEN 0 AND h - 1 AND col BETWEEN 0 AND {v.COLS - 1}""")
 def shift_mask(spark: SparkSession, d: str) -> DataFrame:

@@ -178,3 +178,19 @@ def test_rings_of_any_outline(spark):
     want = {(k, r, c) for k, own in rings.items() for r in range(-4, 18) for c in range(-4, 18) if inside(own, c + 0.5, r + 0.5)}
     assert got == want
     assert shapes.ring_cells(df.limit(0), ["k"]).count() == 0
+
+
+@pytest.mark.parametrize("radius", [0, 1, 3, 31, 32, 50])
+def test_dilate_across_tiles_and_scenes(spark, radius):
+    random = np.random.default_rng(radius)
+    masks = {"a": random.random((70, 101)) < 0.002, None: random.random((9, 70)) < 0.01, "c": np.zeros((3, 3), bool)}
+    rows = [(g, r - 5, c - 40, bool(m[r, c]) or None) for g, m in masks.items() for r in range(m.shape[0]) for c in range(m.shape[1])]
+    df = spark.createDataFrame(rows, "g string, row int, col int, m boolean")
+    for tile in (32, 64):
+        got = {(x.g, x.row, x.col): x.buffer for x in neighbourhood.dilate(df, ["g"], F.col("m"), radius, tile).collect()}
+        assert len(got) == len(rows)
+        for g, m in masks.items():
+            want = np.zeros_like(m)
+            for r, c in zip(*np.nonzero(m), strict=True):
+                want[max(r - radius, 0) : r + radius + 1, max(c - radius, 0) : c + radius + 1] = True
+            assert all(got[g, r - 5, c - 40] == (want[r, c] and not m[r, c]) for r in range(m.shape[0]) for c in range(m.shape[1]))
