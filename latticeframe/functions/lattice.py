@@ -1,4 +1,4 @@
-"""The nested lattice: grid addresses, parents, tiles, blocks (PRJ-14, PRJ-15, SRC-06, AG-09)."""
+"""The nested lattice: grid addresses, parents, tiles, blocks, space-filling order (PRJ-14, PRJ-15, SRC-06, SNK-06, AG-09)."""
 
 from __future__ import annotations
 
@@ -60,3 +60,22 @@ def present(block: Column, factor: int, size: int) -> Column:
 def tiles(size: int, step: int) -> list[tuple[int, int]]:
     """SRC-06: (start, length) of the tiles along one axis, the last one truncated."""
     return [(a, min(step, size - a)) for a in range(0, size, step)]
+
+
+#: Distances and masks by which the bits of a 32-bit number are moved apart
+_SPREAD = ((16, 0x0000FFFF0000FFFF), (8, 0x00FF00FF00FF00FF), (4, 0x0F0F0F0F0F0F0F0F), (2, 0x3333333333333333), (1, 0x5555555555555555))
+
+
+def morton(row: Column, col: Column) -> Column:
+    """SNK-06: the bits of row and column interleaved, so that cells near each other are near in this order.
+
+    Defined for addresses from 0 to 2^31 - 1; any other address, or NULL, gives NULL.
+    """
+
+    def spread(x: Column) -> Column:
+        x = F.when(x.between(0, 2**31 - 1), x.cast("long"))
+        for far, mask in _SPREAD:
+            x = x.bitwiseOR(F.shiftleft(x, far)).bitwiseAND(F.lit(mask))
+        return x
+
+    return F.shiftleft(spread(row), 1).bitwiseOR(spread(col))

@@ -7,9 +7,10 @@ from pyspark.sql import functions as F
 
 from latticeframe.functions import lattice
 from latticeframe.functions.contracts import LayerContract
+from latticeframe.operators import checks, terrain
 from latticeframe.plans import jobs
 from latticeframe.plans import views as v
-from latticeframe.plans.grid_queries import _LONG, _STACK, BANDS, STACK, _stack, _steps_sql
+from latticeframe.plans.grid_queries import _ANGLES, _LONG, _STACK, BANDS, STACK, _stack, _steps_sql
 from latticeframe.plans.registry import query
 from latticeframe.plans.scene_queries import _latest, _work
 
@@ -86,6 +87,71 @@ def couple_job(spark: SparkSession, d: str) -> DataFrame:
     return good.unionByName(made.dropped.select("scene_id", F.lit(None).cast("string").alias("partner_id"), F.lit(None).cast("long").alias("dt_seconds"), "reason"))
 
 
+_VALIDATION = "CASE s_suppkey " + " ".join(f"WHEN {i + 1} THEN '{g}'" for i, g in enumerate(checks.GRANULES[:5])) + " ELSE 'ECO_' || s_suppkey END"
+
+
+@query(f"""WITH {v.CANDIDATES}, anchors AS (SELECT CASE WHEN o_orderkey % 37 = 0 THEN 'LX07_' WHEN o_orderkey % 2 = 0 THEN 'LC08_' ELSE 'LC09_' END || o_orderkey AS scene_id, o_orderdate AS acq, (o_custkey % 40) / 40e0 AS clear_frac, o_orderkey % 11 = 0 AS blank FROM orders),
+pairs AS (SELECT a.scene_id, c.cand_id, a.acq, c.acq AS cand_acq, c.clear_frac, c.n_items, abs(epoch_us(c.acq) - epoch_us(a.acq)) / 86400e6 AS dt FROM anchors a JOIN cand c ON abs(epoch_us(c.acq) - epoch_us(a.acq)) / 86400e6 <= 3 + 1e-6 WHERE a.clear_frac >= 0.05),
+top AS (SELECT *, max(clear_frac) OVER (PARTITION BY scene_id) AS most, row_number() OVER (PARTITION BY scene_id ORDER BY clear_frac - 0.1 * dt / 3 DESC, dt, cand_id) AS rn FROM pairs),
+good AS (SELECT * FROM top WHERE rn = 1 AND most >= 0.95),
+manifest AS (SELECT 'anchor' AS role, scene_id, acq, CASE scene_id[1:4] WHEN 'LC08' THEN 'landsat-8' WHEN 'LC09' THEN 'landsat-9' ELSE 'unknown' END AS platform, clear_frac, blank FROM anchors WHERE scene_id IN (SELECT scene_id FROM good)
+  UNION ALL SELECT DISTINCT 'predictor', cand_id, cand_acq, 's2', clear_frac, false FROM good
+  UNION ALL SELECT 'validation', {_VALIDATION}, DATE '2018-08-25', 'iss', NULL, false FROM supplier),
+found AS (SELECT 'platform_unknown' AS rule FROM manifest WHERE role = 'anchor' AND platform = 'unknown' UNION ALL SELECT 'href_missing' FROM manifest WHERE blank
+  UNION ALL SELECT 'granule_not_allowed' FROM supplier WHERE s_suppkey NOT BETWEEN 1 AND 5 UNION ALL SELECT 'granule_missing' UNION ALL SELECT 'fraction_mismatch' FROM good WHERE n_items % 2 = 0)
+SELECT 'row' AS kind, role AS name, scene_id, CAST(year(acq) AS INT) AS year, platform, round(clear_frac, 6) AS clear_frac, CAST(1 AS BIGINT) AS n FROM manifest
+UNION ALL SELECT 'pairing', cand_id, scene_id, NULL, NULL, round(clear_frac, 4), CAST(dt * 86400 AS BIGINT) FROM good
+UNION ALL SELECT 'finding', rule, NULL, NULL, NULL, NULL, count(*) FROM found GROUP BY rule""")
+def couple_manifest_job(spark: SparkSession, d: str) -> DataFrame:
+    """JOB-01: the manifest in its three roles, the pairings, and how often each rule of both is broken."""
+    o, key = v.table(spark, d, "orders"), F.col("o_orderkey")
+    name = F.when(key % 37 == 0, "LX07_").when(key % 2 == 0, "LC08_").otherwise("LC09_")
+    anchors = o.select(
+        F.concat(name, key.cast("string")).alias("scene_id"), F.col("o_orderdate").alias("acq"), F.when(key % 11 == 0, " ").otherwise("href").alias("item_href"),
+        ((F.col("o_custkey") % 40) / F.lit(40.0)).alias("clear_frac"),
+    )
+    joint = F.floor(F.col("clear_frac") * 100 + 0.5) - F.when(F.col("n_items") % 2 == 0, 1).otherwise(0)
+    cand = v.candidates(spark, d).select(
+        F.col("cand_id").alias("scene_id"), "acq", F.lit("href").alias("item_href"), F.lit("s2").alias("platform"), "clear_frac",
+        F.lit(100).cast("long").alias("landsat_clear_px"), joint.cast("long").alias("joint_clear_px"),
+    )
+    k = F.col("s_suppkey")
+    granule = F.when(k.between(1, 5), F.get(F.array(*map(F.lit, checks.GRANULES)), (k - 1).cast("int"))).otherwise(F.concat(F.lit("ECO_"), k.cast("string")))
+    validation = v.table(spark, d, "supplier").select(
+        granule.alias("scene_id"), F.to_date(F.lit("2018-08-25")).alias("acquisition_datetime"), F.lit("ecostress").alias("source"), F.lit(2018).alias("year"), F.lit("iss").alias("platform"),
+        F.lit("href").alias("item_href"), F.lit(None).cast("double").alias("aoi_clear_frac"),
+    )
+    made = jobs.couple_scenes(anchors, cand, validation, 0.95)
+    none = lambda t: F.lit(None).cast(t)
+    rows = made.manifest.select(
+        F.lit("row").alias("kind"), F.col("role").alias("name"), "scene_id", F.col("year").cast("int").alias("year"), "platform", F.round("aoi_clear_frac", 6).alias("clear_frac"), F.lit(1).cast("long").alias("n")
+    )
+    pairs = made.pairings.select(
+        F.lit("pairing").alias("kind"), F.col("sentinel2_scene_id").alias("name"), F.col("landsat_scene_id").alias("scene_id"), none("int").alias("year"), none("string").alias("platform"),
+        F.round(F.col("joint_clear_frac").cast("double"), 4).alias("clear_frac"), F.col("dt_seconds").alias("n"),
+    )
+    told = made.findings.groupBy(F.col("rule").alias("name")).agg(F.count(F.lit(1)).alias("n"))
+    told = told.select(F.lit("finding").alias("kind"), "name", none("string").alias("scene_id"), none("int").alias("year"), none("string").alias("platform"), none("double").alias("clear_frac"), "n")
+    return rows.unionByName(pairs).unionByName(told)
+
+
+@query(f"""WITH {v.PIXELS}, {_steps_sql(36, 6)}, {_ANGLES}, q AS (SELECT row, col, k, CAST(round_even(angle * 100, 0) AS INT) AS e FROM best),
+sun AS (SELECT scene_id, (173 + 910 * scene_id) / 10e0 AS az, (255 - 90 * scene_id) / 10e0 AS el FROM px GROUP BY 1), lit AS (SELECT *, CAST(floor(az / 10e0) AS INT) AS k, az / 10e0 - floor(az / 10e0) AS share FROM sun)
+SELECT s.scene_id, a.row, a.col, CAST(CASE WHEN el <= 0 THEN 255 WHEN (a.e * (1 - share) + b.e * share) / 100 > el THEN 1 ELSE 0 END AS INT) AS shadow
+FROM lit s JOIN q a ON a.k = s.k JOIN q b ON a.row = b.row AND a.col = b.col AND b.k = (s.k + 1) % 36""")
+def shadow_job(spark: SparkSession, d: str) -> DataFrame:
+    """JOB-06: shadow masks of all scenes of the pixel grid, from its own horizons and each scene's sun."""
+    px, s = v.pixels(spark, d), F.col("scene_id")
+    horizon = terrain.horizon(px.select("row", "col", "height"), [], "height", 10.0, 60.0).withColumn("geometry_id", F.lit("grid"))
+    scenes = px.select("scene_id").distinct()
+    sun = scenes.select(F.lit("grid").alias("geometry_id"), "scene_id", ((173 + 910 * s) / F.lit(10.0)).alias("azimuth"), ((255 - 90 * s) / F.lit(10.0)).alias("elevation"))
+    h = v.hourly_series(spark, d)
+    series = h.select("cell", "ts", "ssrd", F.col("ssrd").alias("tp"), *(F.col("v").alias(c) for c in ("t2m", "d2m", "u10", "v10")))
+    timed = scenes.select("scene_id", s.cast("long").alias("cell"), F.to_timestamp(F.lit("2024-01-10 10:00:00")).alias("acq"))
+    _, lit = jobs.dynamic_products(timed, series, ["cell"], horizon, sun)
+    return lit.select("scene_id", "row", "col", F.col("shadow").cast("int").alias("shadow"))
+
+
 def _sun(px: DataFrame) -> DataFrame:
     s = F.col("scene_id")
     return px.select("scene_id").distinct().select("scene_id", (180.0 - 90 * s).alias("azimuth"), F.when(s < 3, 45.0).otherwise(0.0).alias("elevation"))
@@ -178,23 +244,25 @@ def dynamic_job(spark: SparkSession, d: str) -> DataFrame:
 
 
 @query("""WITH p AS (SELECT o_orderkey AS anchor_id, o_custkey AS partner_id, CASE WHEN month(o_orderdate) <= 6 THEN 'early' WHEN month(o_orderdate) = 7 THEN 'peak' ELSE 'late' END AS season,
-  CASE WHEN o_custkey % 100 < 10 THEN 'low' WHEN o_custkey % 100 < 30 THEN 'mid' ELSE 'high' END AS cloud, CAST(o_totalprice AS DOUBLE) / 600000 AS missed, CASE WHEN o_custkey % 3 <> 0 THEN (o_custkey % 7) / 7e0 END AS extra FROM orders),
+  CASE WHEN o_custkey % 100 < 10 THEN 'low' WHEN o_custkey % 100 < 30 THEN 'mid' ELSE 'high' END AS cloud, CAST(o_totalprice AS DOUBLE) / 600000 AS missed, CASE WHEN o_custkey % 3 <> 0 THEN (o_custkey % 7) / 7e0 END AS extra,
+  CASE WHEN o_custkey % 5 <> 0 THEN (o_custkey % 11) / 11e0 END AS hint FROM orders),
 t AS (SELECT *, row_number() OVER (PARTITION BY season, cloud ORDER BY sha256('7:' || anchor_id), anchor_id) AS turn FROM p),
 f AS (SELECT *, row_number() OVER (PARTITION BY partner_id ORDER BY turn, season, cloud, anchor_id) AS rn FROM t),
-sample AS (SELECT * FROM f WHERE rn = 1 ORDER BY turn, season, cloud, anchor_id LIMIT 90), told AS (SELECT anchor_id, partner_id, missed, extra, missed + coalesce(extra, 0) AS risk FROM sample)
+sample AS (SELECT * FROM f WHERE rn = 1 ORDER BY turn, season, cloud, anchor_id LIMIT 90), told AS (SELECT anchor_id, partner_id, missed, extra, hint, missed + coalesce(extra, 0) + coalesce(hint, 0) AS risk FROM sample)
 SELECT 'evidence' AS kind, anchor_id, partner_id, round(risk, 6) AS x FROM (SELECT * FROM told ORDER BY risk DESC, anchor_id, partner_id LIMIT 20)
-UNION ALL SELECT 'missed_p75', NULL, count(missed), round(quantile_cont(missed, 0.75), 6) FROM told UNION ALL SELECT 'extra_p75', NULL, count(extra), round(quantile_cont(extra, 0.75), 6) FROM told""")
+UNION ALL SELECT 'missed_p75', NULL, count(missed), round(quantile_cont(missed, 0.75), 6) FROM told UNION ALL SELECT 'extra_p75', NULL, count(extra), round(quantile_cont(extra, 0.75), 6) FROM told
+UNION ALL SELECT 'hint_p75', NULL, count(hint), round(quantile_cont(hint, 0.75), 6) FROM told""")
 def mask_audit_job(spark: SparkSession, d: str) -> DataFrame:
     """JOB-10: a stratified sample of all pairs, its worst cases, and quantile lines of its diagnostics."""
     o, c = v.table(spark, d, "orders"), F.col("o_custkey")
     key = [F.col("o_orderkey").alias("anchor_id"), c.alias("partner_id")]
     pairs = o.select(*key, F.col("o_orderdate").alias("acq"), (c % 100).alias("cloud_cover"))
     diagnostics = o.select(
-        *key, (F.col("o_totalprice").cast("double") / 600000).alias("missed_frac"), F.when(c % 3 != 0, (c % 7) / F.lit(7.0)).alias("extra_frac"), F.lit(None).cast("double").alias("hint_frac")
+        *key, (F.col("o_totalprice").cast("double") / 600000).alias("missed_frac"), F.when(c % 3 != 0, (c % 7) / F.lit(7.0)).alias("extra_frac"), F.when(c % 5 != 0, (c % 11) / F.lit(11.0)).alias("hint_frac"),
     )
     made = jobs.mask_audit(pairs, diagnostics, 7, 90, 20)
     worst = made["evidence"].select(F.lit("evidence").alias("kind"), "anchor_id", "partner_id", F.round("risk", 6).alias("x"))
-    lines = made["quantiles"].filter("measure <> 'hint_frac'").select(
+    lines = made["quantiles"].select(
         F.concat(F.split_part("measure", F.lit("_"), F.lit(1)), F.lit("_p75")).alias("kind"), F.lit(None).cast("long").alias("anchor_id"), F.col("n").alias("partner_id"), F.round("p75", 6).alias("x")
     )
     return worst.unionByName(lines)

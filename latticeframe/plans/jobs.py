@@ -17,6 +17,7 @@ from latticeframe.functions.labels import cloudiness, season
 from latticeframe.functions.nulls import value
 from latticeframe.operators import checks, couple, grids, inventory, ledger, neighbourhood, sampling, shapes, terrain, weather_series
 from latticeframe.sources import scans
+from latticeframe.sources.work import kept as stored
 
 PIXEL = ["scene_id", "row", "col"]
 
@@ -35,10 +36,11 @@ def couple_scenes(anchors: DataFrame, candidates: DataFrame, validation: DataFra
     kept = kept.withColumnRenamed("clear_frac", "aoi_clear_frac")
     cand = candidates.withColumnRenamed("scene_id", "partner_id")
     pairs = couple.interval_join(kept.select("scene_id", "acq"), cand.select("partner_id", "acq", "clear_frac", "landsat_clear_px", "joint_clear_px"), window_days)
-    matched = couple.best_match(kept, pairs, "scene_id", "partner_id", threshold)
+    # Manifest, pairings, reasons and findings all start from these two tables
+    matched = stored(couple.best_match(kept, pairs, "scene_id", "partner_id", threshold), "matched")
     good = matched.filter("status = 'coupled'")
     facts = pairs.select("scene_id", "partner_id", "cand_acq", "landsat_clear_px", "joint_clear_px")
-    rows = good.select("scene_id", "acq", "partner_id", "clear_frac", "score").join(facts, ["scene_id", "partner_id"])
+    rows = stored(good.select("scene_id", "acq", "partner_id", "clear_frac", "score").join(facts, ["scene_id", "partner_id"]), "coupled")
     pairings = rows.select(
         F.col("scene_id").alias("landsat_scene_id"),
         F.col("partner_id").alias("sentinel2_scene_id"),

@@ -21,7 +21,7 @@ def query(sql: str | None = None):
 
 
 def _load() -> None:
-    from latticeframe.plans import contract_queries, grid_queries, job_queries, scene_queries, series_queries  # noqa: F401
+    from latticeframe.plans import contract_queries, grid_queries, job_queries, scene_queries, series_queries, stored_queries  # noqa: F401
 
 
 def queries() -> dict[str, Callable]:
