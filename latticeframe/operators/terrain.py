@@ -5,9 +5,11 @@ from __future__ import annotations
 import math
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from latticeframe.operators.neighbourhood import with_halo
 
@@ -44,22 +46,27 @@ def _per_tile(df: DataFrame, keys: list[str], height: str, tile: int, halo: int,
     """Run `finish(padded heights, core slices) -> columns` on every tile; absent cells are NaN."""
     halod = with_halo(df.select(*keys, "row", "col", F.col(height).cast("double").alias("__z")), tile, halo)
 
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        tr, tc = int(pdf["tile_row"].iloc[0]), int(pdf["tile_col"].iloc[0])
+    wanted = to_arrow_schema(T._parse_datatype_string(schema))
+
+    def run(cells: pa.Table) -> pa.Table:
+        row, col = cells["row"].to_numpy(), cells["col"].to_numpy()
+        tr, tc = cells["tile_row"][0].as_py(), cells["tile_col"][0].as_py()
         size = tile + 2 * halo
         z = np.full((size, size), np.nan)
-        z[pdf["row"] - tr * tile + halo, pdf["col"] - tc * tile + halo] = pdf["__z"]
+        z[row - tr * tile + halo, col - tc * tile + halo] = cells["__z"].to_numpy()
         core = slice(halo, halo + tile)
-        made = finish(z, (core, core))
-        own = pdf[pdf["is_core"]]
-        r, c = (own["row"] - tr * tile).to_numpy(), (own["col"] - tc * tile).to_numpy()
-        out = own[[*keys, "row", "col"]].copy()
-        for name, values in made.items():
-            own_values = values[:, r, c].T.tolist() if values.ndim == 3 else values[r, c]
-            out[name] = pd.Series(own_values, index=out.index, dtype=object if values.ndim == 3 else None)
-        return out
-
-    return halod.groupBy(*keys, "tile_row", "tile_col").applyInPandas(run, schema)
+        own = cells.filter(cells["is_core"])
+        r, c = own["row"].to_numpy() - tr * tile, own["col"].to_numpy() - tc * tile
+        out = [own[k].combine_chunks().cast(wanted.field(k).type) for k in (*keys, "row", "col")]
+        for name, values in finish(z, (core, core)).items():
+            if values.ndim == 3:
+                at = np.arange(len(r) + 1, dtype=np.int32) * values.shape[0]
+                out.append(pa.ListArray.from_arrays(at, np.ascontiguousarray(values[:, r, c].T).ravel()).cast(wanted.field(name).type))
+            else:
+                out.append(pa.array(values[r, c], wanted.field(name).type))
+        return pa.Table.from_arrays(out, schema=wanted)
+
+    return halod.groupBy(*keys, "tile_row", "tile_col").applyInArrow(run, schema)
 
 
 def _key_schema(df: DataFrame, keys: list[str]) -> str:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import time
 import uuid
 
 from pyspark.errors import AnalysisException
@@ -16,13 +17,18 @@ def status_windows(events: DataFrame, lateness: str = "10 minutes", window: str
     return counts.select(F.col("window.start").alias("start"), "source", "status", "n")
 
 
-def merge_into(path: str, keys: list[str], order: list[str], buckets: int = 64):
+#: Seconds for which readers may go on with the files of an earlier batch
+GRACE = 86_400.0
+
+
+def merge_into(path: str, keys: list[str], order: list[str], buckets: int = 64, compact_every: int = 1000, grace: float = GRACE):
     """A `foreachBatch` function that keeps the latest ledger row per key under `path`.
 
     Rows lie in `buckets` by a hash of their key, and a batch only rewrites the buckets that it touches: into a folder
     of its own, which the pointer table names last. So readers never see half of a batch, a batch that is run again
     gives the same state, and a stream that starts anew goes on with the ledger as it is. `buckets` stays what it was
-    for the first batch; another number raises.
+    for the first batch; another number raises. Every `compact_every` batches, what no bucket names any more is
+    deleted (see `compact`).
     """
     from latticeframe.operators.ledger import latest
 
@@ -44,6 +50,8 @@ def merge_into(path: str, keys: list[str], order: list[str], buckets: int = 64):
             seq = 1 + max((n for _, n, _ in folders.values()), default=0)
             pointer = spark.createDataFrame([(b, buckets, seq, folder) for b in touched], POINTER)
             pointer.coalesce(1).write.mode("append").parquet(f"{path}-pointer")
+            if seq % compact_every == 0:
+                compact(spark, path, grace)
         finally:
             rows.unpersist()
 
@@ -69,3 +77,40 @@ def current(spark: SparkSession, path: str) -> DataFrame | None:
     """The ledger as the last finished batch left it; None before the first."""
     folders = _folders(spark, path)
     return spark.read.parquet(*(f"{folder}/__bucket={b}" for b, (_, _, folder) in folders.items())) if folders else None
+
+
+def compact(spark: SparkSession, path: str, grace: float = GRACE) -> tuple[int, int]:
+    """Delete files that the ledger under `path` no longer needs; returns how many pointer files and run folders went.
+
+    The pointer is written once more as one file first, so that the earlier ones are only history. What was written
+    within the last `grace` seconds stays: a reader may still be on it, or a batch be writing it. One stream writes a
+    ledger, and the same one compacts it; a run that stops half way leaves files that the next one deletes.
+    """
+    folders = _folders(spark, path)
+    if not folders:
+        return 0, 0
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    at, pointer = hadoop.Path(path), hadoop.Path(f"{path}-pointer")
+    fs = at.getFileSystem(spark._jsc.hadoopConfiguration())
+    limit = (time.time() - grace) * 1000
+    old = [f.getPath() for f in fs.listStatus(pointer) if f.getPath().getName().endswith(".parquet") and f.getModificationTime() <= limit]
+    if len(old) > 1:
+        rows = [(b, n, seq, folder) for b, (n, seq, folder) in folders.items()]
+        spark.createDataFrame(rows, POINTER).coalesce(1).write.mode("append").parquet(f"{path}-pointer")
+        for file in old:
+            fs.delete(file, False)
+    named = {folder.rsplit("/", 1)[-1] for _, _, folder in folders.values()}
+    gone = 0
+    for f in fs.listStatus(at):
+        if f.getPath().getName().startswith("run=") and f.getPath().getName() not in named and 0 < _written(fs, f.getPath()) <= limit:
+            fs.delete(f.getPath(), True)
+            gone += 1
+    return (len(old) if len(old) > 1 else 0), gone
+
+
+def _written(fs, folder) -> int:
+    """When the youngest file below a folder was written, in milliseconds; 0 if there is none."""
+    files, last = fs.listFiles(folder, True), 0
+    while files.hasNext():
+        last = max(last, files.next().getModificationTime())
+    return last

@@ -324,3 +324,24 @@ def test_as_of_knows_all_versions(spark):
     assert got.filter("version = least(year, 999)").count() == 3000
     more = inventory.as_of(rows, spark.range(1001).select(F.col("id").alias("version")), "year", "version")
     assert more.filter("version = least(year, 1000)").count() == 3000
+
+
+def test_stream_compaction_keeps_the_state(spark, tmp_path):
+    state = str(tmp_path / "ledger")
+    rows = lambda status, n, items: spark.createDataFrame([(i, status, T0 + timedelta(minutes=n)) for i in items], "item_id int, status string, updated_at timestamp")
+    run = streaming.merge_into(state, ["item_id"], ["updated_at"], buckets=2, compact_every=3, grace=0)
+    assert streaming.compact(spark, state, 0) == (0, 0)
+    told = lambda: {(r.item_id, r.status) for r in streaming.current(spark, state).collect()}
+    files = lambda: (len(list((tmp_path / "ledger-pointer").glob("*.parquet"))), len(list((tmp_path / "ledger").glob("run=*"))))
+    for n in range(2):
+        run(rows(f"s{n}", n, range(6)), n)
+    assert files() == (2, 2)
+    assert streaming.compact(spark, state, 3600) == (0, 0)  # readers may still be on them
+    run(rows("s2", 2, range(6)), 2)
+    assert files() == (1, 1) and told() == {(i, "s2") for i in range(6)}
+    # A folder of a lost batch goes, and later batches go on from the compacted pointer
+    rows("lost", 9, [1]).write.parquet(f"{state}/run=lost")
+    run(rows("s3", 3, [0, 1]), 3)
+    pointers, folders = streaming.compact(spark, state, 0)
+    assert pointers == 2 and folders >= 1 and not (tmp_path / "ledger" / "run=lost").exists()
+    assert told() == {(i, "s3" if i < 2 else "s2") for i in range(6)}
