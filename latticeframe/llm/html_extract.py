@@ -5,7 +5,8 @@ node two things are measured over the pages that have it: presentation importanc
 found there (a template repeats one; articles vary), and content importance, one minus the mean entropy of the texts
 below it over pages (a notice stands on every page; an article on one). A node whose composite importance is low, and
 whose texts repeat, is noise, and its branch is removed from each page of the host. Elements that say what they are
-(navigation, forms, adverts, comments ...) are noise whatever their importance.
+(navigation, forms, adverts, comments ...) are noise whatever their importance, but a name on a paragraph or a heading
+inside an article says nothing yet (`<p class="promotion">He got his promotion</p>`): that is judged by the tree.
 
 An element that is marked as the article is evidence, not a verdict: importance inside it is raised, and what counts
 there is not how many pages a text is on but beside how many different texts it stands. A site may publish one article
@@ -53,6 +54,8 @@ LAYOUT = frozenset(
 ROLES = frozenset("alert alertdialog banner complementary contentinfo dialog form menu menubar navigation search toolbar".split())
 IMPLIED_END = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"}, "th": {"td", "th"}, "option": {"option"}}
 
+#: Elements that hold a text of their own: a name on one of them inside an article is left to the tree
+TEXTUAL = frozenset("p h1 h2 h3 h4 h5 h6 blockquote pre".split())
 #: Weight of content against presentation falls with the number of children, as in site style trees
 DECAY = 0.9
 #: Less composite importance than this is noise
@@ -99,11 +102,12 @@ def _judge(tag: str, attrs: str, inside: bool) -> tuple[str, bool]:
     if not attrs.strip():
         return tag, False
     style, never = tag, False
+    named = tag not in ("html", "body", "article", "main") and not (inside and tag in TEXTUAL)
     for m in _attr.finditer(attrs):
         name, value = m[1].lower(), (m[2] or m[3] or m[4] or "").lower()
         if name in ("class", "id"):
             style += ("." if name == "class" else "#") + value
-            never |= tag not in ("html", "body", "article", "main") and _says(value)
+            never |= named and _says(value)
             never |= tag == "article" and "comment" in value
         elif name == "role":
             never |= value in ROLES

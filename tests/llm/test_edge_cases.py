@@ -63,6 +63,11 @@ def test_pages_with_broken_markup_and_plain_names():
     assert html_extract.main_text('<div class="share-price"><p>Shares fell.</p></div><p>rest</p>') == "Shares fell.\nrest"
     assert html_extract.main_text('<div class="share-box"><p>Share it</p></div><p>rest</p>') == "rest"
     assert html_extract.main_text('<article><div class="related"><p>kept</p></div></article>') == "kept"
+    # A name on a paragraph of an article is no verdict; on a box, outside of articles, or as a role it is one
+    named = '<p class="promotion">He got his promotion</p><p id="search">The search went on</p><h2 class="comment">A comment</h2>'
+    assert html_extract.main_text(f"<article>{named}</article>") == "He got his promotion\nThe search went on\nA comment"
+    assert html_extract.main_text(f'<article><div class="promo">{named}</div><p>x</p></article>') == "x"
+    assert html_extract.main_text(f'{named}<article><p role="alert">a</p><p hidden>b</p><p>x</p></article>') == "x"
     assert html_extract.main_text("<div>" * 60_000 + "deep" + "</div>" * 60_000) == "deep"
 
 
