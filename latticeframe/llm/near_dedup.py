@@ -31,7 +31,8 @@ BATCH = 16  # hashes compared between two looks at the posterior
 MISS = 1e-5
 BLOCK = (512, 1 << 20)  # members of a block and shingles in their sets, more where a family would have over 16 blocks
 BLOCK_MOST = (8192, 1 << 22)
-BROADCAST_IDS = 1_000_000
+BROADCAST_BYTES = 64 << 20
+MEMBER_BYTES = 256  # of a row of `members` in a broadcast table, all its columns of fixed width
 
 
 def bands_for(threshold: float, miss: float = MISS, rows: int = ROWS) -> int:
@@ -148,28 +149,34 @@ def find_links(sets: list[np.ndarray], sig: np.ndarray, left: np.ndarray, right:
 
 
 def _family_sets(docs: DataFrame, members: DataFrame, shingle: int) -> DataFrame:
-    """`family, blocks, block, name, values` of the classes in `members`, their sets as sorted 64-bit values."""
-    n = members.count()
-    small = F.broadcast(members) if n <= BROADCAST_IDS else members
-    rows = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).join(small, "doc_id")
+    """`family, blocks, block, name, values` of the classes in `members`, their sets as sorted 64-bit values.
+
+    A class is read from the text of its first row, found by id and mark; copies of that row are combined if they have
+    no id and else passed over within a task.
+    """
+    small = F.broadcast(members) if members.count() * MEMBER_BYTES <= BROADCAST_BYTES else members
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"), _mark().alias("mark"))
+    of_class = ["name", "family", "blocks", "block", "digest"]
+    with_id = texts.filter("doc_id is not null").join(small.filter("doc_id is not null"), ["doc_id", "mark"]).select(*of_class, "text")
+    without = texts.filter("doc_id is null").drop("doc_id").join(small.filter("doc_id is null").drop("doc_id"), "mark")
+    without = without.groupBy(*of_class).agg(F.first("text").alias("text"))
 
     def make():
-        def rows_of(names, texts, families, blocks, block, digests):
-            value, at = shingle_sets([t or "" for t in texts], shingle)
+        seen: set[int] = set()
+
+        def rows_of(names, families, blocks, block, digests, texts):
+            new = [k for k, name in enumerate(names) if name not in seen and not seen.add(name)]
+            value, at = shingle_sets([texts[k] or "" for k in new], shingle)
             out = []
-            for k in range(len(names)):
-                own = value[at[k] : at[k + 1]]
-                if set_digest(own) == digests[k]:  # else another text with the same id
+            for n, k in enumerate(new):
+                own = value[at[n] : at[n + 1]]
+                if set_digest(own) == digests[k]:
                     out.append((families[k], blocks[k], block[k], names[k], own.tobytes()))
             return out
 
         return rows_of
 
-    return map_rows(
-        rows.select("name", "text", "family", "blocks", "block", "digest"),
-        "family long, blocks int, block int, name long, values binary",
-        make,
-    )
+    return map_rows(with_id.unionByName(without), "family long, blocks int, block int, name long, values binary", make)
 
 
 def _verified(sets: DataFrame, percent: int, hashes: int, miss: float) -> DataFrame:
@@ -210,9 +217,11 @@ def _judged(docs: DataFrame, shingle: int, percent: int, miss: float) -> DataFra
     bands = bands_for(percent / 100, miss)
     base = cut(sketch(docs, shingle, bands))
     full = base.filter("digest is not null")
-    classes = full.groupBy("digest").agg(F.min("doc_id").alias("rep"), F.first("bands").alias("bands"), F.first("n_shingles").alias("size"))
+    # The first row of a class: the smallest id, nulls last, then the smallest mark
+    first_row = F.struct(F.col("doc_id").isNull().alias("nameless"), "doc_id", "mark")
+    classes = full.groupBy("digest").agg(F.min(first_row).alias("rep"), F.first("bands").alias("bands"), F.first("n_shingles").alias("size"))
     classes = classes.withColumn("name", F.xxhash64("digest"))
-    named = classes.filter("rep is not null").select("name", F.explode("bands").alias("band"))
+    named = classes.select("name", F.explode("bands").alias("band"))
     # Grouped minima and counts are written before they are joined, so that Spark can split a skewed join.
     shared = cut(named.groupBy("band").agg(F.min("name").alias("centre"), F.count(F.lit(1)).alias("n")).filter("n > 1"))
     stars = named.join(shared, "band").filter("name <> centre").select(F.col("name").alias("a"), F.col("centre").alias("b"))
@@ -225,7 +234,8 @@ def _judged(docs: DataFrame, shingle: int, percent: int, miss: float) -> DataFra
     members = cut(
         known.join(sizes, "root")
         .select(
-            F.col("rep").alias("doc_id"),
+            F.col("rep.doc_id").alias("doc_id"),
+            F.col("rep.mark").alias("mark"),
             F.col("id").alias("name"),
             F.col("root").alias("family"),
             blocks.alias("blocks"),
@@ -240,38 +250,41 @@ def _judged(docs: DataFrame, shingle: int, percent: int, miss: float) -> DataFra
     roots = (
         classes.join(merged.join(firsts, "root").select("name", "first"), "name", "left")
         .withColumn("first", F.coalesce("first", own))
-        .select("digest", F.col("first.rep").alias("component_id"), (F.col("first.digest") == F.col("digest")).alias("leads"))
+        .select("digest", F.col("first.rep").alias("leader"), (F.col("first.digest") == F.col("digest")).alias("leads"))
     )
+    same_row = F.col("doc_id").eqNullSafe(F.col("leader.doc_id")) & (F.col("doc_id").isNotNull() | (F.col("mark") == F.col("leader.mark")))
+    empty = F.col("digest").isNull()
     return base.join(roots, "digest", "left").select(
         "doc_id",
         "mark",
         "n_shingles",
-        F.when(F.col("digest").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"),
-        F.when(F.col("digest").isNull(), True)
-        .otherwise(F.coalesce((F.col("doc_id") == F.col("component_id")) & F.col("leads"), F.lit(False)))
-        .alias("kept"),
+        F.when(empty, F.col("doc_id")).otherwise(F.col("leader.doc_id")).alias("component_id"),
+        F.when(empty, True).otherwise(F.col("leads") & same_row).alias("kept"),
     )
 
+
 def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80, miss: float = MISS) -> DataFrame:
     """`doc_id, n_shingles, component_id, kept` for every row of `docs` (columns doc_id and text).
 
     Two texts are linked if 100 * |intersection| >= percent * |union| of their shingle sets; a component is named by
     its smallest id, which is the one kept. A null text is empty; a text without words is linked with nothing and
-    kept. Rows with the same id stay rows of their own and share their verdict if their texts do. A null id can't
-    name a component: it is kept only if it has no words. Texts are taken whole, however long; extra columns are
-    ignored, whatever they are called; an empty table gives an empty one.
+    kept. Rows with the same id stay rows of their own and share their verdict if their texts do. Null ids come after
+    all others: a component without any id is named null, and its text of the smallest 64-bit hash is the one kept.
+    Texts are taken whole, however long; extra columns are ignored, whatever they are called; an empty table gives an
+    empty one.
     """
     return _judged(docs, shingle, percent, miss).drop("mark")
 
 
 def keep_one(docs: DataFrame, shingle: int = 5, percent: int = 80) -> DataFrame:
-    """The rows of `docs` that stay: the smallest id of each component, and everything without words.
+    """The rows of `docs` that `near_duplicates` keeps: the first row of each component, and everything without words.
 
-    A row goes by its id and its text; rows that repeat both stay or go together. One without an id goes only if a row
-    with an id has the same set. Other columns are kept, whatever they are called; an empty table stays empty.
+    A row goes by its id and its text; rows that repeat both stay or go together. One without an id goes if its
+    component has an id, or else another text that comes first. Other columns are kept, whatever they are called; an
+    empty table stays empty.
     """
     names = docs.columns
-    lost = _judged(docs, shingle, percent, MISS).filter("not kept and component_id is not null")
+    lost = _judged(docs, shingle, percent, MISS).filter("not kept")
     gone = lost.select(F.col("doc_id").alias("gone_id"), F.col("mark").alias("gone_mark")).distinct()
     # Positions as names, so that helper columns can't clash with columns of the input
     rows = docs.toDF(*(f"c{k}" for k in range(len(names))))

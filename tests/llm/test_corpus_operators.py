@@ -11,6 +11,7 @@ import re
 import numpy as np
 import pytest
 from oracle import both
+from pyspark.sql import functions as F
 
 from latticeframe.llm.repeat_windows import equal_to_depth
 from latticeframe.llm import components, html_extract, line_dedup, near_dedup, queries, suffix_dedup
@@ -89,6 +90,43 @@ def test_ids_with_several_texts(spark):
     assert made == [(5, 1, False), (6, 1, False), (6, 6, True)]
 
 
+def test_null_and_repeated_ids_against_brute_force(spark):
+    random.seed(31)
+    texts = [t for _, t in near_copies(120, 6)]
+    rows = [(random.choice([*[None] * 20, *range(40)]), t) for t in texts + random.choices(texts, k=20)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    marks = dict(docs.select("text", F.xxhash64("text")).distinct().collect())
+    first_of, groups = {}, {}
+    sets, root = component_ids(list(enumerate(t for _, t in rows)), 3, 85)
+    for k in sorted(range(len(rows)), key=lambda k: (rows[k][0] is None, rows[k][0] or 0, marks[rows[k][1]])):
+        groups.setdefault(root[k], []).append(k)
+    for r, own in groups.items():
+        first_of[r] = rows[own[0]]
+    want = collections.Counter()
+    for k, (i, t) in enumerate(rows):
+        first, words = first_of[root[k]], len(sets[k])
+        if not words:
+            want[i, 0, i, True] += 1
+            continue
+        same_set = sets[k] == sets[groups[root[k]][0]]
+        want[i, words, first[0], same_set and i == first[0] and (i is not None or t == first[1])] += 1
+    assert sum(f[0] is None for f in first_of.values()) > 3 and sum(k[0] is None and not k[3] for k in want) > 5
+    out = near_dedup.near_duplicates(docs, 3, 85)
+    assert collections.Counter(map(tuple, out.collect())) == want
+    kept = collections.Counter(r.doc_id for r in near_dedup.keep_one(docs, 3, 85).collect())
+    assert kept == collections.Counter(r.doc_id for r in out.filter("kept").collect())
+
+
+def test_rows_without_id_are_linked(spark):
+    t = " ".join(f"w{k}" for k in range(80))
+    other = " ".join(f"v{k}" for k in range(80))
+    rows = [(5, t), (None, t + " z"), (None, t + " z y"), (None, other), (None, other), (None, other + " x")]
+    out = near_dedup.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert sorted((r.doc_id is None, r.n_shingles, r.component_id, r.kept) for r in out if r.component_id) == [(False, 76, 5, True), (True, 77, 5, False), (True, 78, 5, False)]
+    alone = [(r.n_shingles, r.kept) for r in out if r.component_id is None]
+    assert sorted(n for n, _ in alone) == [76, 76, 77] and len({n for n, kept in alone if kept}) == 1 and {n: k for n, k in alone}[76] != {n: k for n, k in alone}[77]
+
+
 def test_posterior_and_bands():
     assert abs(near_dedup.posterior_tail(16, 16, 0.5) - (1 - 0.5**17)) < 1e-12
     assert all(m <= n for n, m in near_dedup.least_matches(96, 0.85, 1e-5))
