@@ -11,7 +11,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
 from latticeframe.llm import line_dedup, near_dedup, packing, quality_rules, secret_scan
-from latticeframe.llm.common import read_table, stored
+from latticeframe.llm.common import discard, read_table, stored
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -35,8 +35,8 @@ def repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each near-duplicate group stays (five-word shingles, similarity 0.8): the one of the smallest id.
 
-    Null and empty texts are linked with nothing and stay; rows with equal ids and texts stay or go together; a row
-    with a null id stays only if no row with an id has a similar text.
+    Null and empty texts are linked with nothing and stay; rows with equal ids and texts stay or go together; null ids
+    come after all others, and of a group without any id the text of the smallest hash stays.
     """
     return near_dedup.keep_one(docs, shingle=5, percent=80)
 
@@ -67,7 +67,9 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = read_table(spark, sf_dir, "documents")
+    docs, written = read_table(spark, sf_dir, "documents"), []
     for name, stage in STAGES[:-1]:
         docs = stored(stage(spark, docs, sf_dir), name.replace(" ", "-"))
+        discard(*written)
+        written = [docs]
     return STAGES[-1][1](spark, docs, sf_dir)
