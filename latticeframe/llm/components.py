@@ -24,8 +24,10 @@ def connected_components(edges: DataFrame) -> DataFrame:
     id to itself makes it known. Grouped minima are cut off before they are joined: Spark can split a skewed join
     only if neither side is an aggregate on its key. Edges and ids never come to the driver.
     """
+    # Written with the edges from an id to itself, so that whatever makes the edges runs once
     given = edges.filter("a is not null and b is not null")
-    now = cut(given.filter("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct())
+    pairs = cut(given.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct())
+    now = pairs.filter("u <> v")
     while not _stars(now):
         both = now.union(now.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = cut(both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m")))
@@ -38,5 +40,5 @@ def connected_components(edges: DataFrame) -> DataFrame:
         now = cut(small.union(low.select("u", F.col("m").alias("v"))).filter("u <> v").distinct())
     tops = now.select(F.col("v").alias("id")).distinct()
     found = now.select(F.col("u").alias("id"), F.col("v").alias("root")).union(tops.select("id", F.col("id").alias("root")))
-    alone = given.filter("a = b").select(F.col("a").alias("id")).distinct().join(found, "id", "left_anti")
+    alone = pairs.filter("u = v").select(F.col("u").alias("id")).join(found, "id", "left_anti")
     return found.union(alone.select("id", F.col("id").alias("root")))

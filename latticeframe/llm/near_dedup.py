@@ -225,7 +225,7 @@ def _judged(docs: DataFrame, shingle: int, percent: int, miss: float) -> DataFra
     # Grouped minima and counts are written before they are joined, so that Spark can split a skewed join.
     shared = cut(named.groupBy("band").agg(F.min("name").alias("centre"), F.count(F.lit(1)).alias("n")).filter("n > 1"))
     stars = named.join(shared, "band").filter("name <> centre").select(F.col("name").alias("a"), F.col("centre").alias("b"))
-    families = connected_components(stars.distinct())
+    families = connected_components(stars)
 
     known = cut(families.join(classes.select(F.col("name").alias("id"), "rep", "digest", "size"), "id"))
     sizes = cut(known.groupBy("root").agg(F.count(F.lit(1)).alias("m"), F.sum("size").alias("s")))
