@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from latticeframe.sources.work import kept
+from latticeframe.sources.work import few_broadcast, kept
 
 
 def box_cells(shapes: DataFrame, x0: Column, y0: Column, x1: Column, y1: Column) -> DataFrame:
@@ -52,7 +52,7 @@ def spread_area(cells: DataFrame, key: str, area: str) -> DataFrame:
     The counts are written before they are joined, as Spark can split a skewed join, such as one shape of very many
     cells, only if neither side is still being grouped by its key.
     """
-    n = kept(cells.groupBy(key).agg(F.count(F.lit(1)).alias("n_cells")), "cells")
+    n = few_broadcast(kept(cells.groupBy(key).agg(F.count(F.lit(1)).alias("n_cells")), "cells"))
     return cells.join(n, key).withColumn("cell_area", F.col(area) / F.col("n_cells"))
 
 

@@ -6,6 +6,10 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+#: Rows of a written table that a join may broadcast
+MOST_BROADCAST = 100_000
 
 
 def work_folder(spark: SparkSession, name: str) -> str:
@@ -24,3 +28,12 @@ def kept(df: DataFrame, name: str) -> DataFrame:
     path = work_folder(df.sparkSession, name)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def few_broadcast(table: DataFrame) -> DataFrame:
+    """A written table, marked for joins: broadcast if it has few rows, else shuffled.
+
+    Spark goes by the compressed size of its files, which lets through millions of narrow rows; a hash table of those
+    takes the driver's memory.
+    """
+    return F.broadcast(table) if table.count() <= MOST_BROADCAST else table.hint("merge")
