@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from latticeframe.functions.nulls import ratio, value
 from latticeframe.operators import asof
+from latticeframe.sources.work import few_broadcast, kept
 
 SLACK_DAYS = 1e-6
 
@@ -52,30 +53,56 @@ def best_match(
     ties go to the shorter dt, then the smaller id. Candidates without a clear fraction don't compete. An anchor is
     dropped if no candidate reaches the threshold; the winner itself may stay below it unless `strict`.
     """
-    scored = pairs.select(key, candidate, "dt_days", value("clear_frac").alias("clear_frac"))
+    return _judged(anchors, anchors.join(_best(pairs, [key], candidate, lam, window_days), key, "left"), candidate, threshold, strict)
+
+
+def best_by_time(
+    anchors: DataFrame,
+    candidates: DataFrame,
+    key: str,
+    candidate: str,
+    threshold: float,
+    lam: float = 0.1,
+    window_days: float = 3.0,
+    strict: bool = False,
+    carry: tuple[str, ...] = (),
+) -> DataFrame:
+    """`best_match` over `interval_join`, for anchors whose `key` is their own, plus the winner's columns `carry`.
+
+    A match depends on an anchor's time alone, so each distinct time is matched once and the answer joined back: the
+    pairs are as many as times and candidates make, however many anchors share a time, and anchors aren't shuffled
+    while times are few. An anchor without a key or a time has no candidate. Scores are over three days, as the
+    default of `best_match`, whatever the window.
+    """
+    times = anchors.filter(F.col(key).isNotNull()).select("acq").distinct()
+    found = kept(_best(interval_join(times, candidates, window_days), ["acq"], candidate, lam, 3.0, carry), "best")
+    asked = anchors.withColumn("__at", F.when(F.col(key).isNotNull(), F.col("acq")))
+    joined = asked.join(few_broadcast(found.withColumnRenamed("acq", "__time")), F.col("__at") == F.col("__time"), "left")
+    return _judged(anchors, joined, candidate, threshold, strict, carry)
+
+
+def _best(pairs: DataFrame, keys: list[str], candidate: str, lam: float, window_days: float, carry: tuple[str, ...] = ()) -> DataFrame:
+    scored = pairs.select(*keys, candidate, "dt_days", value("clear_frac").alias("clear_frac"), *carry)
     scored = scored.withColumn("score", F.col("clear_frac") - lam * F.col("dt_days") / window_days)
     best = F.min_by(
-        F.struct(candidate, "dt_days", "clear_frac", "score"),
+        F.struct(candidate, "dt_days", "clear_frac", "score", *carry),
         F.when(F.col("score").isNotNull(), F.struct(-F.col("score"), F.col("dt_days"), F.col(candidate))),
     )
     # Grouped aggregates combine on the map side; a ranking window would ship every pair.
-    found = scored.groupBy(key).agg(
-        F.count(F.lit(1)).alias("n_candidates"), F.max("clear_frac").alias("max_clear_frac"), best.alias("b")
-    )
-    out = anchors.join(found, key, "left")
+    return scored.groupBy(*keys).agg(F.count(F.lit(1)).alias("n_candidates"), F.max("clear_frac").alias("max_clear_frac"), best.alias("b"))
+
+
+def _judged(anchors: DataFrame, out: DataFrame, candidate: str, threshold: float, strict: bool, carry: tuple[str, ...] = ()) -> DataFrame:
     top = F.col("b.clear_frac") if strict else F.col("max_clear_frac")
     status = F.coalesce(top >= threshold, F.lit(False))
     reason = F.when(F.col("n_candidates").isNull(), "no_candidate_in_window").when(~status, "none_above_threshold")
-    won = lambda c: F.when(status, F.col(c))
+    won = lambda c: F.when(status, F.col(f"b.{c}")).alias(c)
     return out.select(
         *anchors.columns,
         F.when(status, "coupled").otherwise("dropped").alias("status"),
         reason.alias("reason"),
         F.coalesce("max_clear_frac", F.lit(0.0)).alias("max_clear_frac"),
-        won(f"b.{candidate}").alias(candidate),
-        won("b.dt_days").alias("dt_days"),
-        won("b.clear_frac").alias("clear_frac"),
-        won("b.score").alias("score"),
+        *map(won, (candidate, "dt_days", "clear_frac", "score", *carry)),
     )
 
 
@@ -123,9 +150,17 @@ def first_partner(pairs: DataFrame, partner: str, time: str, anchor: str) -> Dat
 
 def manifest(anchors: DataFrame, predictors: DataFrame, validation: DataFrame) -> DataFrame:
     """SET-01, ST-01: one table of the three roles; anchors first, then by id."""
-    rows = (
+    return in_order(roles(anchors, predictors, validation))
+
+
+def roles(anchors: DataFrame, predictors: DataFrame, validation: DataFrame) -> DataFrame:
+    """The rows of a manifest in any order, for those that only count or join them."""
+    return (
         anchors.withColumn("role", F.lit("anchor"))
         .unionByName(predictors.withColumn("role", F.lit("predictor")), allowMissingColumns=True)
         .unionByName(validation.withColumn("role", F.lit("validation")), allowMissingColumns=True)
     )
+
+
+def in_order(rows: DataFrame) -> DataFrame:
     return rows.orderBy(F.col("role") != "anchor", "scene_id", "role")

@@ -28,9 +28,7 @@ matched AS (SELECT a.anchor_id, CASE WHEN t.most >= {THRESHOLD} THEN 'coupled' E
 
 
 def _coupled(spark: SparkSession, d: str) -> DataFrame:
-    a = v.anchors(spark, d)
-    pairs = couple.interval_join(a, v.candidates(spark, d))
-    return couple.best_match(a, pairs, "anchor_id", "cand_id", THRESHOLD)
+    return couple.best_by_time(v.anchors(spark, d), v.candidates(spark, d), "anchor_id", "cand_id", THRESHOLD)
 
 
 @query(_MATCHED + "SELECT anchor_id, status, reason, max_clear_frac, cand_id, dt_days, score FROM matched")

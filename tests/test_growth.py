@@ -2,15 +2,45 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
+from oracle import SF
 from pyspark.sql import functions as F
 
-from latticeframe.operators import shapes
+from latticeframe.operators import couple, shapes
+from latticeframe.plans import registry
 
 
 def _plan(df) -> str:
     return df._jdf.queryExecution().executedPlan().toString()
 
 
+def test_anchors_of_one_time_are_matched_once(spark, monkeypatch):
+    asked, inner = [], couple.interval_join
+
+    def watched(anchors, *rest, **more):
+        asked.append((anchors.count(), anchors.select("acq").distinct().count()))
+        return inner(anchors, *rest, **more)
+
+    monkeypatch.setattr(couple, "interval_join", watched)
+    for name in ("couple_best_match", "first_partner", "couple_drop_reasons", "couple_tally", "couple_job", "couple_manifest_job"):
+        registry.queries()[name](spark, SF).count()
+    assert len(asked) >= 6 and all(rows == times for rows, times in asked)
+
+
+def test_best_by_time_equals_best_of_pairs(spark):
+    start = dt.datetime(2020, 1, 1)
+    anchors = spark.createDataFrame([(k, start + dt.timedelta(hours=7 * (k % 40)) if k % 13 else None) for k in range(1, 120)] + [(None, start)], "id int, acq timestamp")
+    cand = spark.createDataFrame(
+        [(f"c{k:02d}", start + dt.timedelta(hours=11 * k), (k * 37 % 10) / 10 if k % 7 else float("nan"), k) for k in range(30)], "cand string, acq timestamp, clear_frac double, size int"
+    )
+    for strict in (False, True):
+        want = couple.best_match(anchors, couple.interval_join(anchors, cand), "id", "cand", 0.6, strict=strict)
+        got = couple.best_by_time(anchors, cand, "id", "cand", 0.6, strict=strict, carry=("size", "cand_acq"))
+        assert sorted(map(str, got.drop("size", "cand_acq").collect())) == sorted(map(str, want.collect()))
+        assert {(r["cand"], r["size"]) for r in got.collect() if r["cand"]} <= {(f"c{k:02d}", k) for k in range(30)}
+
+
 def test_counts_of_many_shapes_are_not_broadcast(spark):
     cells = spark.range(150_000).select(F.col("id").alias("shape_id"), F.lit(1).alias("row"), F.lit(2).alias("col"), F.lit(3.0).alias("area"))
     many = shapes.spread_area(cells, "shape_id", "area")
