@@ -34,8 +34,12 @@ def duplicate_keys(df: DataFrame, keys: list[str]) -> DataFrame:
 
 
 def orphans(child: DataFrame, parent: DataFrame, child_key: str, parent_key: str) -> DataFrame:
-    """JN-03, JN-04: rows of `child` whose key isn't among the parents'; NULL keys are orphans."""
-    keys = parent.select(F.col(parent_key).alias("__k")).distinct()
+    """JN-03, JN-04: rows of `child` whose key isn't among the parents'; NULL keys are orphans.
+
+    A task holds its share of the different parent keys only; a merge would sort the children as well, and Spark deals
+    tasks by compressed size, which for keys is a small part of what they take in memory.
+    """
+    keys = parent.select(F.col(parent_key).alias("__k")).distinct().hint("shuffle_hash")
     return child.join(keys, F.col(child_key) == F.col("__k"), "left_anti")
 
 

@@ -56,3 +56,15 @@ def test_stage2_values_beyond_the_range_are_none(spark, tmp_path):
     table.toPandas().to_parquet(tmp_path / "embeddings.parquet")
     ours, theirs = both(spark, registry.queries()["stage2_profiles"], registry.oracle_sql()["stage2_profiles"], str(tmp_path))
     assert ours == theirs and ours
+
+
+def test_orphans_and_nearest_hash_the_smaller_side(spark):
+    from latticeframe.operators import inventory, neighbourhood
+
+    child, parent = spark.range(50).select(F.when(F.col("id") % 9 > 0, F.col("id")).alias("k")), spark.range(0, 50, 2).select(F.col("id").alias("p"))
+    lost = inventory.orphans(child, parent, "k", "p")
+    assert "ShuffledHashJoin" in _plan(lost) and lost.count() == 6 + sum(1 for k in range(50) if k % 9 and k % 2)
+    px = spark.range(400).select((F.col("id") / 20).cast("int").alias("row"), (F.col("id") % 20).cast("int").alias("col"), F.col("id").alias("x"))
+    near = neighbourhood.nearest(px.select("row", "col"), px, [], ["x"], (F.col("row") + 0.5) / 2, (F.col("col") + 0.5) / 2)
+    assert "ShuffledHashJoin" in _plan(near)
+    assert all(r["x"] == r["row"] // 2 * 20 + r["col"] // 2 for r in near.collect())
