@@ -140,10 +140,13 @@ def from_coarse(targets: DataFrame, coarse: DataFrame, keys: list[str], columns:
 
 
 def nearest(targets: DataFrame, source: DataFrame, keys: list[str], columns: list[str], src_row: Column, src_col: Column) -> DataFrame:
-    """NB-04: the source cell that holds the target's centre; src_* are in source indices of outer edges."""
+    """NB-04: the source cell that holds the target's centre; src_* are in source indices of outer edges.
+
+    A task holds its share of the source, the smaller table with one row for each cell, and targets pass by unsorted.
+    """
     t = targets.withColumns({"srow": F.floor(src_row).cast("int"), "scol": F.floor(src_col).cast("int")})
     s = source.select(*keys, F.col("row").alias("srow"), F.col("col").alias("scol"), *columns)
-    return t.join(s, [*keys, "srow", "scol"], "left").drop("srow", "scol")
+    return t.join(s.hint("shuffle_hash"), [*keys, "srow", "scol"], "left").drop("srow", "scol")
 
 
 def scene_layers(targets: DataFrame, source: DataFrame, keys: list[str], values: list[str], classes: list[str], factor: float) -> DataFrame:
