@@ -68,3 +68,16 @@ def test_orphans_and_nearest_hash_the_smaller_side(spark):
     near = neighbourhood.nearest(px.select("row", "col"), px, [], ["x"], (F.col("row") + 0.5) / 2, (F.col("col") + 0.5) / 2)
     assert "ShuffledHashJoin" in _plan(near)
     assert all(r["x"] == r["row"] // 2 * 20 + r["col"] // 2 for r in near.collect())
+
+
+def test_tree_of_more_members_than_its_sql_has_levels_for(spark):
+    import hashlib
+
+    from latticeframe.functions import hashes
+
+    sha = lambda s: hashlib.sha256(s.encode()).hexdigest()
+    level = sorted(sha(str(k)) for k in range(5000))
+    while len(level) > 1:
+        level = [sha("".join(level[i : i + 16])) for i in range(0, len(level), 16)]
+    got = hashes.tree_checksum(spark.range(5000).select(F.lit("a").alias("source"), F.col("id").cast("string").alias("text")), ["source"], "text", 16).collect()
+    assert [(r["source"], r["n_members"], r["checksum"]) for r in got] == [("a", 5000, level[0])]
