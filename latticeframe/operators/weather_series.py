@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from latticeframe.functions.nulls import finite, value
 from latticeframe.operators import asof
+from latticeframe.sources.work import kept
 
 VARIABLES = ("t2m", "d2m", "u10", "v10", "ssrd", "tp")
 
@@ -37,13 +38,14 @@ def at_targets(targets: DataFrame, series: DataFrame, key: str, cell: list[str],
 
     The three sums cover [0, 24), [24, 48) and [48, 72) hours before; an empty one is 0. NaN and infinite readings don't
     count. A window is the difference of two running sums of its cell, so a target looks up one sum for each day's
-    end, whatever the number of readings in between.
+    end, whatever the number of readings in between, and targets of one cell and time look them up once.
     """
     steps = list(range(0, hours + 1, 24))
     day = 24 * 3_600_000_000
-    t = targets.select(key, *cell, F.unix_micros(F.col("acq").cast("timestamp")).alias("__at")).distinct()
+    # Without a key a target finds nothing, as in a join by key
+    at_time = F.when(F.col(key).isNotNull(), F.unix_micros(F.col("acq").cast("timestamp")))
+    t = kept(targets.select(*cell, at_time.alias("__at")).filter("__at is not null").distinct(), "times")
     asked = t.withColumn("__k", F.explode(F.sequence(F.lit(0), F.lit(len(steps) - 1)))).withColumn("__t", F.col("__at") - F.col("__k") * day)
-    asked = asked.filter(F.col("__t").isNotNull())
     for c in cell:
         asked = asked.filter(F.col(c).isNotNull())
     i, p = (F.when(finite(c), value(c)) for c in (irradiance, rain))
@@ -57,8 +59,9 @@ def at_targets(targets: DataFrame, series: DataFrame, key: str, cell: list[str],
     last = len(steps) - 1
     rains = [(span("__p", k, k + 1).cast("double") * 1000).alias(f"{rain}_{24 * k}_{24 * k + 24}h") for k in range(last)]
     mean = F.try_divide(span("__i", 0, last).cast("double"), span("__n", 0, last)).alias(f"{irradiance}_antecedent_mean")
-    made = asked.join(sums, [*cell, "__t"]).groupBy(key, *cell).agg(mean, *rains, span("__rows", 0, last).alias("n_hours"))
-    out = targets.join(made, [key, *cell], "left")
+    made = asked.join(sums, [*cell, "__t"]).groupBy(*cell, "__at").agg(mean, *rains, span("__rows", 0, last).alias("n_hours"))
+    out = targets.withColumn("__at", at_time).join(made, [*cell, "__at"], "left")
+    out = out.select(*targets.columns, *(c for c in made.columns if c not in (*cell, "__at")))
     fill = {f"{rain}_{a}_{a + 24}h": 0.0 for a in steps[:-1]} | {"n_hours": 0}
     return out.fillna(fill)
 

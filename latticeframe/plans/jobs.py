@@ -17,6 +17,7 @@ from latticeframe.functions.labels import cloudiness, season
 from latticeframe.functions.nulls import value
 from latticeframe.operators import checks, couple, grids, inventory, ledger, neighbourhood, sampling, shapes, terrain, weather_series
 from latticeframe.sources import scans
+from latticeframe.sources.work import few_broadcast
 from latticeframe.sources.work import kept as stored
 
 PIXEL = ["scene_id", "row", "col"]
@@ -130,13 +131,17 @@ def vintage_morphology(new: DataFrame, old_pool: DataFrame, heights: DataFrame,
 
 def dynamic_products(scenes: DataFrame, series: DataFrame, cell: list[str], horizon: DataFrame, sun: DataFrame) -> tuple[DataFrame, DataFrame]:
     """JOB-06: weather per scene (scene_id, acq, cell) and shadow masks from horizons and the sun's place."""
-    hourly = weather_series.hourly(series, cell, "ssrd", "ssrd_h", 3600)
-    hourly = weather_series.hourly(hourly, cell, "tp", "tp_h", clamp=True)
+    # Cells that no scene asks for are left out first; all look-ups read one stored table
+    cells = few_broadcast(stored(scenes.select(*cell).distinct(), "cells"))
+    hourly = weather_series.hourly(series.join(cells, cell, "left_semi"), cell, "ssrd", "ssrd_h", 3600)
+    hourly = stored(weather_series.hourly(hourly, cell, "tp", "tp_h", clamp=True), "hourly")
     sums = weather_series.at_targets(scenes, hourly.select(*cell, "ts", "ssrd_h", "tp_h"), "scene_id", cell, "ssrd_h", "tp_h")
-    hour = scenes.withColumn("acq", weather.nearest_hour(F.col("acq")))
-    now = couple.nearest_in_time(hour, hourly.select(*cell, "ts", "t2m", "d2m", "u10", "v10", "ssrd_h"), "scene_id", tuple(cell))
+    # A scene keeps its row through both look-ups, so no table of scenes is joined by id; one without an id finds nothing
+    hour = F.when(F.col("scene_id").isNotNull(), weather.nearest_hour(F.col("__acq")))
+    asked = sums.withColumnRenamed("acq", "__acq").withColumn("acq", hour)
+    now = couple.nearest_in_time(asked, hourly.select(*cell, "ts", "t2m", "d2m", "u10", "v10", "ssrd_h"), "scene_id", tuple(cell))
     now = now.select(
-        "scene_id",
+        *(F.col("__acq").alias(c) if c == "acq" else F.col(c) for c in sums.columns),
         F.col("t2m").alias("t2m_scene"),
         F.col("ssrd_h").alias("ssrd_scene"),
         weather.vapour_pressure_deficit(F.col("t2m"), F.col("d2m")).alias("vpd_scene"),
@@ -144,7 +149,7 @@ def dynamic_products(scenes: DataFrame, series: DataFrame, cell: list[str], hori
     )
     # One row per scene against the cells of its geometry; Spark broadcasts the scenes while they are few
     lit = horizon.join(sun, "geometry_id").select("scene_id", "row", "col", terrain.shadow(F.col("horizon"), F.col("azimuth"), F.col("elevation")).alias("shadow"))
-    return sums.join(now, "scene_id", "left"), lit
+    return now, lit
 
 
 def feature_stacks(optical: DataFrame, static: DataFrame, dynamic: DataFrame, area: DataFrame, contracts: tuple[LayerContract, ...] = CHANNELS) -> tuple[DataFrame, DataFrame]:

@@ -81,3 +81,24 @@ def test_tree_of_more_members_than_its_sql_has_levels_for(spark):
         level = [sha("".join(level[i : i + 16])) for i in range(0, len(level), 16)]
     got = hashes.tree_checksum(spark.range(5000).select(F.lit("a").alias("source"), F.col("id").cast("string").alias("text")), ["source"], "text", 16).collect()
     assert [(r["source"], r["n_members"], r["checksum"]) for r in got] == [("a", 5000, level[0])]
+
+
+def test_weather_job_reads_asked_cells_and_looks_each_time_up_once(spark, monkeypatch):
+    from latticeframe.operators import asof, weather_series
+    from latticeframe.plans import jobs
+
+    seen, targets, running = {}, weather_series.at_targets, asof.running_at
+    monkeypatch.setattr(weather_series, "at_targets", lambda t, s, *rest: seen.update(cells={r["cell"] for r in s.select("cell").distinct().collect()}) or targets(t, s, *rest))
+    monkeypatch.setattr(asof, "running_at", lambda keys, *rest: seen.update(keys=keys.count()) or running(keys, *rest))
+    start = dt.datetime(2024, 1, 1)
+    hours = [(c, start + dt.timedelta(hours=h), float(h % 24), 290.0) for c in range(6) for h in range(100)]
+    series = spark.createDataFrame(hours, "cell long, ts timestamp, ssrd double, t2m double").selectExpr("*", "ssrd as tp", "t2m - 5 as d2m", "1D as u10", "2D as v10")
+    noon = start + dt.timedelta(days=3, hours=12, minutes=20)
+    rows = [(k, k % 2, noon) for k in range(30)] + [(None, 0, noon), (99, 5, None), (100, None, noon)]
+    scenes = spark.createDataFrame(rows, "scene_id long, cell long, acq timestamp")
+    none = spark.createDataFrame([], "geometry_id string, row int, col int, horizon array<float>"), spark.createDataFrame([], "geometry_id string, scene_id long, azimuth double, elevation double")
+    out = jobs.dynamic_products(scenes, series, ["cell"], *none)[0]
+    assert seen == {"cells": {0, 1, 5}, "keys": 2 * 4}
+    got = out.collect()
+    assert len(got) == len(rows) and {r["acq"] for r in got} == {noon, None}
+    assert all((r["n_hours"], r["t2m_scene"]) == ((72, 290.0) if r["scene_id"] in range(30) else (0, None)) for r in got)
