@@ -8,13 +8,21 @@ answers joined back, so very many rows of one time don't meet in a task either.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from latticeframe.sources.work import few_broadcast, kept
+
 #: Rows that a bucket holds on average
 BUCKET_ROWS = 65_536
+#: Rows and ranges of one cell that meet in one task at once
+TILE_ROWS, TILE_RANGES = 16_384, 4096
+#: Above all size classes of ranges
+NO_RANGE = 1000
 
 
 def axis(df: DataFrame, column: str) -> Column:
@@ -123,22 +131,75 @@ def running_at(keys: DataFrame, series: DataFrame, on: tuple[str, ...], measures
     return sums.filter("__s = 1").drop("__s")
 
 
+def _on_cells(rows: DataFrame, ranges: DataFrame, column: str, lo: str, hi: str) -> tuple[DataFrame, DataFrame, list[int]]:
+    """`rows` with their place `__t`; a row for each range and cell it touches; the size classes there are.
+
+    A range of class k is over 4 and up to 16 cells of width 4^(k-2) long, so nearly all of what shares a cell matches.
+    """
+    own = ranges.select(F.struct(*ranges.columns).alias("__r"), axis(ranges, lo).alias("__lo"), axis(ranges, hi).alias("__hi")).filter("__lo <= __hi")
+    a, b = F.col("__lo").cast("double"), F.col("__hi").cast("double")
+    # Points have a length too, one that keeps the numbers of their cells exact; classes end where widths are infinite
+    length = F.greatest(b - a, F.abs(a) * 2.0**-40, F.abs(b) * 2.0**-40, F.lit(1e-9))
+    own = own.withColumn("__size", F.ceil(F.least(F.log2(length) / 2, F.lit(520.0))).cast("int"))
+    sizes = sorted(r[0] for r in own.select("__size").distinct().collect())
+    own = own.withColumn("__cell", F.explode(F.sequence(_cell("__lo"), _cell("__hi"))))
+    return rows.withColumn("__t", axis(rows, column)), own, sizes
+
+
+def _cell(place: str) -> Column:
+    return F.floor(F.col(place).cast("double") / F.pow(F.lit(4.0), F.col("__size") - 2))
+
+
+def _hashable(df: DataFrame) -> list[str]:
+    return [c for c, kind in df.dtypes if "map<" not in kind and "variant" not in kind]
+
+
+def _asked(places: DataFrame, sizes: list[int]) -> DataFrame:
+    """`places` once for each size class, with the cell they are in."""
+    every = _present(places, "__t").withColumn("__size", F.explode(F.array(*map(F.lit, sizes)).cast("array<int>")))
+    return every.withColumn("__cell", _cell("__t"))
+
+
 def range_join(rows: DataFrame, ranges: DataFrame, column: str, lo: str = "lo", hi: str = "hi") -> DataFrame:
     """`rows` with every range that holds their value, ends included; rows without one stay, with NULLs.
 
-    A range of length between 2^(k-1) and 2^k touches at most two cells of width 2^k, and meets values on these cells:
-    neither long nor overlapping ranges are cut into many rows, and a distinct value is looked up once for each size
-    class of ranges there is (few, as lengths are doubles).
+    Ranges are cut into cells a quarter to a sixteenth of their length wide and travel as blocks, one row for many
+    ranges of a cell; a row goes to its cell of each size class (few, as lengths are doubles), and pairs are only made
+    there, by unfolding blocks. So what is shuffled follows the rows and ranges, not their pairs. Cells with very many
+    are dealt as tiles of `TILE_ROWS` by `TILE_RANGES`, to which each row and range there goes as often as tiles need
+    it. Equal rows, and equal ranges, stay in one tile.
     """
-    value, first, last = axis(rows, column), axis(ranges, lo), axis(ranges, hi)
-    own = ranges.select(F.struct(*ranges.columns).alias("__r"), first.alias("__lo"), last.alias("__hi")).filter("__lo <= __hi")
-    size = F.ceil(F.log2(F.greatest((F.col("__hi") - F.col("__lo")).cast("double"), F.lit(1e-9)))).cast("int")
-    own = own.withColumn("__size", size)
-    sizes = sorted(r[0] for r in own.select("__size").distinct().collect())
-    cell = lambda c: F.floor(F.col(c) / F.pow(F.lit(2.0), F.col("__size")))
-    own = own.withColumn("__cell", F.explode(F.array_distinct(F.array(cell("__lo"), cell("__hi")))))
-    keyed = rows.withColumn("__t", value)
-    values = _present(keyed.select("__t"), "__t").distinct()
-    values = values.withColumn("__size", F.explode(F.array(*map(F.lit, sizes)).cast("array<int>"))).withColumn("__cell", cell("__t"))
-    found = values.join(own, ["__size", "__cell"]).filter("__t >= __lo and __t <= __hi").select("__t", "__r")
-    return keyed.join(found, "__t", "left").select(*rows.columns, "__r.*")
+    keyed, own, sizes = _on_cells(rows, ranges, column, lo, hi)
+    cell = ["__size", "__cell"]
+    n = own.groupBy(*cell).agg(F.count(F.lit(1)).cast("double").alias("__n"))
+    m = _asked(keyed.select("__t"), sizes).groupBy(*cell).agg(F.count(F.lit(1)).cast("double").alias("__m"))
+    counts = kept(n.join(m, cell), "cells")
+    most = counts.agg(F.sum(F.col("__n") * F.col("__m"))).first()[0] or 0.0
+    tasks = math.ceil(most / (TILE_ROWS * TILE_RANGES))
+    if tasks > 1:
+        tasks = max(tasks, int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    # By pairs: Spark would deal tasks by the size of blocks
+    spread = lambda df, *keys: df.repartition(tasks, *keys) if tasks > 1 else df
+    each = lambda k: F.explode(F.sequence(F.lit(0), k - 1))
+    crowded = counts.filter((F.col("__n") > TILE_RANGES) | (F.col("__m") > TILE_ROWS))
+    crowded = few_broadcast(crowded.select(*cell, F.ceil(F.col("__n") / TILE_RANGES).cast("int").alias("__parts"), F.ceil(F.col("__m") / TILE_ROWS).cast("int").alias("__deals")))
+    parts, deals = (F.coalesce(F.col(c), F.lit(1)) for c in ("__parts", "__deals"))
+
+    own = own.join(crowded, cell, "left").withColumn("__part", F.pmod(F.xxhash64(*(F.col("__r")[c] for c in _hashable(ranges))), parts).cast("int"))
+    blocks = own.groupBy(*cell, "__part").agg(F.collect_list(F.struct("__r", "__lo", "__hi")).alias("__block"), F.max(deals).alias("__deals"))
+    blocks = kept(blocks, "blocks")
+    holds = lambda x: (F.col("__t") >= x["__lo"]) & (F.col("__t") <= x["__hi"])
+    held = _asked(_present(keyed.select("__t"), "__t").distinct(), sizes).join(blocks.hint("shuffle_hash"), cell).filter(F.exists("__block", holds))
+
+    # Rows without a range go to a class of their own, whose blocks hold one NULL: a union would make every pair twice
+    tile, none, shares = [*cell, "__part", "__deal"], F.lit(NO_RANGE), max(tasks, 16)
+    asked = keyed.join(held.select("__t", F.lit(True).alias("__held")).distinct(), "__t", "left")
+    asked = asked.withColumn("__size", F.explode(F.when(F.col("__held"), F.array(*map(F.lit, sizes)).cast("array<int>")).otherwise(F.array(none))))
+    asked = asked.withColumn("__cell", F.when(F.col("__size") == none, F.lit(0).cast("long")).otherwise(_cell("__t"))).join(crowded, cell, "left")
+    deals = F.when(F.col("__size") == none, F.lit(shares)).otherwise(deals)
+    asked = asked.withColumns({"__deal": F.pmod(F.xxhash64(*_hashable(rows)), deals).cast("int"), "__part": each(parts)}).drop("__parts", "__deals", "__held")
+    empty = rows.sparkSession.range(shares).select(none.alias("__size"), F.lit(0).cast("long").alias("__cell"), F.lit(0).alias("__part"), F.col("id").cast("int").alias("__deal"))
+    empty = empty.withColumn("__block", F.array(F.lit(None).cast(blocks.schema["__block"].dataType.elementType)))
+    dealt = blocks.withColumn("__deal", each(F.col("__deals"))).drop("__deals").unionByName(empty)
+    pairs = spread(asked, *tile).join(spread(dealt, *tile).hint("shuffle_hash"), tile).withColumn("__x", F.explode("__block"))
+    return pairs.filter((F.col("__size") == none) | holds(F.col("__x"))).select(*rows.columns, "__x.__r.*")

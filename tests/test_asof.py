@@ -81,6 +81,49 @@ def test_ranges_of_all_lengths(spark):
     assert got == sorted(want)
 
 
+def _shuffled_rows(plan) -> int:
+    """Rows written to exchanges by a query that has run."""
+    if plan.nodeName() == "AdaptiveSparkPlan":
+        return _shuffled_rows(plan.executedPlan())
+    if "QueryStage" in plan.nodeName():
+        return _shuffled_rows(plan.plan())
+    found, below = plan.metrics().get("shuffleRecordsWritten"), plan.children()
+    own = found.get().value() if plan.nodeName() == "Exchange" and found.isDefined() else 0
+    return own + sum(_shuffled_rows(below.apply(k)) for k in range(below.size()))
+
+
+def test_pairs_of_ranges_are_not_shuffled(spark):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        x = spark.range(300).select(F.col("id").alias("k"), (F.col("id") / 3).alias("t"))
+        r = spark.range(300).select(F.col("id").alias("name"), (-F.col("id") / 7).alias("lo"), (F.col("id") / 7 + 100).alias("hi"))
+        df = asof.range_join(x, r, "t")
+        assert len(df.collect()) == 300 * 300
+        assert _shuffled_rows(df._jdf.queryExecution().executedPlan()) < 300 * 300 / 10
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+@pytest.mark.parametrize("tile", [(16_384, 4096), (5, 3)])
+def test_odd_ranges_in_tiles(spark, monkeypatch, tile):
+    monkeypatch.setattr(asof, "TILE_ROWS", tile[0])
+    monkeypatch.setattr(asof, "TILE_RANGES", tile[1])
+    random.seed(9)
+    inf, nan = float("inf"), float("nan")
+    ends = [-inf, -1.7e308, -1e12, -3.0, -0.0, 0.0, 1e-300, 0.1, 0.30000000000000004, 7.0, 1e12, 1e12 + 0.001, 1.7e308, inf, nan, None]
+    ranges = [(k, a, b) for k, (a, b) in enumerate((a, b) for a in ends for b in ends)] + [(k, 2.0, 9.0) for k in range(300, 320)] + [(0, -inf, inf)] * 2
+    values = [(k, t) for k, t in enumerate(ends + [random.uniform(-5, 10) for _ in range(20)] + [5.0] * 15)] + [(0, 5.0)] * 2
+    r, x = spark.createDataFrame(ranges, "name long, lo double, hi double"), spark.createDataFrame(values, "k long, t double")
+    usual = lambda v: None if v is None or v != v else v
+    for kept in (ranges, [y for y in ranges if y[0] >= 300 and y[2] == 9.0], []):
+        got = asof.range_join(x, r.filter(F.col("name").isin([y[0] for y in kept])) if kept else r.limit(0), "t").collect()
+        want = []
+        for k, t in values:
+            found = [n for n, lo, hi in kept if None not in map(usual, (t, lo, hi)) and lo <= t <= hi]
+            want += [(k, n) for n in found] or [(k, -1)]
+        assert sorted((a.k, -1 if a.name is None else a.name) for a in got) == sorted(want)
+
+
 def test_lookups_beyond_the_broadcast_bounds(spark, monkeypatch):
     rows = spark.range(-3, 50).select(F.col("id").alias("year"))
     versions = spark.range(0, 40, 4).select(F.col("id").alias("version"))
